@@ -1,0 +1,34 @@
+"""Every registered query against its SQL, on whole tables."""
+
+import pytest
+from compare import spark_rows, sql_rows
+
+import __spark_entry__ as entry_point
+
+
+def test_every_query_has_sql():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+
+
+def test_entry(spark):
+    df = entry_point.entry(spark)
+    assert df.columns == ["start", "end", "indicator", "avg_value", "max_value", "cnt"]
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", entry_point.queries())
+def test_same_rows(spark, sf_dir, key):
+    df = entry_point.queries()[key](spark, sf_dir)
+    names, expected = sql_rows(sf_dir, entry_point.oracle_sql()[key])
+    assert sorted(df.columns) == sorted(names)
+    got = spark_rows(df)
+    assert got == expected, (list((got - expected).items())[:3], list((expected - got).items())[:3])
+
+
+def test_readings_fit_the_exact_oracle(sf_dir):
+    """The SQL counts whole cents; it relies on readings of two decimals that are not negative."""
+    _, rows = sql_rows(
+        sf_dir,
+        "SELECT count(*) FILTER (value IS NULL OR value < 0 OR value <> round(value, 2)) FROM events",
+    )
+    assert list(rows) == [(0,)]

@@ -1,0 +1,55 @@
+from pyspark.sql import Observation
+
+from tidegauge.operators.lookup import attach_name
+from tidegauge.operators.positions import (
+    commit_progress,
+    delivery_report,
+    format_line,
+    lag_report,
+    log_bounds,
+    watch_delivery,
+)
+from tidegauge.sources.catalogue import catalogue
+
+LOG = "topic string, partition int, offset bigint, error string"
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_lines(spark):
+    df = spark.createDataFrame(
+        [(0, 17, "기준금리", 3.5), (2, 0, None, None)],
+        "partition int, offset bigint, name string, value double",
+    )
+    assert rows_of(format_line(df, keep=("offset",))) == [
+        (0, "[2@0] None=None"), (17, "[0@17] 기준금리=3.5")]
+
+
+def test_positions_and_lag(spark):
+    log = spark.createDataFrame(
+        [("t", p, o, None) for p in (0, 1, 2) for o in range(5, 10 + p)], LOG)
+    handled = log.filter("partition = 0 or (partition = 1 and offset < 8)")
+    committed = commit_progress(handled, "g")
+    assert committed.columns == ["group", "topic", "partition", "offset"]
+    assert rows_of(committed) == [("g", "t", 0, 10), ("g", "t", 1, 8)]
+    # Partition 2 was never committed: it lags by what the log still holds, not from offset 0.
+    assert rows_of(lag_report(log_bounds(log), committed)) == [
+        ("t", 0, 10, 10, 0), ("t", 1, 11, 8, 3), ("t", 2, 12, None, 7)]
+
+
+def test_delivery(spark):
+    log = spark.createDataFrame(
+        [("t", 0, 1, None), ("t", 0, 2, None), ("t", 0, None, "timed out"), ("t", 1, None, "gone")], LOG)
+    assert rows_of(delivery_report(log)) == [("t", 0, 2, 1, 2), ("t", 1, 0, 1, None)]
+    seen = Observation("d")
+    watch_delivery(log, seen).count()
+    assert seen.get == {"delivered": 2, "failed": 2}
+
+
+def test_names(spark):
+    ticks = spark.createDataFrame([("kospi", 1.0, "x"), ("?", 2.0, "y"), (None, 3.0, "z")],
+                                  "indicator string, value double, name string")
+    named = attach_name(ticks, catalogue(spark)).select("indicator", "name", "value")
+    assert rows_of(named) == [("?", None, 2.0), ("kospi", "코스피", 1.0), (None, None, 3.0)]

@@ -1,0 +1,152 @@
+"""Writers without their target: what they tell Spark, and files on disk."""
+
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.schema import STATS_SCHEMA
+from tidegauge.session import scratch_dir
+from tidegauge.streaming.sinks import (
+    append_jdbc,
+    jdbc_options,
+    read_raw,
+    read_stats,
+    topic_sink_options,
+    write_raw,
+    write_stats,
+    write_topic,
+)
+
+
+class FakeFrame:
+    """Notes what a writer is told."""
+
+    isStreaming = False
+
+    def __init__(self):
+        self.told = {}
+
+    def select(self, *columns):
+        self.told["columns"] = columns
+        return self
+
+    def withColumn(self, name, column):
+        self.told["added"] = name
+        return self
+
+    @property
+    def write(self):
+        return self
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def mode(self, name):
+        self.told["mode"] = name
+        return self
+
+    def options(self, **options):
+        self.told["options"] = options
+        return self
+
+    def save(self):
+        self.told["saved"] = True
+
+
+def test_publish():
+    df = FakeFrame()
+    write_topic(df, "b:1", "t", **{"kafka.acks": "all"})
+    assert df.told == {
+        "columns": ("key", "value"), "format": "kafka", "saved": True,
+        "options": {"kafka.bootstrap.servers": "b:1", "topic": "t", "kafka.acks": "all"},
+    }
+    assert topic_sink_options() == {
+        "kafka.bootstrap.servers": "localhost:29092", "topic": "econ.indicators"}
+
+
+def test_publishing_a_stream_needs_a_checkpoint(spark):
+    stream = spark.readStream.format("rate").load().select(
+        F.lit("k").alias("key"), F.lit("v").alias("value"))
+    with pytest.raises(ValueError, match="needs a checkpoint"):
+        write_topic(stream)
+
+
+def test_results_to_a_database(spark):
+    df = FakeFrame()
+    append_jdbc("jdbc:postgresql://h/db", "results", 4, user="u")(df, 12)
+    assert df.told == {
+        "added": "batch_id", "format": "jdbc", "mode": "append", "saved": True,
+        "options": {"url": "jdbc:postgresql://h/db", "dbtable": "results", "numPartitions": "4", "user": "u"},
+    }
+    assert jdbc_options("u", "t")["numPartitions"] == "8"
+
+
+def stats(spark, *rows):
+    return spark.createDataFrame(
+        [(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1), i, v, v, 1) for i, v in rows], STATS_SCHEMA)
+
+
+def test_stats_folders(spark):
+    path = f"{scratch_dir(spark, 't')}/out"
+    write_stats(stats(spark, ("007", 1.0), ("a/b", 2.0), ("a/b", 3.0), (None, 4.0)), path)
+    assert {"indicator=007", "indicator=a%2Fb"} < set(os.listdir(path))
+    back = read_stats(spark, path)
+    assert back.schema == STATS_SCHEMA
+    assert sorted((r["indicator"] or "", r["avg_value"]) for r in back.collect()) == [
+        ("", 4.0), ("007", 1.0), ("a/b", 2.0), ("a/b", 3.0)]
+
+
+def test_raw_by_date(spark):
+    path = f"{scratch_dir(spark, 't')}/out"
+    rows = spark.createDataFrame(
+        [("a", "n", 1.0, 1718470800000, "s"), ("a", "n", 2.0, None, "s")],
+        "indicator string, name string, value double, ts bigint, source string",
+    ).withColumn("event_time", F.timestamp_millis("ts"))
+    for shuffled in (True, False):
+        write_raw(rows, path, rebalance=shuffled)
+    got = read_raw(spark, path).groupBy(F.col("dt").cast("string")).count().collect()
+    # 2024-06-16 in Seoul is still the 15th in UTC; a row without time is kept apart.
+    assert sorted(map(tuple, got), key=str) == [("2024-06-15", 2), (None, 2)]
+
+
+def test_path_of_any_file_system(spark, monkeypatch):
+    """An object store is only another path: it reaches the writer as it is."""
+    from tidegauge.streaming import sinks
+
+    seen = {}
+    monkeypatch.setattr(sinks, "start", lambda writer, spark, checkpoint, *rest: seen.update(
+        ck=checkpoint, path=dict_of(writer).get("path")))
+    stream = spark.readStream.format("rate").load().select(
+        F.col("timestamp").alias("start"), F.lit("a").alias("indicator"))
+    sinks.write_stream(stream, "parquet", "s3a://bucket/agg", "s3a://bucket/ck")
+    assert seen == {"ck": "s3a://bucket/ck", "path": "s3a://bucket/agg"}
+
+
+def dict_of(writer):
+    options = writer._jwrite.getClass().getDeclaredField("extraOptions")
+    options.setAccessible(True)
+    found = options.get(writer._jwrite)
+    return {"path": found.get("path").get()} if found.contains("path") else {}
+
+
+def test_scratch_folder_is_shared(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder = scratch_dir(spark, "x")
+    assert folder != scratch_dir(spark, "x")
+    if shared:
+        assert folder.startswith(shared.rstrip("/") + "/")
+
+
+def test_no_private_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")

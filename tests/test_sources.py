@@ -1,0 +1,161 @@
+import json
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.__main__ import arguments
+from tidegauge.settings import CATALOGUE
+from tidegauge.sources.catalogue import catalogue
+from tidegauge.sources.providers import union_sources
+from tidegauge.sources.responses import explode_response, response_page, select_series
+from tidegauge.sources.topic import read_topic_batch, read_topic_stream, topic_options
+
+ROW = "TIME string, DATA_VALUE string"
+
+
+class Recorder:
+    """Stands in for a session where no connector is installed; notes what a reader is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    @property
+    def read(self):
+        self.told["kind"] = "batch"
+        return self
+
+    @property
+    def readStream(self):
+        self.told["kind"] = "stream"
+        return self
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def options(self, **options):
+        self.told["options"] = options
+        return self
+
+    def load(self):
+        return self.told
+
+
+def test_topic_stream():
+    assert read_topic_stream(Recorder()) == {
+        "kind": "stream",
+        "format": "kafka",
+        "options": {
+            "kafka.bootstrap.servers": "localhost:29092",
+            "subscribe": "econ.indicators",
+            "startingOffsets": "earliest",
+        },
+    }
+
+
+def test_topic_stream_bounds():
+    told = read_topic_stream(
+        Recorder(), "b:9092", "t", min_partitions=12, max_offsets_per_trigger=5_000_000,
+        extra={"failOnDataLoss": "false"},
+    )["options"]
+    assert told["minPartitions"] == "12"
+    assert told["maxOffsetsPerTrigger"] == "5000000"
+    assert told["failOnDataLoss"] == "false"
+    assert (told["kafka.bootstrap.servers"], told["subscribe"]) == ("b:9092", "t")
+
+
+def test_topic_batch_by_time():
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    told = read_topic_batch(Recorder(), start=start, end=datetime(2024, 1, 1, 1))
+    assert told["kind"] == "batch"
+    assert told["options"]["startingTimestamp"] == "1704067200000"
+    assert told["options"]["endingTimestamp"] == "1704070800000"
+    assert told["options"]["startingOffsetsByTimestampStrategy"] == "latest"
+    assert "startingOffsets" not in told["options"]
+
+
+def test_topic_batch_by_offsets():
+    options = topic_options(starting={"t": {"0": 23, "1": -2}}, ending="latest")
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 23, "1": -2}}
+    assert options["endingOffsets"] == "latest"
+
+
+def bodies(spark, *texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, body string")
+
+
+def answer(n):
+    rows = [{"TIME": f"{i:08d}", "DATA_VALUE": str(i), "UNIT": "%"} for i in range(1, n + 1)]
+    return json.dumps({"StatisticSearch": {"list_total_count": n, "row": rows}})
+
+
+def test_responses(spark):
+    df = bodies(
+        spark, answer(3), '{"StatisticSearch":{}}', '{"RESULT":{"CODE":"INFO-200"}}', "oops", None,
+        '{"StatisticSearch":{"row":[]}}', answer(1),
+    )
+    got = explode_response(df, "body", ROW, keep=("id",)).orderBy("id", "TIME").collect()
+    assert [tuple(r) for r in got] == [
+        (0, "00000001", "1"), (0, "00000002", "2"), (0, "00000003", "3"), (6, "00000001", "1"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "rows, first, last, kept",
+    [(250, 1, 100, range(1, 101)), (99, 1, 100, range(1, 100)), (250, 201, 300, range(201, 251)),
+     (5, 6, 9, [])],
+)
+def test_pages(spark, rows, first, last, kept):
+    got = response_page(bodies(spark, answer(rows)), "body", ROW, first=first, last=last)
+    assert sorted(int(r["DATA_VALUE"]) for r in got.collect()) == list(kept)
+
+
+def test_default_page_is_the_first_hundred(spark):
+    assert response_page(bodies(spark, answer(120), answer(7)), "body", ROW).count() == 107
+
+
+def test_page_must_exist(spark):
+    with pytest.raises(ValueError):
+        response_page(bodies(spark, answer(1)), "body", ROW, first=0)
+
+
+def test_series(spark):
+    rows = [("s", "D", "20240104", "1"), ("s", "D", "20240105", "1"), ("s", "D", "20240110", "2"),
+            ("s", "M", "202401", "1"), ("x", "D", "20240105", "1"), ("s", "D", "20240111", "1")]
+    df = spark.createDataFrame(rows, "stat_code string, cycle string, time string, item_code string")
+
+    def times(**more):
+        return sorted(r["time"] for r in select_series(df, "s", "D", "20240105", "20240110", **more).collect())
+
+    assert times() == ["20240105", "20240110"]
+    assert times(item="2") == ["20240110"]
+    assert times(item="9") == []
+
+
+def test_catalogue(spark):
+    assert [tuple(r) for r in catalogue(spark).collect()] == CATALOGUE
+    with pytest.raises(ValueError):
+        catalogue(spark, [])
+
+
+def test_providers(spark):
+    a = spark.createDataFrame([("cpi", 1.0)], "indicator string, value double")
+    b = spark.createDataFrame([(2.0, "cpi", "old")], "value double, indicator string, source string")
+    got = union_sources({"one": a, "two": b, "three": a}).orderBy(F.col("source")).collect()
+    assert [tuple(r) for r in got] == [("cpi", 1.0, "one"), ("cpi", 1.0, "three"), ("cpi", 2.0, "two")]
+    with pytest.raises(ValueError):
+        union_sources({})
+
+
+def test_command_line_takes_the_environment():
+    env = {"KAFKA_BOOTSTRAP_SERVERS": "k:1", "KAFKA_TOPIC": "t", "SINK": "PARQUET",
+           "OUTPUT_PATH": "s3a://b/agg", "CHECKPOINT_PATH": "s3a://b/ck"}
+    args = arguments(["stream"], env)
+    assert (args.servers, args.topic, args.sink, args.path, args.checkpoint) == (
+        "k:1", "t", "parquet", "s3a://b/agg", "s3a://b/ck")
+    args = arguments(["stream"], {})
+    assert (args.servers, args.topic, args.sink, args.path) == (
+        "localhost:29092", "econ.indicators", "console", None)
+    args = arguments(["backfill", "--store", "x", "--start", "2024-01-01", "--end", "2024-01-03"], env)
+    assert (args.start, args.end) == (datetime(2024, 1, 1), datetime(2024, 1, 3))

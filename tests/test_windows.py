@@ -1,0 +1,148 @@
+"""Window statistics on tables, against a brute-force count in exact arithmetic."""
+
+import math
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta, timezone
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidegauge.operators.windows import seconds, window_stats
+
+EPOCH = datetime(1970, 1, 1)
+TICKS = "indicator string, value double, event_time timestamp_ntz"
+
+
+def rounded(x: Decimal) -> float:
+    return float(x.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP))
+
+
+def brute(rows, width, slide):
+    """Every window that holds a row, found by stepping through window starts."""
+    w, s = seconds(width) * 10**6, seconds(slide) * 10**6
+    groups = defaultdict(list)
+    for indicator, value, at in rows:
+        if at is None:
+            continue
+        micros = (at - EPOCH) // timedelta(microseconds=1)
+        start = micros // s * s
+        while start > micros - w:
+            groups[start, indicator].append(value)
+            start -= s
+    out = set()
+    for (start, indicator), values in groups.items():
+        known = [Decimal(str(v)) for v in values if v is not None]
+        begin = EPOCH + timedelta(microseconds=start)
+        out.add((
+            begin, begin + timedelta(microseconds=w), indicator,
+            rounded(sum(known) / len(known)) if known else None,
+            rounded(max(known)) if known else None,
+            len(values),
+        ))
+    return out
+
+
+def table(spark, rows, parts=4):
+    return spark.createDataFrame(rows, TICKS).repartition(parts)
+
+
+SHAPES = [
+    ("1 minute", "30 seconds"),
+    ("1 minute", "1 minute"),
+    ("50 seconds", "20 seconds"),
+    ("1 hour", "5 minutes"),
+    ("7 seconds", "3 seconds"),
+]
+
+
+@pytest.mark.parametrize("width, slide", SHAPES)
+def test_brute_force(spark, width, slide):
+    dice = random.Random(7)
+    rows = [
+        (
+            dice.choice(["a", "a", "a", "b", None]),
+            None if dice.random() < 0.2 else dice.randint(-5000, 5000) / 100,
+            None if dice.random() < 0.05
+            else EPOCH + timedelta(microseconds=dice.randint(-4 * 10**9, 4 * 10**9)),
+        )
+        for _ in range(600)
+    ]
+    got = window_stats(table(spark, rows), width, slide).collect()
+    assert len(got) == len(set(map(tuple, got)))
+    assert set(map(tuple, got)) == brute(rows, width, slide)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b"]),
+            st.one_of(st.none(), st.integers(0, 9999).map(lambda n: n / 100)),
+            st.integers(0, 400_000).map(lambda ms: datetime(2024, 1, 1) + timedelta(milliseconds=ms)),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_any_rows(spark, rows):
+    got = window_stats(table(spark, rows, 2)).collect()
+    assert set(map(tuple, got)) == brute(rows, "1 minute", "30 seconds")
+
+
+def test_window_edges(spark):
+    at = datetime(2024, 1, 1, 0, 0, 30)
+    rows = [("a", 1.0, at), ("a", 3.0, at - timedelta(microseconds=1))]
+    got = {(r["start"], r["cnt"], r["avg_value"]) for r in window_stats(table(spark, rows)).collect()}
+    minute = datetime(2024, 1, 1)
+    half = timedelta(seconds=30)
+    assert got == {(minute - half, 1, 3.0), (minute, 2, 2.0), (minute + half, 1, 1.0)}
+
+
+def test_not_a_number_is_largest(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("a", 1.0, at), ("a", float("nan"), at), ("b", float("inf"), at)]
+    for r in window_stats(table(spark, rows)).collect():
+        if r["indicator"] == "a":
+            assert math.isnan(r["avg_value"]) and math.isnan(r["max_value"]) and r["cnt"] == 2
+        else:
+            assert r["avg_value"] == r["max_value"] == math.inf
+
+
+def test_ties_do_not_depend_on_the_order(spark):
+    """Means that end in ...5 at the fifth digit, whatever order the cents are added in."""
+    cents = [1, 10, 20, 30, 70, 110, 7, 1013]  # 1261 / 8 = 157.625 cents
+    at = datetime(2024, 1, 1)
+    seen = set()
+    for seed in range(6):
+        random.Random(seed).shuffle(cents)
+        rows = [("a", c / 100, at) for c in cents]
+        for parts in (1, 3):
+            seen |= {r["avg_value"] for r in window_stats(table(spark, rows, parts)).collect()}
+    assert seen == {1.5763}
+
+
+def test_zoned_time_gives_the_same_moments(spark):
+    rows = [("a", 1.0, datetime(2024, 1, 1, 0, 0, 10))]
+    df = table(spark, rows)
+    zoned = window_stats(df.withColumn("event_time", F.col("event_time").cast("timestamp")))
+    micros = {r[0] for r in zoned.select(F.unix_seconds("start")).collect()}
+    first = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp())
+    assert micros == {first - 30, first}
+
+
+def test_hot_indicator(spark):
+    """A third of all rows in one window of one indicator."""
+    at = F.lit("2024-01-01 00:00:05").cast("timestamp_ntz")
+    spread = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 86400).cast("timestamp_ntz")
+    rows = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("i"), F.col("id") % 50)).alias("indicator"),
+        F.lit(2.0).alias("value"),
+        F.when(F.col("id") % 3 == 0, at).otherwise(spread).alias("event_time"),
+    )
+    got = window_stats(rows).filter("indicator = 'hot'").collect()
+    assert [r["cnt"] for r in got] == [30_000, 30_000]
+    assert {r["avg_value"] for r in got} == {2.0}

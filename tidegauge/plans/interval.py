@@ -11,15 +11,17 @@ Late rows count once the intervals they touch are run again.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.operators.decode import parse_events, with_event_time
 from tidegauge.operators.windows import seconds, span, window_stats
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
-from tidegauge.settings import WINDOW_SLIDE, WINDOW_WIDTH
+from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
+from tidegauge.sources.topic import read_topic_batch
 
 EVERY = "1 hour"
 SLOT = ["dt", "slot"]
@@ -111,6 +113,16 @@ def aggregate(
     _write(stats, f"{store}/stats", start, end, every)
 
 
+def topic_events(
+    spark: SparkSession, servers: str, topic: str, start: datetime, end: datetime,
+    lateness: str = LATENESS, **more,
+) -> DataFrame:
+    """Events the topic received from `start` until `lateness` after `end`: the source of a run for
+    that range. What came later still counts when the range is run again with a longer wait."""
+    messages = read_topic_batch(spark, servers, topic, start, end + span(lateness), **more)
+    return with_event_time(parse_events(messages))
+
+
 def run_interval(
     events: DataFrame, store: str, start: datetime, every: str = EVERY, **windows: str
 ) -> None:
@@ -134,7 +146,9 @@ def backfill(
     aggregate(events.sparkSession, store, start, end, every, **windows)
 
 
-def covering_range(events: DataFrame, every: str = EVERY, width: str = WINDOW_WIDTH):
+def covering_range(
+    events: DataFrame, every: str = EVERY, width: str = WINDOW_WIDTH
+) -> tuple[datetime, datetime]:
     """The interval edges around all events and all their windows, from one pass over the times."""
     low, high = events.agg(
         F.min("event_time").cast("timestamp_ntz"), F.max("event_time").cast("timestamp_ntz")
@@ -142,4 +156,4 @@ def covering_range(events: DataFrame, every: str = EVERY, width: str = WINDOW_WI
     epoch, step = datetime(1970, 1, 1), span(every)
     first = low - (low - epoch) % step
     last = high + span(width)
-    return first, last + (-(last - epoch) % step or timedelta(0))
+    return first, last + -(last - epoch) % step

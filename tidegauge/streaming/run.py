@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.operators.decode import parse_events, with_event_time
+from tidegauge.operators.decode import parse_events, parse_strict, split_bad, with_event_time
+from tidegauge.operators.positions import format_line
 from tidegauge.operators.windows import window_stats
 from tidegauge.settings import LATENESS, SINK, WINDOW_SLIDE, WINDOW_WIDTH
-from tidegauge.streaming.sinks import write_stream
+from tidegauge.streaming.sinks import BatchFn, process_then_commit, write_stream
 
 
 def message_stats(
@@ -26,6 +27,21 @@ def run_stream(messages: DataFrame, sink: str = SINK, **more) -> StreamingQuery:
     return write_stream(message_stats(messages), sink, **more)
 
 
+def consumed_lines(messages: DataFrame, strict: bool = False) -> DataFrame:
+    """A line per message. `strict` ends the job at a message that cannot be read or lacks its name
+    or value; otherwise such messages are left out, and `split_bad` shows them."""
+    where = ("partition", "offset")
+    events = parse_strict(messages, keep=where) if strict else split_bad(messages, keep=where)[0]
+    return format_line(events)
+
+
+def consume(
+    messages: DataFrame, fn: BatchFn, checkpoint: str, strict: bool = False, **more
+) -> StreamingQuery:
+    """Hands the lines of each micro-batch to `fn(lines, batch_id)`, then stores the position."""
+    return process_then_commit(consumed_lines(messages, strict), fn, checkpoint, **more)
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Waits for the end of a query; an error of the query is raised here."""
     query.awaitTermination()

@@ -61,10 +61,11 @@ def write_stream(
     elif sink == "parquet":
         if not path or not checkpoint:
             raise ValueError("the parquet sink needs a path and a checkpoint")
-        # Results of one indicator per trigger are few (one per closed window): bringing them
-        # together gives one file each instead of one per state partition.
+        # Bringing an indicator's results together gives one file of it per trigger instead of one
+        # per state partition. The date keeps a long catch-up of one indicator from ending up in
+        # one task: a task then holds at most a day's windows of it.
         writer = (
-            df.repartition("indicator")
+            df.repartition("indicator", F.to_date("start"))
             .writeStream.format("parquet")
             .outputMode("append")
             .option("path", path)
