@@ -150,3 +150,32 @@ def test_no_private_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(), "x")
+
+
+def test_hot_date_is_split(spark):
+    """A third of all rows on one date: several tasks write it, and no row is lost."""
+    conf = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "50KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)
+        millis = F.lit(1704067200000) + day * 86_400_000 + F.col("id") % 86_400_000
+        rows = spark.range(0, 300_000, 1, 8).select(
+            F.col("id").cast("string").alias("indicator"), F.lit("n").alias("name"),
+            F.rand(1).alias("value"), millis.alias("ts"), F.lit("s").alias("source"),
+            F.timestamp_millis(millis).alias("event_time"),
+        )
+        path = f"{scratch_dir(spark, 't')}/out"
+        write_raw(rows, path)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    files = {d: sum(f.endswith(".parquet") for f in os.listdir(f"{path}/{d}"))
+             for d in os.listdir(path) if d.startswith("dt=")}
+    assert files["dt=2024-01-01"] > 3
+    assert len(files) == 40
+    back = read_raw(spark, path)
+    assert back.count() == back.select("indicator").distinct().count() == 300_000

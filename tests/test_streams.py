@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge.operators.decode import parse_events, watch_quality, with_event_time
 from tidegauge.operators.encode import encode_event, to_event
 from tidegauge.operators.windows import window_stats
 from tidegauge.schema import STATS_SCHEMA
@@ -250,3 +251,34 @@ def test_processing_time_query_runs_until_stopped(spark):
     finally:
         query.stop()
     assert [r[0] for r in stored(spark, folder)] == ["00:00", "59:30"]
+
+
+def test_failed_batch_leaves_nothing_behind(spark):
+    """The second file breaks the job after the first is stored; the repaired job goes on."""
+    folder = scratch_dir(spark, "t")
+    put(spark, f"{folder}/in", 0, [("a", 1.0, DAY + "00:10"), ("a", 2.0, DAY + "05:00")])
+    put(spark, f"{folder}/in", 1, [("a", -1.0, DAY + "05:10"), ("a", 3.0, DAY + "09:00")])
+
+    def query(value):
+        ticks = replay_stream(spark, f"{folder}/in", TICKS, max_files=1).withColumn("value", value)
+        return write_stream(
+            window_stats(ticks), "parquet", f"{folder}/out", f"{folder}/ck", drain=True
+        )
+
+    breaks = F.when(F.col("value") < 0, F.raise_error(F.lit("bad reading")).cast("double"))
+    with pytest.raises(Exception, match="bad reading"):
+        finish(query(breaks.otherwise(F.col("value"))))
+    finish(query(F.abs("value")))
+    assert stored(spark, folder) == [
+        ("00:00", "a", 1.0, 1.0, 1), ("04:30", "a", 1.5, 2.0, 2), ("05:00", "a", 1.5, 2.0, 2),
+        ("59:30", "a", 1.0, 1.0, 1),
+    ]
+
+
+def test_quality_of_a_stream(spark):
+    folder = scratch_dir(spark, "t")
+    events = watch_quality(with_event_time(parse_events(messages(spark, folder))))
+    query = finish(process_then_commit(
+        events, replace_batch(f"{folder}/out"), f"{folder}/ck", drain=True))
+    counts = progress(query)[0]["observed"]["quality"]
+    assert counts.asDict() == {"rows": 3, "no_event_time": 1, "no_value": 1}

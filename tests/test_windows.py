@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidegauge.operators.windows import seconds, window_stats
+from tidegauge.operators.windows import pane_of, span, window_stats
 
 EPOCH = datetime(1970, 1, 1)
 TICKS = "indicator string, value double, event_time timestamp_ntz"
@@ -23,7 +23,8 @@ def rounded(x: Decimal) -> float:
 
 def brute(rows, width, slide):
     """Every window that holds a row, found by stepping through window starts."""
-    w, s = seconds(width) * 10**6, seconds(slide) * 10**6
+    micro = timedelta(microseconds=1)
+    w, s = span(width) // micro, span(slide) // micro
     groups = defaultdict(list)
     for indicator, value, at in rows:
         if at is None:
@@ -56,9 +57,18 @@ SHAPES = [
     ("50 seconds", "20 seconds"),
     ("1 hour", "5 minutes"),
     ("7 seconds", "3 seconds"),
+    ("1 minute 30 seconds", "500 milliseconds"),
 ]
 
 
+def test_intervals():
+    assert span("1 Hour 30 minutes") == timedelta(minutes=90)
+    assert pane_of("50 seconds", "20 seconds") == "10000000 microseconds"
+    for text in ("1 month", "minute", "", "1 second 2 seconds"):
+        with pytest.raises(ValueError):
+            span(text)
+
+
 @pytest.mark.parametrize("width, slide", SHAPES)
 def test_brute_force(spark, width, slide):
     dice = random.Random(7)

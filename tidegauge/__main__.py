@@ -9,14 +9,13 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame
-
-from tidegauge.plans.interval import EVERY, backfill, run_interval, topic_events
 from tidegauge.operators.windows import span
+from tidegauge.plans.interval import EVERY, backfill, run_interval, topic_events
 from tidegauge.session import get_session
 from tidegauge.settings import BROKERS, SINK, TOPIC
 from tidegauge.sources.topic import read_topic_stream
 from tidegauge.streaming.run import consume, finish, run_stream
+from tidegauge.streaming.sinks import replace_batch
 
 
 def arguments(argv: list[str] | None, env: dict[str, str]) -> argparse.Namespace:
@@ -38,8 +37,9 @@ def arguments(argv: list[str] | None, env: dict[str, str]) -> argparse.Namespace
     stream.add_argument("--max-offsets", type=int, help="bound of a micro-batch")
     stream.add_argument("--state-partitions", type=int)
 
-    lines = commands.add_parser("consume", parents=[shared], help="print messages, then commit")
-    lines.add_argument("--checkpoint", default=env.get("CHECKPOINT_PATH"), required=False)
+    lines = commands.add_parser("consume", parents=[shared], help="a line per message, then commit")
+    lines.add_argument("--path", default=env.get("OUTPUT_PATH"), help="folder of the lines")
+    lines.add_argument("--checkpoint", default=env.get("CHECKPOINT_PATH"))
     lines.add_argument("--strict", action="store_true")
     lines.add_argument("--drain", action="store_true")
 
@@ -50,13 +50,10 @@ def arguments(argv: list[str] | None, env: dict[str, str]) -> argparse.Namespace
         job.add_argument("--every", default=EVERY)
         if name == "backfill":
             job.add_argument("--end", type=datetime.fromisoformat, required=True)
-    return parser.parse_args(argv)
-
-
-def _show(batch: DataFrame, batch_id: int) -> None:
-    """Prints through one row iterator, so the driver holds a partition at a time at most."""
-    for row in batch.toLocalIterator():
-        print(row["line"])
+    args = parser.parse_args(argv)
+    if args.command == "consume" and not (args.path and args.checkpoint):
+        parser.error("consume needs --path and --checkpoint")
+    return args
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -75,7 +72,9 @@ def main(argv: list[str] | None = None) -> None:
                 drain=args.drain, shuffle_partitions=args.state_partitions,
             )
         else:
-            query = consume(messages, _show, args.checkpoint, args.strict, drain=args.drain)
+            query = consume(
+                messages, replace_batch(args.path), args.checkpoint, args.strict, drain=args.drain
+            )
         finish(query)
         return
     end = args.end if args.command == "backfill" else args.start + span(args.every)

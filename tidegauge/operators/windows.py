@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -11,18 +12,22 @@ from pyspark.sql import functions as F
 from tidegauge.functions.stats import merged_columns, partial_columns, stat_columns
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 
-# Seconds per unit.
-UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+UNITS = ("weeks", "days", "hours", "minutes", "seconds", "milliseconds", "microseconds")
 
 
-def seconds(interval: str) -> int:
-    """Length of an interval such as "30 seconds" or "1 hour"."""
-    number, unit = interval.split()
-    return int(number) * UNITS[unit.lower().rstrip("s")]
+def span(interval: str) -> timedelta:
+    """Length of an interval such as "30 seconds" or "1 hour 30 minutes"."""
+    parts = re.findall(r"(\d+)\s*([a-z]+)", interval.lower())
+    lengths = {unit.rstrip("s") + "s": int(number) for number, unit in parts}
+    if not lengths or not set(lengths) <= set(UNITS) or len(lengths) < len(parts):
+        raise ValueError(f"not an interval of fixed length: {interval!r}")
+    return timedelta(**lengths)
 
 
-def span(interval: str) -> timedelta:
-    return timedelta(seconds=seconds(interval))
+def pane_of(width: str, slide: str) -> str:
+    """The longest interval that divides both."""
+    micro = timedelta(microseconds=1)
+    return f"{math.gcd(span(width) // micro, span(slide) // micro)} microseconds"
 
 
 def finish_windows(df: DataFrame) -> DataFrame:
@@ -61,10 +66,13 @@ def _table_stats(df: DataFrame, width: str, slide: str, time: str) -> DataFrame:
     A pane is the longest stretch no window edge cuts, so each row is read, hashed and shuffled as
     part of one pane, and only finished panes, whose number does not grow with the rows, are copied.
     Both steps combine on the map side, so a hot indicator or window reaches a reducer as at most
-    one record per map task.
+    one record per map task. Windows that do not overlap need no second step.
     """
-    pane = f"{math.gcd(seconds(width), seconds(slide))} seconds"
-    rows = df.select(F.window(time, pane)["start"].alias("pane"), "indicator", "value")
+    if span(width) == span(slide):
+        window = F.window(time, width).alias("window")
+        return finish_windows(df.groupBy(window, "indicator").agg(*stat_columns()))
+    pane = F.window(time, pane_of(width, slide))["start"].alias("pane")
+    rows = df.select(pane, "indicator", "value")
     panes = rows.groupBy("pane", "indicator").agg(*partial_columns())
     window = F.window("pane", width, slide).alias("window")
     return finish_windows(panes.groupBy(window, "indicator").agg(*merged_columns()))

@@ -11,14 +11,14 @@ Late rows count once the intervals they touch are run again.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.operators.decode import parse_events, with_event_time
-from tidegauge.operators.windows import seconds, span, window_stats
+from tidegauge.operators.windows import span, window_stats
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.sources.topic import read_topic_batch
@@ -47,7 +47,7 @@ def _within(column: str, first: datetime, end: datetime) -> Column:
 
 
 def _check(start: datetime, end: datetime, every: str) -> None:
-    if 86400 % seconds(every):
+    if timedelta(days=1) % span(every):
         raise ValueError("an interval has to divide a day")
     for at in (start, end):
         if (at - datetime(1970, 1, 1)) % span(every):

@@ -73,6 +73,8 @@ ORACLES: dict[str, str] = {
                     WHEN value < 2
                     THEN replace(body, '"value":' || value || ',', '"value":"none",') END AS raw
         FROM (SELECT *, {FULL_TEXT} AS body FROM events)""",
+    "strict_events": f"""
+        SELECT event_id AS "offset", {NAME} AS name, value, {MILLIS} AS ts FROM events""",
     "response_explode": f"{RESPONSE} FROM events",
     "response_page": f"""{RESPONSE} FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type, event_id // 500 ORDER BY event_id)

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from tidegauge.operators.decode import (
     drop_no_event_time,
     parse_events,
-    split_bad,
+    parse_strict,
+    tag_bad,
     with_event_time,
 )
 from tidegauge.operators.encode import encode_event, to_event
@@ -50,7 +51,7 @@ from tidegauge.plans.interval import (
     read_landed,
     run_interval,
 )
-from tidegauge.schema import STATS_SCHEMA
+from tidegauge.schema import CORRUPT, STATS_SCHEMA
 from tidegauge.session import scratch_dir
 from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
@@ -146,21 +147,31 @@ def null_time_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages cut short, or with a reading that is no number, apart from the good ones."""
+    """Messages cut short, or with a reading that is no number, told from the good ones in one
+    pass; their text is kept."""
     text, reading = F.col("value"), F.col("reading")
     damage = (
         F.when(reading >= 100, F.expr("left(value, length(value) - 10)"))
         .when(reading < 2, F.regexp_replace(text, '"value":[0-9.]+', '"value":"none"'))
         .otherwise(text)
     )
-    good, bad = split_bad(messages(events(spark, sf_dir), damage), keep=("offset",))
-    return good.select(
-        F.lit("good").alias("verdict"), "offset", "indicator", "value", F.lit(None).cast("string").alias("raw")
-    ).unionByName(
-        bad.select(F.lit("bad").alias("verdict"), "offset", "raw"), allowMissingColumns=True
+    tagged = tag_bad(messages(events(spark, sf_dir), damage), keep=("offset",))
+    fine = F.col(CORRUPT).isNull()
+    return tagged.select(
+        F.when(fine, "good").otherwise("bad").alias("verdict"),
+        "offset",
+        F.when(fine, F.col("indicator")).alias("indicator"),
+        F.when(fine, F.col("value")).alias("value"),
+        F.col(CORRUPT).alias("raw"),
     )
 
 
+def strict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is whole, so the strict reading ends well and gives them all."""
+    topic = messages(events(spark, sf_dir))
+    return parse_strict(topic, keep=("offset",)).select("offset", "name", "value", "ts")
+
+
 # --- API responses, series, providers, names --------------------------------------------------
 
 
@@ -394,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "envelope_build": envelope_build,
     "null_time_drop": null_time_drop,
     "json_quarantine": json_quarantine,
+    "strict_events": strict_events,
     "response_explode": response_explode,
     "response_page": response_page,
     "series_select": series_select,

@@ -50,10 +50,10 @@ def write_stream(
 ) -> StreamingQuery:
     """Window results to a sink by name.
 
-    "console" shows every changed window of each micro-batch, untruncated. "parquet" appends each
-    window once, when the watermark has passed its end, to a folder partitioned by indicator; the
-    `path` may be of any file system Spark knows. Its commit log and the checkpoint make a restart
-    neither lose nor repeat a window. Both paths are to outlive the job.
+    "console" shows changed windows of each micro-batch (its first rows), untruncated. "parquet"
+    appends each window once, when the watermark has passed its end, to a folder partitioned by
+    indicator; the `path` may be of any file system Spark knows. Its commit log and the checkpoint
+    make a restart neither lose nor repeat a window. Both paths are to outlive the job.
     """
     if sink == "console":
         writer = df.writeStream.format("console").outputMode("update").option("truncate", "false")
@@ -137,7 +137,8 @@ def write_raw(
 
     A table is rebalanced by date first: one file set per date, and a date that holds much of the
     data is split over several tasks. Turn it off for input already in time order, which needs no
-    shuffle. A stream is written as it comes, since it arrives about in time order.
+    shuffle. A table is appended each time it is written; `plans.interval` has runs that replace. A
+    stream is written as it comes, since it arrives about in time order, and each file once.
     """
     dated = df.withColumn("dt", F.to_date("event_time"))
     if not df.isStreaming:
