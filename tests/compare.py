@@ -28,10 +28,22 @@ def spark_rows(df):
     return rows_of(df.columns, [tuple(r) for r in df.collect()])
 
 
+# Names of the same type in both engines.
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def spark_types(df):
+    return {f.name: SAME_TYPE[f.dataType.simpleString()] for f in df.schema}
+
+
 def sql_rows(sf_dir, sql):
     with duckdb.connect() as con:
         for t in TABLES:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
         cur = con.execute(sql)
         names = [d[0] for d in cur.description]
-        return names, rows_of(names, cur.fetchall())
+        types = {d[0]: str(d[1]) for d in cur.description}
+        return types, rows_of(names, cur.fetchall())

@@ -1,7 +1,7 @@
 """Every registered query against its SQL, on whole tables."""
 
 import pytest
-from compare import spark_rows, sql_rows
+from compare import spark_rows, spark_types, sql_rows
 
 import __spark_entry__ as entry_point
 
@@ -19,8 +19,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("key", entry_point.queries())
 def test_same_rows(spark, sf_dir, key):
     df = entry_point.queries()[key](spark, sf_dir)
-    names, expected = sql_rows(sf_dir, entry_point.oracle_sql()[key])
-    assert sorted(df.columns) == sorted(names)
+    types, expected = sql_rows(sf_dir, entry_point.oracle_sql()[key])
+    assert spark_types(df) == types
     got = spark_rows(df)
     assert got == expected, (list((got - expected).items())[:3], list((expected - got).items())[:3])
 

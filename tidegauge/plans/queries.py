@@ -51,7 +51,7 @@ from tidegauge.plans.interval import (
     read_landed,
     run_interval,
 )
-from tidegauge.schema import CORRUPT, STATS_SCHEMA
+from tidegauge.schema import CORRUPT, READING_SCHEMA, STATS_SCHEMA
 from tidegauge.session import scratch_dir
 from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
@@ -142,7 +142,7 @@ def null_time_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     topic = messages(events(spark, sf_dir), damage)
-    timed = drop_no_event_time(with_event_time(parse_events(topic)))
+    timed = drop_no_event_time(with_event_time(parse_events(topic, READING_SCHEMA)))
     return without_zone(window_stats(timed, "1 hour", "30 minutes"))
 
 

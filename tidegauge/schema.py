@@ -13,6 +13,11 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# What the statistics need: fields nobody reads are not worth converting.
+READING_SCHEMA = T.StructType(
+    [f for f in EVENT_SCHEMA.fields if f.name in ("indicator", "value", "ts")]
+)
+
 CORRUPT = "_corrupt_record"
 
 # Result columns, in this order.

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.operators.decode import parse_events, parse_strict, split_bad, with_event_time
 from tidegauge.operators.positions import format_line
 from tidegauge.operators.windows import window_stats
+from tidegauge.schema import READING_SCHEMA
 from tidegauge.settings import LATENESS, SINK, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.streaming.sinks import BatchFn, process_then_commit, write_stream
 
@@ -19,7 +20,8 @@ def message_stats(
     lateness: str = LATENESS,
 ) -> DataFrame:
     """From topic rows to window results, for a table or a stream of messages."""
-    return window_stats(with_event_time(parse_events(messages)), width, slide, lateness)
+    readings = parse_events(messages, READING_SCHEMA)
+    return window_stats(with_event_time(readings), width, slide, lateness)
 
 
 def run_stream(messages: DataFrame, sink: str = SINK, **more) -> StreamingQuery:
