@@ -129,3 +129,12 @@ def test_source_of_a_run(monkeypatch):
     assert told["options"]["startingTimestamp"] == "1704103200000"
     assert told["options"]["endingTimestamp"] == str(1704103200000 + 3_600_000 + 120_000)
     assert told["options"]["minPartitions"] == "9"
+
+
+def test_other_zones_are_refused(spark, three_hours):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        with pytest.raises(ValueError, match="has to be UTC"):
+            run_interval(three_hours, scratch_dir(spark, "t"), START)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

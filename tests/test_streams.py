@@ -1,6 +1,7 @@
 """Streams played back from staged files: late rows, output modes, restarts, triggers."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -91,6 +92,47 @@ def test_late_rows_per_window(spark):
     assert all(r["millis"] > 0 for r in report)
 
 
+def simulated(batches):
+    """What append mode stores, window by window, from the two watermarks of a micro-batch: rows are
+    dropped by the older one, windows are closed by the newer one."""
+    minute, half, lateness = timedelta(minutes=1), timedelta(seconds=30), timedelta(minutes=2)
+    epoch = latest = datetime(1970, 1, 1)
+    late = close = epoch
+    state, out = {}, []
+    for batch in [*batches, []]:
+        for indicator, value, at in batch:
+            start = at - (at - epoch) % half
+            for begin in (start, start - half):
+                if begin + minute > late:
+                    state.setdefault((begin, indicator), []).append(value)
+        for key in [k for k in state if k[0] + minute <= close]:
+            values = state.pop(key)
+            out.append((key[0], key[1], max(values), len(values)))
+        latest = max([latest, *(r[2] for r in batch)])
+        late, close = close, max(close, latest - lateness)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shuffled_arrival(spark, seed):
+    """Rows up to eight minutes out of order, over six micro-batches."""
+    dice = random.Random(seed)
+    folder = scratch_dir(spark, "t")
+    batches = []
+    for i in range(6):
+        late = [dice.randint(0, 480) for _ in range(25)]
+        batches.append([
+            (dice.choice("ab"), float(dice.randint(1, 99)),
+             datetime(2024, 1, 1, 1) + timedelta(seconds=150 * i - s)) for s in late
+        ])
+        put(spark, f"{folder}/in", i, [(k, v, str(at)) for k, v, at in batches[-1]])
+    query = drain(spark, folder)
+    assert sum(r["late_groups"] for r in progress(query)) > 0
+    got = read_stats(spark, f"{folder}/out").select(
+        F.col("start").cast("timestamp_ntz"), "indicator", "max_value", "cnt")
+    assert sorted(tuple(r) for r in got.collect()) == simulated(batches)
+
+
 def test_restart_goes_on(spark):
     folder = scratch_dir(spark, "t")
     put(spark, f"{folder}/in", 0, [("a", 1.0, DAY + "00:10"), ("b", 1.0, DAY + "05:20")])

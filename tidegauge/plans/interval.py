@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tidegauge.operators.decode import parse_events, with_event_time
 from tidegauge.operators.windows import span, window_stats
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
+from tidegauge.session import require_utc
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.sources.topic import read_topic_batch
 
@@ -46,7 +47,8 @@ def _within(column: str, first: datetime, end: datetime) -> Column:
     return (F.col(column) >= _moment(first)) & (F.col(column) < _moment(end))
 
 
-def _check(start: datetime, end: datetime, every: str) -> None:
+def _check(spark: SparkSession, start: datetime, end: datetime, every: str) -> None:
+    require_utc(spark)
     if timedelta(days=1) % span(every):
         raise ValueError("an interval has to divide a day")
     for at in (start, end):
@@ -84,7 +86,7 @@ def read_interval_stats(spark: SparkSession, store: str) -> DataFrame:
 
 def ingest(events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY) -> None:
     """Lands the events of [start, end)."""
-    _check(start, end, every)
+    _check(events.sparkSession, start, end, every)
     rows = events.filter(_within("event_time", start, end)).select(
         *RAW_SCHEMA.fieldNames(), *_slot_of(F.col("event_time"), every)
     )
@@ -101,7 +103,7 @@ def aggregate(
     slide: str = WINDOW_SLIDE,
 ) -> None:
     """Stores the windows that end in (start, end], from landed rows."""
-    _check(start, end, every)
+    _check(spark, start, end, every)
     first = start - span(width)
     rows = read_landed(spark, store).filter(_days(first, end) & _within("event_time", first, end))
     closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(end))

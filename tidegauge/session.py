@@ -28,6 +28,13 @@ def get_session(app: str = "tidegauge", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Date folders written in one zone and read in another would hold other days."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone has to be UTC, not {zone}")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared `spark.checkpoint.dir`.
 

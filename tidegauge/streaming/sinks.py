@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
-from tidegauge.session import stream_options
+from tidegauge.session import require_utc, stream_options
 from tidegauge.settings import BROKERS, CONSOLE_TRIGGER, PARQUET_TRIGGER, SINK, TOPIC
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -140,6 +140,7 @@ def write_raw(
     shuffle. A table is appended each time it is written; `plans.interval` has runs that replace. A
     stream is written as it comes, since it arrives about in time order, and each file once.
     """
+    require_utc(df.sparkSession)
     dated = df.withColumn("dt", F.to_date("event_time"))
     if not df.isStreaming:
         rows = dated.hint("rebalance", "dt") if rebalance else dated
