@@ -91,6 +91,19 @@ def test_a_run_replaces_by_nothing(spark, three_hours):
     assert read_interval_stats(spark, store).filter("end <= '2024-01-01 11:00'").count() == 0
 
 
+def test_a_backfill_replaces_by_nothing(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    backfill(three_hours, store, START - HOUR, START + 4 * HOUR)
+    # The hour after 11:00 is gone from the source; the run does not reach the hour after 12:00.
+    left = three_hours.filter("hour(event_time) <> 11")
+    backfill(left.filter("hour(event_time) < 12"), store, START, START + 2 * HOUR)
+    assert content(read_landed(spark, store)) == content(left)
+    run_interval(left, store, START + 2 * HOUR)
+    assert content(read_interval_stats(spark, store)) == content(window_stats(left))
+    backfill(left.filter("false"), store, START - HOUR, START + 4 * HOUR)
+    assert read_landed(spark, store).count() == read_interval_stats(spark, store).count() == 0
+
+
 def test_failed_landing_keeps_the_aggregate_from_running(spark, three_hours):
     store = scratch_dir(spark, "t")
     broken = three_hours.withColumn("name", F.raise_error(F.lit("source gone")).cast("string"))

@@ -11,8 +11,9 @@ Late rows count once the intervals they touch are run again.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ from tidegauge.sources.topic import read_topic_batch
 EVERY = "1 hour"
 SLOT = ["dt", "slot"]
 SLOT_TYPES = {"dt": T.DateType(), "slot": T.StringType()}
+SLOT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in SLOT_TYPES.items()])
 
 
 def _slot_of(at: Column, every: str) -> list[Column]:
@@ -58,13 +60,36 @@ def _check(spark: SparkSession, start: datetime, end: datetime, every: str) -> N
         raise ValueError("the range is empty")
 
 
+def _folder(path: str, dt: date, slot: str) -> str:
+    return f"{path}/dt={dt:%Y-%m-%d}/slot={slot}"
+
+
+def _replace_folder(rows: DataFrame, folder: str) -> None:
+    rows.drop(*SLOT).write.mode("overwrite").parquet(folder)
+
+
+def _files_held(spark: SparkSession, path: str, start: datetime, end: datetime) -> dict:
+    """One file of each interval of the range that has rows in the table. Reads no column, and
+    returns at most one entry per interval."""
+    try:
+        table = spark.read.schema(SLOT_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    files = table.filter(_days(start, end)).groupBy(*SLOT).agg(F.min("_metadata.file_path"))
+    first, last = (start.date(), f"{start:%H-%M}"), (end.date(), f"{end:%H-%M}")
+    held = {(dt, slot): file for dt, slot, file in files.toLocalIterator()}
+    return {key: file for key, file in held.items() if first <= key < last}
+
+
 def _write(rows: DataFrame, path: str, start: datetime, end: datetime, every: str) -> None:
     """Replaces what the table holds for the range."""
     if end - start == span(every):
-        # One interval, one folder: replaced even by nothing.
-        folder = f"{path}/dt={start:%Y-%m-%d}/slot={start:%H-%M}"
-        rows.drop(*SLOT).write.mode("overwrite").parquet(folder)
+        _replace_folder(rows, _folder(path, start.date(), f"{start:%H-%M}"))
         return
+    spark = rows.sparkSession
+    before = _files_held(spark, path, start, end)
     # Many intervals in one job. `rebalance` makes few files per folder and splits a hot interval.
     (
         rows.hint("rebalance", *SLOT)
@@ -73,6 +98,12 @@ def _write(rows: DataFrame, path: str, start: datetime, end: datetime, every: st
         .partitionBy(*SLOT)
         .parquet(path)
     )
+    # The job replaced the folders it had rows for. One that still holds its old file has lost all
+    # its rows at the source: rare, and never on a first run.
+    if before:
+        for key, file in _files_held(spark, path, start, end).items():
+            if before.get(key) == file:
+                _replace_folder(rows.limit(0), _folder(path, *key))
 
 
 def read_landed(spark: SparkSession, store: str) -> DataFrame:
@@ -139,11 +170,8 @@ def backfill(
     events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
     **windows: str,
 ) -> None:
-    """All intervals of [start, end) at once: two jobs, not two per interval.
-
-    Replaces every interval it has rows for. An interval whose events are gone from the source
-    keeps its old rows; `run_interval` on it clears them.
-    """
+    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all, also
+    by nothing."""
     ingest(events, store, start, end, every)
     aggregate(events.sparkSession, store, start, end, every, **windows)
 
