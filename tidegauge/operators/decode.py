@@ -8,6 +8,9 @@ the generator's own output.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -42,8 +45,12 @@ def drop_no_event_time(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_time").isNotNull())
 
 
-def tag_bad(df: DataFrame, schema: StructType = EVENT_SCHEMA, body: str = "value",
-            keep: tuple[str, ...] = ()) -> DataFrame:
+def tag_bad(
+    df: DataFrame,
+    schema: StructType = EVENT_SCHEMA,
+    body: str = "value",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Parsed events plus `_corrupt_record`: the message text where it, or one of its fields, could
     not be read, else NULL. One pass; write it partitioned by a verdict to keep both kinds."""
     # Naming the column also stops Catalyst from parsing single fields only, which would overlook
@@ -57,8 +64,12 @@ def tag_bad(df: DataFrame, schema: StructType = EVENT_SCHEMA, body: str = "value
     )
 
 
-def split_bad(df: DataFrame, schema: StructType = EVENT_SCHEMA, body: str = "value",
-              keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def split_bad(
+    df: DataFrame,
+    schema: StructType = EVENT_SCHEMA,
+    body: str = "value",
+    keep: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
     """(good events, bad messages as `raw` text). A message without text is neither."""
     tagged = tag_bad(df, schema, body, keep)
     good = tagged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -66,28 +77,27 @@ def split_bad(df: DataFrame, schema: StructType = EVENT_SCHEMA, body: str = "val
     return good, bad
 
 
-def parse_strict(df: DataFrame, schema: StructType = EVENT_SCHEMA, body: str = "value",
-                 required: tuple[str, ...] = ("name", "value"),
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_strict(
+    df: DataFrame,
+    schema: StructType = EVENT_SCHEMA,
+    body: str = "value",
+    required: tuple[str, ...] = ("name", "value"),
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """As `parse_events`, but an unreadable message, or one that lacks a required field, ends the
     job before its progress is stored. A field sent as null is present."""
-    text = F.col(body).cast("string")
+    text = df.withColumn("__text", F.col(body).cast("string"))
+    events = parse_events(text, schema, "__text", (*keep, "__text"), {"mode": "FAILFAST"})
     # Field names are read a second time only where a required field came out NULL.
+    present = F.json_object_keys("__text")
     lacks = [
-        F.col(f).isNull() & ~F.coalesce(F.array_contains(F.json_object_keys("__text"), f), F.lit(False))
+        F.col(f).isNull() & ~F.coalesce(F.array_contains(present, f), F.lit(False))
         for f in required
     ]
-    missing = lacks[0]
-    for condition in lacks[1:]:
-        missing |= condition
-    complaint = F.raise_error(F.concat(F.lit("message lacks a required field: "), F.col("__text")))
-    return (
-        parse_events(df.withColumn("__text", text), schema, "__text", (*keep, "__text"),
-                     {"mode": "FAILFAST"})
-        # A filter, not a column: a projection that nobody reads would be pruned with its check.
-        .filter(F.when(missing, complaint.cast("boolean")).otherwise(F.lit(True)))
-        .drop("__text")
-    )
+    complaint = F.raise_error(F.concat(F.lit("message lacks a required field: "), "__text"))
+    sound = F.when(reduce(or_, lacks, F.lit(False)), complaint.cast("boolean")).otherwise(True)
+    # A filter, not a column: a projection that nobody reads would be pruned with its check.
+    return events.filter(sound).drop("__text")
 
 
 def watch_quality(df: DataFrame, name: str = "quality") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.encode import encode_event, to_event
+from tidegauge.session import fit
 from tidegauge.sources.replay import replay_stream
 
 EVENTS = (
@@ -24,8 +25,7 @@ SERIES_ROW = "event_id bigint, time string, item_code string, data_value double"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return fit(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def events_glob(sf_dir: str) -> str:

@@ -115,7 +115,9 @@ def read_interval_stats(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.schema(with_fields(STATS_SCHEMA, **SLOT_TYPES)).parquet(f"{store}/stats")
 
 
-def ingest(events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY) -> None:
+def ingest(
+    events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY
+) -> None:
     """Lands the events of [start, end)."""
     _check(events.sparkSession, start, end, every)
     rows = events.filter(_within("event_time", start, end)).select(
@@ -170,8 +172,8 @@ def backfill(
     events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
     **windows: str,
 ) -> None:
-    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all, also
-    by nothing."""
+    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all,
+    also by nothing."""
     ingest(events, store, start, end, every)
     aggregate(events.sparkSession, store, start, end, every, **windows)
 

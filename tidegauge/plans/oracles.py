@@ -95,8 +95,9 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "catalogue_join": """
         SELECT event_type AS indicator, event_id, value, c.name
-        FROM events LEFT JOIN (VALUES ('click', '클릭'), ('view', '조회'), ('purchase', '구매'),
-                                      ('signup', '가입')) AS c(code, name) ON event_type = c.code""",
+        FROM events
+        LEFT JOIN (VALUES ('click', '클릭'), ('view', '조회'), ('purchase', '구매'),
+                          ('signup', '가입')) AS c(code, name) ON event_type = c.code""",
     "consumer_lines": LINES,
     "commit_progress": f"""
         SELECT 'econ-consumer-1' AS "group", 'readings' AS topic,

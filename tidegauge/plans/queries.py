@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,7 +112,8 @@ def sliding_agg_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_value_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings under 5 are unknown: skipped by mean and maximum, still counted."""
     known = F.when(F.col("value") >= 5, F.col("value"))
-    return window_stats(ticks(events(spark, sf_dir)).withColumn("value", known), "1 hour", "30 minutes")
+    rows = ticks(events(spark, sf_dir)).withColumn("value", known)
+    return window_stats(rows, "1 hour", "30 minutes")
 
 
 # --- messages ---------------------------------------------------------------------------------
@@ -207,12 +209,14 @@ def provider_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalogue_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names from a catalogue that lacks one indicator."""
-    listed = catalogue(
-        spark,
-        [("click", "클릭", 1.0), ("view", "조회", 2.0), ("purchase", "구매", 3.0), ("signup", "가입", 4.0)],
-    )
+    entries = [
+        ("click", "클릭", 1.0),
+        ("view", "조회", 2.0),
+        ("purchase", "구매", 3.0),
+        ("signup", "가입", 4.0),
+    ]
     ev = events(spark, sf_dir).select("event_id", F.col("event_type").alias("indicator"), "value")
-    return attach_name(ev, listed)
+    return attach_name(ev, catalogue(spark, entries))
 
 
 # --- log positions ----------------------------------------------------------------------------
@@ -375,23 +379,25 @@ def interval_ingest_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = start + (end - start) // 3
     third = third.replace(hour=0, minute=0, second=0, microsecond=0)
     last = end - timedelta(days=1)
-    run_backfill(rows, store, start, third, DAY)
-    run_backfill(rows, store, third, last, DAY)
+    for first, until in pairwise(sorted({start, third, last})):
+        run_backfill(rows, store, first, until, DAY)
     run_interval(rows, store, last, DAY)
     run_interval(rows, store, last, DAY)
     return without_zone(read_interval_stats(spark, store).drop("dt", "slot"))
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole range, then its first third again: rows and windows per day are as after one run."""
+    """The whole range, then its first third again: rows and windows per day as after one run."""
     rows = landed_events(events(spark, sf_dir))
     store = scratch_dir(spark, "backfill")
     start, end = covering_range(rows, DAY)
     run_backfill(rows, store, start, end, DAY)
     run_backfill(rows, store, start, start + timedelta(days=max(2, (end - start).days // 3)), DAY)
     one, none = F.lit(1), F.lit(0)
-    landed = read_landed(spark, store).select("dt", one.alias("event"), none.alias("window"))
-    stored = read_interval_stats(spark, store).select("dt", none.alias("event"), one.alias("window"))
+    landed = read_landed(spark, store)
+    landed = landed.select("dt", one.alias("event"), none.alias("window"))
+    stored = read_interval_stats(spark, store)
+    stored = stored.select("dt", none.alias("event"), one.alias("window"))
     return landed.unionByName(stored).groupBy("dt").agg(
         F.sum("event").alias("events"), F.sum("window").alias("windows")
     )

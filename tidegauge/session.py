@@ -10,22 +10,31 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+TASKS_PER_CORE = 4
 
 
 def get_session(app: str = "tidegauge", **conf: str) -> SparkSession:
-    """A session with the settings the library counts on; `conf` keys use `__` for dots.
+    """A session with the settings the library counts on; `conf` keys use `__` for dots."""
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
+    return fit(builder.getOrCreate())
+
+
+def fit(spark: SparkSession) -> SparkSession:
+    """Settings of a session, whoever made it.
 
     Dates of partitions and texts of timestamps follow the session's zone, so it is fixed to UTC.
+    A shuffle starts with several partitions per core of the cluster, and adaptive execution joins
+    those that turn out small: a fixed number made for small data would leave each of thousands of
+    cores idle or out of memory.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-    )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    cores = spark.sparkContext.defaultParallelism
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * cores)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return spark
 
 
 def require_utc(spark: SparkSession) -> None:

@@ -181,7 +181,7 @@ def process_then_commit(
 
 
 def replace_batch(path: str) -> BatchFn:
-    """A `fn` for `process_then_commit`: each batch to its own folder, replaced if it comes again."""
+    """A `fn` for `process_then_commit`: a folder per batch, replaced if the batch comes again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
