@@ -1,4 +1,5 @@
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -59,6 +60,29 @@ def test_one_message(spark, text, fields, faulty):
     assert [tuple(r) for r in good.collect()] == ([] if faulty else [(0, *fields)])
 
 
+def test_damaged_at_random(spark):
+    """The parse inside a generator reads what a plain projection of the parse reads."""
+    dice = random.Random(3)
+    texts = []
+    for _ in range(400):
+        text = list(GOOD)
+        for _ in range(dice.randint(1, 3)):
+            at = dice.randrange(len(text))
+            text[at : at + dice.randint(0, 4)] = dice.choice(["", '"', "{", "}", ",", ":", "0", "null", "\\"])
+        texts.append("".join(text))
+    df = topic(spark, *texts)
+    plain = df.select("offset", F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("e"))
+    plain = {r["offset"]: tuple(r["e"]) if r["e"] else NOTHING for r in plain.collect()}
+    assert {r[0]: tuple(r)[1:] for r in parse_events(df, keep=("offset",)).collect()} == plain
+    good, bad = split_bad(df, keep=("offset",))
+    sound = {r[0]: tuple(r)[1:] for r in good.collect()}
+    broken = {r["offset"]: r["raw"] for r in bad.collect()}
+    assert sound.keys() | broken.keys() == plain.keys() and not sound.keys() & broken.keys()
+    assert all(plain[i] == fields for i, fields in sound.items())
+    assert all(texts[i] == raw for i, raw in broken.items())
+    assert sound and broken
+
+
 def test_no_message_text_at_all(spark):
     df = spark.createDataFrame([(None,)], "value binary")
     assert [tuple(r) for r in parse_events(df).collect()] == [NOTHING]

@@ -126,13 +126,32 @@ def test_wide_windows_reach_back(spark, three_hours):
 @pytest.mark.parametrize(
     "start, end, every",
     [(START, START, "1 hour"), (START + timedelta(minutes=1), START + HOUR, "1 hour"),
-     (START, START + 7 * HOUR, "7 hours")],
+     (START, START + 7 * HOUR, "7 hours"), (START, START + HOUR, "30 seconds")],
 )
 def test_ranges_must_fit(spark, three_hours, start, end, every):
     with pytest.raises(ValueError):
         backfill(three_hours, scratch_dir(spark, "t"), start, end, every)
 
 
+def test_only_needed_folders_are_read(spark, three_hours):
+    from tidegauge.plans.interval import _slots
+
+    store = scratch_dir(spark, "t")
+    backfill(three_hours, store, START - 12 * HOUR, START + 24 * HOUR)
+
+    def read(first, end):
+        chosen = read_landed(spark, store).filter(_slots(first, end, "1 hour"))
+        assert "PartitionFilters: [((dt" in chosen._jdf.queryExecution().executedPlan().toString()
+        return sorted({r["slot"] for r in chosen.select("slot").distinct().collect()})
+
+    minute = timedelta(minutes=1)
+    assert read(START + HOUR, START + 2 * HOUR) == ["11-00"]
+    assert read(START + HOUR - minute, START + 2 * HOUR) == ["10-00", "11-00"]
+    assert read(START, START + 14 * HOUR) == ["10-00", "11-00", "12-00"]
+    assert read(START + 2 * HOUR + minute, START + 24 * HOUR) == ["12-00"]
+    assert read(START - 24 * HOUR, START) == []
+
+
 def test_source_of_a_run(monkeypatch):
     from tidegauge.plans import interval
 

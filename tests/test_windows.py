@@ -11,7 +11,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidegauge.operators.windows import pane_of, span, window_stats
+from tidegauge.functions.stats import stat_columns
+from tidegauge.operators.windows import finish_windows, pane_of, span, window_stats
+from tidegauge.plans.feeds import events, ticks
 
 EPOCH = datetime(1970, 1, 1)
 TICKS = "indicator string, value double, event_time timestamp_ntz"
@@ -144,6 +146,16 @@ def test_zoned_time_gives_the_same_moments(spark):
     assert micros == {first - 30, first}
 
 
+@pytest.mark.parametrize("width, slide", [*SHAPES[:4], ("1 day", "6 hours")])
+def test_two_steps_equal_one(spark, sf_dir, width, slide):
+    """Panes against the plain sliding form, on the whole table."""
+    rows = ticks(events(spark, sf_dir))
+    window = F.window("event_time", width, slide).alias("window")
+    plain = finish_windows(rows.groupBy(window, "indicator").agg(*stat_columns()))
+    got = window_stats(rows, width, slide)
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+
+
 def test_hot_indicator(spark):
     """A third of all rows in one window of one indicator."""
     at = F.lit("2024-01-01 00:00:05").cast("timestamp_ntz")

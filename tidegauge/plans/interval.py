@@ -25,6 +25,7 @@ from tidegauge.session import require_utc
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.sources.topic import read_topic_batch
 
+EPOCH = datetime(1970, 1, 1)
 EVERY = "1 hour"
 SLOT = ["dt", "slot"]
 SLOT_TYPES = {"dt": T.DateType(), "slot": T.StringType()}
@@ -36,9 +37,17 @@ def _slot_of(at: Column, every: str) -> list[Column]:
     return [F.to_date(begin).alias("dt"), F.date_format(begin, "HH-mm").alias("slot")]
 
 
-def _days(first: datetime, end: datetime) -> Column:
-    """The dates that hold moments of [first, end): what prunes the folders to read."""
-    return F.col("dt").between(F.lit(first.date()), F.lit(end.date()))
+def _slot_name(at: datetime) -> str:
+    return f"{at:%H-%M}"
+
+
+def _slots(first: datetime, end: datetime, every: str) -> Column:
+    """The intervals that hold moments of [first, end): folders outside are not even listed."""
+    first -= (first - EPOCH) % span(every)
+    dt, slot = (F.col(c) for c in SLOT)
+    from_first = (dt > first.date()) | ((dt == first.date()) & (slot >= _slot_name(first)))
+    to_end = (dt < end.date()) | ((dt == end.date()) & (slot < _slot_name(end)))
+    return from_first & to_end
 
 
 def _moment(at: datetime) -> Column:
@@ -51,10 +60,10 @@ def _within(column: str, first: datetime, end: datetime) -> Column:
 
 def _check(spark: SparkSession, start: datetime, end: datetime, every: str) -> None:
     require_utc(spark)
-    if timedelta(days=1) % span(every):
-        raise ValueError("an interval has to divide a day")
+    if timedelta(days=1) % span(every) or span(every) % timedelta(minutes=1):
+        raise ValueError("an interval has to be whole minutes, and to divide a day")
     for at in (start, end):
-        if (at - datetime(1970, 1, 1)) % span(every):
+        if (at - EPOCH) % span(every):
             raise ValueError(f"{at} is no edge of an interval of {every}")
     if end <= start:
         raise ValueError("the range is empty")
@@ -68,8 +77,8 @@ def _replace_folder(rows: DataFrame, folder: str) -> None:
     rows.drop(*SLOT).write.mode("overwrite").parquet(folder)
 
 
-def _files_held(spark: SparkSession, path: str, start: datetime, end: datetime) -> dict:
-    """One file of each interval of the range that has rows in the table. Reads no column, and
+def _files_held(spark: SparkSession, path: str, inside: Column) -> dict:
+    """One file of each interval `inside` the range that has rows in the table. Reads no column, and
     returns at most one entry per interval."""
     try:
         table = spark.read.schema(SLOT_SCHEMA).parquet(path)
@@ -77,19 +86,17 @@ def _files_held(spark: SparkSession, path: str, start: datetime, end: datetime)
         if error.getCondition() == "PATH_NOT_FOUND":
             return {}
         raise
-    files = table.filter(_days(start, end)).groupBy(*SLOT).agg(F.min("_metadata.file_path"))
-    first, last = (start.date(), f"{start:%H-%M}"), (end.date(), f"{end:%H-%M}")
-    held = {(dt, slot): file for dt, slot, file in files.toLocalIterator()}
-    return {key: file for key, file in held.items() if first <= key < last}
+    files = table.filter(inside).groupBy(*SLOT).agg(F.min("_metadata.file_path"))
+    return {(dt, slot): file for dt, slot, file in files.toLocalIterator()}
 
 
 def _write(rows: DataFrame, path: str, start: datetime, end: datetime, every: str) -> None:
     """Replaces what the table holds for the range."""
     if end - start == span(every):
-        _replace_folder(rows, _folder(path, start.date(), f"{start:%H-%M}"))
+        _replace_folder(rows, _folder(path, start.date(), _slot_name(start)))
         return
-    spark = rows.sparkSession
-    before = _files_held(spark, path, start, end)
+    spark, inside = rows.sparkSession, _slots(start, end, every)
+    before = _files_held(spark, path, inside)
     # Many intervals in one job. `rebalance` makes few files per folder and splits a hot interval.
     (
         rows.hint("rebalance", *SLOT)
@@ -101,7 +108,7 @@ def _write(rows: DataFrame, path: str, start: datetime, end: datetime, every: st
     # The job replaced the folders it had rows for. One that still holds its old file has lost all
     # its rows at the source: rare, and never on a first run.
     if before:
-        for key, file in _files_held(spark, path, start, end).items():
+        for key, file in _files_held(spark, path, inside).items():
             if before.get(key) == file:
                 _replace_folder(rows.limit(0), _folder(path, *key))
 
@@ -138,7 +145,8 @@ def aggregate(
     """Stores the windows that end in (start, end], from landed rows."""
     _check(spark, start, end, every)
     first = start - span(width)
-    rows = read_landed(spark, store).filter(_days(first, end) & _within("event_time", first, end))
+    near = _slots(first, end, every) & _within("event_time", first, end)
+    rows = read_landed(spark, store).filter(near)
     closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(end))
     last_moment = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
     stats = window_stats(rows, width, slide).filter(closed)
@@ -185,7 +193,7 @@ def covering_range(
     low, high = events.agg(
         F.min("event_time").cast("timestamp_ntz"), F.max("event_time").cast("timestamp_ntz")
     ).first()
-    epoch, step = datetime(1970, 1, 1), span(every)
-    first = low - (low - epoch) % step
+    step = span(every)
+    first = low - (low - EPOCH) % step
     last = high + span(width)
-    return first, last + -(last - epoch) % step
+    return first, last + -(last - EPOCH) % step
