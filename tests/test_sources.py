@@ -4,7 +4,6 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.__main__ import arguments
 from tidegauge.settings import CATALOGUE
 from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
@@ -146,16 +145,3 @@ def test_providers(spark):
     assert [tuple(r) for r in got] == [("cpi", 1.0, "one"), ("cpi", 1.0, "three"), ("cpi", 2.0, "two")]
     with pytest.raises(ValueError):
         union_sources({})
-
-
-def test_command_line_takes_the_environment():
-    env = {"KAFKA_BOOTSTRAP_SERVERS": "k:1", "KAFKA_TOPIC": "t", "SINK": "PARQUET",
-           "OUTPUT_PATH": "s3a://b/agg", "CHECKPOINT_PATH": "s3a://b/ck"}
-    args = arguments(["stream"], env)
-    assert (args.servers, args.topic, args.sink, args.path, args.checkpoint) == (
-        "k:1", "t", "parquet", "s3a://b/agg", "s3a://b/ck")
-    args = arguments(["stream"], {})
-    assert (args.servers, args.topic, args.sink, args.path) == (
-        "localhost:29092", "econ.indicators", "console", None)
-    args = arguments(["backfill", "--store", "x", "--start", "2024-01-01", "--end", "2024-01-03"], env)
-    assert (args.start, args.end) == (datetime(2024, 1, 1), datetime(2024, 1, 3))
