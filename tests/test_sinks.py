@@ -15,6 +15,7 @@ from tidegauge.streaming.sinks import (
     read_stats,
     topic_sink_options,
     write_raw,
+    write_results_jdbc,
     write_stats,
     write_topic,
 )
@@ -84,6 +85,18 @@ def test_results_to_a_database(spark):
     assert jdbc_options("u", "t")["numPartitions"] == "8"
 
 
+def test_running_results_to_a_database(monkeypatch):
+    from tidegauge.streaming import sinks
+
+    told = {}
+    monkeypatch.setattr(sinks, "process_then_commit", lambda df, fn, *rest: told.update(fn=fn, rest=rest))
+    write_results_jdbc("stream", "jdbc:x", "results", "s3a://b/ck", user="u")
+    assert told["rest"] == ("s3a://b/ck", "update", "30 seconds", False)
+    df = FakeFrame()
+    told["fn"](df, 3)
+    assert df.told["options"] == {"url": "jdbc:x", "dbtable": "results", "numPartitions": "8", "user": "u"}
+
+
 def stats(spark, *rows):
     return spark.createDataFrame(
         [(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1), i, v, v, 1) for i, v in rows], STATS_SCHEMA)

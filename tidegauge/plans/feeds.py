@@ -84,7 +84,7 @@ def responses(ev: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("item_code"),
         F.col("value").alias("data_value"),
     )
-    block = F.floor(F.col("event_id") / IDS_PER_BODY).alias("block")
+    block = F.expr(f"event_id DIV {IDS_PER_BODY}").alias("block")
     # Structs sort by their first field, the id.
     rows = F.sort_array(F.collect_list(row))
     search = F.struct(F.struct(rows.alias("row")).alias("StatisticSearch"))
