@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import stamp_now, time_to_millis
+from tidegauge.functions.rounding import round_binary
 from tidegauge.schema import EVENT_SCHEMA
 from tidegauge.settings import DIGITS
 
@@ -24,7 +25,7 @@ def to_event(
         *keep,
         indicator.alias("indicator"),
         name.alias("name"),
-        F.round(value, DIGITS).alias("value"),
+        round_binary(value, DIGITS).alias("value"),
         (stamp_now() if at is None else time_to_millis(at)).alias("ts"),
         F.lit(source).alias("source"),
     )
