@@ -76,6 +76,11 @@ def test_interval_and_backfill(spark, topic):
     assert got.exceptAll(closed).count() == closed.exceptAll(got).count() == 0
 
 
+def test_times_are_utc():
+    assert cli.moment("2024-01-01T10:00") == datetime(2024, 1, 1, 10)
+    assert cli.moment("2024-01-01T10:00+09:00") == datetime(2024, 1, 1, 1)
+
+
 def test_environment():
     env = {"KAFKA_BOOTSTRAP_SERVERS": "k:1", "KAFKA_TOPIC": "t", "SINK": "PARQUET",
            "OUTPUT_PATH": "s3a://b/agg", "CHECKPOINT_PATH": "s3a://b/ck"}

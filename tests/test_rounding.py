@@ -38,7 +38,17 @@ def test_ends_of_the_range(spark):
     assert math.isnan(rounded(spark, [math.nan])[0])
 
 
+def test_where_doubles_become_sparse(spark):
+    """Around 2 ** 52 and 2 ** 53 scaled units, where halves and then units are no doubles."""
+    dice = random.Random(6)
+    numbers = []
+    for bits in (50, 51, 52, 53, 54):
+        numbers += [dice.uniform(0.999, 1.001) * 2.0**bits / 10**4 for _ in range(1500)]
+        numbers += [-x for x in numbers[-200:]]
+    assert rounded(spark, numbers) == [round(x, 4) for x in numbers]
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.floats(-1e11, 1e11), min_size=1, max_size=200), st.integers(0, 6))
+@given(st.lists(st.floats(-1e13, 1e13), min_size=1, max_size=200), st.integers(0, 6))
 def test_any_number(spark, numbers, digits):
     assert rounded(spark, numbers, digits) == [round(x, digits) for x in numbers]

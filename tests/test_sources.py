@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegauge.settings import CATALOGUE
 from tidegauge.sources.catalogue import catalogue
@@ -100,6 +101,11 @@ def test_responses(spark):
     ]
 
 
+def test_row_type_as_a_type(spark):
+    row = StructType([StructField("DATA_VALUE", StringType()), StructField("a b", StringType())])
+    assert explode_response(bodies(spark, answer(2)), "body", row).columns == ["DATA_VALUE", "a b"]
+
+
 @pytest.mark.parametrize(
     "rows, first, last, kept",
     [(250, 1, 100, range(1, 101)), (99, 1, 100, range(1, 100)), (250, 201, 300, range(201, 251)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
-from datetime import datetime
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -18,6 +18,12 @@ from tidegauge.streaming.run import consume, finish, run_stream
 from tidegauge.streaming.sinks import replace_batch
 
 
+def moment(text: str) -> datetime:
+    """A time without zone is UTC."""
+    at = datetime.fromisoformat(text)
+    return at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at
+
+
 def arguments(argv: list[str] | None, env: dict[str, str]) -> argparse.Namespace:
     # Names of the environment variables deployments already set.
     shared = argparse.ArgumentParser(add_help=False)
@@ -46,10 +52,10 @@ def arguments(argv: list[str] | None, env: dict[str, str]) -> argparse.Namespace
     for name, text in (("interval", "one scheduled run"), ("backfill", "a range of runs")):
         job = commands.add_parser(name, parents=[shared], help=text)
         job.add_argument("--store", required=True)
-        job.add_argument("--start", type=datetime.fromisoformat, required=True)
+        job.add_argument("--start", type=moment, required=True)
         job.add_argument("--every", default=EVERY)
         if name == "backfill":
-            job.add_argument("--end", type=datetime.fromisoformat, required=True)
+            job.add_argument("--end", type=moment, required=True)
     args = parser.parse_args(argv)
     if args.command == "consume" and not (args.path and args.checkpoint):
         parser.error("consume needs --path and --checkpoint")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPLITTER = 2.0**27 + 1
-EXACT_BELOW = 2.0**52
+INTEGERS_BELOW = 2.0**53
 
 
 def round_binary(value: Column, digits: int) -> Column:
@@ -26,5 +26,5 @@ def round_binary(value: Column, digits: int) -> Column:
     at_tie = (error > 0) | ((error == 0) & (below % 2 != 0))
     up = (from_tie > 0) | ((from_tie == 0) & at_tie)
     nearest = (below + up.cast("int")).cast("double") / scale
-    # Beyond, and for NaN, a double has no digits left to lose.
-    return F.when(F.abs(value) < EXACT_BELOW / scale, nearest).otherwise(F.round(value, digits))
+    # Beyond, doubles lie further apart than the decimals: nothing to round, nor for NaN.
+    return F.when(F.abs(value) < INTEGERS_BELOW / scale, nearest).otherwise(value)

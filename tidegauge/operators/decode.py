@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -100,7 +100,7 @@ def parse_strict(
     return events.filter(sound).drop("__text")
 
 
-def watch_quality(df: DataFrame, name: str = "quality") -> DataFrame:
+def watch_quality(df: DataFrame, name: str | Observation = "quality") -> DataFrame:
     """Counts all rows and those no window will see, on the fly; read them from a batch's
     `Observation` or from the `observedMetrics` of a streaming query's progress."""
     return df.observe(

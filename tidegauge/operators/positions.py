@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidegauge.settings import CONSUMER_GROUP
@@ -10,7 +10,8 @@ from tidegauge.settings import CONSUMER_GROUP
 
 def format_line(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """`[partition@offset] name=value` per message, as column `line`; an absent part reads None."""
-    def text(name: str):
+
+    def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("None"))
 
     line = F.concat(F.lit("["), text("partition"), F.lit("@"), text("offset"), F.lit("] "),
@@ -57,7 +58,7 @@ def delivery_report(df: DataFrame) -> DataFrame:
     )
 
 
-def watch_delivery(df: DataFrame, name: str = "delivery") -> DataFrame:
+def watch_delivery(df: DataFrame, name: str | Observation = "delivery") -> DataFrame:
     """The same counts over all partitions, taken while a publishing query runs."""
     delivered = F.col("error").isNull()
     return df.observe(

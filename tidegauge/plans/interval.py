@@ -160,9 +160,11 @@ def topic_events(
     spark: SparkSession, servers: str, topic: str, start: datetime, end: datetime,
     lateness: str = LATENESS, **more,
 ) -> DataFrame:
-    """Events the topic received from `start` until `lateness` after `end`: the source of a run for
-    that range. What came later still counts when the range is run again with a longer wait."""
-    messages = read_topic_batch(spark, servers, topic, start, end + span(lateness), **more)
+    """Events the topic received around the range, `lateness` before and after it, since the clocks
+    of senders and brokers differ: the source of a run. What came still later counts when the range
+    is run again with a longer wait."""
+    wait = span(lateness)
+    messages = read_topic_batch(spark, servers, topic, start - wait, end + wait, **more)
     return with_event_time(parse_events(messages))
 
 

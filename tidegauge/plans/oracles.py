@@ -38,6 +38,8 @@ CLOSED = "w + INTERVAL '1 minute' <= (SELECT max(ts) FROM events) - INTERVAL '2
 MINUTE = windows("30 seconds")
 MINUTE_CLOSED = windows("30 seconds", where=CLOSED)
 HOUR = windows("30 minutes")
+# Messages carry milliseconds, and so does the time that closes their windows.
+CLOSED_MILLIS = CLOSED.replace("max(ts)", f"make_timestamp(max({MILLIS}) * 1000)")
 
 RESPONSE = """
         SELECT event_type AS stat_code, event_id, strftime(ts, '%Y%m%d') AS time,
@@ -59,6 +61,7 @@ ORACLES: dict[str, str] = {
                event_type AS indicator, {NAME} AS name, value, {MILLIS} AS ts, 'mock' AS source,
                make_timestamp(({MILLIS}) * 1000) AS event_time
         FROM events""",
+    "message_agg_1m": MINUTE,
     "envelope_build": f"""
         SELECT event_id, event_type AS key, event_type AS indicator, {NAME} AS name,
                round(value / 7, 4) AS value, {MILLIS} AS ts, 'replay' AS source
@@ -118,6 +121,7 @@ ORACLES: dict[str, str] = {
                max(event_id) FILTER (value <= 100) AS last_offset
         FROM events GROUP BY ALL""",
     "stream_append": MINUTE_CLOSED,
+    "stream_message_agg": windows("30 seconds", where=CLOSED_MILLIS),
     "stream_late_drop": MINUTE_CLOSED,
     "stream_restart": MINUTE_CLOSED,
     "stream_update_latest": MINUTE,

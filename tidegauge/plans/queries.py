@@ -58,7 +58,7 @@ from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
 from tidegauge.sources.replay import replay_stream
 from tidegauge.sources.responses import explode_response, response_page as page_of, select_series
-from tidegauge.streaming.run import finish
+from tidegauge.streaming.run import finish, message_stats, run_stream
 from tidegauge.streaming.sinks import (
     latest_results,
     process_then_commit,
@@ -124,6 +124,11 @@ def parse_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(with_event_time(parse_events(topic, keep=("partition", "offset"))))
 
 
+def message_agg_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from message bytes to window results."""
+    return without_zone(message_stats(messages(events(spark, sf_dir))))
+
+
 def envelope_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded, then decoded again: a seventh of each reading, rounded on the way."""
     ev = events(spark, sf_dir)
@@ -271,6 +276,20 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(read_stats(spark, f"{folder}/out"))
 
 
+def stream_message_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from message bytes to stored window results, as a stream."""
+    events(spark, sf_dir)
+    folder = scratch_dir(spark, "messages")
+    topic = messages(replay_stream(spark, events_glob(sf_dir), EVENTS))
+    finish(
+        run_stream(
+            topic, "parquet", path=f"{folder}/out", checkpoint=f"{folder}/checkpoint", drain=True,
+            shuffle_partitions=state_partitions(spark),
+        )
+    )
+    return without_zone(read_stats(spark, f"{folder}/out"))
+
+
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed comes a second time with other readings: too late for every stored window."""
     ev = events(spark, sf_dir)
@@ -408,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "sliding_agg_1h": sliding_agg_1h,
     "null_value_count": null_value_count,
     "parse_events": parse_events_query,
+    "message_agg_1m": message_agg_1m,
     "envelope_build": envelope_build,
     "null_time_drop": null_time_drop,
     "json_quarantine": json_quarantine,
@@ -422,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "lag_report": lag_report_query,
     "delivery_report": delivery_report_query,
     "stream_append": stream_append,
+    "stream_message_agg": stream_message_agg,
     "stream_late_drop": stream_late_drop,
     "stream_restart": stream_restart,
     "stream_update_latest": stream_update_latest,

@@ -40,9 +40,9 @@ def with_fields(schema: T.StructType, **types: T.DataType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(n, t) for n, t in types.items()])
 
 
-def response_schema(row_schema: T.StructType | str) -> str:
-    """Type of one API response body around rows of `row_schema`."""
-    row = row_schema if isinstance(row_schema, str) else row_schema.simpleString()
-    if not row.startswith("struct<"):
-        row = f"struct<{row}>"
-    return f"StatisticSearch struct<row: array<{row}>>"
+def response_schema(row_schema: T.StructType | str) -> T.StructType:
+    """Type of one API response body around rows of `row_schema`, a type or a DDL text."""
+    row = T.StructType.fromDDL(row_schema) if isinstance(row_schema, str) else row_schema
+    # The two field names of a response.
+    search = T.StructType([T.StructField("row", T.ArrayType(row))])
+    return T.StructType([T.StructField("StatisticSearch", search)])

@@ -20,9 +20,9 @@ def catalogue(
         raise ValueError("an empty catalogue")
     rows = [
         F.struct(
-            F.lit(code).alias("indicator"),
-            F.lit(name).alias("name"),
-            F.lit(float(base)).alias("base"),
+            F.lit(code).cast("string").alias("indicator"),
+            F.lit(name).cast("string").alias("name"),
+            F.lit(base).cast("double").alias("base"),
         )
         for code, name, base in entries
     ]
