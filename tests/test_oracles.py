@@ -4,10 +4,14 @@ import pytest
 from compare import spark_rows, spark_types, sql_rows
 
 import __spark_entry__ as entry_point
+from tidegauge.plans.oracles import ORACLES
+from tidegauge.plans.queries import QUERIES
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):
@@ -16,10 +20,10 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", entry_point.queries())
+@pytest.mark.parametrize("key", QUERIES)
 def test_same_rows(spark, sf_dir, key):
-    df = entry_point.queries()[key](spark, sf_dir)
-    types, expected = sql_rows(sf_dir, entry_point.oracle_sql()[key])
+    df = QUERIES[key](spark, sf_dir)
+    types, expected = sql_rows(sf_dir, ORACLES[key])
     assert spark_types(df) == types
     got = spark_rows(df)
     assert got == expected, (list((got - expected).items())[:3], list((expected - got).items())[:3])
