@@ -1,6 +1,6 @@
 """The commands end to end, with files in place of a broker."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +9,11 @@ from tidegauge import __main__ as cli
 from tidegauge.operators.decode import parse_events, with_event_time
 from tidegauge.operators.windows import window_stats
 from tidegauge.plans.feeds import EVENTS, events, messages, ticks
+from tidegauge.plans import interval
 from tidegauge.plans.interval import read_interval_stats, read_landed
 from tidegauge.session import scratch_dir
 from tidegauge.sources.replay import replay_stream
-from tidegauge.streaming.sinks import read_stats
+from tidegauge.streaming.sinks import read_raw, read_stats
 
 
 @pytest.fixture
@@ -25,12 +26,14 @@ def topic(spark, monkeypatch):
         return messages(replay_stream(session, f"{small}/events*.parquet", EVENTS))
 
     def batch(session, servers, name, start, end, **more):
+        """Each message received a second after its event."""
         asked.append((servers, name, start, end))
-        return with_event_time(parse_events(messages(events(session, small))))
+        sent = messages(events(session, small).withColumn("received", F.col("ts").cast("timestamp")), keep=("received",))
+        return sent.withColumn("timestamp", F.col("received") + F.expr("INTERVAL 1 SECOND")).drop("received")
 
     monkeypatch.setattr(cli, "read_topic_stream", stream)
-    monkeypatch.setattr(cli, "topic_events", batch)
-    for name in ("KAFKA_BOOTSTRAP_SERVERS", "KAFKA_TOPIC", "SINK", "OUTPUT_PATH", "CHECKPOINT_PATH"):
+    monkeypatch.setattr(interval, "read_topic_batch", batch)
+    for name in ("KAFKA_BOOTSTRAP_SERVERS", "KAFKA_TOPIC", "KAFKA_GROUP_ID", "SINK", "OUTPUT_PATH", "CHECKPOINT_PATH"):
         monkeypatch.delenv(name, raising=False)
     rows = events(spark, small)
     return asked, rows, with_event_time(parse_events(messages(rows)))
@@ -67,8 +70,9 @@ def test_interval_and_backfill(spark, topic):
     store = scratch_dir(spark, "t")
     cli.main(["backfill", "--store", store, "--start", "2024-01-01", "--end", "2024-01-05", "--every", "1 day"])
     cli.main(["interval", "--store", store, "--start", "2024-01-05", "--every", "1 day"])
-    assert asked[0][2:] == (datetime(2024, 1, 1), datetime(2024, 1, 5))
-    assert asked[1][2:] == (datetime(2024, 1, 5), datetime(2024, 1, 6))
+    wait = timedelta(minutes=2)
+    assert asked[0][2:] == (datetime(2024, 1, 1) - wait, datetime(2024, 1, 5) + wait)
+    assert asked[1][2:] == (datetime(2024, 1, 5) - wait, datetime(2024, 1, 6) + wait)
     rows = decoded.filter("event_time < '2024-01-06'")
     assert read_landed(spark, store).count() == rows.count() > 0
     closed = window_stats(rows).filter("end <= '2024-01-06'")
@@ -76,6 +80,49 @@ def test_interval_and_backfill(spark, topic):
     assert got.exceptAll(closed).count() == closed.exceptAll(got).count() == 0
 
 
+def test_wait_and_loss_are_options(spark, topic, capsys):
+    asked, _, _ = topic
+    store = scratch_dir(spark, "t")
+    run = ["interval", "--store", store, "--start", "2024-01-01", "--every", "1 day"]
+    cli.main([*run, "--wait", "1 hour"])
+    assert asked[0][2:] == (datetime(2023, 12, 31, 23), datetime(2024, 1, 2, 1))
+    assert "'landed': " in capsys.readouterr().out
+    with pytest.raises(ValueError, match="may lose rows has to say so"):
+        interval.backfill(read_landed(spark, store).filter("false"), store, datetime(2024, 1, 1), datetime(2024, 1, 2), "1 day")
+
+
+def test_land(spark, topic):
+    _, _, decoded = topic
+    folder = scratch_dir(spark, "t")
+    cli.main(["land", "--path", f"{folder}/out", "--checkpoint", f"{folder}/ck", "--drain"])
+    got = read_raw(spark, f"{folder}/out").drop("dt")
+    assert got.count() == decoded.count() and got.exceptAll(decoded).count() == 0
+
+
+def test_results_and_publish_reach_their_writers(spark, topic, monkeypatch):
+    told = {}
+    monkeypatch.setattr(cli, "write_results_jdbc", lambda df, *rest, **more: told.update(rest=rest, more=more, columns=df.columns))
+    monkeypatch.setattr(cli, "finish", lambda query: query)
+    monkeypatch.setattr(cli, "progress", lambda query: [])
+    cli.main(["results", "--url", "jdbc:x", "--table", "r", "--checkpoint", "ck", "--width", "1 hour", "--slide", "1 hour"])
+    assert told["rest"] == ("jdbc:x", "r", "ck") and told["more"] == {"drain": False}
+    assert told["columns"] == ["start", "end", "indicator", "avg_value", "max_value", "cnt"]
+    _, _, decoded = topic
+    path = f"{scratch_dir(spark, 't')}/in"
+    decoded.drop("event_time").write.parquet(path)
+    monkeypatch.setattr(cli, "write_topic", lambda df, *rest: told.update(sent=df.count(), columns=df.columns, rest=rest))
+    cli.main(["publish", "--path", path, "--topic", "t"])
+    assert (told["sent"], told["columns"], told["rest"]) == (1000, ["key", "value"], ("localhost:29092", "t"))
+
+
+def test_consumer_group(spark, topic, monkeypatch):
+    asked, _, _ = topic
+    monkeypatch.setenv("KAFKA_GROUP_ID", "g7")
+    folder = scratch_dir(spark, "t")
+    cli.main(["consume", "--path", f"{folder}/out", "--checkpoint", f"{folder}/ck", "--drain"])
+    assert asked[0][2]["extra"] == {"kafka.group.id": "g7"}
+
+
 def test_times_are_utc():
     assert cli.moment("2024-01-01T10:00") == datetime(2024, 1, 1, 10)
     assert cli.moment("2024-01-01T10:00+09:00") == datetime(2024, 1, 1, 1)

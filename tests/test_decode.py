@@ -12,6 +12,7 @@ from tidegauge.operators.decode import (
     parse_strict,
     split_bad,
     tag_bad,
+    watch_bad,
     watch_quality,
     with_event_time,
 )
@@ -39,7 +40,16 @@ NOTHING = (None,) * 5
 MATRIX = [
     (GOOD, FULL, False),
     ("not json", NOTHING, True),
-    ("", NOTHING, False),
+    ("", NOTHING, True),
+    (" \t\n", NOTHING, True),
+    ("null", NOTHING, True),
+    ("{}", NOTHING, False),
+    (GOOD + "\n", FULL, False),
+    (GOOD + GOOD, FULL, True),
+    (GOOD + "," + GOOD, FULL, True),
+    (GOOD + "xyz", FULL, True),
+    (GOOD + '],"more":[' + GOOD, FULL, True),
+    (swap('"mock"', '"a]b[c"'), (*FULL[:4], "a]b[c"), False),
     (f"[{GOOD}]", NOTHING, True),
     (swap("2.5", '"oops"'), ("cpi", FULL[1], None, FULL[3], "mock"), True),
     (swap("2.5", '"2.5"'), ("cpi", FULL[1], None, FULL[3], "mock"), True),
@@ -86,6 +96,23 @@ def test_damaged_at_random(spark):
 def test_no_message_text_at_all(spark):
     df = spark.createDataFrame([(None,)], "value binary")
     assert [tuple(r) for r in parse_events(df).collect()] == [NOTHING]
+    good, bad = split_bad(df)
+    assert good.collect() == [] and [tuple(r) for r in bad.collect()] == [("",)]
+
+
+def test_required_fields(spark):
+    texts = [GOOD, "{}", swap('"value":2.5,', ""), swap("2.5", "null")]
+    good, bad = split_bad(topic(spark, *texts), keep=("offset",), required=("name", "value"))
+    assert [r["offset"] for r in good.collect()] == [0, 3]
+    assert [tuple(r) for r in bad.collect()] == [(1, texts[1]), (2, texts[2])]
+
+
+def test_bad_and_good_are_counted(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("m")
+    watch_bad(tag_bad(topic(spark, GOOD, "", GOOD + "x")), seen).collect()
+    assert seen.get == {"good": 1, "bad": 2}
 
 
 def test_not_a_number_is_kept(spark):
@@ -133,7 +160,13 @@ def test_strict_reads_good_messages(spark):
 @pytest.mark.parametrize(
     "text, complaint",
     [
-        ("not json", "MALFORMED_RECORD"),
+        ("not json", "cannot be read"),
+        ("", "cannot be read"),
+        (None, "cannot be read"),
+        ("{}", "lacks a required field"),
+        (GOOD + GOOD, "cannot be read"),
+        (GOOD + "xyz", "cannot be read"),
+        (swap("2.5", '"oops"'), "cannot be read"),
         (swap('"value":2.5,', ""), "lacks a required field"),
         (swap('"name":"소비자물가지수",', ""), "lacks a required field"),
     ],

@@ -5,11 +5,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge.operators.decode import parse_events, with_event_time
+from tidegauge.operators.encode import encode_event, to_event
 from tidegauge.operators.windows import window_stats
 from tidegauge.plans.interval import (
     aggregate,
     backfill,
     covering_range,
+    events_received,
     ingest,
     read_interval_stats,
     read_landed,
@@ -82,28 +85,103 @@ def test_late_row_counts_after_a_new_run(spark, three_hours):
     assert content(read_interval_stats(spark, store)) == content(window_stats(more))
 
 
-def test_a_run_replaces_by_nothing(spark, three_hours):
+def test_late_row_at_the_edge_counts_in_the_next_interval_too(spark, three_hours):
     store = scratch_dir(spark, "t")
     backfill(three_hours, store, START, START + 3 * HOUR)
-    run_interval(three_hours.filter("false"), store, START)
+    more = three_hours.unionByName(events(spark, ("a", 100.0, "2024-01-01 10:59:40")))
+    run_interval(more, store, START)
+    assert content(read_interval_stats(spark, store)) == content(window_stats(more))
+
+
+def test_windows_do_not_reach_into_intervals_that_were_not_run(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    run_interval(three_hours, store, START)
+    assert {r["slot"] for r in read_interval_stats(spark, store).collect()} == {"10-00"}
+    run_interval(three_hours, store, START + 2 * HOUR)
+    run_interval(three_hours, store, START)
+    assert {r["slot"] for r in read_interval_stats(spark, store).collect()} == {"10-00", "12-00"}
+
+
+def test_a_run_does_not_lose_rows_unless_told(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    backfill(three_hours, store, START, START + 3 * HOUR)
+    before = content(read_landed(spark, store)), content(read_interval_stats(spark, store))
+    for gone in (three_hours.filter("false"), three_hours.filter("value <> 2.0")):
+        with pytest.raises(ValueError, match="2024-01-01 10-00 has 2 landed rows"):
+            run_interval(gone, store, START)
+    assert (content(read_landed(spark, store)), content(read_interval_stats(spark, store))) == before
+    run_interval(three_hours.filter("false"), store, START, may_lose=True)
     left = three_hours.filter("event_time >= '2024-01-01 11:00'")
     assert content(read_landed(spark, store)) == content(left)
-    assert read_interval_stats(spark, store).filter("end <= '2024-01-01 11:00'").count() == 0
+    assert content(read_interval_stats(spark, store)) == content(window_stats(left))
 
 
-def test_a_backfill_replaces_by_nothing(spark, three_hours):
+def test_a_backfill_replaces_by_nothing_if_told(spark, three_hours):
     store = scratch_dir(spark, "t")
     backfill(three_hours, store, START - HOUR, START + 4 * HOUR)
     # The hour after 11:00 is gone from the source; the run does not reach the hour after 12:00.
     left = three_hours.filter("hour(event_time) <> 11")
-    backfill(left.filter("hour(event_time) < 12"), store, START, START + 2 * HOUR)
+    backfill(left.filter("hour(event_time) < 12"), store, START, START + 2 * HOUR, may_lose=True)
     assert content(read_landed(spark, store)) == content(left)
-    run_interval(left, store, START + 2 * HOUR)
     assert content(read_interval_stats(spark, store)) == content(window_stats(left))
-    backfill(left.filter("false"), store, START - HOUR, START + 4 * HOUR)
+    backfill(left.filter("false"), store, START - HOUR, START + 4 * HOUR, may_lose=True)
     assert read_landed(spark, store).count() == read_interval_stats(spark, store).count() == 0
 
 
+@pytest.mark.parametrize("first, then", [("1 hour", "1 day"), ("1 day", "1 hour")])
+def test_a_store_keeps_the_length_of_its_intervals(spark, three_hours, first, then):
+    store, day = scratch_dir(spark, "t"), datetime(2024, 1, 1)
+    backfill(three_hours, store, day, day + timedelta(days=1), first)
+    before = content(read_landed(spark, store)), content(read_interval_stats(spark, store))
+    with pytest.raises(ValueError, match="the store has intervals of"):
+        run_interval(three_hours, store, day, then)
+    assert (content(read_landed(spark, store)), content(read_interval_stats(spark, store))) == before
+
+
+def test_a_failed_run_leaves_what_was_there(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    run_interval(three_hours, store, START)
+    broken = three_hours.withColumn("name", F.raise_error(F.lit("source gone")).cast("string"))
+    with pytest.raises(Exception, match="source gone"):
+        run_interval(broken, store, START, may_lose=True)
+    assert read_landed(spark, store).count() == 2
+
+
+def test_one_file_per_interval(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    run_interval(three_hours.repartition(7), store, START)
+    files = read_landed(spark, store).select("_metadata.file_path").distinct()
+    assert files.count() == 1
+
+
+def received(spark, *rows):
+    """Topic rows of (reading, event time, time of receipt)."""
+    df = spark.createDataFrame(rows, "v double, t string, r string")
+    made = encode_event(to_event(df, F.lit("a"), F.lit("n"), F.col("v"), F.col("t").cast("timestamp"), keep=("r",)), keep=("r",))
+    return made.select(F.col("value").cast("binary").alias("value"), F.col("r").cast("timestamp").alias("timestamp"))
+
+
+def test_what_came_late_is_counted_and_a_longer_wait_lands_it(spark):
+    day = "2024-01-01 "
+    topic = received(
+        spark, (1.0, day + "10:10:00", day + "10:10:01"), (2.0, day + "10:59:59", day + "11:01:30"),
+        (3.0, day + "10:59:58", day + "11:05:00"), (4.0, day + "11:10:00", day + "11:10:00"), (5.0, day + "11:00:30", day + "10:59:00"),
+    )
+    store = scratch_dir(spark, "t")
+
+    def run(start, wait):
+        return run_interval(events_received(topic, start, start + HOUR, wait), store, start, wait=wait)
+
+    # Senders' clocks may run ahead: the event of 11:00:30 came at 10:59.
+    assert run(START, "2 minutes") == {"landed": 2, "earlier": 0, "later": 1, "no_time": 0, "missed": 0}
+    assert run(START + HOUR, "2 minutes") == {"landed": 2, "earlier": 2, "later": 0, "no_time": 0, "missed": 1}
+    assert read_landed(spark, store).count() == 4
+    assert run(START, "10 minutes")["landed"] == 3
+    every = with_event_time(parse_events(topic))
+    assert content(read_landed(spark, store)) == content(every)
+    assert content(read_interval_stats(spark, store)) == content(window_stats(every))
+
+
 def test_failed_landing_keeps_the_aggregate_from_running(spark, three_hours):
     store = scratch_dir(spark, "t")
     broken = three_hours.withColumn("name", F.raise_error(F.lit("source gone")).cast("string"))
@@ -155,12 +233,13 @@ def test_only_needed_folders_are_read(spark, three_hours):
 def test_source_of_a_run(monkeypatch):
     from tidegauge.plans import interval
 
-    monkeypatch.setattr(interval, "parse_events", lambda df: df)
-    monkeypatch.setattr(interval, "with_event_time", lambda df: df)
+    monkeypatch.setattr(interval, "events_received", lambda df, *range: df)
     told = topic_events(Recorder(), "b:1", "t", START, START + HOUR, min_partitions=9)
     assert told["options"]["startingTimestamp"] == str(1704103200000 - 120_000)
     assert told["options"]["endingTimestamp"] == str(1704103200000 + 3_600_000 + 120_000)
     assert told["options"]["minPartitions"] == "9"
+    told = topic_events(Recorder(), "b:1", "t", START, START + HOUR, "1 hour")
+    assert told["options"]["startingTimestamp"] == str(1704103200000 - 3_600_000)
 
 
 def test_other_zones_are_refused(spark, three_hours):

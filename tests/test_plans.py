@@ -18,7 +18,7 @@ from tidegauge.sources.responses import explode_response
 from tidegauge.streaming.sinks import read_raw, read_stats, write_raw, write_stats
 
 LAZY = [k for k in QUERIES if not k.startswith("stream_")
-        and k not in ("parquet_partitioned", "raw_by_date", "results_latest", "interval_ingest_agg", "backfill")]
+        and k not in ("parquet_partitioned", "raw_by_date", "results_latest", "interval_ingest_agg", "backfill", "interval_late")]
 
 
 def plan(df):
@@ -81,6 +81,18 @@ def test_small_catalogue_is_broadcast_by_its_size(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("entries, join", [(4, "BroadcastHashJoin"), (1000, "SortMergeJoin")])
+def test_catalogue_over_the_threshold_is_shuffled(spark, sf_dir, entries, join):
+    ev = events(spark, sf_dir).select(F.col("event_type").alias("indicator"), "value")
+    names = catalogue(spark, [(f"code{i}", f"name of {i}", float(i)) for i in range(entries)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10000")
+    try:
+        assert join in plan(attach_name(ev, names))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert attach_name(ev, names).count() == ev.count()
+
+
 def test_folders_are_pruned(spark, sf_dir):
     folder = scratch_dir(spark, "t")
     rows = landed_events(events(spark, sf_dir))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Observation
 
 from tidegauge.operators.lookup import attach_name
@@ -7,6 +8,7 @@ from tidegauge.operators.positions import (
     format_line,
     lag_report,
     log_bounds,
+    number_text,
     watch_delivery,
 )
 from tidegauge.sources.catalogue import catalogue
@@ -27,6 +29,27 @@ def test_lines(spark):
         (0, "[2@0] None=None"), (17, "[0@17] 기준금리=3.5")]
 
 
+@pytest.mark.parametrize(
+    "sent, text",
+    [("3", "3"), ("-3", "-3"), ("3.0", "3.0"), ("3.50", "3.5"), ("12345678.9", "12345678.9"), ("1E7", "10000000.0"), ("0.0", "0.0"),
+     ("123456789012.25", "123456789012.25"), ("0.0001", "0.0001"), ("1e20", "1e20"), ("12345678901234567890123", "12345678901234567890123"),
+     ("oops", "oops"), ("NaN", "NaN")],
+)
+def test_numbers_as_they_were_sent(spark, sent, text):
+    df = spark.createDataFrame([(sent,)], "value string").select(number_text("value").alias("t"))
+    assert df.first()["t"] == text
+
+
+@pytest.mark.parametrize(
+    "value, text",
+    [(12345678.9, "12345678.9"), (3.0, "3.0"), (1e7, "10000000.0"), (-2.5e9, "-2500000000.0"), (0.0005, "0.0005"), (0.0, "0.0"), (123.45, "123.45"),
+     (float("inf"), "Infinity")],
+)
+def test_numbers_that_are_doubles(spark, value, text):
+    df = spark.createDataFrame([(value,)], "value double").select(number_text("value").alias("t"))
+    assert df.first()["t"] == text
+
+
 def test_positions_and_lag(spark):
     log = spark.createDataFrame(
         [("t", p, o, None) for p in (0, 1, 2) for o in range(5, 10 + p)], LOG)

@@ -33,8 +33,8 @@ class FakeFrame:
         self.told["columns"] = columns
         return self
 
-    def withColumn(self, name, column):
-        self.told["added"] = name
+    def withColumns(self, columns):
+        self.told["added"] = list(columns)
         return self
 
     @property
@@ -77,9 +77,9 @@ def test_publishing_a_stream_needs_a_checkpoint(spark):
 
 def test_results_to_a_database(spark):
     df = FakeFrame()
-    append_jdbc("jdbc:postgresql://h/db", "results", 4, user="u")(df, 12)
+    append_jdbc("jdbc:postgresql://h/db", "results", 4, user="u")(df, 12, 1)
     assert df.told == {
-        "added": "batch_id", "format": "jdbc", "mode": "append", "saved": True,
+        "added": ["run", "batch_id"], "format": "jdbc", "mode": "append", "saved": True,
         "options": {"url": "jdbc:postgresql://h/db", "dbtable": "results", "numPartitions": "4", "user": "u"},
     }
     assert jdbc_options("u", "t")["numPartitions"] == "8"
@@ -93,7 +93,7 @@ def test_running_results_to_a_database(monkeypatch):
     write_results_jdbc("stream", "jdbc:x", "results", "s3a://b/ck", user="u")
     assert told["rest"] == ("s3a://b/ck", "update", "30 seconds", False)
     df = FakeFrame()
-    told["fn"](df, 3)
+    told["fn"](df, 3, 1)
     assert df.told["options"] == {"url": "jdbc:x", "dbtable": "results", "numPartitions": "8", "user": "u"}
 
 
@@ -138,6 +138,23 @@ def test_path_of_any_file_system(spark, monkeypatch):
     assert seen == {"ck": "s3a://bucket/ck", "path": "s3a://bucket/agg"}
 
 
+def test_console_rows_are_a_parameter(spark, monkeypatch):
+    from tidegauge.streaming import sinks
+
+    seen = []
+    monkeypatch.setattr(sinks, "start", lambda writer, *rest: seen.append(options_of(writer).get("numRows").get()))
+    stream = spark.readStream.format("rate").load()
+    sinks.write_stream(stream, "console", console_rows=7)
+    sinks.write_stream(stream, "console")
+    assert seen == ["7", "1000"]
+
+
+def options_of(writer):
+    options = writer._jwrite.getClass().getDeclaredField("extraOptions")
+    options.setAccessible(True)
+    return options.get(writer._jwrite)
+
+
 def dict_of(writer):
     options = writer._jwrite.getClass().getDeclaredField("extraOptions")
     options.setAccessible(True)

@@ -8,7 +8,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidegauge.settings import CATALOGUE
 from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
-from tidegauge.sources.responses import explode_response, response_page, select_series
+from tidegauge.sources.responses import (
+    explode_response,
+    response_page,
+    response_pages,
+    select_series,
+)
 from tidegauge.sources.topic import read_topic_batch, read_topic_stream, topic_options
 
 ROW = "TIME string, DATA_VALUE string"
@@ -116,13 +121,20 @@ def test_pages(spark, rows, first, last, kept):
     assert sorted(int(r["DATA_VALUE"]) for r in got.collect()) == list(kept)
 
 
-def test_default_page_is_the_first_hundred(spark):
-    assert response_page(bodies(spark, answer(120), answer(7)), "body", ROW).count() == 107
+def test_all_pages_hold_every_entry(spark):
+    df = bodies(spark, answer(250), answer(7), "oops", answer(100), None)
+    paged = response_pages(df, "body", ROW, keep=("id",))
+    counts = {(r["id"], r["page"]): r["count"] for r in paged.groupBy("id", "page").count().collect()}
+    assert counts == {(0, 1): 100, (0, 2): 100, (0, 3): 50, (1, 1): 7, (3, 1): 100}
+    every = explode_response(df, "body", ROW, keep=("id",))
+    assert paged.drop("page").exceptAll(every).count() == every.exceptAll(paged.drop("page")).count() == 0
+    one = response_page(bodies(spark, answer(250)), "body", ROW, 101, 200)
+    assert paged.filter("id = 0 AND page = 2").select(one.columns).exceptAll(one).count() == 0
 
 
 def test_page_must_exist(spark):
     with pytest.raises(ValueError):
-        response_page(bodies(spark, answer(1)), "body", ROW, first=0)
+        response_page(bodies(spark, answer(1)), "body", ROW, first=0, last=1)
 
 
 def test_series(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators.decode import parse_events, watch_quality, with_event_time
 from tidegauge.operators.encode import encode_event, to_event
 from tidegauge.operators.windows import window_stats
+from tidegauge.plans.feeds import EVENTS, events, ticks
 from tidegauge.schema import STATS_SCHEMA
 from tidegauge.session import ROCKSDB, scratch_dir, stream_options
 from tidegauge.sources.replay import replay_stream
@@ -20,6 +21,7 @@ from tidegauge.streaming.sinks import (
     read_batches,
     read_stats,
     replace_batch,
+    run_mark,
     trigger,
     write_stream,
 )
@@ -172,24 +174,41 @@ def test_repeated_batch_replaces_itself(spark):
     at = datetime(2024, 1, 1)
     row = [(at, at + timedelta(minutes=1), "a", 1.0, 1.0, 1)]
     for _ in range(2):
-        write(spark.createDataFrame(row, STATS_SCHEMA), 4)
+        write(spark.createDataFrame(row, STATS_SCHEMA), 4, 1)
     assert read_batches(spark, folder, STATS_SCHEMA).count() == 1
 
 
 def test_appended_copies_fall_together(spark):
     at = datetime(2024, 1, 1)
     end = at + timedelta(minutes=1)
-    rows = [(at, end, "a", 1.0, 1.0, 1, 0), (at, end, "a", 2.0, 3.0, 2, 7), (at, end, "a", 2.0, 3.0, 2, 7),
-            (at, end, "b", None, None, 1, 3)]
+    rows = [(at, end, "a", 1.0, 1.0, 1, 1, 0), (at, end, "a", 2.0, 3.0, 2, 1, 7), (at, end, "a", 2.0, 3.0, 2, 1, 7),
+            (at, end, "b", None, None, 1, 1, 3)]
     df = spark.createDataFrame(
         rows, "start timestamp_ntz, end timestamp_ntz, indicator string, avg_value double, "
-        "max_value double, cnt bigint, batch_id bigint",
+        "max_value double, cnt bigint, run bigint, batch_id bigint",
     )
     assert sorted(tuple(r) for r in latest_results(df).collect()) == [
         (at, end, "a", 2.0, 3.0, 2), (at, end, "b", None, None, 1),
     ]
 
 
+def test_results_of_a_new_checkpoint_win(spark):
+    """Its batch ids begin at 0 again, in the same place, where an earlier run has higher ones."""
+    folder = scratch_dir(spark, "t")
+    for i, minute in enumerate(("00:40", "00:45", "00:50")):
+        put(spark, f"{folder}/in", i, [("a", 1.0, DAY + minute)])
+    write = replace_batch(f"{folder}/out")
+    finish(process_then_commit(stats_of(spark, folder), write, f"{folder}/ck", "update", drain=True))
+    put(spark, f"{folder}/in", 3, [("a", 9.0, DAY + "00:55")])
+    ticks = replay_stream(spark, f"{folder}/in", TICKS)
+    finish(process_then_commit(window_stats(ticks), write, f"{folder}/ck2", "update", drain=True))
+    log = read_batches(spark, f"{folder}/out", STATS_SCHEMA)
+    runs = log.groupBy("run").agg(F.max("batch_id").alias("last")).orderBy("run").collect()
+    assert [r["last"] for r in runs] == [2, 0]
+    assert {(r["cnt"], r["avg_value"]) for r in latest_results(log).collect()} == {(4, 3.0)}
+    assert run_mark(spark, f"{folder}/ck") == runs[0]["run"] < run_mark(spark, f"{folder}/ck2")
+
+
 def messages(spark, folder):
     """A topic of three messages, one of them broken, as files."""
     at = F.col("t").cast("timestamp")
@@ -208,21 +227,39 @@ def messages(spark, folder):
     )
 
 
+def test_files_are_replayed_in_bounded_batches(spark, sf_dir):
+    """A table of several files, replayed in place: several micro-batches, and the same windows."""
+    folder = scratch_dir(spark, "t")
+    table = events(spark, sf_dir)
+    for day in range(3):
+        table.filter(f"(day(ts) - 1) DIV 10 = {day}").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = replay_stream(spark, f"{folder}/in", EVENTS, max_bytes="1")
+    query = finish(write_stream(
+        window_stats(ticks(stream)), "parquet", f"{folder}/out", f"{folder}/ck", drain=True, shuffle_partitions=2))
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 3
+    last = table.agg(F.max("ts")).first()[0]
+    closed = window_stats(ticks(table)).filter(F.col("end") <= F.lit(last - timedelta(minutes=2)))
+    assert read_stats(spark, f"{folder}/out").count() == closed.count()
+
+
 def test_messages_to_console(spark):
     query = finish(run_stream(messages(spark, scratch_dir(spark, "t")), "console", drain=True))
     first = progress(query)[0]
     assert first["rows_in"] == 3 and first["state_rows"] == 2
     assert "Console" in query.recentProgress[0]["sink"]["description"]
+    # The running job counts what no window sees.
+    assert first["observed"]["quality"].asDict() == {"rows": 3, "no_event_time": 1, "no_value": 1}
 
 
 def test_consume_skips_or_stops(spark):
     folder = scratch_dir(spark, "t")
     topic = messages(spark, folder)
-    finish(consume(topic, replace_batch(f"{folder}/out"), f"{folder}/ck", drain=True))
-    got = spark.read.parquet(f"{folder}/out/batch_id=0").collect()
+    query = finish(consume(topic, replace_batch(f"{folder}/out"), f"{folder}/ck", drain=True))
+    got = spark.read.schema("line string").parquet(f"{folder}/out").collect()
     assert sorted(r["line"] for r in got) == ["[0@0] 물가=114.0", "[0@1] 물가=116.0"]
+    assert progress(query)[0]["observed"]["messages"].asDict() == {"good": 2, "bad": 1}
     strict = consume(topic, replace_batch(f"{folder}/o2"), f"{folder}/ck2", strict=True, drain=True)
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+    with pytest.raises(Exception, match="cannot be read"):
         finish(strict)
     assert not os.path.exists(f"{folder}/ck2/commits/0")  # progress is not stored
 
@@ -232,8 +269,8 @@ def test_batch_is_handled_again_if_its_position_was_not_stored(spark):
     topic = messages(spark, folder)
     calls = []
 
-    def fails_after_writing(batch, batch_id):
-        replace_batch(f"{folder}/out")(batch, batch_id)
+    def fails_after_writing(batch, batch_id, run):
+        replace_batch(f"{folder}/out")(batch, batch_id, run)
         calls.append(batch_id)
         if len(calls) == 1:
             raise RuntimeError("lost before the commit")

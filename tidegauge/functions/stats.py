@@ -1,4 +1,13 @@
-"""Mean, maximum and count, in one step or from partial results."""
+"""Mean, maximum and count, in one step or from partial results.
+
+A sum of doubles depends, in its last bits, on the order of the rows, and so on splits, shuffles and
+retried tasks. A mean that ends in ...5 just behind the kept digits (a sum of cents over 8 rows, say)
+would then round up in one run and down in the next. Readings of at most four decimals below
+9e11, which is how they are sent, are therefore summed as whole numbers of ten-thousandths, and their
+mean is rounded once, half up, from the exact quotient. If one reading of a group is of another kind
+(more decimals, larger, infinite, NaN), the group's mean is `round(avg(value), 4)` of doubles, whose
+last digit may depend on the order of the rows where the mean is that close to a tie.
+"""
 
 from __future__ import annotations
 
@@ -7,32 +16,29 @@ from pyspark.sql import functions as F
 
 from tidegauge.settings import DIGITS
 
-# Sums of doubles depend, in their last bits, on the order of the rows, and so on splits, shuffles
-# and retried tasks. A mean that ends in ...5 just after the kept digits (a sum of cents over 8
-# rows, say) would then round up in one run and down in the next. Rounding away those bits first
-# gives the rounding of the true mean in every order; the guard lies far above the noise and far
-# below the kept digits.
-GUARD_DIGITS = 10
-
+UNIT = 10**DIGITS
+# Whole numbers of doubles end at 2**53.
+EXACT_BELOW = 2.0**53 / UNIT
+# A sum is kept as two: of the units above 2**24 and of the rest. Neither can overflow below 2**34 rows.
+LOW_BITS = 24
 
-def _rounded_mean(mean: Column) -> Column:
-    return F.round(F.round(mean, GUARD_DIGITS), DIGITS).alias("avg_value")
 
-
-def stat_columns(value: str = "value") -> list[Column]:
-    """Mean and maximum skip NULL values, the count does not; NaN is the largest value."""
-    return [
-        _rounded_mean(F.avg(value)),
-        F.round(F.max(value), DIGITS).alias("max_value"),
-        F.count("*").alias("cnt"),
-    ]
+def _units(value: str) -> Column:
+    """The reading in ten-thousandths, NULL where that is not the reading itself."""
+    x = F.col(value)
+    units = F.when(F.abs(x) < EXACT_BELOW, F.rint(x * UNIT).cast("long"))
+    return F.when(units / UNIT == x, units)
 
 
 def partial_columns(value: str = "value") -> list[Column]:
     """What one slice of the rows adds to `merged_columns`."""
+    units = _units(value)
     return [
         F.sum(value).alias("total"),
         F.count(value).alias("known"),
+        F.count(units).alias("exact"),
+        F.sum(F.shiftright(units, LOW_BITS)).alias("high"),
+        F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).alias("low"),
         F.max(value).alias("highest"),
         F.count("*").alias("rows"),
     ]
@@ -40,8 +46,27 @@ def partial_columns(value: str = "value") -> list[Column]:
 
 def merged_columns() -> list[Column]:
     """The same results as `stat_columns`, from any cover of the rows by `partial_columns`."""
+    return _results(
+        *(F.sum(c) for c in ("total", "known", "exact", "high", "low")), F.max("highest"), F.sum("rows")
+    )
+
+
+def stat_columns(value: str = "value") -> list[Column]:
+    """Mean and maximum skip NULL values, the count does not; NaN is the largest value."""
+    return _results(*partial_columns(value))
+
+
+def _results(
+    total: Column, known: Column, exact: Column, high: Column, low: Column, highest: Column, rows: Column
+) -> list[Column]:
+    plain = F.round(F.try_divide(total, known), DIGITS)
+    units = high.cast("decimal(28,0)") * (1 << LOW_BITS) + low.cast("decimal(28,0)")
+    # Half up, away from zero: floor(|units| / known + 1/2), in whole numbers.
+    twice = (2 * known).cast("decimal(20,0)")
+    half_up = F.call_function("div", 2 * F.abs(units) + known, twice)
+    mean = F.when(known > 0, F.signum(units) * half_up / UNIT)
     return [
-        _rounded_mean(F.try_divide(F.sum("total"), F.sum("known"))),
-        F.round(F.max("highest"), DIGITS).alias("max_value"),
-        F.sum("rows").alias("cnt"),
+        F.when(known == exact, mean).otherwise(plain).alias("avg_value"),
+        F.round(highest, DIGITS).alias("max_value"),
+        rows.alias("cnt"),
     ]

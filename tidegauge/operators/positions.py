@@ -8,14 +8,31 @@ from pyspark.sql import functions as F
 from tidegauge.settings import CONSUMER_GROUP
 
 
+# Between these a number is printed without an exponent.
+PLAIN_FROM, PLAIN_BELOW = 1e-4, 1e16
+
+
+def number_text(name: str) -> Column:
+    """A number as consumers written in Python print it: 12345678.9, 3.5, and 3 only where it was
+    sent as a whole number, which text read from the message still tells and a double no more."""
+    number = F.col(name).cast("string")
+    size = F.abs(number.try_cast("double"))
+    digits = F.regexp_replace(number.try_cast("decimal(38,20)").cast("string"), r"0+$", "")
+    plain = F.regexp_replace(digits, r"\.$", ".0")
+    as_sent = number.rlike(r"^-?[0-9]+$")
+    small = (size == 0) | ((size >= PLAIN_FROM) & (size < PLAIN_BELOW))
+    return F.when(~as_sent & small, F.coalesce(plain, number)).otherwise(number)
+
+
 def format_line(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """`[partition@offset] name=value` per message, as column `line`; an absent part reads None."""
+    """`[partition@offset] name=value` per message, as column `line`; an absent part reads None.
+    `value` is a number, or its text as it was sent."""
 
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+    def text(column: Column) -> Column:
+        return F.coalesce(column.cast("string"), F.lit("None"))
 
-    line = F.concat(F.lit("["), text("partition"), F.lit("@"), text("offset"), F.lit("] "),
-                    text("name"), F.lit("="), text("value"))
+    where = [F.lit("["), text(F.col("partition")), F.lit("@"), text(F.col("offset")), F.lit("] ")]
+    line = F.concat(*where, text(F.col("name")), F.lit("="), text(number_text("value")))
     return df.select(*keep, line.alias("line"))
 
 

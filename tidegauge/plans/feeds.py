@@ -19,7 +19,9 @@ EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
     "props string"
 )
-STAGED = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+STAGED = ("event_id", "ts", "event_type", "value")
+#: Bound of a micro-batch that replays files.
+BATCH_BYTES = str(8 * 2**30)
 IDS_PER_BODY = 500
 SERIES_ROW = "event_id bigint, time string, item_code string, data_value double"
 
@@ -33,6 +35,12 @@ def events_glob(sf_dir: str) -> str:
     return f"{sf_dir}/events*.parquet"
 
 
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream of its own files."""
+    events(spark, sf_dir)
+    return replay_stream(spark, events_glob(sf_dir), EVENTS, max_bytes=BATCH_BYTES)
+
+
 def ticks(ev: DataFrame) -> DataFrame:
     """Decoded events. A stream needs a time with a zone; a table is fine without."""
     time = F.col("ts").cast("timestamp") if ev.isStreaming else F.col("ts")
@@ -126,14 +134,22 @@ def before(at: datetime) -> Column:
 
 
 class Stages:
-    """A folder that grows between the runs of a stream, written by Spark; the columns streams read
-    and no others."""
+    """A stream in two runs: first the table's own files, of which rows may be held back; then what
+    is added to a folder beside it, written by Spark. Only the columns streams read are copied.
+
+    A micro-batch takes files up to `BATCH_BYTES`, so a failure repeats no more than that.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, f"{folder}/in"
+    def __init__(self, spark: SparkSession, folder: str, sf_dir: str, first: Column | None = None):
+        self.spark, self.folder, self.first = spark, f"{folder}/in", first
+        self.table = events_glob(sf_dir)
+        self.add(events(spark, sf_dir).limit(0))
 
     def add(self, ev: DataFrame) -> None:
-        ev.select("event_id", "ts", "event_type", "value").write.mode("append").parquet(self.folder)
+        ev.select(*STAGED).write.mode("append").parquet(self.folder)
 
     def stream(self) -> DataFrame:
-        return replay_stream(self.spark, self.folder, STAGED)
+        own = replay_stream(self.spark, self.table, EVENTS, max_bytes=BATCH_BYTES)
+        own = own if self.first is None else own.filter(self.first)
+        added = replay_stream(self.spark, self.folder, EVENTS, max_bytes=BATCH_BYTES)
+        return own.select(*STAGED).unionByName(added.select(*STAGED))

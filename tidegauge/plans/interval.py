@@ -4,17 +4,25 @@ A store is one folder with two tables, `raw` and `stats`, both partitioned by (d
 date and the start time of the interval a row belongs to. A raw row belongs to the interval of its
 event time, a window to the interval its last moment falls into. So each window belongs to exactly
 one interval, and all its rows are landed when that interval is: it needs rows back to one width
-before the interval, and none after it. Averages are never averaged.
+before the interval, and none after it. Averages are never averaged. The store keeps the length of
+its intervals and refuses another: folders of two lengths would hold rows twice.
 
-Late rows count once the intervals they touch are run again.
+Late rows count once the intervals they touch are run again. Windows that reach from such an interval
+into the next ones are stored there, so a run stores anew the next intervals that windows of its
+rows end in, where these have been run before.
+
+A run replaces its intervals, each folder as a whole when the job ends. One that a run has no rows for
+gets a single row of NULLs, which readers skip: it says that the interval was run, and takes the
+place of what was there. A run that would leave an interval with fewer rows than are landed is refused unless
+told that it may: the source may have let go of them.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,68 +77,109 @@ def _check(spark: SparkSession, start: datetime, end: datetime, every: str) -> N
         raise ValueError("the range is empty")
 
 
-def _folder(path: str, dt: date, slot: str) -> str:
-    return f"{path}/dt={dt:%Y-%m-%d}/slot={slot}"
+def _claim(spark: SparkSession, store: str, every: str) -> None:
+    """Notes the length of the store's intervals at its first run, and refuses another later."""
+    micros, path = span(every) // timedelta(microseconds=1), f"{store}/every"
+    try:
+        kept = spark.read.schema("micros bigint").parquet(path).first()["micros"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.range(1).select(F.lit(micros).cast("long").alias("micros")).write.parquet(path)
+        return
+    if kept != micros:
+        raise ValueError(f"the store has intervals of {timedelta(microseconds=kept)}, not of {every}")
 
 
-def _replace_folder(rows: DataFrame, folder: str) -> None:
-    rows.drop(*SLOT).write.mode("overwrite").parquet(folder)
+def _run_slots(spark: SparkSession, start: datetime, end: datetime, every: str) -> DataFrame:
+    """(dt, slot) of every interval of [start, end)."""
+    step = span(every)
+    micro = timedelta(microseconds=1)
+    at = F.timestamp_micros(F.lit((start - EPOCH) // micro) + F.col("id") * (step // micro))
+    return spark.range((end - start) // step).select(*_slot_of(at, every))
 
 
-def _files_held(spark: SparkSession, path: str, inside: Column) -> dict:
-    """One file of each interval `inside` the range that has rows in the table. Reads no column, and
-    returns at most one entry per interval."""
-    try:
-        table = spark.read.schema(SLOT_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    files = table.filter(inside).groupBy(*SLOT).agg(F.min("_metadata.file_path"))
-    return {(dt, slot): file for dt, slot, file in files.toLocalIterator()}
-
+def _write(rows: DataFrame, slots: DataFrame, path: str) -> None:
+    """Replaces what the table holds for `slots`, all of them in one job.
 
-def _write(rows: DataFrame, path: str, start: datetime, end: datetime, every: str) -> None:
-    """Replaces what the table holds for the range."""
-    if end - start == span(every):
-        _replace_folder(rows, _folder(path, start.date(), _slot_name(start)))
-        return
-    spark, inside = rows.sparkSession, _slots(start, end, every)
-    before = _files_held(spark, path, inside)
-    # Many intervals in one job. `rebalance` makes few files per folder and splits a hot interval.
+    Folders are swapped when the job ends, so a failed one changes nothing. `rebalance` makes few
+    files per folder and splits a hot interval.
+    """
     (
-        rows.hint("rebalance", *SLOT)
+        rows.unionByName(slots, allowMissingColumns=True)
+        .hint("rebalance", *SLOT)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SLOT)
         .parquet(path)
     )
-    # The job replaced the folders it had rows for. One that still holds its old file has lost all
-    # its rows at the source: rare, and never on a first run.
-    if before:
-        for key, file in _files_held(spark, path, inside).items():
-            if before.get(key) == file:
-                _replace_folder(rows.limit(0), _folder(path, *key))
 
 
 def read_landed(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(with_fields(RAW_SCHEMA, **SLOT_TYPES)).parquet(f"{store}/raw")
+    schema = with_fields(RAW_SCHEMA, **SLOT_TYPES)
+    return spark.read.schema(schema).parquet(f"{store}/raw").filter("event_time IS NOT NULL")
 
 
 def read_interval_stats(spark: SparkSession, store: str) -> DataFrame:
     """Window results with their (dt, slot)."""
-    return spark.read.schema(with_fields(STATS_SCHEMA, **SLOT_TYPES)).parquet(f"{store}/stats")
+    schema = with_fields(STATS_SCHEMA, **SLOT_TYPES)
+    return spark.read.schema(schema).parquet(f"{store}/stats").filter("start IS NOT NULL")
+
+
+def _refuse_loss(rows: DataFrame, store: str, inside: Column) -> None:
+    """Compares counts per interval, one number each; a first run has nothing to compare with."""
+    try:
+        landed = read_landed(rows.sparkSession, store)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    held = landed.filter(inside).groupBy(*SLOT).agg(F.count("*").alias("held"))
+    come = rows.groupBy(*SLOT).agg(F.count("*").alias("come"))
+    fewer = held.join(come, SLOT, "left").filter(F.coalesce("come", F.lit(0)) < F.col("held"))
+    first = fewer.orderBy(*SLOT).first()
+    if first:
+        raise ValueError(
+            f"interval {first['dt']} {first['slot']} has {first['held']} landed rows, and the source "
+            f"gives {first['come'] or 0}; a run that may lose rows has to say so"
+        )
 
 
 def ingest(
-    events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY
-) -> None:
-    """Lands the events of [start, end)."""
-    _check(events.sparkSession, start, end, every)
-    rows = events.filter(_within("event_time", start, end)).select(
-        *RAW_SCHEMA.fieldNames(), *_slot_of(F.col("event_time"), every)
+    events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
+    wait: str = LATENESS, may_lose: bool = False,
+) -> dict[str, int]:
+    """Lands the events of [start, end).
+
+    Returns counts of what was read: `landed`; `earlier` and `later`, outside the range; `no_time`;
+    and, where `events` tell when they were `received`, `missed`: those of earlier intervals that came
+    when the run before had stopped reading, `wait` after its end. These count once their intervals
+    are run again with a longer wait.
+    """
+    spark = events.sparkSession
+    _check(spark, start, end, every)
+    _claim(spark, store, every)
+    time = F.col("event_time")
+
+    def landed(df: DataFrame) -> DataFrame:
+        rows = df.filter(_within("event_time", start, end))
+        return rows.select(*RAW_SCHEMA.fieldNames(), *_slot_of(time, every))
+
+    if not may_lose:
+        _refuse_loss(landed(events), store, _slots(start, end, every))
+    known = "received" in events.columns
+    missed = (time < _moment(start)) & (F.col("received") >= _moment(start + span(wait))) if known else F.lit(False)
+    seen = Observation("landing")
+    counted = events.observe(
+        seen,
+        F.count_if(_within("event_time", start, end)).alias("landed"),
+        F.count_if(time < _moment(start)).alias("earlier"),
+        F.count_if(time >= _moment(end)).alias("later"),
+        F.count_if(time.isNull()).alias("no_time"),
+        F.count_if(missed).alias("missed"),
     )
-    _write(rows, f"{store}/raw", start, end, every)
+    _write(landed(counted), _run_slots(spark, start, end, every), f"{store}/raw")
+    return dict(seen.get)
 
 
 def aggregate(
@@ -142,50 +191,71 @@ def aggregate(
     width: str = WINDOW_WIDTH,
     slide: str = WINDOW_SLIDE,
 ) -> None:
-    """Stores the windows that end in (start, end], from landed rows."""
+    """Stores the windows that end in (start, end], from landed rows, and again those of the next
+    intervals that windows of these rows reach into, where these are landed."""
     _check(spark, start, end, every)
+    _claim(spark, store, every)
+    until = end + -(-span(width) // span(every)) * span(every)
+    raw = spark.read.schema(SLOT_SCHEMA).parquet(f"{store}/raw")
+    # As many as intervals fit into a window.
+    after = raw.filter(_slots(end, until, every)).distinct().collect()
+    mine = _run_slots(spark, start, end, every)
+    own = _slots(start, end, every)
+    for dt, slot in after:
+        own |= (F.col("dt") == F.lit(dt)) & (F.col("slot") == slot)
+        mine = mine.union(spark.range(1).select(F.lit(dt).alias("dt"), F.lit(slot).alias("slot")))
     first = start - span(width)
-    near = _slots(first, end, every) & _within("event_time", first, end)
+    near = _slots(first, until, every) & _within("event_time", first, until)
     rows = read_landed(spark, store).filter(near)
-    closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(end))
+    closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(until))
     last_moment = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
     stats = window_stats(rows, width, slide).filter(closed)
     stats = stats.withColumn("last", last_moment).select(
         *STATS_SCHEMA.fieldNames(), *_slot_of(F.col("last"), every)
     )
-    _write(stats, f"{store}/stats", start, end, every)
+    _write(stats.filter(own), mine, f"{store}/stats")
+
+
+def events_received(
+    messages: DataFrame, start: datetime, end: datetime, wait: str = LATENESS
+) -> DataFrame:
+    """Events of topic rows that the topic received from `wait` before the range to `wait` after it,
+    since the clocks of senders and brokers differ and events come late; with the time they were
+    `received`."""
+    at = F.col("timestamp")
+    reach = (at >= _moment(start - span(wait))) & (at < _moment(end + span(wait)))
+    parsed = parse_events(messages.filter(reach), keep=("timestamp",))
+    return with_event_time(parsed).withColumnRenamed("timestamp", "received")
 
 
 def topic_events(
     spark: SparkSession, servers: str, topic: str, start: datetime, end: datetime,
-    lateness: str = LATENESS, **more,
+    wait: str = LATENESS, **more,
 ) -> DataFrame:
-    """Events the topic received around the range, `lateness` before and after it, since the clocks
-    of senders and brokers differ: the source of a run. What came still later counts when the range
-    is run again with a longer wait."""
-    wait = span(lateness)
-    messages = read_topic_batch(spark, servers, topic, start - wait, end + wait, **more)
-    return with_event_time(parse_events(messages))
+    """The source of a run: `events_received` of a topic, of which no more than that is read."""
+    around = span(wait)
+    messages = read_topic_batch(spark, servers, topic, start - around, end + around, **more)
+    return events_received(messages, start, end, wait)
 
 
 def run_interval(
-    events: DataFrame, store: str, start: datetime, every: str = EVERY, **windows: str
-) -> None:
+    events: DataFrame, store: str, start: datetime, every: str = EVERY, wait: str = LATENESS,
+    may_lose: bool = False, **windows: str,
+) -> dict[str, int]:
     """One interval: land, then aggregate. An error while landing keeps the second from running; a
-    second run of the same interval replaces the first."""
-    end = start + span(every)
-    ingest(events, store, start, end, every)
-    aggregate(events.sparkSession, store, start, end, every, **windows)
+    second run of the same interval replaces the first. Returns the counts of `ingest`."""
+    return backfill(events, store, start, start + span(every), every, wait, may_lose, **windows)
 
 
 def backfill(
     events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
-    **windows: str,
-) -> None:
-    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all,
-    also by nothing."""
-    ingest(events, store, start, end, every)
+    wait: str = LATENESS, may_lose: bool = False, **windows: str,
+) -> dict[str, int]:
+    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all, by
+    fewer rows or none only if it `may_lose` them. Returns the counts of `ingest`."""
+    counts = ingest(events, store, start, end, every, wait, may_lose)
     aggregate(events.sparkSession, store, start, end, every, **windows)
+    return counts
 
 
 def covering_range(

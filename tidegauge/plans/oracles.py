@@ -68,13 +68,18 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "null_time_drop": windows("30 minutes", where="value >= 10 AND value < 200"),
     "json_quarantine": f"""
-        SELECT CASE WHEN value >= 100 OR value < 2 THEN 'bad' ELSE 'good' END AS verdict,
+        SELECT CASE WHEN value >= 100 OR value < 12 THEN 'bad' ELSE 'good' END AS verdict,
                event_id AS "offset",
-               CASE WHEN value >= 2 AND value < 100 THEN event_type END AS indicator,
-               CASE WHEN value >= 2 AND value < 100 THEN value END AS value,
+               CASE WHEN value >= 12 AND value < 100 THEN event_type END AS indicator,
+               CASE WHEN value >= 12 AND value < 100 THEN value END AS value,
                CASE WHEN value >= 100 THEN left(body, length(body) - 10)
                     WHEN value < 2
-                    THEN replace(body, '"value":' || value || ',', '"value":"none",') END AS raw
+                    THEN replace(body, '"value":' || value || ',', '"value":"none",')
+                    WHEN value < 4 THEN ''
+                    WHEN value < 6 THEN ' '
+                    WHEN value < 8 THEN '{{}}'
+                    WHEN value < 10 THEN body || body
+                    WHEN value < 12 THEN body || 'xyz' END AS raw
         FROM (SELECT *, {FULL_TEXT} AS body FROM events)""",
     "strict_events": f"""
         SELECT event_id AS "offset", {NAME} AS name, value, {MILLIS} AS ts FROM events""",
@@ -82,6 +87,9 @@ ORACLES: dict[str, str] = {
     "response_page": f"""{RESPONSE} FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type, event_id // 500 ORDER BY event_id)
                 <= 100""",
+    "response_pages": f"""{RESPONSE}, ((row_number() OVER
+                   (PARTITION BY event_type, event_id // 500 ORDER BY event_id) - 1) // 100 + 1)::INTEGER AS page
+        FROM events""",
     "series_select": """
         SELECT event_id, event_type AS stat_code, CAST(user_id AS VARCHAR) AS item_code,
                value AS data_value, 'D' AS cycle, strftime(ts, '%Y%m%d') AS time
@@ -131,6 +139,7 @@ ORACLES: dict[str, str] = {
     "raw_by_date": PER_DATE,
     "results_latest": HOUR,
     "interval_ingest_agg": MINUTE,
+    "interval_late": MINUTE,
     "backfill": f"""
         SELECT dt, sum(event)::BIGINT AS events, sum(win)::BIGINT AS windows
         FROM (SELECT CAST(ts AS DATE) AS dt, 1 AS event, 0 AS win FROM events

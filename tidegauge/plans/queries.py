@@ -25,19 +25,17 @@ from tidegauge.operators.lookup import attach_name
 from tidegauge.operators.positions import (
     commit_progress,
     delivery_report,
-    format_line,
     lag_report,
     log_bounds,
 )
 from tidegauge.operators.windows import window_stats
 from tidegauge.plans.feeds import (
-    EVENTS,
     SERIES_ROW,
     Stages,
     before,
     display_name,
     events,
-    events_glob,
+    events_stream,
     landed_events,
     messages,
     middle,
@@ -56,9 +54,13 @@ from tidegauge.schema import CORRUPT, READING_SCHEMA, STATS_SCHEMA
 from tidegauge.session import scratch_dir
 from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
-from tidegauge.sources.replay import replay_stream
-from tidegauge.sources.responses import explode_response, response_page as page_of, select_series
-from tidegauge.streaming.run import finish, message_stats, run_stream
+from tidegauge.sources.responses import (
+    explode_response,
+    response_page as page_of,
+    response_pages as pages_of,
+    select_series,
+)
+from tidegauge.streaming.run import consume, consumed_lines, finish, message_stats, run_stream
 from tidegauge.streaming.sinks import (
     latest_results,
     process_then_commit,
@@ -154,15 +156,21 @@ def null_time_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages cut short, or with a reading that is no number, told from the good ones in one
-    pass; their text is kept."""
+    """Bad messages told from the good ones in one pass, their text kept: cut short, with a reading
+    that is no number, without text, blank, without fields, two in one, with text behind."""
     text, reading = F.col("value"), F.col("reading")
     damage = (
         F.when(reading >= 100, F.expr("left(value, length(value) - 10)"))
         .when(reading < 2, F.regexp_replace(text, '"value":[0-9.]+', '"value":"none"'))
+        .when(reading < 4, F.lit(None).cast("string"))
+        .when(reading < 6, F.lit(" "))
+        .when(reading < 8, F.lit("{}"))
+        .when(reading < 10, F.concat(text, text))
+        .when(reading < 12, F.concat(text, F.lit("xyz")))
         .otherwise(text)
     )
-    tagged = tag_bad(messages(events(spark, sf_dir), damage), keep=("offset",))
+    topic = messages(events(spark, sf_dir), damage)
+    tagged = tag_bad(topic, keep=("offset",), required=("name", "value"))
     fine = F.col(CORRUPT).isNull()
     return tagged.select(
         F.when(fine, "good").otherwise("bad").alias("verdict"),
@@ -189,7 +197,13 @@ def response_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries 1 to 100 of every body."""
-    return page_of(responses(events(spark, sf_dir)), "body", SERIES_ROW, keep=("stat_code",))
+    bodies = responses(events(spark, sf_dir))
+    return page_of(bodies, "body", SERIES_ROW, 1, 100, keep=("stat_code",))
+
+
+def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of every body, with the number of its page of 100."""
+    return pages_of(responses(events(spark, sf_dir)), "body", SERIES_ROW, keep=("stat_code",))
 
 
 def series_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,8 +242,7 @@ def catalogue_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consumer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = messages(events(spark, sf_dir))
-    return format_line(parse_events(topic, keep=("partition", "offset")))
+    return consumed_lines(messages(events(spark, sf_dir)))
 
 
 def commit_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,24 +276,17 @@ def _drain(spark: SparkSession, stream: DataFrame, folder: str) -> None:
     )
 
 
-def _halves(ev: DataFrame) -> list[DataFrame]:
-    cut = before(middle(ev))
-    return [ev.filter(cut), ev.filter(~cut)]
-
-
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream, each window stored once when the watermark has passed it."""
-    events(spark, sf_dir)
     folder = scratch_dir(spark, "append")
-    _drain(spark, replay_stream(spark, events_glob(sf_dir), EVENTS), folder)
+    _drain(spark, events_stream(spark, sf_dir), folder)
     return without_zone(read_stats(spark, f"{folder}/out"))
 
 
 def stream_message_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from message bytes to stored window results, as a stream."""
-    events(spark, sf_dir)
     folder = scratch_dir(spark, "messages")
-    topic = messages(replay_stream(spark, events_glob(sf_dir), EVENTS))
+    topic = messages(events_stream(spark, sf_dir))
     finish(
         run_stream(
             topic, "parquet", path=f"{folder}/out", checkpoint=f"{folder}/checkpoint", drain=True,
@@ -292,65 +298,66 @@ def stream_message_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed comes a second time with other readings: too late for every stored window."""
-    ev = events(spark, sf_dir)
     folder = scratch_dir(spark, "late")
-    stages = Stages(spark, folder)
-    for rows in (ev, ev.withColumn("value", F.col("value") + 1000)):
-        stages.add(rows)
-        _drain(spark, stages.stream(), folder)
+    stages = Stages(spark, folder, sf_dir)
+    _drain(spark, stages.stream(), folder)
+    stages.add(events(spark, sf_dir).withColumn("value", F.col("value") + 1000))
+    _drain(spark, stages.stream(), folder)
     return without_zone(read_stats(spark, f"{folder}/out"))
 
 
+def _in_two_runs(spark: SparkSession, sf_dir: str, folder: str, run: Callable[[DataFrame], None]) -> None:
+    """`run` drains the first half of the feed, then, on the same checkpoint, the second."""
+    ev = events(spark, sf_dir)
+    first = before(middle(ev))
+    stages = Stages(spark, folder, sf_dir, first)
+    run(stages.stream())
+    stages.add(ev.filter(~first))
+    run(stages.stream())
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped halfway, started again on the same checkpoint: the state of open windows and the
     position are found again."""
     folder = scratch_dir(spark, "restart")
-    stages = Stages(spark, folder)
-    for rows in _halves(events(spark, sf_dir)):
-        stages.add(rows)
-        _drain(spark, stages.stream(), folder)
+    _in_two_runs(spark, sf_dir, folder, lambda stream: _drain(spark, stream, folder))
     return without_zone(read_stats(spark, f"{folder}/out"))
 
 
 def stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every change of every window, by batch; the latest one counts."""
     folder = scratch_dir(spark, "update")
-    stages = Stages(spark, folder)
-    for rows in _halves(events(spark, sf_dir)):
-        stages.add(rows)
+
+    def run(stream: DataFrame) -> None:
         finish(
             process_then_commit(
-                window_stats(ticks(stages.stream())), replace_batch(f"{folder}/out"),
+                window_stats(ticks(stream)), replace_batch(f"{folder}/out"),
                 f"{folder}/checkpoint", "update", drain=True,
                 shuffle_partitions=state_partitions(spark),
             )
         )
+
+    _in_two_runs(spark, sf_dir, folder, run)
     return without_zone(latest_results(read_batches(spark, f"{folder}/out", STATS_SCHEMA)))
 
 
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consumed lines, handled batch by batch before the position is stored."""
     folder = scratch_dir(spark, "lines")
-    stages = Stages(spark, folder)
-    for rows in _halves(events(spark, sf_dir)):
-        stages.add(rows)
-        topic = messages(stages.stream())
-        lines = format_line(parse_events(topic, keep=("partition", "offset")))
-        finish(
-            process_then_commit(
-                lines, replace_batch(f"{folder}/out"), f"{folder}/checkpoint", drain=True
-            )
-        )
+
+    def run(stream: DataFrame) -> None:
+        write = replace_batch(f"{folder}/out")
+        finish(consume(messages(stream), write, f"{folder}/checkpoint", drain=True))
+
+    _in_two_runs(spark, sf_dir, folder, run)
     schema = T.StructType([T.StructField("line", T.StringType())])
     return read_batches(spark, f"{folder}/out", schema).select("line")
 
 
 def stream_raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages landed by date as they come; rows per date and indicator."""
-    events(spark, sf_dir)
     folder = scratch_dir(spark, "landing")
-    topic = messages(replay_stream(spark, events_glob(sf_dir), EVENTS))
-    rows = with_event_time(parse_events(topic))
+    rows = with_event_time(parse_events(messages(events_stream(spark, sf_dir))))
     finish(write_raw(rows, f"{folder}/out", f"{folder}/checkpoint", drain=True))
     return _per_date(read_raw(spark, f"{folder}/out"))
 
@@ -377,16 +384,19 @@ def raw_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results at half time, then those of windows that end later, complete: the newer ones win."""
+    """A run's results at half time, twice; then, from a new checkpoint whose batch ids begin at 0
+    again, those of windows that end later, complete: the newer run wins, and what it lacks stays."""
     ev = events(spark, sf_dir)
     cut = middle(ev)
     path = f"{scratch_dir(spark, 'results')}/out"
     write = replace_batch(path)
     rows = ticks(ev)
     width, slide = "1 hour", "30 minutes"
-    write(window_stats(rows.filter(F.col("event_time") < cut), width, slide), 0)
+    half = window_stats(rows.filter(F.col("event_time") < cut), width, slide)
+    for batch_id in (0, 1):
+        write(half, batch_id, run=1)
     reach = F.col("event_time") >= cut - timedelta(hours=1)
-    write(window_stats(rows.filter(reach), width, slide).filter(F.col("end") > cut), 1)
+    write(window_stats(rows.filter(reach), width, slide).filter(F.col("end") > cut), 0, run=2)
     return latest_results(read_batches(spark, path, STATS_NO_ZONE))
 
 
@@ -422,6 +432,22 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interval_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days landed without their late rows, among them those of the last 30 s of a day; then run
+    again with them, the second half first: its first windows get late rows of the day before."""
+    rows = landed_events(events(spark, sf_dir))
+    at = F.col("event_time")
+    last_seconds = F.date_trunc("day", at) != F.date_trunc("day", at + F.expr("INTERVAL 30 SECONDS"))
+    store = scratch_dir(spark, "late-rows")
+    start, end = covering_range(rows, DAY)
+    half = start + timedelta(days=max(1, (end - start).days // 2))
+    run_backfill(rows.filter(~last_seconds & (F.col("value") < 100)), store, start, end, DAY)
+    for first, until in ((half, end), (start, half)):
+        if first < until:
+            run_backfill(rows, store, first, until, DAY)
+    return without_zone(read_interval_stats(spark, store).drop("dt", "slot"))
+
+
 QUERIES: dict[str, Query] = {
     "sliding_agg_1m": sliding_agg_1m,
     "sliding_agg_1h": sliding_agg_1h,
@@ -434,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "strict_events": strict_events,
     "response_explode": response_explode,
     "response_page": response_page,
+    "response_pages": response_pages,
     "series_select": series_select,
     "provider_union": provider_union,
     "catalogue_join": catalogue_join,
@@ -453,4 +480,5 @@ QUERIES: dict[str, Query] = {
     "results_latest": results_latest,
     "interval_ingest_agg": interval_ingest_agg,
     "backfill": backfill,
+    "interval_late": interval_late,
 }

@@ -18,6 +18,9 @@ READING_SCHEMA = T.StructType(
     [f for f in EVENT_SCHEMA.fields if f.name in ("indicator", "value", "ts")]
 )
 
+# What a consumer prints: the number as its text, whatever kind of number it is.
+LINE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "value")])
+
 CORRUPT = "_corrupt_record"
 
 # Result columns, in this order.

@@ -11,8 +11,10 @@ LATENESS = "2 minutes"
 PARQUET_TRIGGER = "30 seconds"
 CONSOLE_TRIGGER = "10 seconds"
 DIGITS = 4
-RESPONSE_FIRST_ROW = 1
-RESPONSE_LAST_ROW = 100
+RESPONSE_PAGE = 100
+
+# Our own: changed windows of a micro-batch that the console shows.
+CONSOLE_ROWS = 1000
 
 # Code, display name, base value.
 CATALOGUE = [

@@ -3,27 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegauge.settings import CATALOGUE
+from tidegauge.sources.values import value_table
 
 
 def catalogue(
     spark: SparkSession, entries: list[tuple[str, str, float]] = CATALOGUE
 ) -> DataFrame:
-    """The entries as a table of literals.
-
-    A plan of literals has a size Catalyst knows, so a join decides by that size whether to
-    broadcast it; rows passed through a local collection would count as unknown and be shuffled.
-    """
+    """The entries as a table of values, whose size Catalyst knows: it decides whether to broadcast."""
     if not entries:
         raise ValueError("an empty catalogue")
-    rows = [
-        F.struct(
-            F.lit(code).cast("string").alias("indicator"),
-            F.lit(name).cast("string").alias("name"),
-            F.lit(base).cast("double").alias("base"),
-        )
-        for code, name, base in entries
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return value_table(spark, {"indicator": "string", "name": "string", "base": "double"}, entries)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegauge.schema import response_schema
-from tidegauge.settings import RESPONSE_FIRST_ROW, RESPONSE_LAST_ROW
+from tidegauge.settings import RESPONSE_PAGE
 
 
 def response_rows(body: Column, row_schema: StructType | str) -> Column:
@@ -29,11 +29,12 @@ def response_page(
     df: DataFrame,
     body: str,
     row_schema: StructType | str,
+    first: int,
+    last: int,
     keep: tuple[str, ...] = (),
-    first: int = RESPONSE_FIRST_ROW,
-    last: int = RESPONSE_LAST_ROW,
 ) -> DataFrame:
-    """As `explode_response`, for entries `first` to `last` (from 1, both included) of each body.
+    """As `explode_response`, for entries `first` to `last` (from 1, both included) of each body and
+    no others; `response_pages` gives all.
 
     The array is cut before it becomes rows.
     """
@@ -43,6 +44,24 @@ def response_page(
     return df.select(*keep, F.inline(rows))
 
 
+def response_pages(
+    df: DataFrame,
+    body: str,
+    row_schema: StructType | str,
+    keep: tuple[str, ...] = (),
+    size: int = RESPONSE_PAGE,
+) -> DataFrame:
+    """As `explode_response`, with the number of the `page` (from 1) that each entry of a body is on,
+    `size` entries a page: all pages together hold every entry."""
+    if size < 1:
+        raise ValueError(f"no such page size: {size}")
+    numbered = F.transform(
+        response_rows(F.col(body), row_schema),
+        lambda row, i: F.struct((F.floor(i / size) + 1).cast("int").alias("page"), row.alias("row")),
+    )
+    return df.select(*keep, F.inline(numbered)).select(*keep, "page", "row.*")
+
+
 def select_series(
     df: DataFrame, stat: str, cycle: str, start: str, end: str, item: str = ""
 ) -> DataFrame:

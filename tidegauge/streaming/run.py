@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.operators.decode import parse_events, parse_strict, split_bad, with_event_time
+from tidegauge.operators.decode import (
+    parse_events,
+    parse_strict,
+    tag_bad,
+    watch_bad,
+    watch_quality,
+    with_event_time,
+)
 from tidegauge.operators.positions import format_line
 from tidegauge.operators.windows import window_stats
-from tidegauge.schema import READING_SCHEMA
+from tidegauge.schema import CORRUPT, LINE_SCHEMA, READING_SCHEMA
 from tidegauge.settings import LATENESS, SINK, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.streaming.sinks import BatchFn, process_then_commit, write_stream
 
@@ -19,28 +27,46 @@ def message_stats(
     slide: str = WINDOW_SLIDE,
     lateness: str = LATENESS,
 ) -> DataFrame:
-    """From topic rows to window results, for a table or a stream of messages."""
-    readings = parse_events(messages, READING_SCHEMA)
-    return window_stats(with_event_time(readings), width, slide, lateness)
+    """From topic rows to window results, for a table or a stream of messages. A stream is counted
+    on the way."""
+    readings = with_event_time(parse_events(messages, READING_SCHEMA))
+    if messages.isStreaming:
+        readings = watch_quality(readings)
+    return window_stats(readings, width, slide, lateness)
 
 
-def run_stream(messages: DataFrame, sink: str = SINK, **more) -> StreamingQuery:
-    """Starts the aggregate of a message stream; `more` goes to `write_stream`."""
-    return write_stream(message_stats(messages), sink, **more)
+def run_stream(
+    messages: DataFrame,
+    sink: str = SINK,
+    width: str = WINDOW_WIDTH,
+    slide: str = WINDOW_SLIDE,
+    lateness: str = LATENESS,
+    **more,
+) -> StreamingQuery:
+    """Starts the aggregate of a message stream; `more` goes to `write_stream`.
+
+    Each micro-batch counts its rows and those that no window sees; `progress` shows the counts.
+    """
+    return write_stream(message_stats(messages, width, slide, lateness), sink, **more)
 
 
 def consumed_lines(messages: DataFrame, strict: bool = False) -> DataFrame:
     """A line per message. `strict` ends the job at a message that cannot be read or lacks its name
-    or value; otherwise such messages are left out, and `split_bad` shows them."""
-    where = ("partition", "offset")
-    events = parse_strict(messages, keep=where) if strict else split_bad(messages, keep=where)[0]
-    return format_line(events)
+    or value; otherwise such messages are left out, and `split_bad` with the same required fields
+    shows them. A stream counts both kinds."""
+    where, required = ("partition", "offset"), ("name", "value")
+    if strict:
+        return format_line(parse_strict(messages, LINE_SCHEMA, keep=where, required=required))
+    tagged = tag_bad(messages, LINE_SCHEMA, keep=where, required=required)
+    if messages.isStreaming:
+        tagged = watch_bad(tagged)
+    return format_line(tagged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
 
 
 def consume(
     messages: DataFrame, fn: BatchFn, checkpoint: str, strict: bool = False, **more
 ) -> StreamingQuery:
-    """Hands the lines of each micro-batch to `fn(lines, batch_id)`, then stores the position."""
+    """Hands the lines of each micro-batch to `fn`, then stores the position."""
     return process_then_commit(consumed_lines(messages, strict), fn, checkpoint, **more)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,9 +12,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
 from tidegauge.session import require_utc, stream_options
-from tidegauge.settings import BROKERS, CONSOLE_TRIGGER, PARQUET_TRIGGER, SINK, TOPIC
+from tidegauge.settings import BROKERS, CONSOLE_ROWS, CONSOLE_TRIGGER, PARQUET_TRIGGER, SINK, TOPIC
 
-BatchFn = Callable[[DataFrame, int], None]
+#: Called with a micro-batch, its id, and the mark of the run that its id belongs to.
+BatchFn = Callable[[DataFrame, int, int], None]
 RESULT_KEY = ("start", "end", "indicator")
 
 
@@ -47,16 +49,19 @@ def write_stream(
     every: str | None = None,
     drain: bool = False,
     shuffle_partitions: int | None = None,
+    console_rows: int = CONSOLE_ROWS,
 ) -> StreamingQuery:
     """Window results to a sink by name.
 
-    "console" shows changed windows of each micro-batch (its first rows), untruncated. "parquet"
+    "console" shows changed windows of each micro-batch, untruncated: its first `console_rows`, since
+    the driver's terminal takes no large batch; all go to the other sink. "parquet"
     appends each window once, when the watermark has passed its end, to a folder partitioned by
     indicator; the `path` may be of any file system Spark knows. Its commit log and the checkpoint
     make a restart neither lose nor repeat a window. Both paths are to outlive the job.
     """
     if sink == "console":
-        writer = df.writeStream.format("console").outputMode("update").option("truncate", "false")
+        writer = df.writeStream.format("console").outputMode("update")
+        writer = writer.option("truncate", "false").option("numRows", str(console_rows))
         every = every or CONSOLE_TRIGGER
     elif sink == "parquet":
         if not path or not checkpoint:
@@ -162,6 +167,22 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA)
     return spark.read.schema(with_fields(schema, dt=T.DateType())).parquet(path)
 
 
+def run_mark(spark: SparkSession, checkpoint: str) -> int:
+    """The moment the checkpoint was first used, in microseconds, kept in the checkpoint.
+
+    Batch ids begin at 0 with each new checkpoint. The mark tells the batches of a later one from
+    those an earlier one left in the same place.
+    """
+    path = f"{checkpoint.rstrip('/')}/run"
+    try:
+        return spark.read.schema("run bigint").parquet(path).first()["run"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("run")).write.parquet(path)
+    return run_mark(spark, checkpoint)
+
+
 def process_then_commit(
     df: DataFrame,
     fn: BatchFn,
@@ -171,37 +192,40 @@ def process_then_commit(
     drain: bool = False,
     shuffle_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Runs `fn(batch, batch_id)` on each micro-batch and stores the position afterwards.
+    """Runs `fn(batch, batch_id, run)` on each micro-batch and stores the position afterwards.
 
     After a crash in between, the batch comes again under the same id: at least once. A `fn` that
-    replaces what it wrote under that id makes it exactly once.
+    replaces what it wrote under that id and run makes it exactly once.
     """
-    writer = df.writeStream.outputMode(mode).foreachBatch(fn)
+    run = run_mark(df.sparkSession, checkpoint)
+    writer = df.writeStream.outputMode(mode).foreachBatch(lambda batch, batch_id: fn(batch, batch_id, run))
     return start(writer, df.sparkSession, checkpoint, every, drain, shuffle_partitions)
 
 
 def replace_batch(path: str) -> BatchFn:
-    """A `fn` for `process_then_commit`: a folder per batch, replaced if the batch comes again."""
+    """A `fn` for `process_then_commit`: a folder per run and batch, replaced if the batch comes again."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int, run: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return write
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What `replace_batch` wrote, with the `batch_id` of each row."""
-    return spark.read.schema(with_fields(schema, batch_id=T.LongType())).parquet(path)
+    """What `replace_batch` wrote, with the `run` and `batch_id` of each row."""
+    marked = with_fields(schema, run=T.LongType(), batch_id=T.LongType())
+    return spark.read.schema(marked).parquet(path)
 
 
 def latest_results(df: DataFrame) -> DataFrame:
-    """One row per (start, end, indicator): the one of the highest `batch_id`.
+    """One row per (start, end, indicator): the one of the latest run, and in it of the highest
+    `batch_id`. Results that only an earlier run has stay.
 
     An aggregate, not a ranking: it combines before the shuffle and sorts nothing. Copies of a row
     that a repeated batch appended fall together here.
     """
     payload = F.struct("avg_value", "max_value", "cnt")
-    newest = df.groupBy(*RESULT_KEY).agg(F.max_by(payload, "batch_id").alias("row"))
+    newest = df.groupBy(*RESULT_KEY).agg(F.max_by(payload, F.struct("run", "batch_id")).alias("row"))
     return newest.select(*RESULT_KEY, "row.*")
 
 
@@ -211,13 +235,13 @@ def jdbc_options(url: str, table: str, connections: int = 8, **extra: str) -> di
 
 
 def append_jdbc(url: str, table: str, connections: int = 8, **extra: str) -> BatchFn:
-    """A `fn` for `process_then_commit`: appends the batch, marked with its `batch_id`, to a
-    relational table. Read it through `latest_results`, which also undoes a repeated batch."""
+    """A `fn` for `process_then_commit`: appends the batch, marked with its `run` and `batch_id`, to
+    a relational table. Read it through `latest_results`, which also undoes a repeated batch."""
     options = jdbc_options(url, table, connections, **extra)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        marked.write.format("jdbc").mode("append").options(**options).save()
+    def write(batch: DataFrame, batch_id: int, run: int) -> None:
+        marks = {"run": F.lit(run).cast("long"), "batch_id": F.lit(batch_id).cast("long")}
+        batch.withColumns(marks).write.format("jdbc").mode("append").options(**options).save()
 
     return write
 
