@@ -1,0 +1,109 @@
+import numpy as np
+import pytest
+from cases import union_find
+
+from tidegauge.llm import embedding_dedup as ed
+from tidegauge.llm.queries import op10_embedding_dedup
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, node int, copies int, rank int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, l, 0, 0, 0) for i, v, l in rows], SCHEMA)
+
+
+def able(v, label):
+    return label is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)
+
+
+def plain(rows):
+    """n_links and component of each id, by all pairs in double precision."""
+    good = [(i, np.array(v, dtype=float) / np.abs(v).max(), l) for i, v, l in rows if able(v, l)]
+    links = []
+    for k, (i, v, l) in enumerate(good):
+        for j, w, m in good[:k]:
+            if l == m and len(v) == len(w) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98:
+                links.append((i, j))
+    roots, n = union_find([r[0] for r in rows], links), dict.fromkeys((r[0] for r in rows), 0)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    return {i: (n[i], roots[i], roots[i] == i) for i in n}
+
+
+def result(df):
+    return {r.vec_id: tuple(r)[1:] for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    assert result(op10_embedding_dedup(spark, sf_dir)) == plain(rows)
+
+
+def clusters(seed, groups, size, noise, d=16, labels=3):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        centre = rng.standard_normal(d)
+        for _ in range(size):
+            rows.append((len(rows), (centre + noise * rng.standard_normal(d)).tolist(), g % labels))
+    return rows
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.1, 0.14])
+def test_clusters(spark, noise):
+    """Also where groups are chains of links rather than all linked with all."""
+    rows = clusters(1, 20, 15, noise)
+    assert result(ed.near_duplicates(table(spark, rows))) == plain(rows)
+
+
+def test_recall_with_windows_much_smaller_than_the_group(spark):
+    """No link is wrong, components are whole, and most links are found, tiles and windows cut small."""
+    rows = clusters(2, 2, 300, 0.03)
+    expected = plain(rows)
+    got = result(ed.near_duplicates(table(spark, rows), width=64, rows=64))
+    assert {i: g[1:] for i, g in got.items()} == {i: e[1:] for i, e in expected.items()}
+    assert all(g[0] <= expected[i][0] for i, g in got.items())
+    assert sum(g[0] for g in got.values()) >= 0.9 * sum(e[0] for e in expected.values())
+
+
+def test_tiles_do_not_change_what_is_compared(spark):
+    rows = clusters(3, 4, 60, 0.05)
+    found = [result(ed.near_duplicates(table(spark, rows), width=20, passes=2, rows=r)) for r in (20, 33, 4096)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_awkward_rows(spark):
+    v = [1.0, 2.0, 3.0, 4.0]
+    rows = [
+        (1, v, 0), (2, v, 0), (3, [2 * x for x in v], 0), (4, [-x for x in v], 0), (5, v, 1), (6, v, None), (7, None, 0), (8, [0.0] * 4, 0),
+        (9, [1.0, None, 3.0, 4.0], 0), (10, [1.0, float("nan"), 3.0, 4.0], 0), (11, [float("inf"), 1.0, 1.0, 1.0], 0), (12, [], 0), (13, [1.0, 2.0, 3.0], 0),
+        (14, [1e300, 2e300, 3e300, 4e300], 0), (15, [1e-300, 2e-300, 3e-300, 4e-300], 0), (16, [-0.0, 0.0, 1.0, 0.0], 0), (17, [0.0, -0.0, 1.0, 0.0], 0), (-5, v, 1),
+    ]
+    got = result(ed.near_duplicates(table(spark, rows)))
+    expected = plain([(i, w if w else None, l) for i, w, l in rows])
+    assert got == expected
+    assert got[1] == (4, 1, True) and got[5] == (1, -5, False) and got[6] == (0, 6, True)
+
+
+def test_repeated_and_missing_ids_and_no_rows(spark):
+    v = [1.0, 0.0]
+    rows = ed.near_duplicates(table(spark, [(1, v, 0), (1, v, 0), (None, v, 0)])).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in rows), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, False)]
+    assert ed.near_duplicates(table(spark, [])).collect() == []
+    assert result(ed.near_duplicates(table(spark, [(1, None, 0)]))) == {1: (0, 1, True)}
+
+
+def test_one_huge_group_of_copies(spark):
+    rows = [(i, [1.0, 2.0], 0) for i in range(3000)]
+    got = result(ed.near_duplicates(table(spark, rows)))
+    assert set(got.values()) == {(2999, 0, True), (2999, 0, False)}
+
+
+def test_the_threshold_itself():
+    frame = ed.pd.DataFrame({
+        "rank": [0, 1], "node": [1, 2], "pass": [0, 0], "label": [0, 0], "size": [2, 2], "vector": [[1.0, 0.0], [0.98, np.sqrt(1 - 0.98**2)]],
+    })
+    near = ed.compare(frame, 0, 5, 5, 0.98)
+    cosine = float(np.einsum("j,j->", *ed.units(np.array(frame["vector"].to_list()))))
+    assert len(near) == (cosine >= 0.98)

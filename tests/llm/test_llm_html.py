@@ -1,0 +1,109 @@
+import html
+import re
+
+import numpy as np
+import pytest
+
+from tidegauge.llm import html_text as ht
+from tidegauge.llm.queries import op4_html_text
+
+TREE = ht.train()
+LOREM = "Long enough to be the text of an article and not of a menu, this line has many words in it. "
+
+
+def text(page):
+    return ht.main_text(page, TREE)
+
+
+def test_query_equals_the_articles_of_these_pages(spark, sf_dir):
+    """In the tables all of the main text is in one article, and its blocks are paragraphs."""
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = op4_html_text(spark, sf_dir).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", pages[r.page_id].html, re.DOTALL)[1]
+        parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in re.split("</?(?:p|h1)>", article)]
+        assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, "\n".join(p for p in parts if p), len(r.text))
+
+
+PAGE = f"""<!doctype html><html><head><title>Not this</title><script>if (a < b) document.write("<p>no</p>")</script></head>
+<body class="has-sidebar menu-open"><header><h2>The site</h2><p>{LOREM}</p></header>
+<nav><ul><li><a href="/a">Home</a><li><a href="/b">News</a></ul></nav>
+<div class="cookie-notice" role="alert"><p>{LOREM}</p></div>
+<main><article><header><h1>A  title &amp;\n more</h1></header>
+<p>First&nbsp;paragraph with <b>bold, <i>both</b> and</i> <a href="x">a link</a>.<p>Second<br>line &lt;b&gt; &#233;&#x41;
+<div class='ad-box'><p>{LOREM}</p></div><ul><li>One<li>Two</ul><aside>{LOREM}</aside>
+<form><p>{LOREM}</p><input value="x>y"><button>Send</button></form><style>p {{ color: red }}</style>
+<h2>Short</h2><p>Ti.</p><!-- <p>hidden</p> --></article>
+<section id="comments"><article class="comment"><p>{LOREM}{LOREM}</p></article></section></main>
+<div class="sidebar"><p>{LOREM}</p></div><p>{LOREM}</p><footer>&copy; site {LOREM}</footer></body></html>"""
+
+
+def test_a_page_with_all_kinds_of_other_parts():
+    assert text(PAGE).split("\n") == [
+        "A title & more", "First paragraph with bold, both and a link.", "Second line <b> éA", "One", "Two", "Short", "Ti.",
+    ]
+
+
+def test_pages_without_an_article_go_by_words_and_links():
+    page = f"<body><div><a href=a>Home</a></div><div><a href=b>All our many news of today</a></div><div><h1>A title of some words</h1><p>{LOREM}</p><p>{LOREM}</p></div>" \
+        f"<div><a href=c>Read on about this</a> <a href=d>and this too</a></div>"
+    got = text(page).split("\n")
+    assert got == ["A title of some words", LOREM.strip(), LOREM.strip()]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (None, ""), ("", ""), (" \n ", ""), ("<", "<"), ("<!-- never closed <article>x</article>", ""), ("<script>never closed", ""),
+        ("<article>a < b and c > d</article>", "a < b and c > d"), ("<article>x<p>y</div></p></article></article>z", "x\ny"),
+        ("<article><p title='a>b'>q</p></article>", "q"), ("<article><p title=\"never closed>q</p></article>", "q"),
+        ("<ARTICLE><P>Case</P></ARTICLE>", "Case"), ("<article><svg><text>no</text></svg>yes</article>", "yes"),
+        ("<article>&amp;lt; &nosuch; &#0;</article>", "&lt; &nosuch; �"), ("<article>cut off <b", "cut off <b"),
+        ("<article><p>unclosed", "unclosed"), ("<article><script/>x</article>", "x"),
+        ("<article>one\r\n\ttwo three</article>", "one two three"), ("<article><table><tr><td>a<td>b</table></article>", "a\nb"),
+    ],
+)
+def test_damaged_and_small_pages(page, expected):
+    assert text(page) == expected
+
+
+def test_long_pages_are_read_whole_and_quickly():
+    page = "<article>" + "<p>" + "word " * 200_000 + "</p>" + "<p a=\"b\" c='" * 20_000 + "<div>" * 20_000 + "x" + "</article>"
+    got = text(page)
+    assert got.startswith("word word") and got.count("word") == 200_000
+
+
+def test_awkward_rows(spark):
+    schema = "page_id bigint, url string, html string, text string, n_chars int"
+    rows = [(1, "u", "<article>ä 日本</article>", "?", 0), (1, "u", "<article>ä 日本</article>", "?", 0), (None, None, None, None, None)]
+    got = ht.extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "u", "ä 日本", 4), (1, "u", "ä 日本", 4), (None, None, "", 0)], key=str)
+    assert ht.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_the_tree_fits_its_table_and_reads_neighbours():
+    for page in ht.LABELLED:
+        rows = ht.describe([b[:3] for b in page])
+        assert [ht.is_main(TREE, r) for r in rows] == [bool(b[3]) for b in page]
+
+    def used(node):
+        return set() if node.feature is None else {node.feature} | used(node.low) | used(node.high)
+
+    assert {ht.FEATURES[i] for i in used(TREE)} >= {"words", "link density"} and used(TREE) & {2, 3, 4, 5}
+
+
+def test_all_of_an_article_and_nothing_named_as_other_parts():
+    """Wherever it stands and whatever it is like."""
+    for words in (1, 5, 12, 60):
+        for linked in (0, words // 2, words):
+            for before in ((0, 0), (3, 0), (3, 3), (50, 2)):
+                for after in ((0, 0), (3, 0), (3, 3), (50, 2)):
+                    row = lambda place: ht.describe([(*before, place), (words, linked, place), (*after, place)])[1]
+                    assert ht.is_main(TREE, row(ht.ARTICLE))
+                    assert not ht.is_main(TREE, row(ht.OTHER)) and not ht.is_main(TREE, row(ht.BESIDE))
+
+
+def test_features():
+    rows = ht.describe([(4, 1, ht.PLAIN), (10, 0, ht.ARTICLE)])
+    assert np.array_equal(rows, [[4, 0.25, 0, 0, 10, 0, ht.PLAIN], [10, 0, 4, 0.25, 0, 0, ht.ARTICLE]])

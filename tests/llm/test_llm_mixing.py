@@ -1,0 +1,124 @@
+import hashlib
+import math
+import re
+from collections import defaultdict
+
+import pytest
+from cases import documents, no_documents, on_disk
+from pyspark.sql import functions as F
+
+from tidegauge.llm import mixing
+from tidegauge.llm.queries import op8_mix
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_targets(sizes, weights=(3, 1, 2)):
+    """Rounds of sharing: full sources leave, the rest is shared again."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    total, full = 1.5 * sum(sizes.values()), set()
+    while True:
+        rest = total - sum(2 * sizes[s] for s in full)
+        open_weight = sum(weight[s] for s in names if s not in full)
+        above = {s for s in names if s not in full and rest * weight[s] / open_weight > 2 * sizes[s]}
+        if not above:
+            return {s: 2.0 * sizes[s] if s in full else rest * weight[s] / open_weight for s in names}
+        full |= above
+
+
+def check(rows, given):
+    sizes = defaultdict(int)
+    for _, text, source in given:
+        sizes[source] += len(WORDS.findall(text or ""))
+    targets = plain_targets(sizes)
+    by_source, taken = defaultdict(list), defaultdict(int)
+    for r in rows:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(targets[r.source])
+        assert 0 <= r.taken <= 2 * r.size
+        by_source[r.source].append(r)
+        taken[r.source] += r.taken
+    for source, total in taken.items():
+        assert abs(total - targets[source]) < 1
+        at = 0
+        key = lambda r: (hashlib.md5(b"" if r.doc_id is None else str(r.doc_id).encode()).hexdigest(), r.doc_id or 0, r.size)
+        for r in sorted(by_source[source], key=key):
+            whole = math.floor(r.target)
+            parts = [min(r.size, max(0, whole - k * sizes[source] - at)) for k in (0, 1)]
+            assert r.taken == sum(parts)
+            assert r.copies == sum(r.size > 0 and 2 * p >= r.size for p in parts) == len(r.positions)
+            at += r.size
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    given = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    check(mixing.mix(docs).collect(), given)
+    assert op8_mix(spark, sf_dir).count() == len(given)
+
+
+def test_awkward_rows(spark):
+    df = documents(spark)
+    check(mixing.mix(df).collect(), [(r.doc_id, r.text, r.source) for r in df.collect()])
+
+
+def test_no_words_and_no_rows(spark):
+    rows = [(1, None, "en", "a"), (2, "", "en", None)]
+    got = mixing.mix(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.target, r.taken, r.copies) for r in got} == {(1, 0.0, 0, 0), (2, 0.0, 0, 0)}
+    assert mixing.mix(no_documents(spark)).collect() == []
+
+
+def test_one_source_of_nearly_all_rows(spark):
+    rows = [(i, f"a few words number {i}", "en", "hot" if i % 50 else "rare") for i in range(2000)]
+    check(mixing.mix(documents(spark, rows)).collect(), [(r[0], r[1], r[3]) for r in rows])
+
+
+def test_parts_do_not_change_the_mix(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "ROWS_PER_PART", 3)
+    assert {r.doc_id: r for r in mixing.mix(docs).collect()} == before
+
+
+@pytest.mark.parametrize("schedule", [*mixing.SCHEDULES, ((0, 0), (0.25, 3), (1, 0))])
+def test_position_is_where_the_schedule_has_used_its_share(spark, schedule):
+    shares = [i / 50 for i in range(51)]
+    df = spark.createDataFrame([(s,) for s in shares], "share double")
+    times = [r.t for r in df.select("share", mixing.when_used(schedule, F.col("share")).alias("t")).sort("share").collect()]
+    assert times == sorted(times) and times[0] == 0 and times[-1] == pytest.approx(1)
+
+    def used(t):
+        total = 0.0
+        for (a, w), (b, v) in zip(schedule, schedule[1:]):
+            x = min(max(t - a, 0), b - a)
+            total += w * x + (v - w) / (b - a) * x * x / 2
+        return total / mixing.area(schedule)
+
+    assert [used(t) for t in times] == pytest.approx(shares)
+
+
+@pytest.mark.parametrize("schedule", [((0.1, 1), (1, 1)), ((0, 1), (0, 1)), ((0, -1), (1, 1)), ((0, 0), (1, 0))])
+def test_bad_schedules(schedule):
+    with pytest.raises(ValueError):
+        mixing.segments(schedule)
+
+
+def test_documents_come_in_training_order_as_often_as_taken(spark, tmp_path):
+    df = on_disk(documents(spark), tmp_path / "docs")
+    copies = {}
+    for r in mixing.mix(df).collect():
+        copies[r.doc_id, r.size] = copies.get((r.doc_id, r.size), 0) + r.copies
+    got = mixing.mix_documents(df)
+    assert got.columns == df.columns
+    counted = {}
+    for r in got.collect():
+        at = (r.doc_id, len(WORDS.findall(r.text or "")))
+        counted[at] = counted.get(at, 0) + 1
+    assert counted == {k: v for k, v in copies.items() if v}
+
+
+def test_no_python_in_the_plan(spark, sf_dir, capsys):
+    op8_mix(spark, sf_dir).explain()
+    assert "Python" not in capsys.readouterr().out

@@ -1,0 +1,65 @@
+"""The stages against brute force, each on what its predecessor kept."""
+
+import importlib
+
+import pytest
+from cases import documents, no_documents, on_disk, union_find
+from test_llm_decontamination import plain as passages
+from test_llm_sharding import plain_jump
+from test_llm_simhash import plain_fingerprint
+
+import corpus_pipeline
+from tidegauge.llm.queries import SHARDS
+
+
+def stages(spark, docs, sf_dir, tmp_path):
+    kept = [docs]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        kept.append(on_disk(stage(spark, kept[-1], sf_dir), tmp_path / str(i)))
+    return kept
+
+
+@pytest.fixture
+def small_dir(spark, tmp_path):
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_stages_do_what_they_say(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = stages(spark, docs, sf_dir, tmp_path)
+    rows = [{r.doc_id: r.text for r in k.collect()} for k in kept]
+    assert all(k.columns == docs.columns for k in kept[:-1])
+    assert rows[1] == {i: t for i, t in rows[0].items() if any(c.isalpha() for c in t)}
+    fps = {i: plain_fingerprint(t) for i, t in rows[1].items()}
+    ids = sorted(fps)
+    roots = union_find(ids, [(a, b) for k, a in enumerate(ids) for b in ids[:k] if (fps[a] ^ fps[b]).bit_count() <= 4])
+    assert rows[2] == {i: t for i, t in rows[1].items() if roots[i] == i}
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert rows[3] == {i: t for i, t in rows[2].items() if not passages(t, items)[4]}
+    assert set(rows[4]) <= set(rows[3])
+    words = lambda k: sum(len(r.text.split()) for r in k.select("text").collect())
+    assert words(kept[4]) == pytest.approx(1.5 * words(kept[3]), rel=0.05)
+    last = kept[5].collect()
+    assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in kept[4].collect())
+    assert all(r.shard == plain_jump(r.doc_id, SHARDS) for r in last)
+    for shard in range(SHARDS):
+        slots = sorted(r.slot for r in last if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_awkward_rows(spark, small_dir, tmp_path):
+    docs = on_disk(documents(spark), tmp_path / "docs")
+    kept = stages(spark, docs, small_dir, tmp_path)
+    assert all(k.columns == docs.columns for k in kept[:-1])
+    assert kept[-1].count() > 0
+
+
+def test_no_rows(spark, small_dir, tmp_path):
+    assert stages(spark, on_disk(no_documents(spark), tmp_path / "docs"), small_dir, tmp_path)[-1].collect() == []
+
+
+def test_run(spark, sf_dir):
+    entry_point = importlib.import_module("__spark_entry__")
+    assert entry_point.queries()["pipeline"] is corpus_pipeline.run
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
