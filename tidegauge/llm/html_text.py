@@ -49,7 +49,9 @@ TAG = re.compile(
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECES = re.compile(r"[^a-z0-9]+")
 
-PLAIN, ARTICLE, BESIDE, OTHER = range(4)
+# Where a block stands, the more likely main text the higher: in a part that is no article, beside an
+# article, on a page without one, in one.
+OTHER, BESIDE, PLAIN, ARTICLE = range(4)
 
 
 class Block(NamedTuple):
@@ -156,7 +158,7 @@ def blocks(html: str) -> list[Block]:
     ]
 
 
-FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "article", "beside", "other")
+FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "standing")
 
 
 def describe(rows: list[tuple[int, int, int]]) -> np.ndarray:
@@ -166,32 +168,39 @@ def describe(rows: list[tuple[int, int, int]]) -> np.ndarray:
     """
     table = np.zeros((len(rows) + 2, 2))
     table[1:-1] = [(words, linked / max(words, 1)) for words, linked, _ in rows]
-    place = np.array([p for _, _, p in rows])
-    marks = np.stack([place == ARTICLE, place == BESIDE, place == OTHER], axis=1)
-    return np.hstack([table[1:-1], table[:-2], table[2:], marks])
+    standing = np.array([[place] for _, _, place in rows])
+    return np.hstack([table[1:-1], table[:-2], table[2:], standing])
 
 
 # The labelled table: pages as blocks of (words, linked words, place, main text or not).
 LABELLED: tuple[tuple[tuple[int, int, int, int], ...], ...] = (
     # An article with its menu, an advert and a footer.
-    ((1, 1, 3, 0), (1, 1, 3, 0), (2, 2, 3, 0), (11, 0, 3, 0), (9, 0, 1, 1), (64, 0, 1, 1), (1, 0, 1, 1), (120, 3, 1, 1), (12, 0, 3, 0)),
-    ((1, 1, 3, 0), (45, 0, 3, 0), (12, 0, 1, 1), (5, 0, 1, 1), (3, 3, 1, 1), (35, 10, 1, 1), (8, 0, 3, 0)),
+    ((1, 1, 0, 0), (1, 1, 0, 0), (2, 2, 0, 0), (11, 0, 0, 0), (9, 0, 3, 1), (64, 0, 3, 1), (1, 0, 3, 1), (120, 3, 3, 1), (12, 0, 0, 0)),
+    ((1, 1, 0, 0), (45, 0, 0, 0), (12, 0, 3, 1), (5, 0, 3, 1), (3, 3, 3, 1), (35, 10, 3, 1), (8, 0, 0, 0)),
     # A long advert and long comments around a short article; lists of links inside it.
-    ((90, 2, 3, 0), (6, 0, 1, 1), (2, 0, 1, 1), (4, 4, 1, 1), (5, 5, 1, 1), (60, 0, 3, 0), (75, 0, 3, 0), (20, 4, 3, 0)),
+    ((90, 2, 0, 0), (6, 0, 3, 1), (2, 0, 3, 1), (4, 4, 3, 1), (5, 5, 3, 1), (60, 0, 0, 0), (75, 0, 0, 0), (20, 4, 0, 0)),
+    ((2, 2, 0, 0), (3, 0, 3, 1), (8, 0, 3, 1), (5, 5, 3, 1), (2, 0, 3, 1), (4, 4, 3, 1), (1, 0, 3, 1), (12, 12, 3, 1)),
     # What stands beside an article.
-    ((30, 0, 2, 0), (8, 0, 1, 1), (200, 5, 1, 1), (25, 0, 2, 0), (6, 6, 2, 0)),
-    ((3, 3, 2, 0), (1, 0, 1, 1), (40, 0, 1, 1), (50, 0, 2, 0), (10, 0, 2, 0)),
+    ((30, 0, 1, 0), (8, 0, 3, 1), (200, 5, 3, 1), (25, 0, 1, 0), (6, 6, 1, 0)),
+    ((3, 3, 1, 0), (1, 0, 3, 1), (40, 0, 3, 1), (50, 0, 1, 0), (10, 0, 1, 0)),
     # No article is marked: words and links tell, and a short block goes with its neighbours.
-    ((2, 2, 0, 0), (3, 3, 0, 0), (7, 0, 0, 1), (85, 2, 0, 1), (60, 0, 0, 1), (4, 0, 0, 1), (70, 1, 0, 1), (3, 3, 0, 0), (4, 4, 0, 0)),
-    ((1, 1, 0, 0), (2, 1, 0, 0), (3, 3, 0, 0), (30, 0, 0, 1), (18, 0, 0, 1), (25, 3, 0, 1), (6, 5, 0, 0), (5, 5, 0, 0)),
-    ((5, 5, 0, 0), (9, 0, 0, 1), (110, 4, 0, 1), (40, 36, 0, 0), (22, 20, 0, 0), (3, 2, 0, 0)),
-    ((4, 4, 3, 0), (50, 0, 0, 1), (12, 0, 0, 1), (33, 0, 0, 1), (10, 0, 3, 0), (3, 0, 3, 0)),
-    ((65, 0, 0, 1), (2, 0, 0, 1), (50, 0, 0, 1), (80, 1, 0, 1), (1, 0, 0, 1), (44, 0, 0, 1)),
-    ((3, 3, 0, 0), (8, 0, 0, 0), (4, 4, 0, 0), (2, 2, 0, 0), (11, 0, 0, 0), (5, 5, 0, 0)),
-    ((40, 0, 0, 1),),
-    ((3, 0, 0, 0), (2, 2, 0, 0), (2, 0, 0, 0), (4, 4, 0, 0)),
+    ((2, 2, 2, 0), (3, 3, 2, 0), (7, 0, 2, 1), (85, 2, 2, 1), (60, 0, 2, 1), (4, 0, 2, 1), (70, 1, 2, 1), (3, 3, 2, 0), (4, 4, 2, 0)),
+    ((1, 1, 2, 0), (2, 1, 2, 0), (3, 3, 2, 0), (30, 0, 2, 1), (18, 0, 2, 1), (25, 3, 2, 1), (6, 5, 2, 0), (5, 5, 2, 0)),
+    ((5, 5, 2, 0), (9, 0, 2, 1), (110, 4, 2, 1), (40, 36, 2, 0), (22, 20, 2, 0), (3, 2, 2, 0)),
+    ((4, 4, 0, 0), (50, 0, 2, 1), (12, 0, 2, 1), (33, 0, 2, 1), (10, 0, 0, 0), (3, 0, 0, 0)),
+    ((65, 0, 2, 1), (2, 0, 2, 1), (50, 0, 2, 1), (80, 1, 2, 1), (1, 0, 2, 1), (44, 0, 2, 1)),
+    ((3, 3, 2, 0), (8, 0, 2, 0), (4, 4, 2, 0), (2, 2, 2, 0), (11, 0, 2, 0), (5, 5, 2, 0)),
+    ((1, 1, 2, 0), (6, 6, 2, 0), (6, 0, 2, 1), (19, 0, 2, 1), (19, 0, 2, 1), (8, 8, 2, 0)),
+    ((10, 10, 2, 0), (15, 1, 2, 1), (5, 5, 2, 0), (28, 0, 2, 1), (9, 9, 2, 0)),
+    ((2, 2, 2, 0), (5, 0, 2, 1), (33, 2, 2, 1), (7, 0, 2, 1), (26, 1, 2, 1), (3, 3, 2, 0), (6, 0, 2, 0), (2, 2, 2, 0)),
+    ((7, 0, 2, 1), (22, 0, 2, 1), (17, 0, 2, 1), (3, 0, 2, 1), (41, 0, 2, 1)),
+    ((1, 1, 2, 0), (30, 0, 2, 1), (4, 4, 2, 0)),
+    ((2, 2, 2, 0), (75, 2, 2, 1), (1, 1, 2, 0), (9, 0, 2, 0), (3, 3, 2, 0)),
+    ((40, 0, 2, 1),),
+    ((12, 0, 2, 1),),
+    ((3, 0, 2, 0), (2, 2, 2, 0), (2, 0, 2, 0), (4, 4, 2, 0)),
 )
-DEPTH = 6
+DEPTH = 8
 
 
 class Node(NamedTuple):
