@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -239,9 +240,17 @@ def keep_first(
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One document of each group, whole rows: that of the smallest id. Of rows that repeat this id
-    one stays; documents without an id stay where their whole group has none."""
+    one stays. A group without any id has no such document; all of its rows stay."""
     groups = simhash_groups(docs, shingle, distance, id_column, text)
     kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_tg_id")).distinct()
-    nameless = groups.filter("component_id IS NULL").limit(1).count() > 0
     first = docs.join(kept, F.col(id_column) == F.col("_tg_id"), "left_semi").dropDuplicates([id_column])
-    return first.unionByName(docs.filter(F.col(id_column).isNull())) if nameless else first
+    nameless = groups.filter("component_id IS NULL").select(F.conv("fingerprint", 16, -10).cast("long").alias("_tg_fp"))
+    if nameless.isEmpty():
+        return first
+
+    def signed(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="uint64").astype("int64")
+
+    signed.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    without = docs.filter(F.col(id_column).isNull()).withColumn("_tg_fp", F.pandas_udf(signed, "bigint")(F.col(text)))
+    return first.unionByName(without.join(nameless.distinct(), "_tg_fp", "left_semi").drop("_tg_fp"))
