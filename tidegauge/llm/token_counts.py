@@ -1,8 +1,9 @@
 """Token counts under a unigram model, over a trie of distinct pre-tokens.
 
 The tokens of a pre-token are the segmentation of the greatest probability. Its forward scores,
-one per prefix, depend on the prefix alone, so they are kept in a trie: a prefix that many
-pre-tokens share is scored once. The node where a pre-token ends keeps how many tokens it takes.
+one per prefix, depend on the prefix alone: they belong to the nodes of a trie of all distinct
+pre-tokens, and a prefix that many share is scored once. What the node where a pre-token ends says,
+how many tokens it takes, is kept.
 
 Pieces come from a public vocabulary file. It ranks pieces by merges rather than giving their
 probabilities; the piece of rank r gets one in proportion to 1 / (r + 1), as ranked words have.
@@ -12,7 +13,8 @@ Characters without a piece fall back to the pieces of their UTF-8 bytes, as like
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -21,14 +23,18 @@ from pyspark.sql import DataFrame
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed value: what the vocabulary puts before a word.
 WORD_START = "▁"
-#: A trie of more nodes is dropped and begun anew; its counts come out the same.
-MOST_NODES = 400_000
-#: Longer pre-tokens are scored without keeping their prefixes.
-LONGEST_KEPT = 128
+#: Words of the documents a task counts at a time, and pre-tokens whose counts it keeps from one time
+#: to the next. Kept ones are dropped and begun anew beyond; counts come out the same.
+WORDS_AT_ONCE = 1_000_000
+MOST_KEPT = 500_000
 
 
 class Pieces(NamedTuple):
+    """`tails`: every ending of a piece, with the score of the one that is a piece itself, else
+    None. Read backwards from a place in a text, they end where no piece can reach it."""
+
     scores: dict[str, float]
+    tails: dict[str, float | None]
     longest: int
     byte: float
 
@@ -39,7 +45,8 @@ def pieces(ranked: list[str]) -> Pieces:
     scores: dict[str, float] = {}
     for rank, piece in enumerate(ranked):
         scores.setdefault(piece, -math.log(rank + 1) - total)
-    return Pieces(scores, max(map(len, scores), default=1), -math.log(len(ranked) + 1) - total)
+    tails = {piece[start:]: None for piece in scores for start in range(len(piece))} | scores
+    return Pieces(scores, tails, max(map(len, scores), default=1), -math.log(len(ranked) + 1) - total)
 
 
 def load_pieces(path: str = VOCABULARY) -> Pieces:
@@ -51,65 +58,70 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
     return pieces([model.IdToPiece(i) for i in range(model.GetPieceSize()) if not any(s(i) for s in special)])
 
 
-class ForwardTrie(dict):
-    """pre-token: (tokens, score). A missing one is inserted, and what is new of it scored.
+def forward(known: Pieces, distinct: Iterable[bytes]) -> dict[bytes, tuple[int, float]]:
+    """(tokens, score) of every pre-token. Of equal scores the one of fewer tokens is taken.
 
-    Of equal scores the one of fewer tokens is taken.
+    In order, pre-tokens are the ends of a trie met depth first: what one shares with the one before is
+    the branch down to where they part, whose forward scores stand, and only nodes beyond are new.
+    So no more than one branch is ever held.
     """
-
-    def __init__(self, known: Pieces):
-        self.known = known
-        self.clear()
-
-    def clear(self) -> None:
-        super().clear()
-        self.children: dict[tuple[int, str], int] = {}
-        self.nodes: list[tuple[float, int]] = [(0.0, 0)]
-
-    def __missing__(self, word: bytes) -> tuple[int, float]:
-        if max(len(self.nodes), len(self)) > MOST_NODES:
-            self.clear()
+    tails, byte, infinite = known.tails, known.byte, math.inf
+    found: dict[bytes, tuple[int, float]] = {}
+    scores, tokens, last = [0.0], [0], ""
+    for word in sorted(distinct):
         spelled = WORD_START + word.decode("utf-8", "surrogatepass")
-        score, minus = self._walk(spelled) if len(spelled) <= LONGEST_KEPT else self._score(spelled)
-        self[word] = found = (-minus, score)
-        return found
-
-    def _forward(self, spelled: str, end: int, before: list[tuple[float, int]]) -> tuple[float, int]:
-        """The best (score, -tokens) of spelled[:end]; `before` ends with those of shorter prefixes."""
-        scores, best = self.known.scores, None
-        for size in range(1, min(self.known.longest, end) + 1):
-            piece = scores.get(spelled[end - size : end])
-            if piece is not None:
-                at, minus = before[-size]
-                here = (at + piece, minus - 1)
-                if best is None or here > best:
-                    best = here
-        if spelled[end - 1] not in scores:
-            count = len(spelled[end - 1].encode("utf-8", "surrogatepass"))
-            at, minus = before[-1]
-            here = (at + count * self.known.byte, minus - count)
-            if best is None or here > best:
-                best = here
-        return best
-
-    def _walk(self, spelled: str) -> tuple[float, int]:
-        node, path = 0, [self.nodes[0]]
-        for end, char in enumerate(spelled, 1):
-            below = self.children.get((node, char))
-            if below is None:
-                below = self.children[node, char] = len(self.nodes)
-                self.nodes.append(self._forward(spelled, end, path))
-            node = below
-            path.append(self.nodes[node])
-        return path[-1]
-
-    def _score(self, spelled: str) -> tuple[float, int]:
-        path = [(0.0, 0)]
-        for end in range(1, len(spelled) + 1):
-            path.append(self._forward(spelled, end, path))
-            if len(path) > 2 * self.known.longest + 2:
-                del path[: -self.known.longest]
-        return path[-1]
+        shared = 0
+        for x, y in zip(last, spelled):
+            if x != y:
+                break
+            shared += 1
+        del scores[shared + 1 :], tokens[shared + 1 :]
+        for end in range(shared + 1, len(spelled) + 1):
+            best, fewest, start = -infinite, 0, end
+            while start:
+                start -= 1
+                piece = tails.get(spelled[start:end], infinite)
+                if piece is None:
+                    continue
+                if piece == infinite:
+                    break
+                score = scores[start] + piece
+                if score > best or (score == best and tokens[start] < fewest):
+                    best, fewest = score, tokens[start] + 1
+            if tails.get(spelled[end - 1]) is None:
+                length = len(spelled[end - 1].encode("utf-8", "surrogatepass"))
+                score, count = scores[end - 1] + length * byte, tokens[end - 1] + length
+                if score > best or (score == best and count < fewest):
+                    best, fewest = score, count
+            scores.append(best)
+            tokens.append(fewest)
+        found[word] = tokens[-1], scores[-1]
+        last = spelled
+    return found
+
+
+def counted(known: Pieces, texts: Iterable[str | None]) -> Iterator[tuple[int, int, float]]:
+    """(pre-tokens, tokens, log probability) of each text."""
+    kept: dict[bytes, tuple[int, float]] = {}
+    waiting: list[list[bytes]] = []
+    size = 0
+
+    def count() -> Iterator[tuple[int, int, float]]:
+        distinct = set().union(*waiting)
+        if len(kept) > MOST_KEPT:
+            kept.clear()
+        kept.update(forward(known, distinct.difference(kept)))
+        for words in waiting:
+            pairs = [kept[word] for word in words]
+            yield len(words), sum(map(itemgetter(0), pairs)), math.fsum(map(itemgetter(1), pairs))
+
+    for text in texts:
+        waiting.append((text or "").encode("utf-8", "surrogatepass").split())
+        size += len(waiting[-1])
+        if size >= WORDS_AT_ONCE:
+            yield from count()
+            waiting, size = [], 0
+    yield from count()
 
 
 def count_tokens(
@@ -119,25 +131,20 @@ def count_tokens(
     probability of its tokens.
 
     Pre-tokens are what stands between the six ASCII white space characters, case kept. A NULL or
-    empty text has none. A task keeps one trie of bounded size for all its documents; nothing is
-    shuffled, and a lost task is just run again.
+    empty text has none. A task counts a bounded number of documents at a time and keeps a bounded
+    number of counts; nothing is shuffled, and a lost task is just run again.
     """
     shared = docs.sparkSession.sparkContext.broadcast(known)  # a vocabulary: bounded by its file
+    names = ["doc_id", "n_pretokens", "n_tokens", "log_prob"]
+    types = (pa.int64(), pa.int64(), pa.float64())
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = ForwardTrie(shared.value)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[list] = [[], [], []]
-            for body in batch.column(1):
-                words = (body.as_py() or "").encode("utf-8", "surrogatepass").split()
-                pairs = [trie[w] for w in words]
-                found[0].append(len(words))
-                found[1].append(sum(n for n, _ in pairs))
-                found[2].append(math.fsum(s for _, s in pairs))
-            columns = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.int64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_pretokens", "n_tokens", "log_prob"])
+            rows = list(zip(*counted(shared.value, (body.as_py() for body in batch.column(1)))))
+            columns = [pa.array(c, t) for c, t in zip(rows or [[]] * 3, types)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     id_type = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text).mapInArrow(
-        counted, f"doc_id {id_type}, n_pretokens bigint, n_tokens bigint, log_prob double"
+        count, f"doc_id {id_type}, n_pretokens bigint, n_tokens bigint, log_prob double"
     )
