@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-BUCKETS = 1 << 13
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS
 BYTES_AT_ONCE = 1 << 20
 #: Texts to learn from, per language: at most so many, whatever the size of the table. The driver
-#: holds their features, 32 kB each.
+#: holds their features, 16 kB each.
 SAMPLE = 400
 ROUNDS = 300
 PENALTY = 1e-4
@@ -66,7 +67,7 @@ def features(text: str) -> np.ndarray:
     for start in range(0, len(raw) - 2, BYTES_AT_ONCE):
         part = raw[start : start + BYTES_AT_ONCE + 2].astype(np.uint32)
         gram = (part[:-2] << 16 | part[1:-1] << 8 | part[2:]) * np.uint32(0x9E3779B1)
-        counts += np.bincount(gram >> np.uint32(32 - 13), minlength=BUCKETS)
+        counts += np.bincount(gram >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
     return np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
@@ -90,13 +91,13 @@ def train(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
     Both classes weigh the same, however many texts they have.
     """
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    w = ahead = np.zeros(x.shape[1], dtype=np.float32)
+    # The last weight is the bias.
+    w = ahead = np.zeros(x.shape[1] + 1, dtype=np.float32)
     step = 1 / (4 + PENALTY)
     for i in range(ROUNDS):
-        short = np.maximum(0, 1 - y * (x @ ahead))
-        new = ahead - step * (PENALTY * ahead - 2 * x.T @ (share * y * short))
+        pull = 2 * share * y * np.maximum(0, 1 - y * (x @ ahead[:-1] + ahead[-1]))
+        new = ahead - step * (PENALTY * ahead - np.append(pull @ x, pull.sum()))
         ahead, w = new + i / (i + 3) * (new - w), new
     return w[:-1], float(w[-1])
 
@@ -177,7 +178,10 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: i
     learned.sort(key=lambda r: (r.lang, bytes(r.features)))
     if not learned:
         return Model([], [], {})
-    return fit(np.stack([np.frombuffer(r.features, np.float32) for r in learned]), [r.lang for r in learned])
+    langs = [r.lang for r in learned]
+    x = np.stack([np.frombuffer(r.features, np.float32) for r in learned])
+    learned.clear()
+    return fit(x, langs)
 
 
 def identify(body: Column, model: Model) -> Column:
