@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +17,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def value_table(spark: SparkSession, columns: dict[str, str], rows: Sequence[tuple]) -> DataFrame:
-    """A table of a few given rows, `columns` by type. Catalyst holds it as values, so it knows how
-    many there are and decides by that whether to broadcast it."""
-    if not rows:
-        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in columns.items()))
-    given = {f"v{i}_{name}": v for i, row in enumerate(rows) for name, v in zip(columns, row)}
-    casts = [", ".join(f"CAST(:v{i}_{n} AS {t})" for n, t in columns.items()) for i in range(len(rows))]
-    values = ", ".join(f"({row})" for row in casts)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS given({', '.join(columns)})", args=given)
-
-
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Writes `df` to the folder all executors share and reads it again.
 

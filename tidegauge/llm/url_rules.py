@@ -14,7 +14,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import UPPER, value_table
+from tidegauge.llm.tables import UPPER
+from tidegauge.sources.values import value_table
 
 TOKEN = r"[^a-z0-9]+"
 
