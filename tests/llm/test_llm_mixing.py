@@ -78,7 +78,7 @@ def test_one_source_of_nearly_all_rows(spark):
 def test_parts_do_not_change_the_mix(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = {r.doc_id: r for r in mixing.mix(docs).collect()}
-    monkeypatch.setattr(mixing, "ROWS_PER_PART", 3)
+    monkeypatch.setattr(mixing, "part_count", lambda rows: rows // 3)
     assert {r.doc_id: r for r in mixing.mix(docs).collect()} == before
 
 

@@ -27,8 +27,6 @@ SCHEDULES: tuple[Schedule, ...] = (
 )
 BUDGET = 1.5
 REPEATS = 2
-#: Streams are cut into as many parts as would keep one source of all rows at so many rows a part.
-ROWS_PER_PART = 20_000
 
 
 def segments(schedule: Schedule) -> list[tuple[float, float, float, float, float]]:
@@ -116,7 +114,7 @@ def mix(
     end may be taken in part. `copies` counts passes of which at least half is inside: whole
     documents to write. `positions` holds the training position of each of them.
 
-    A source may hold any share of the rows: its stream is cut into parts by leading digits of the
+    A source may hold any share of the rows: its stream is cut into parts by the
     hash, whose sums give offsets, and only a part is ever sorted in one task. Documents of no words
     take nothing. A NULL text has no words, NULL is a source like others, and reruns agree, since
     nothing but ids, sizes and sources decides. Rows with equal ids are neighbours in the stream.
@@ -133,16 +131,24 @@ def _narrow(id_column: str, text: str, source: str) -> list[Column]:
     ]
 
 
+def part_count(rows: int) -> int:
+    """Parts of a stream: as many as a part would have rows if one source had them all. So neither the
+    rows of a part nor the offsets of a source, which one task sorts each, grow faster than the root."""
+    return math.isqrt(rows) + 1
+
+
 def mix_sizes(
     narrow: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, budget: float = BUDGET,
     repeats: int = REPEATS, keep: Sequence[str] = (),
 ) -> DataFrame:
     """`mix` over rows of doc_id, source, size and key, the hex digits that order a stream; the
     columns to `keep` come along, and order what is equal in all these."""
-    digits = max(1, math.ceil(math.log(max(1, narrow.count()) / ROWS_PER_PART, 16)))
+    count = part_count(narrow.count())
+    # The leading digits as a share of all keys: parts follow each other as keys do.
+    part = (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * count / 2**32).cast("int")
     # NULL gets a name of its own, so that plain equality joins it.
     stream = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    rows = narrow.withColumn("stream", stream).withColumn("part", F.substring("key", 1, digits))
+    rows = narrow.withColumn("stream", stream).withColumn("part", part)
     parts = rows.groupBy("stream", "part").agg(
         F.sum("size").alias("part_size"), F.first("source").alias("source")
     )
