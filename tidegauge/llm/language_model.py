@@ -161,21 +161,27 @@ class Automaton:
             smoothed.append(value)
             self.seen.append(counts[n - 1] > 0)
             self.arc.append(np.log10(value))
-        self.states = [c > 0 for c in counts]
-
-    def read(self, places: list[list[int]]) -> float:
-        """The log probability of a text, `places[n - 1]` being those of its n-grams by their ends."""
-        order, total, depth = len(places), 0.0, 0
+        self.states = [c > 0 for c in counts[: order - 1]]
+        # The last entry stands for n-grams that a text is too short for; it is never followed.
+        for parts in (self.seen, self.arc, self.fail, self.states):
+            parts[:] = [np.append(x, x.dtype.type(0)) for x in parts]
+
+    def read(self, places: list[np.ndarray]) -> float:
+        """The log probability of a text; `places` are those of its n-grams, by order and end."""
+        seen, arc, fail, states = (
+            [x[at].tolist() for x, at in zip(parts, places)] for parts in (self.seen, self.arc, self.fail, self.states)
+        )
+        longest, total, depth = len(states), 0.0, 0
         for i in range(len(places[0])):
-            n = depth + 1
+            n = depth
             # Follow failure arcs until a state has an arc for this word.
-            while n > 1 and not self.seen[n - 1][places[n - 1][i]]:
-                total += self.fail[n - 2][places[n - 2][i - 1]]
+            while n and not seen[n][i]:
                 n -= 1
-            total += self.arc[n - 1][places[n - 1][i]]
+                total += fail[n][i - 1]
+            total += arc[n][i]
             # The longest n-gram that ends here and is a state is carried on.
-            depth = min(n, order - 1)
-            while depth and not self.states[depth - 1][places[depth - 1][i]]:
+            depth = min(n + 1, longest)
+            while depth and not states[depth - 1][i]:
                 depth -= 1
         return total
 
@@ -187,12 +193,10 @@ def _score(block: pd.DataFrame, answers: pd.DataFrame, order: int, tokens: int,
         told = answers[answers["n"] == n].sort_values("part")
         counts.append(np.concatenate([np.frombuffer(c, "<i8") for c in told["counts"]]) if len(told) else np.zeros(0, np.int64))
     model = Automaton(known, counts, tokens, types)
-    for name in ("seen", "arc", "fail", "states"):
-        setattr(model, name, [x.tolist() for x in getattr(model, name)])
     rows, start = [], 0
     for doc_id, learning, end in zip(block["doc_id"], block["learning"], known.ends.tolist()):
-        places = [at[start:end].tolist() for at in known.at]
-        uni = known.at[0][start:end]
+        places = [at[start:end] for at in known.at]
+        uni = places[0]
         rows.append((
             doc_id, not learning, end - start, int((counts[0][uni] > 0).sum()), tokens,
             float(model.base[uni].sum()), model.read(places),
