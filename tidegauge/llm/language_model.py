@@ -34,7 +34,7 @@ ADD = 0.1
 HEAPS_SCALE = 3.0
 HEAPS_POWER = 0.85
 #: Bytes of text in a block, and counting tasks per block: both bound what a task holds.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 SEED = 17
 END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 
