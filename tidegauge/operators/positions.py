@@ -19,9 +19,10 @@ def number_text(name: str) -> Column:
     size = F.abs(number.try_cast("double"))
     digits = F.regexp_replace(number.try_cast("decimal(38,20)").cast("string"), r"0+$", "")
     plain = F.regexp_replace(digits, r"\.$", ".0")
-    as_sent = number.rlike(r"^-?[0-9]+$")
+    # Most are whole, or end in a digit that counts: nothing to convert.
+    as_sent = number.rlike(r"^-?[0-9]+([.]([0-9]*[1-9]|0))?$")
     small = (size == 0) | ((size >= PLAIN_FROM) & (size < PLAIN_BELOW))
-    return F.when(~as_sent & small, F.coalesce(plain, number)).otherwise(number)
+    return F.when(as_sent, number).when(small, F.coalesce(plain, number)).otherwise(number)
 
 
 def format_line(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
