@@ -67,6 +67,12 @@ def test_recall_with_windows_much_smaller_than_the_group(spark):
     assert sum(g[0] for g in got.values()) >= 0.9 * sum(e[0] for e in expected.values())
 
 
+@pytest.mark.parametrize("noise", [0.0005, 0.005, 0.03])
+def test_all_links_of_tight_groups_of_ten_windows(spark, noise):
+    rows = clusters(4, 2, 320, noise, d=64, labels=1)
+    assert result(ed.near_duplicates(table(spark, rows), width=32, rows=48)) == plain(rows)
+
+
 def test_tiles_do_not_change_what_is_compared(spark):
     rows = clusters(3, 4, 60, 0.05)
     found = [result(ed.near_duplicates(table(spark, rows), width=20, passes=2, rows=r)) for r in (20, 33, 4096)]

@@ -4,7 +4,12 @@ A pass hashes each vector to the signs of its products with random directions, m
 of a small angle alike, and sorts vectors by label and hash. Neighbours in this order are compared
 with the cosine; every vector meets the ones up to a window's width before it. Passes have
 directions of their own, so what one sorts apart another sorts together; the links of all passes
-are united.
+are united to components.
+
+A window can't cover a tight group larger than itself, so it only has to hold a component together.
+All of a component is then compared with all of it, tile against tile, and only numbers of links
+leave a tile: `n_links` is whole inside a component, whatever its size. Vectors whose hashes agree
+stand in an order of its own in each pass.
 
 Equal vectors are one class and compared once, so copies can't fill a window. For two vectors of
 cosine 0.98 one sign differs with odds of 6 %; among n classes of a label and a window w they meet in a
@@ -80,15 +85,14 @@ def _keyed(classes: DataFrame, passes: int) -> DataFrame:
     return classes.select("node", "label", "vector").mapInArrow(key, f"pass int, label {label}, size int, key bigint, node bigint")
 
 
-def _ranked(keyed: DataFrame) -> DataFrame:
-    """Adds `rank`, the place in the order of all passes, and `line`, what may be compared.
+def _ranked(table: DataFrame, *order: str | Column) -> DataFrame:
+    """Adds `rank`, the place in the order of all rows.
 
     Rows are range-sorted and written with their place in their partition; the rows of the partitions
     before, one number each, make it a place among all.
     """
-    order = ["pass", "label", "size", "key", "node"]
     placed = settle(
-        keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()),
+        table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()),
         "order",
     )
     part = F.shiftright("place", 33)
@@ -98,7 +102,7 @@ def _ranked(keyed: DataFrame) -> DataFrame:
     )
     inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.withColumn("part", part).join(offsets, "part").select(
-        "node", "pass", "label", "size", (F.col("offset") + inside).alias("rank")
+        *table.columns, (F.col("offset") + inside).alias("rank")
     )
 
 
@@ -147,7 +151,8 @@ def pairs(
         raise ValueError("a window must not reach beyond the tile before")
     tile = F.floor(F.col("rank") / rows)
     last = F.pmod("rank", F.lit(rows)) >= rows - width
-    tiles = _ranked(_keyed(classes, passes)).withColumn(
+    ranked = _ranked(_keyed(classes, passes), "pass", "label", "size", "key", F.xxhash64("node", "pass"), "node")
+    tiles = ranked.drop("key").withColumn(
         "tile", F.explode(F.when(last, F.array(tile, tile + 1)).otherwise(F.array(tile)))
     )
 
@@ -162,6 +167,69 @@ def pairs(
     )
 
 
+def count(frame: pd.DataFrame, low: int, high: int, threshold: float) -> pd.DataFrame:
+    """(node, others): rows each class of two tiles links with, those of the other tile, or inside one.
+
+    Products near the threshold are summed up again pair by pair, as in `compare`.
+    """
+    found = []
+    for _, line in frame.groupby(["root", "label", "size"], sort=False):
+        tile, node, copies = (line[c].to_numpy() for c in ("tile", "node", "copies"))
+        a, b = np.flatnonzero(tile == high), np.flatnonzero(tile == low)
+        if not len(a) or not len(b):
+            continue
+        vectors = units(np.stack(line["vector"].to_list()).astype(np.float64))
+        others = np.zeros(len(line), np.int64)
+        for start in range(0, len(a), BLOCK):
+            rows = a[start : start + BLOCK]
+            product = vectors[rows] @ vectors[b].T
+            near = product >= threshold
+            i, j = np.nonzero(np.abs(product - threshold) < 1e-9)
+            near[i, j] = np.einsum("ij,ij->i", vectors[rows[i]], vectors[b[j]]) >= threshold
+            if low == high:
+                near[np.arange(len(rows)), np.arange(start, start + len(rows))] = False
+            else:
+                others[b] += copies[rows] @ near
+            others[rows] += near @ copies[b]
+        found.append(pd.DataFrame({"node": node, "others": others}))
+    return pd.concat(found) if found else pd.DataFrame({"node": [], "others": []}, dtype="int64")
+
+
+def links_inside(classes: DataFrame, roots: DataFrame, threshold: float = THRESHOLD, rows: int = TILE) -> DataFrame:
+    """(node, others): rows that a class of a component links with, found by all pairs of the component.
+
+    `classes` has node, label, copies, vector; `roots` node and root. Components stand one after the
+    other and are cut into tiles; two tiles meet where the first ends in the component the second
+    begins with. No task holds more than two tiles.
+    """
+    members = classes.select("node", "label", F.size("vector").alias("size"), "copies").join(roots, "node")
+    line = ["root", "label", "size"]
+    tiles = settle(
+        _ranked(members, *line, "node").withColumn("tile", F.floor(F.col("rank") / rows)).select(*line, "node", "copies", "tile", "rank"),
+        "tiles",
+    )
+    at = F.struct(*line)
+    ends = tiles.groupBy("tile").agg(F.min_by(at, "rank").alias("first"), F.max_by(at, "rank").alias("last"))
+    met = (
+        ends.select(F.col("tile").alias("low"), F.col("last").alias("at"))
+        .join(ends.select(F.col("tile").alias("high"), F.col("first").alias("at")), "at")
+        .filter("low < high").select("low", "high")
+    )
+    alone = ends.select(F.col("tile").alias("low"), F.col("tile").alias("high"))
+    sent = alone.unionByName(met).withColumn("tile", F.explode(F.array_distinct(F.array("low", "high"))))
+
+    def counted(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return count(frame, key[0], key[1], threshold)
+
+    return (
+        sent.join(tiles.drop("rank"), "tile").join(classes.select("node", "label", "vector"), ["node", "label"])
+        .groupBy("low", "high")
+        .applyInPandas(counted, "node bigint, others bigint")
+        .groupBy("node")
+        .agg(F.sum("others").alias("others"))
+    )
+
+
 def near_duplicates(
     embeddings: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, width: int = WINDOW,
     rows: int = TILE, id_column: str = "vec_id", vector: str = "embedding", label: str = "label",
@@ -182,14 +250,10 @@ def near_duplicates(
         sorted_out.filter("able").groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")),
         "classes",
     )
-    found = settle(pairs(classes.withColumnRenamed("first", "node"), threshold, passes, width, rows), "pairs")
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        both.join(classes.select(F.col("first").alias("b"), "copies"), "b")
-        .groupBy(F.col("a").alias("first"))
-        .agg(F.sum("copies").alias("others"))
-    )
-    roots = components(found).select(F.col("node").alias("first"), "root")
+    nodes = classes.withColumnRenamed("first", "node")
+    rooted = components(pairs(nodes, threshold, passes, width, rows))
+    others = links_inside(nodes, rooted, threshold, rows).withColumnRenamed("node", "first")
+    roots = rooted.withColumnRenamed("node", "first")
     named = (
         classes.join(others, "first", "left").join(roots, "first", "left")
         .select("label", "vector", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("root", "first").alias("root"))
