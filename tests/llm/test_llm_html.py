@@ -52,6 +52,15 @@ def test_pages_without_an_article_go_by_words_and_links():
     assert got == ["A title of some words", LOREM.strip(), LOREM.strip()]
 
 
+def test_words_and_links_decide_where_markup_marks_only_a_teaser():
+    """In a main, a div, or beside an article of a few words; a menu inside the main stays out."""
+    menu = "<div><a href=a>Home</a></div><div><a href=b>All our many news of today</a></div>"
+    teaser = "<article><a href=c>Read this too</a></article>"
+    body = f"{menu}<h1>A title of some words</h1><p>{LOREM}</p><p>{LOREM}</p>"
+    for page in (f"<main>{body}</main>{teaser}", f"<main>{body}{teaser}</main>", f"<div>{body}</div>{teaser}", f"<main>{body}</main>"):
+        assert text(page).split("\n") == ["A title of some words", LOREM.strip(), LOREM.strip()]
+
+
 @pytest.mark.parametrize(
     "page, expected",
     [

@@ -52,6 +52,9 @@ PIECES = re.compile(r"[^a-z0-9]+")
 # Where a block stands, the more likely main text the higher: in a part that is no article, beside an
 # article, on a page without one, in one.
 OTHER, BESIDE, PLAIN, ARTICLE = range(4)
+#: Markup that leaves out so many times the running text it holds, as an article with a teaser does, is
+#: not followed; words and links decide there, and always inside a `main` without such an article.
+MUCH = 2
 
 
 class Block(NamedTuple):
@@ -150,12 +153,15 @@ def blocks(html: str) -> list[Block]:
             stack.append((name, kind))
             inside[kind] += 1
     end_block()
-    best = "article" if any(b[3] == "article" for b in found) else "main"
-    narrow = any(b[3] == best for b in found)
-    return [
-        Block(t, n, linked, OTHER if place == "aside" else ARTICLE if place == best else BESIDE if narrow else PLAIN)
-        for t, n, linked, place in found
-    ]
+    running = dict.fromkeys(("", "article", "main", "aside"), 0)
+    for _, n, linked, place in found:
+        running[place] += n - linked
+    places = dict.fromkeys(running, PLAIN) | {"aside": OTHER}
+    if running["article"] and running[""] + running["main"] <= MUCH * running["article"]:
+        places |= {"article": ARTICLE, "main": BESIDE, "": BESIDE}
+    elif running["main"] and running[""] <= MUCH * (running["main"] + running["article"]):
+        places[""] = BESIDE
+    return [Block(t, n, linked, places[place]) for t, n, linked, place in found]
 
 
 FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "standing")
