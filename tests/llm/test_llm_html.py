@@ -61,6 +61,24 @@ def test_words_and_links_decide_where_markup_marks_only_a_teaser():
         assert text(page).split("\n") == ["A title of some words", LOREM.strip(), LOREM.strip()]
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<article><p>a</p><button>Menu<p>b</p><p>c</p></article>", "a\nb\nc"),
+        ("<article><p>a</p><button>Menu<p>b</p><button>Send</button><p>c</p></article>", "a\nb\nc"),
+        ("<article><p>a <svg><path><text>no</text></p><p>b</p></article><footer><svg>x</svg></footer>", "a\nb"),
+        ("<article><select><option>no<option>no<div>b</div><video src=x><p>c</article>", "b\nc"),
+        ("<article><p>a <button><div>no</div><p>no</p></button> b</p><object><object>no</object>no</object>c</article>", "a b\nc"),
+        ("<article><div><p>a</p><noscript>no</div><p>b</p></article><p>x</p><noscript>y</noscript>", "a\nb"),
+        ("<article><p>a <a href=x><svg></a> no <p>b c</article>", "a\nb c"),
+        ("<article>a</button></svg> b<canvas/> c</article>", "a b c"),
+        ("<article><template><script>'</template>'</script>no</template>b</article>", "b"),
+    ],
+)
+def test_parts_not_read_end_with_what_they_stand_in(page, expected):
+    assert text(page) == expected
+
+
 @pytest.mark.parametrize(
     "page, expected",
     [

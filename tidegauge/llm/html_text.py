@@ -24,10 +24,9 @@ BLOCKS = frozenset(
     "ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
-# Their content is no text of the page.
-UNREAD = frozenset(
-    "script style noscript template iframe svg math object canvas textarea select button audio video title".split()
-)
+# Their content is no text of the page: of the first not even tags, of the others tags do count.
+RAW = frozenset("script style iframe textarea title".split())
+UNREAD = frozenset("noscript template svg math object canvas select button audio video".split())
 # Parts that are no article.
 ASIDE = frozenset("nav footer aside form dialog menu head".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
@@ -77,19 +76,49 @@ def _names_aside(name: str, attributes: str) -> bool:
     return False
 
 
+def _tags(html: str) -> Iterator[tuple[str, re.Match | None]]:
+    """Each tag with the text before it, then what is left with None. The content of RAW is passed over."""
+    at = 0
+    while match := TAG.search(html, at):
+        yield html[at : match.start()], match
+        at = match.end()
+        if match[2] and not match[1] and match[2].lower() in RAW and not match[3].endswith("/"):
+            end = re.compile(rf"</{re.escape(match[2])}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
+            at = end.end() if end else len(html)
+    yield html[at:], None
+
+
+def _closed(html: str) -> set[int]:
+    """Where the UNREAD elements start that have a closing tag; it is that of the last one opened."""
+    opened: dict[str, list[int]] = {name: [] for name in UNREAD}
+    closed = set()
+    for _, match in _tags(html):
+        starts = opened.get(match[2].lower()) if match and match[2] else None
+        if starts is None:
+            continue
+        if not match[1]:
+            if not match[3].endswith("/"):
+                starts.append(match.start())
+        elif starts:
+            closed.add(starts.pop())
+    return closed
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page in order, those without text left out.
 
     Tags may be missing, wrong or cut off: a closing tag ends all that was opened inside its element,
-    one that nothing opened is passed over, and what is open at the end of the page ends there.
+    one that nothing opened is passed over, and what is open at the end of the page ends there. An
+    UNREAD element that is never closed ends before the next block.
     """
     found: list[list] = []
-    stack: list[tuple[str, str]] = []  # (element, what it is: "", "article", "main" or "aside")
-    inside = {"": 0, "article": 0, "main": 0, "aside": 0}
+    stack: list[tuple[str, str]] = []  # (element, what it is: "", "article", "main", "aside", "unread" or "unclosed")
+    inside = {"": 0, "article": 0, "main": 0, "aside": 0, "unread": 0, "unclosed": 0}
     text: list[str] = []
     linked_text: list[str] = []
     link = False
-    at = 0
+    part: int | None = None  # where in the stack the outermost UNREAD element is
+    closed: set[int] | None = None
 
     def end_block() -> None:
         if not text:
@@ -103,26 +132,50 @@ def blocks(html: str) -> list[Block]:
         linked_text.clear()
 
     def close(depth: int) -> None:
+        nonlocal part
         while len(stack) > depth:
             inside[stack.pop()[1]] -= 1
+        if part is not None and part >= depth:
+            part = None
+
+    def opened(name: str) -> int | None:
+        return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
 
-    while True:
-        match = TAG.search(html, at)
-        piece = html[at : match.start() if match else len(html)]
-        if piece:
+    for piece, match in _tags(html):
+        if piece and part is None:
             text.append(piece)
             if link:
                 linked_text.append(piece)
-        if not match:
-            break
-        at = match.end()
-        if match[2] is None:
+        if not match or match[2] is None:
             continue
         closing, name, attributes = match[1], match[2].lower(), match[3]
-        if name in UNREAD and not closing:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
-            if not attributes.endswith("/"):
-                at = end.end() if end else len(html)
+        if name in UNREAD:
+            if closing:
+                depth = opened(name) if part is not None else None
+                if depth is not None:
+                    close(depth)
+            elif not attributes.endswith("/"):
+                closed = _closed(html) if closed is None else closed
+                part = len(stack) if part is None else part
+                stack.append((name, "unread" if match.start() in closed else "unclosed"))
+                inside[stack[-1][1]] += 1
+            continue
+        if part is not None and name in BLOCKS and stack[part][1] == "unclosed":
+            close(part)
+        if part is not None:
+            if name == "a" and closing:
+                link = False
+            if name not in BLOCKS or name in VOID:
+                continue
+            if not closing:
+                stack.append((name, ""))
+                inside[""] += 1
+                continue
+            depth = opened(name)
+            if depth is None or depth > part:
+                close(len(stack) if depth is None else depth)
+                continue
+        if name in RAW and not closing:
             if name == "title":
                 end_block()
         elif name == "a":
@@ -136,7 +189,7 @@ def blocks(html: str) -> list[Block]:
         elif name in BLOCKS:
             end_block()
             if closing:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+                depth = opened(name)
                 if depth is not None:
                     close(depth)
                 continue
