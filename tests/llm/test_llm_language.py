@@ -1,3 +1,4 @@
+import numpy as np
 from cases import crc, documents, no_documents
 from pyspark.sql import functions as F
 
@@ -67,6 +68,18 @@ def test_sample_is_bounded_and_stable(spark, sf_dir):
     assert all((x.weights == y.weights).all() for x, y in zip(a.families, b.families))
 
 
+def test_copies_neither_thin_the_sample_nor_fill_it(spark, monkeypatch):
+    """A language of 300 texts and very many copies of one, beside one without copies."""
+    monkeypatch.setattr(lid, "fit", lambda x, langs: ([langs.count(code) for code in ("de", "en")], len(np.unique(x, axis=0))))
+    number = F.col("id")
+    docs = spark.range(500_000).select(
+        F.when(number < 300, "de").otherwise("en").alias("lang"),
+        F.when(number < 600, F.concat(F.lit("text "), F.translate(number.cast("string"), "0123456789", "abcdefghij"))).otherwise("hot").alias("text"),
+    )
+    assert lid.learn(docs) == ([300, 301], 601)
+    assert lid.learn(docs, sample=50) == ([50, 50], 100)
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     text = "ab cd " * 5000 + "zzz " * 9000
     whole = lid.features(text)

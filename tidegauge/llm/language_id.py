@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.llm.tables import settle
+
 UNKNOWN = "und"
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
@@ -152,29 +154,47 @@ def predict(model: Model, text: str | None) -> tuple[str, float]:
 def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE) -> Model:
     """A model from the rows of `labelled` that have a language and a letter.
 
-    At most `sample` texts of a language are used, those of the least hash: a share that gives about
-    half more than wanted, then just as many. No more than these leave the executors, as features.
+    At most `sample` texts of a language are used, those of the least hash, each once, so copies
+    neither thin the sample nor fill it: of the different hashes a share that gives about half more than
+    wanted, then just as many. A task passes on a text once; no more than the sample reaches the
+    driver, as features.
     """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
     )
-    draw = F.xxhash64("text")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # The order of the draw: low bits first, as the share is taken of them.
+    low = F.pmod("hash", F.lit(1 << 30))
+    different = settle(rows.select("lang", "hash").distinct(), "hashes")
+    sizes = different.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.lit(1.5 * sample + 20) / F.col("n"))
-    drawn = rows.join(F.broadcast(sizes), "lang").filter(F.pmod(draw, F.lit(1 << 30)) < share * F.lit(1 << 30))
-    by_hash = Window.partitionBy("lang").orderBy("draw", "text")
+    drawn = different.join(F.broadcast(sizes), "lang").filter(low < share * F.lit(1 << 30))
+    by_hash = Window.partitionBy("lang").orderBy(low, "hash")
+    chosen = drawn.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= sample).select("lang", "hash")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            langs, packed = [], []
-            for code, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            langs, hashes, packed = [], [], []
+            for code, number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (code, number) in seen:
+                    continue
+                seen.add((code, number))
+                body = body.as_py()
                 if has_letter(body):
                     langs.append(code)
+                    hashes.append(number)
                     packed.append(features(body).tobytes())
-            yield pa.RecordBatch.from_pydict({"lang": langs, "features": packed}, schema=pa.schema([("lang", pa.string()), ("features", pa.binary())]))
-
-    chosen = drawn.withColumn("draw", draw).withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= sample)
-    learned = chosen.select("lang", "text").mapInArrow(described, "lang string, features binary").collect()
+            yield pa.RecordBatch.from_pydict(
+                {"lang": langs, "hash": hashes, "features": packed},
+                schema=pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("features", pa.binary())]),
+            )
+
+    learned = (
+        rows.join(F.broadcast(chosen), ["lang", "hash"]).select("lang", "hash", "text")
+        .mapInArrow(described, "lang string, hash bigint, features binary")
+        .groupBy("lang", "hash").agg(F.min("features").alias("features"))
+        .select("lang", "features").collect()
+    )
     learned.sort(key=lambda r: (r.lang, bytes(r.features)))
     if not learned:
         return Model([], [], {})
@@ -200,7 +220,7 @@ def identify_documents(
 ) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred and score; learns from rows where `learning` holds.
 
-    Held-out rows, ids and sources are never inputs. No shuffle of documents but those drawn.
+    Held-out rows, ids and sources are never inputs. No shuffle of documents.
     """
     model = learn(docs.filter(learning), lang, text, sample)
     return docs.select(
