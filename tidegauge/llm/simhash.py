@@ -210,6 +210,20 @@ def links(fps: DataFrame, distance: int = DISTANCE, longest: int = LONGEST_LIST)
     return first.filter("number IS NULL").select("a", "b").unionByName(second.select("a", "b"))
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, id_column: str, text: str) -> DataFrame:
+    """(doc_id, fp, root, component_id): root is a fingerprint and names a group, also where two groups
+    have one component_id."""
+    fps = settle(fingerprints(docs, shingle, id_column, text), "fingerprints")
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(fps.select("fp").distinct(), distance))
+    rooted = least.join(roots, least.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = rooted.join(named, "root").select("fp", "root", "component_id")
+    return fps.join(ids, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def simhash_groups(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     id_column: str = "doc_id", text: str = "text",
@@ -222,15 +236,7 @@ def simhash_groups(
     NULL. Copies share a fingerprint, which the index sees once, so groups of any size cost no more
     than one row.
     """
-    fps = settle(fingerprints(docs, shingle, id_column, text), "fingerprints")
-    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(fps.select("fp").distinct(), distance))
-    rooted = least.join(roots, least.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = rooted.join(named, "root").select("fp", "component_id")
-    return fps.join(ids, "fp").select(
+    return _grouped(docs, shingle, distance, id_column, text).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -239,18 +245,32 @@ def keep_first(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """One document of each group, whole rows: that of the smallest id. Of rows that repeat this id
-    one stays. A group without any id has no such document; all of its rows stay."""
-    groups = simhash_groups(docs, shingle, distance, id_column, text)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_tg_id")).distinct()
-    first = docs.join(kept, F.col(id_column) == F.col("_tg_id"), "left_semi").dropDuplicates([id_column])
-    nameless = groups.filter("component_id IS NULL").select(F.conv("fingerprint", 16, -10).cast("long").alias("_tg_fp"))
-    if nameless.isEmpty():
+    """One document of each group, whole rows: that of the smallest id. Of a group's rows that repeat
+    this id one of the least fingerprint stays; rows of one id may stand in several groups. A group
+    without any id has no such document; all of its rows stay."""
+    groups = settle(_grouped(docs, shingle, distance, id_column, text), "groups")
+    kept = groups.filter("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("fp").alias("_tg_fp"))
+    kept = kept.select(F.col("doc_id").alias("_tg_id"), "_tg_fp")
+    several = groups.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
+    several = several.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_tg_id"))
+    nameless = groups.filter("component_id IS NULL").select(F.col("fp").alias("_tg_fp"))
+    by_id = F.col(id_column) == F.col("_tg_id")
+    mixed = not several.isEmpty()
+    plain = kept.join(several, "_tg_id", "left_anti") if mixed else kept
+    first = docs.join(plain.select("_tg_id").distinct(), by_id, "left_semi").dropDuplicates([id_column])
+    if not mixed and nameless.isEmpty():
         return first
 
     def signed(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="uint64").astype("int64")
 
     signed.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    without = docs.filter(F.col(id_column).isNull()).withColumn("_tg_fp", F.pandas_udf(signed, "bigint")(F.col(text)))
+    sign = F.pandas_udf(signed, "bigint")(F.col(text))
+    if mixed:
+        # The id doesn't tell these rows apart: they are signed again.
+        again = docs.join(several, by_id, "left_semi").withColumn("_tg_fp", sign)
+        chosen = kept.select(F.col("_tg_id"), F.col("_tg_fp").alias("_tg_kept"))
+        own = again.join(chosen, by_id & (F.col("_tg_fp") == F.col("_tg_kept")), "left_semi")
+        first = first.unionByName(own.dropDuplicates([id_column, "_tg_fp"]).drop("_tg_fp"))
+    without = docs.filter(F.col(id_column).isNull()).withColumn("_tg_fp", sign)
     return first.unionByName(without.join(nameless.distinct(), "_tg_fp", "left_semi").drop("_tg_fp"))
