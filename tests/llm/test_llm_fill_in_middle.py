@@ -1,0 +1,82 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from cases import LONG, documents, no_documents
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tidegauge.llm import fill_in_middle as fim
+from tidegauge.llm.queries import op12_fill_in_middle
+
+UNITS = re.compile("[A-Za-z]+|[^A-Za-z]")
+TEXTS = st.text(st.sampled_from("aZzA@[`{<>PSM é߿ࠀ日￿\U00010000😀\x00\n"), max_size=40)
+
+
+def plain(doc_id, text):
+    """The contract, over characters."""
+    text = text or ""
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    units = UNITS.findall(text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    low, high = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:low]), "".join(units[low:high]), "".join(units[high:])
+    if h4 % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(doc_id, text):
+    *head, output = plain(doc_id, text)
+    return (doc_id, *head, sha(output), sha(text or ""))
+
+
+@given(TEXTS)
+def test_index_converts_every_cut(text):
+    body = text.encode()
+    index = fim.exceptions(np.frombuffer(body, np.uint8))
+    in_chars = np.arange(len(text) + 1)
+    in_bytes = np.array([len(text[:i].encode()) for i in in_chars])
+    assert index.chars(in_bytes).tolist() == in_chars.tolist()
+    assert index.bytes(in_chars).tolist() == in_bytes.tolist()
+    assert len(index.at_byte) == sum(ord(c) > 127 for c in text)
+
+
+@given(TEXTS, st.integers(0, 10**6))
+def test_rearranged_as_the_contract_says(text, doc_id):
+    h = hashlib.sha256(f"1:{doc_id}".encode()).hexdigest()
+    cut = fim.rearrange(text.encode(), tuple(int(h[i : i + 8], 16) for i in (0, 8, 16, 24)))
+    assert (*cut[:4], cut.output.decode()) == plain(doc_id, text)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert sorted(map(tuple, op12_fill_in_middle(spark, sf_dir).collect())) == sorted(expected(*r) for r in rows)
+
+
+def test_awkward_rows(spark):
+    more = [(i, "<" * (i % 7) + "P>é" * i + "<M" + "日本 x" * i, "en", "a") for i in range(200)]
+    more += [(i, t, "en", "a") for i in range(40, 45) for t in ("a<P>b", "<S>", "<M>", "<P", "P>", "é", LONG + "é")]
+    df = documents(spark, more).unionByName(documents(spark))
+    made = fim.fill_in_middle(df)
+    assert made.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"]
+    key = lambda r: (r[0] is None, r)
+    want = [expected(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, fim.digest(made).collect()), key=lambda r: repr(key(r))) == sorted(want, key=lambda r: repr(key(r)))
+    assert {r.form for r in made.select("form").distinct().collect()} == {"plain", "psm", "spm"}
+    assert fim.digest(fim.fill_in_middle(no_documents(spark))).collect() == []
+
+
+@pytest.mark.parametrize("changed, suffix_first, form", [(0, 0, "plain"), (100, 0, "psm"), (100, 100, "spm")])
+def test_shares_are_parameters(spark, changed, suffix_first, form):
+    df = documents(spark, [(i, f"text {i}", "en", "a") for i in range(50)])
+    forms = fim.fill_in_middle(df, changed=changed, suffix_first=suffix_first).select("form").distinct().collect()
+    assert [r.form for r in forms] == [form]

@@ -1,0 +1,159 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from cases import LONG, documents, no_documents
+from tokenizers import Tokenizer
+
+from tidegauge.llm import packing
+from tidegauge.llm.queries import PACKED_BY, op13_packing
+
+VOCABULARY = public_tokenizers.path(PACKED_BY)
+TOKENIZER = Tokenizer.from_file(VOCABULARY)
+# Characters where splitting at white space, lowering or composing could go wrong.
+ODD = list("aAbBéÉÀßµªº İΣσςǅ.,;:!?'\"<|>\t\n\r\x0b\x0c\x85\x1c ★  ̸́日本語。1２٣😀-_ſK") + [
+    "'s", "'re", "<|endoftext|>", "<|ENDOFTEXT|>", " ", " ", "ﬀ", " ★ ", "é",
+]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.Encoder(VOCABULARY)
+
+
+def own_ids(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [packing.END]
+
+
+def check(rows, given):
+    """Each document's pieces hold its ids in order, each once; sequences have no gap and are not too long."""
+    docs, sequences, padding = defaultdict(list), defaultdict(list), 0
+    for r in rows:
+        docs[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    assert set(docs) == {doc_id for doc_id, _ in given}
+    for doc_id, text in given:
+        ids, at = own_ids(text), 0
+        for r in sorted(docs[doc_id], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and r.length > 0
+            piece = np.array(ids[at : at + r.length], "<u4").tobytes()
+            assert (r.ids == piece) if "ids" in r else (r.ids_crc32 == zlib.crc32(piece))
+            at += r.length
+        assert at == len(ids)
+    for parts in sequences.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.LENGTH
+        padding += 0 if at & (at - 1) == 0 else packing.LENGTH - at
+    return padding
+
+
+def test_ids_are_those_of_the_whole_text(encoder):
+    dice = random.Random(7)
+    texts = ["".join(dice.choices(ODD, k=dice.randint(0, 50))) for _ in range(5000)] + ["", None, LONG, "★", "a★b ★ c"]
+    for some in (texts, [t for t in texts if t and "<|" not in t], ["<|endoftext|>.", "A<|endoftext|>b."]):
+        ids, sizes = encoder(pa.array(some, pa.string()))
+        for got, text in zip(np.split(ids, np.cumsum(sizes)[:-1]), some):
+            assert got.tolist() == own_ids(text), text
+
+
+def test_forgetting_words_changes_nothing(encoder, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_KEPT", 10)
+    texts = ["one two three", "four five two", "", "six seven one"]
+    for _ in range(4):
+        ids, sizes = encoder(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [own_ids(t) for t in texts]
+
+
+def plain_cost(at, penalty, length):
+    """Least cost by trying every window."""
+    cost = [0] + [None] * (len(at) - 1)
+    for i in range(1, len(at)):
+        options = []
+        for j in range(i):
+            size = int(at[i] - at[j])
+            if size <= length:
+                options.append(cost[j] + (0 if size & (size - 1) == 0 else length - size))
+        cost[i] = min(options) + int(penalty[i])
+    return cost[-1]
+
+
+def cost_of(path, at, penalty, length):
+    sizes = np.diff(at[path])
+    assert path[0] == 0 and path[-1] == len(at) - 1 and (sizes > 0).all() and (sizes <= length).all()
+    return int(sum(0 if s & (s - 1) == 0 else length - s for s in sizes.tolist()) + penalty[path[1:]].sum())
+
+
+@pytest.mark.parametrize("length", [2, 8, 64])
+def test_cuts_cost_least(length):
+    dice = np.random.default_rng(length)
+    for _ in range(200):
+        at = np.concatenate([[0], np.cumsum(dice.integers(1, length + 1, dice.integers(1, 60)))])
+        penalty = dice.choice([0, 1, 3, 10], len(at))
+        path = packing.best_cuts(at, penalty, length)
+        assert cost_of(path, at, penalty, length) == plain_cost(at, penalty, length)
+
+
+def test_places(encoder):
+    """Ends of documents are free, ends of sentences cost a little, and gaps are cut where they must."""
+    texts = ["One two. Three four! five", "x " * 50, ""]
+    ids, sizes = encoder(pa.array(texts))
+    line = packing.Line(ids, np.cumsum(sizes), [], 0)
+    cut, broken = packing.SENTENCE_CUT, packing.BROKEN_CUT
+    for length, inside in ((50, range(9, 59)), (64, [])):
+        at, penalty = packing.places(line, encoder.stops, length)
+        assert at.tolist() == [0, 3, 6, 8, *inside, 59, 60]
+        assert (penalty - packing.SEQUENCE).tolist() == [cut, cut, cut, 0, *[broken] * len(inside), 0, 0]
+
+
+def test_blocks_join(encoder):
+    """Small blocks: what one gives back is packed with the next, and no token is lost or repeated."""
+    dice = random.Random(3)
+    texts = [" ".join(dice.choices(["one", "two.", "three", "four!", "★"], k=dice.randint(0, 400))) for _ in range(150)]
+    batches = [(list(range(i, i + 10)), pa.array(texts[i : i + 10])) for i in range(0, 150, 10)]
+    for block in (1, 500, 3000, 10**9):
+        seen, sequences = defaultdict(list), defaultdict(int)
+        for line, found in packing.pack(iter(batches), encoder, 256, block):
+            for doc, start, length, begin, sequence, offset in zip(
+                *(found[k].tolist() for k in ("doc", "start", "length", "begin", "sequence", "offset"))
+            ):
+                row = line.rows[doc]
+                assert sum(len(x) for x in seen[row.doc_id]) == start and sequences[sequence] == offset
+                seen[row.doc_id].append(line.ids[begin : begin + length].tolist())
+                sequences[sequence] += length
+        assert {d: sum(x, []) for d, x in seen.items()} == {i: own_ids(t) for i, t in enumerate(texts)}
+        assert max(sequences.values()) <= 256 and sorted(sequences) == list(range(len(sequences)))
+
+
+def test_query_equals_tokenizer(spark, sf_dir):
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rows = op13_packing(spark, sf_dir).collect()
+    assert check(rows, given) < 0.02 * sum(r.length for r in rows)
+
+
+def test_awkward_rows(spark):
+    given = [r for r in documents(spark).select("doc_id", "text").collect() if r.doc_id not in (None, 2)]
+    df = documents(spark).filter("doc_id <> 2").selectExpr("*", "1 AS start", "2 AS ids", "3 AS length")
+    check(packing.pack_documents(df.repartition(3), VOCABULARY).collect(), [tuple(r) for r in given])
+    assert packing.pack_documents(no_documents(spark), VOCABULARY).collect() == []
+    with pytest.raises(ValueError):
+        packing.pack_documents(df, VOCABULARY, 100)
+
+
+def test_rows_that_share_an_id(spark):
+    df = documents(spark).filter("doc_id = 2 OR doc_id IS NULL").repartition(1)
+    rows = packing.pack_documents(df, VOCABULARY).collect()
+    texts = [r.text for r in df.select("text").collect()]
+    assert sorted(r.doc_tokens for r in rows if r.start == 0) == sorted(len(own_ids(t)) for t in texts)
+
+
+def test_texts_without_sentences(spark):
+    given = [(1, "word " * 30_000), (2, "x" * 50_000), (3, "日本" * 20_000), (4, "a. " * 3)]
+    rows = packing.pack_documents(documents(spark, [(*g, "en", "a") for g in given]).repartition(1), VOCABULARY).collect()
+    assert check(rows, given) < 1024

@@ -24,6 +24,9 @@ def test_registered_and_whole(spark, sf_dir, key):
     import __spark_entry__ as entry_point
 
     assert entry_point.queries()[key] is QUERIES[key]
-    table = "pages" if key.startswith(("op4_", "op5_")) else "embeddings" if key.startswith("op10_") else "documents"
+    table = {"op4": "pages", "op5": "pages", "op10": "embeddings", "op11": "embeddings"}.get(key.split("_")[0], "documents")
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
-    assert QUERIES[key](spark, sf_dir).count() == rows
+    found = QUERIES[key](spark, sf_dir)
+    if key.startswith("op13_"):  # a row per piece: the first pieces stand for their documents
+        found = found.filter("start = 0")
+    assert found.count() == rows

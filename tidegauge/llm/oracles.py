@@ -127,9 +127,87 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id)::BIGINT
 FROM embeddings LEFT JOIN counts ON vec_id = counts.a LEFT JOIN roots ON vec_id = roots.a
 """
 
+
+def clusters(rounds: int = 5, centroids: int = 40) -> str:
+    """Rounds written out one after the other; the component of a vector is a row."""
+
+    def assigned(number: int) -> str:
+        return f"""
+a{number} AS MATERIALIZED (
+    SELECT row, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+    FROM (SELECT x.row, c.cluster, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS distance
+          FROM parts x JOIN c{number} c USING (i) GROUP BY x.row, c.cluster)
+    GROUP BY row
+)"""
+
+    def moved(number: int) -> str:
+        return f"""
+c{number + 1} AS MATERIALIZED (
+    SELECT c.cluster, c.i, coalesce((s - ((s % n) + n) % n) // n, c.v)::BIGINT AS v
+    FROM c{number} c LEFT JOIN (
+        SELECT cluster, i, sum(v)::BIGINT AS s, count(*) AS n FROM parts JOIN a{number} USING (row) GROUP BY cluster, i
+    ) m ON c.cluster = m.cluster AND c.i = m.i
+)"""
+
+    steps = ",".join(assigned(n) + "," + moved(n) for n in range(rounds))
+    return f"""
+WITH able AS (
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT row, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM able
+), firsts AS (
+    SELECT row, (row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INTEGER AS cluster
+    FROM able QUALIFY cluster < {centroids}
+),
+c0 AS MATERIALIZED (SELECT cluster, i, v FROM parts JOIN firsts USING (row)),{steps},{assigned(rounds)},
+hashes AS (SELECT cluster, sha256(string_agg(v::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM able JOIN a{rounds} USING (row) JOIN hashes USING (cluster)
+"""
+
+
+# The rebuilt text is cut out of the output by the lengths of its parts.
+MIDDLES = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), numbers AS (
+    SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+           ('0x' || h[25:32])::BIGINT AS h4, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units
+    FROM drawn
+), formed AS (
+    SELECT *, len(units) AS n,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high FROM formed
+), parts AS (
+    SELECT *, coalesce(array_to_string(units[1:low], ''), '') AS p, coalesce(array_to_string(units[low + 1:high], ''), '') AS m,
+           coalesce(array_to_string(units[high + 1:], ''), '') AS s
+    FROM cut
+), built AS (
+    SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output,
+           length(p)::BIGINT AS lp, length(m)::BIGINT AS lm, length(s)::BIGINT AS ls
+    FROM parts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lp END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN lm END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+           WHEN 'psm' THEN substring(output, 4, lp) || substring(output, 10 + lp + ls, lm) || substring(output, 7 + lp, ls)
+           ELSE substring(output, 7 + ls, lp) || substring(output, 10 + ls + lp, lm) || substring(output, 4, ls) END) AS restored_sha256
+FROM built
+"""
+
 ORACLES: dict[str, str] = {
     "op5_url_verdicts": URLS,
     "op7_decontamination": PASSAGES,
     "op8_mix": MIX,
     "op10_embedding_dedup": VECTORS,
+    "op11_centroid_clusters": clusters(),
+    "op12_fill_in_middle": MIDDLES,
 }
