@@ -44,7 +44,7 @@ BROKEN_PLACES = 64
 BLOCK = 1 << 20
 AT_ONCE = 1 << 22
 #: Words whose ids a worker keeps. Beyond, they are dropped and begun anew; results do not change.
-MOST_KEPT = 400_000
+MOST_KEPT = 1_000_000
 #: Windows at the end of a block that are decided again with what follows.
 GIVEN_BACK = 3
 
