@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -119,10 +119,12 @@ class Encoder:
         distinct = coded.dictionary.to_pylist()
         if len(self.codes) > MOST_KEPT:
             self.forget()
-        unseen = [word for word in distinct if word not in self.codes]
-        if unseen:
+        code = np.fromiter(map(self.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            unseen = [distinct[i] for i in new.tolist()]
             self.learn(unseen)
-        code = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+            code[new] = [self.codes[word] for word in unseen]
         ends = np.cumsum(pc.list_value_length(listed).to_numpy())
         codes = np.insert(code[coded.indices.to_numpy()], ends, 0)
         lengths = self.lengths[codes]
