@@ -136,6 +136,58 @@ def test_ties_do_not_depend_on_the_order(spark):
     assert seen == {1.5763}
 
 
+# Each indicator's readings, and their mean from exact arithmetic.
+AWKWARD = {
+    "15 digits": ([123456.789012345, 0.123456789012345, 98765.4321098765, -7.65432109876543] * 5, None),
+    "far apart": ([1e15, 1e-5, 3e-5, 5.0, 1e-5] * 4, None),
+    "cancelling": ([1e15 + 0.5, -1e15, 0.00005, 2.5, -0.5], None),
+    "tie": ([0.00005, 0.00005, 0.00005], 0.0001),
+    "negative tie": ([-0.00005, -0.00005], -0.0001),
+    "sent and not": ([1.5, 2.25, 0.123456789, 1350.1234, 900_000_000_000.1234] * 3, None),
+    "large sent ones": ([214_748.3647, 214_748.3648, -900_000_000_000.5, 800_000_000_000.0001], None),
+    "below 1e18": ([9e17, 9.5e17, -1.25e17, 1e17 + 16], None),
+    "not a number": ([1.0, float("nan"), float("inf"), 0.1], float("nan")),
+    "infinite": ([1.0, float("inf"), 0.123456789], float("inf")),
+    "both infinities": ([float("-inf"), float("inf"), 1.0], float("nan")),
+    "none known": ([None, None], None),
+}
+
+
+def test_means_of_any_readings_do_not_depend_on_the_order(spark):
+    """20 orders, over one partition and several, in one step and in two."""
+    at = datetime(2024, 1, 1)
+    rows = [(name, v, at) for name, (values, _) in AWKWARD.items() for v in values]
+    seen = defaultdict(set)
+    for seed in range(20):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, TICKS).repartition(1 + seed % 4)
+        for r in window_stats(df, panes=seed % 2 == 0).collect():
+            seen[r["indicator"]].add(str(r["avg_value"]))
+    assert {name: len(means) for name, means in seen.items()} == dict.fromkeys(AWKWARD, 1)
+    for name, (values, expected) in AWKWARD.items():
+        (found,) = seen[name]
+        if name == "none known":
+            assert found == "None"
+        elif expected is not None:
+            assert found == str(expected)
+        else:
+            exact = sum(Decimal(repr(v)) for v in values) / len(values)
+            large = abs(exact) >= 10**14
+            assert float(found) == (pytest.approx(float(exact), rel=1e-15) if large else rounded(exact)), name
+
+
+def test_partials_of_partials(spark):
+    """Partial results merged to partial results give what one step gives."""
+    from tidegauge.functions.stats import merged_columns, merged_partials, partial_columns, stat_columns
+
+    rows = [(name, v, datetime(2024, 1, 1)) for name, (values, _) in AWKWARD.items() for v in values]
+    df = spark.createDataFrame(rows, TICKS).withColumn("slice", F.monotonically_increasing_id() % 5)
+    sliced = df.groupBy("indicator", "slice").agg(*partial_columns())
+    merged = sliced.groupBy("indicator", (F.col("slice") % 2).alias("half")).agg(*merged_partials())
+    got = {tuple(map(str, r)) for r in merged.groupBy("indicator").agg(*merged_columns()).collect()}
+    assert got == {tuple(map(str, r)) for r in df.groupBy("indicator").agg(*stat_columns()).collect()}
+
+
 def test_zoned_time_gives_the_same_moments(spark):
     rows = [("a", 1.0, datetime(2024, 1, 1, 0, 0, 10))]
     df = table(spark, rows)
