@@ -14,8 +14,10 @@ from tidegauge.plans.interval import (
     covering_range,
     events_received,
     ingest,
+    land_late,
     read_interval_stats,
     read_landed,
+    read_offsets,
     run_interval,
     topic_events,
 )
@@ -249,3 +251,187 @@ def test_other_zones_are_refused(spark, three_hours):
             run_interval(three_hours, scratch_dir(spark, "t"), START)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def placed(spark, *rows):
+    """Events with a partition and an offset: (reading, time, partition, offset)."""
+    df = spark.createDataFrame(rows, "value double, t string, partition int, offset bigint")
+    at = F.col("t").cast("timestamp")
+    return df.select(
+        F.lit("a").alias("indicator"), F.lit("n").alias("name"), "value", F.unix_millis(at).alias("ts"),
+        F.lit("s").alias("source"), at.alias("event_time"), "partition", "offset",
+    )
+
+
+DAY = "2024-01-01 "
+PLACED = [
+    (1.0, DAY + "10:00:05", 0, 10), (2.0, DAY + "10:59:50", 0, 11), (3.0, DAY + "10:59:59", 1, 5),
+    (4.0, DAY + "11:00:10", 0, 12), (8.0, DAY + "11:30:00", 1, 6), (16.0, DAY + "11:59:59.999", 0, 14),
+    (32.0, DAY + "12:00:00", 1, 8), (64.0, DAY + "12:10:00", 0, 15),
+]
+
+
+def ledger(spark, store):
+    return sorted((r["slot"], r["partition"], r["first_offset"], r["next_offset"]) for r in read_offsets(spark, store).collect())
+
+
+def test_ledger_of_landed_offsets(spark):
+    store = scratch_dir(spark, "t")
+    backfill(placed(spark, *PLACED), store, START, START + 3 * HOUR)
+    assert ledger(spark, store) == [
+        ("10-00", 0, 10, 12), ("10-00", 1, 5, 6), ("11-00", 0, 12, 13), ("11-00", 0, 14, 15), ("11-00", 1, 6, 7),
+        ("12-00", 0, 15, 16), ("12-00", 1, 8, 9),
+    ]
+    assert [f.name for f in read_landed(spark, store, positions=True).schema][6:8] == ["partition", "offset"]
+
+
+@pytest.mark.parametrize("with_places", [True, False])
+def test_as_many_other_rows_are_refused(spark, with_places):
+    """Three rows landed, and three others come: nothing is replaced, and the lost ones are named."""
+    landed = placed(spark, *PLACED[3:6])
+    others = placed(spark, PLACED[3], (5.0, DAY + "11:20:00", 0, 13), PLACED[5])
+    if not with_places:
+        landed, others = (df.drop("partition", "offset") for df in (landed, others))
+    store = scratch_dir(spark, "t")
+    run_interval(landed, store, START + HOUR)
+    before = content(read_landed(spark, store)), content(read_interval_stats(spark, store))
+    told = "11-00 has landed offsets 6 to 6 of partition 1" if with_places else "11-00 has 3 landed rows, and the source lacks 1"
+    with pytest.raises(ValueError, match=told):
+        run_interval(others, store, START + HOUR)
+    assert (content(read_landed(spark, store)), content(read_interval_stats(spark, store))) == before
+    run_interval(others, store, START + HOUR, may_lose=True)
+    closed = window_stats(others).filter("end <= '2024-01-01 12:00'")
+    assert content(read_interval_stats(spark, store)) == content(closed)
+    assert sorted(r["value"] for r in read_landed(spark, store).collect()) == [4.0, 5.0, 16.0]
+
+
+def test_rows_that_come_twice_are_not_lost_once(spark, three_hours):
+    """Without positions, equal rows count: two landed, one comes."""
+    store = scratch_dir(spark, "t")
+    twice = three_hours.unionAll(three_hours.filter("value = 1.0"))
+    run_interval(twice, store, START)
+    with pytest.raises(ValueError, match="lacks 1 of them"):
+        run_interval(three_hours, store, START)
+    run_interval(twice, store, START)
+    assert read_landed(spark, store).count() == 3
+
+
+@pytest.mark.parametrize("with_places", [True, False])
+def test_the_source_is_read_once(spark, with_places):
+    """On a first run, on one that has to be compared, and on one that lands late rows."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(name):
+        reads.add(1)
+        return name
+
+    seen = F.udf(count, "string").asNondeterministic()
+    rows = placed(spark, *PLACED[:6])
+    rows = rows if with_places else rows.drop("partition", "offset")
+    rows = rows.withColumn("name", seen("name"))
+    store = scratch_dir(spark, "t")
+    for run in range(1, 3):
+        backfill(rows, store, START, START + 2 * HOUR)
+        assert reads.value == run * 6
+    if with_places:
+        land_late(rows, store, START, START + 2 * HOUR, "late")
+        assert reads.value == 18
+
+
+def test_a_run_that_ended_before_its_ledger_is_compared_all_the_same(spark, monkeypatch):
+    from tidegauge.plans import interval
+
+    store, rows = scratch_dir(spark, "t"), placed(spark, *PLACED)
+
+    def ended(*_):
+        raise RuntimeError("ended here")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(interval, "_write_ledger", ended)
+        with pytest.raises(RuntimeError):
+            backfill(rows, store, START, START + 3 * HOUR)
+    assert read_landed(spark, store).count() == 8
+    with pytest.raises(ValueError, match="11-00 has landed offsets 12 to 12 of partition 0"):
+        run_interval(rows.filter("offset <> 12"), store, START + HOUR)
+    backfill(rows, store, START, START + 3 * HOUR)
+    assert len(ledger(spark, store)) == 7
+    # A repeated run that ends behind its ledger: what it promises is still asked for.
+    with monkeypatch.context() as broken:
+        broken.setattr(interval, "_write_panes", ended)
+        more = rows.unionByName(placed(spark, (7.0, DAY + "11:10:00", 0, 13)))
+        with pytest.raises(RuntimeError):
+            run_interval(more, store, START + HOUR)
+    with pytest.raises(ValueError, match="11-00 has landed offsets 13 to 13 of partition 0"):
+        run_interval(rows, store, START + HOUR)
+    backfill(more, store, START, START + 3 * HOUR)
+    assert content(read_interval_stats(spark, store)) == content(window_stats(more))
+
+
+def test_a_store_keeps_its_kind(spark, three_hours):
+    store = scratch_dir(spark, "t")
+    run_interval(three_hours, store, START)
+    with pytest.raises(ValueError, match="rows without partition and offset"):
+        run_interval(placed(spark, *PLACED), store, START)
+    with pytest.raises(ValueError, match="need a store and events with partition and offset"):
+        land_late(placed(spark, *PLACED), store, START, START + HOUR, "x")
+    with pytest.raises(ValueError, match="do not consist of the store's panes"):
+        aggregate(spark, store, START, START + HOUR, width="50 seconds", slide="20 seconds")
+    with pytest.raises(ValueError, match="nothing is landed"):
+        aggregate(spark, scratch_dir(spark, "t"), START, START + HOUR)
+
+
+def test_late_rows_add_panes(spark):
+    """Late rows of two intervals, one at an edge; landed rows aren't read, and a batch may come again."""
+    store = scratch_dir(spark, "t")
+    every = placed(spark, *PLACED, (100.0, DAY + "10:59:40", 1, 7), (200.0, DAY + "11:30:10", 0, 13), (300.0, DAY + "10:00:06", 1, 9))
+    early = every.filter("value < 100")
+    backfill(early, store, START, START + 3 * HOUR)
+
+    def same(rows):
+        assert content(read_interval_stats(spark, store)) == content(window_stats(rows.drop("partition", "offset")))
+        assert content(read_landed(spark, store, positions=True)) == content(rows)
+
+    two = every.filter("value < 300")
+    # The whole topic may come: what the ledger has is skipped.
+    for _ in range(2):
+        assert land_late(two, store, START, START + 3 * HOUR, "x") == {"landed": 2, "known": 8}
+        same(two)
+    assert land_late(every, store, START, START + HOUR, "y") == {"landed": 1, "known": 4}
+    same(every)
+    assert land_late(every, store, START, START + 3 * HOUR, "z") == {"landed": 0, "known": 11}
+    same(every)
+    # A batch that now brings less takes back what it no longer has.
+    land_late(every.filter("value <> 200"), store, START, START + 3 * HOUR, "x")
+    same(every.filter("value <> 200"))
+    land_late(every, store, START, START + 3 * HOUR, "x")
+    # The interval run again holds all: its late batches are gone, and the windows the same.
+    with pytest.raises(ValueError, match="10-00 has landed offsets 7 to 7 of partition 1"):
+        run_interval(every.filter("offset <> 7"), store, START)
+    run_interval(every, store, START)
+    same(every)
+    backfill(every, store, START, START + 3 * HOUR)
+    same(every)
+    assert sum(r[3] - r[2] for r in ledger(spark, store)) == 11
+
+
+def test_late_windows_are_merged_without_raw_rows(spark, monkeypatch):
+    from tidegauge.plans import interval
+
+    store = scratch_dir(spark, "t")
+    backfill(placed(spark, *PLACED), store, START, START + 3 * HOUR)
+    read = []
+    table = interval._table
+
+    def told(spark, store, name, schema, known):
+        read.append(name)
+        return table(spark, store, name, schema, known)
+
+    monkeypatch.setattr(interval, "_table", told)
+    land_late(placed(spark, (100.0, DAY + "10:59:40", 1, 7)), store, START, START + HOUR, "x")
+    assert set(read) == {"ledger", "panes"}
+
+
+def test_events_received_keep_their_place(spark):
+    topic = received(spark, (1.0, DAY + "10:10:00", DAY + "10:10:01")).selectExpr("*", "3 AS partition", "9L AS offset")
+    (row,) = events_received(topic, START, START + HOUR).collect()
+    assert (row["partition"], row["offset"], row["value"]) == (3, 9, 1.0)

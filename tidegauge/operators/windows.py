@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -65,6 +66,18 @@ def _one_step(df: DataFrame, width: str, slide: str, time: str) -> DataFrame:
     return finish_windows(df.groupBy(window, "indicator").agg(*stat_columns()))
 
 
+def pane_partials(df: DataFrame, pane: str, time: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Partial results per pane, indicator and `keys`: all that windows made of panes ask of their rows."""
+    begin = F.window(time, pane)["start"].alias("pane")
+    return df.select(*keys, begin, "indicator", "value").groupBy(*keys, "pane", "indicator").agg(*partial_columns())
+
+
+def windows_of_panes(panes: DataFrame, width: str, slide: str) -> DataFrame:
+    """Window results from `pane_partials`; a pane may come in several parts."""
+    window = F.window("pane", width, slide).alias("window")
+    return finish_windows(panes.groupBy(window, "indicator").agg(*merged_columns()))
+
+
 def _two_steps(df: DataFrame, width: str, slide: str, time: str) -> DataFrame:
     """Two steps: rows to panes, panes to windows.
 
@@ -74,8 +87,4 @@ def _two_steps(df: DataFrame, width: str, slide: str, time: str) -> DataFrame:
     Both steps combine on the map side, so a hot indicator or window reaches a reducer as at most
     one record per map task.
     """
-    pane = F.window(time, pane_of(width, slide))["start"].alias("pane")
-    rows = df.select(pane, "indicator", "value")
-    panes = rows.groupBy("pane", "indicator").agg(*partial_columns())
-    window = F.window("pane", width, slide).alias("window")
-    return finish_windows(panes.groupBy(window, "indicator").agg(*merged_columns()))
+    return windows_of_panes(pane_partials(df, pane_of(width, slide), time), width, slide)

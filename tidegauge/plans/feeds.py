@@ -60,6 +60,18 @@ def landed_events(ev: DataFrame) -> DataFrame:
     ).select("indicator", "name", "value", "ts", "source", "event_time")
 
 
+def placed_events(ev: DataFrame) -> DataFrame:
+    """The same with their place in a topic: events were dealt to three partitions in turn."""
+    at = F.col("ts").cast("timestamp")
+    placed = ev.withColumns({
+        "event_time": at, "partition": (F.col("event_id") % 3).cast("int"), "offset": F.expr("event_id DIV 3"),
+    })
+    keep = ("event_time", "partition", "offset")
+    return to_event(placed, F.col("event_type"), display_name(), F.col("value"), at, keep=keep).select(
+        "indicator", "name", "value", "ts", "source", *keep
+    )
+
+
 def messages(ev: DataFrame, damage: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Topic rows: key, value bytes, topic, partition, offset. `damage` rewrites the JSON text,
     which it sees as column `value`, next to the event's own `reading`."""

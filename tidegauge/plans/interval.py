@@ -1,43 +1,66 @@
 """Scheduled runs: land the events of an interval, then aggregate the windows it closes.
 
-A store is one folder with two tables, `raw` and `stats`, both partitioned by (dt, slot): the UTC
-date and the start time of the interval a row belongs to. A raw row belongs to the interval of its
-event time, a window to the interval its last moment falls into. So each window belongs to exactly
-one interval, and all its rows are landed when that interval is: it needs rows back to one width
-before the interval, and none after it. Averages are never averaged. The store keeps the length of
-its intervals and refuses another: folders of two lengths would hold rows twice.
-
-Late rows count once the intervals they touch are run again. Windows that reach from such an interval
-into the next ones are stored there, so a run stores anew the next intervals that windows of its
-rows end in, where these have been run before.
+A store is one folder of tables, all partitioned by (dt, slot): the UTC date and the start time of the
+interval a row belongs to. A raw row belongs to the interval of its event time, a window to the
+interval its last moment falls into. So each window belongs to exactly one interval, and all its rows
+are landed when that interval is: it needs rows back to one width before the interval, and none after
+it. The store keeps the length of its intervals and refuses another: folders of two lengths would hold
+rows twice.
+
+- `raw`: landed rows, with their topic partition and offset where the source tells them.
+- `panes`: mergeable partial results of the raw rows, per interval, pane and indicator. Windows are
+  merged from them; raw rows are not read again. Averages are never averaged.
+- `ledger`: the ranges of offsets landed, per interval and topic partition.
+- `stats`: the windows.
+- `late/raw`, `late/panes`, `late/ledger`: the same for rows that came after their interval was run,
+  also by the batch that brought them.
+
+Late rows count in two ways. `land_late` adds the new ones of a batch, with panes of their own, and
+stores anew the windows they belong to. Or their intervals are run again, which replaces them, late
+batches included. Windows that reach from such an interval into the next ones are stored there, so a
+run stores anew the next intervals that windows of its rows end in, where these have been run before.
 
 A run replaces its intervals, each folder as a whole when the job ends. One that a run has no rows for
-gets a single row of NULLs, which readers skip: it says that the interval was run, and takes the
-place of what was there. A run that would leave an interval with fewer rows than are landed is refused unless
-told that it may: the source may have let go of them.
+gets a single row of NULLs, which readers skip: it says that the interval was run, and takes the place
+of what was there. A run that would lose a landed row is refused unless told that it may: the source may
+have let go of it. With positions, landed ranges of offsets are held against those that come; without,
+rows themselves. Where rows are landed already, those that come are put aside first, in `incoming`, so
+the source is read once in any case, and nothing is replaced before the comparison.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.operators.decode import parse_events, with_event_time
-from tidegauge.operators.windows import span, window_stats
-from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
-from tidegauge.session import require_utc
+from tidegauge.operators.ranges import difference, outside, ranges_of
+from tidegauge.operators.windows import pane_of, pane_partials, span, windows_of_panes
+from tidegauge.schema import PANE_SCHEMA, POSITION_SCHEMA, RAW_SCHEMA, STATS_SCHEMA, with_fields
+from tidegauge.session import exists, require_utc
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 from tidegauge.sources.topic import read_topic_batch
+from tidegauge.sources.values import value_table
 
 EPOCH = datetime(1970, 1, 1)
 EVERY = "1 hour"
 SLOT = ["dt", "slot"]
 SLOT_TYPES = {"dt": T.DateType(), "slot": T.StringType()}
+SLOT_NAMES = {name: kind.simpleString() for name, kind in SLOT_TYPES.items()}
 SLOT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in SLOT_TYPES.items()])
+POSITION = POSITION_SCHEMA.fieldNames()
+PLACED_SCHEMA = T.StructType(RAW_SCHEMA.fields + POSITION_SCHEMA.fields)
+RANGE = ("first_offset", "next_offset")
+LEDGER_SCHEMA = T.StructType(
+    [T.StructField("partition", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in RANGE]]
+)
+LEDGER_KEYS = (*SLOT, "partition")
+#: What a batch of late rows is told apart by.
+BATCH = {"batch": T.StringType()}
 
 
 def _slot_of(at: Column, every: str) -> list[Column]:
@@ -77,18 +100,42 @@ def _check(spark: SparkSession, start: datetime, end: datetime, every: str) -> N
         raise ValueError("the range is empty")
 
 
-def _claim(spark: SparkSession, store: str, every: str) -> None:
-    """Notes the length of the store's intervals at its first run, and refuses another later."""
-    micros, path = span(every) // timedelta(microseconds=1), f"{store}/every"
-    try:
-        kept = spark.read.schema("micros bigint").parquet(path).first()["micros"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        spark.range(1).select(F.lit(micros).cast("long").alias("micros")).write.parquet(path)
-        return
-    if kept != micros:
-        raise ValueError(f"the store has intervals of {timedelta(microseconds=kept)}, not of {every}")
+class Claim(NamedTuple):
+    """What a store keeps from its first run on: length of intervals and panes in microseconds, and
+    whether rows have positions."""
+
+    micros: int
+    pane: int
+    placed: bool
+
+
+def _micros(interval: str) -> int:
+    return span(interval) // timedelta(microseconds=1)
+
+
+def _claimed(spark: SparkSession, store: str) -> Claim | None:
+    path = f"{store}/every"
+    if not exists(spark, path):
+        return None
+    row = spark.read.schema("micros bigint, pane bigint, placed boolean").parquet(path).first()
+    if row["pane"] is None:
+        raise ValueError("the store has no panes: an earlier version made it; backfill a new one")
+    return Claim(*row)
+
+
+def _claim(spark: SparkSession, store: str, every: str, pane: str, placed: bool) -> Claim:
+    """Notes at the first run what the store keeps, and refuses other intervals and rows later. Panes
+    stay as short as they were."""
+    wanted = Claim(_micros(every), _micros(pane), placed)
+    kept = _claimed(spark, store)
+    if kept is None:
+        spark.createDataFrame([wanted], "micros bigint, pane bigint, placed boolean").coalesce(1).write.parquet(f"{store}/every")
+        return wanted
+    if kept.micros != wanted.micros:
+        raise ValueError(f"the store has intervals of {timedelta(microseconds=kept.micros)}, not of {every}")
+    if kept.placed != placed:
+        raise ValueError(f"the store has rows {'with' if kept.placed else 'without'} partition and offset")
+    return kept
 
 
 def _run_slots(spark: SparkSession, start: datetime, end: datetime, every: str) -> DataFrame:
@@ -99,7 +146,7 @@ def _run_slots(spark: SparkSession, start: datetime, end: datetime, every: str)
     return spark.range((end - start) // step).select(*_slot_of(at, every))
 
 
-def _write(rows: DataFrame, slots: DataFrame, path: str) -> None:
+def _write(rows: DataFrame, slots: DataFrame, path: str, keys: tuple[str, ...] = tuple(SLOT)) -> None:
     """Replaces what the table holds for `slots`, all of them in one job.
 
     Folders are swapped when the job ends, so a failed one changes nothing. `rebalance` makes few
@@ -107,66 +154,132 @@ def _write(rows: DataFrame, slots: DataFrame, path: str) -> None:
     """
     (
         rows.unionByName(slots, allowMissingColumns=True)
-        .hint("rebalance", *SLOT)
+        .hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*SLOT)
+        .partitionBy(*keys)
         .parquet(path)
     )
 
 
-def read_landed(spark: SparkSession, store: str) -> DataFrame:
-    schema = with_fields(RAW_SCHEMA, **SLOT_TYPES)
-    return spark.read.schema(schema).parquet(f"{store}/raw").filter("event_time IS NOT NULL")
+def _table(spark: SparkSession, store: str, name: str, schema: T.StructType, known: str) -> DataFrame:
+    """A table of the store without its marks, which lack the `known` column."""
+    schema = with_fields(schema, **SLOT_TYPES)
+    return spark.read.schema(schema).parquet(f"{store}/{name}").filter(F.col(known).isNotNull())
+
+
+def _late(spark: SparkSession, store: str, name: str, schema: T.StructType, known: str) -> DataFrame | None:
+    """The late rows of a table, with their `batch`; None if there never were any."""
+    path = f"{store}/late/{name}"
+    if not exists(spark, path):
+        return None
+    schema = with_fields(schema, **SLOT_TYPES, **BATCH)
+    return spark.read.schema(schema).parquet(path).filter(F.col(known).isNotNull())
+
+
+def _whole(spark: SparkSession, store: str, name: str, schema: T.StructType, known: str) -> DataFrame:
+    own, late = _table(spark, store, name, schema, known), _late(spark, store, name, schema, known)
+    return own if late is None else own.unionByName(late.drop("batch"))
+
+
+def read_landed(spark: SparkSession, store: str, positions: bool = False) -> DataFrame:
+    """Landed rows, late ones included, with their (dt, slot) and, if asked for, partition and offset."""
+    rows = _whole(spark, store, "raw", PLACED_SCHEMA, "event_time")
+    return rows if positions else rows.drop(*POSITION)
+
+
+def read_offsets(spark: SparkSession, store: str) -> DataFrame:
+    """The ledger: ranges of landed offsets per interval and topic partition; `next_offset` is the first
+    one not in the range. Late batches have ranges of their own."""
+    return _whole(spark, store, "ledger", LEDGER_SCHEMA, "partition")
 
 
 def read_interval_stats(spark: SparkSession, store: str) -> DataFrame:
     """Window results with their (dt, slot)."""
-    schema = with_fields(STATS_SCHEMA, **SLOT_TYPES)
-    return spark.read.schema(schema).parquet(f"{store}/stats").filter("start IS NOT NULL")
-
-
-def _refuse_loss(rows: DataFrame, store: str, inside: Column) -> None:
-    """Compares counts per interval, one number each; a first run has nothing to compare with."""
-    try:
-        landed = read_landed(rows.sparkSession, store)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return
-        raise
-    held = landed.filter(inside).groupBy(*SLOT).agg(F.count("*").alias("held"))
-    come = rows.groupBy(*SLOT).agg(F.count("*").alias("come"))
-    fewer = held.join(come, SLOT, "left").filter(F.coalesce("come", F.lit(0)) < F.col("held"))
-    first = fewer.orderBy(*SLOT).first()
+    return _table(spark, store, "stats", STATS_SCHEMA, "start")
+
+
+def _offsets(rows: DataFrame) -> DataFrame:
+    return ranges_of(rows, LEDGER_KEYS, "offset", *RANGE)
+
+
+def _folders(spark: SparkSession, store: str, name: str) -> DataFrame:
+    """(dt, slot) of a table's folders, marks included: no column is read."""
+    return spark.read.schema(SLOT_SCHEMA).parquet(f"{store}/{name}")
+
+
+def _refuse_lost_offsets(come: DataFrame, store: str, inside: Column) -> None:
+    """Holds landed ranges of offsets against those that come. An interval landed by a run that ended
+    before it had written its ledger is read from its rows."""
+    spark, held = come.sparkSession, None
+    without = _folders(spark, store, "raw").filter(inside).distinct()
+    if exists(spark, f"{store}/ledger"):
+        held = read_offsets(spark, store).filter(inside)
+        without = without.exceptAll(_folders(spark, store, "ledger").filter(inside).distinct())
+    slots = [tuple(r) for r in without.collect()]
+    if slots:
+        landed = read_landed(spark, store, positions=True).filter(inside)
+        found = _offsets(landed.join(value_table(spark, SLOT_NAMES, slots), SLOT, "left_semi"))
+        held = found if held is None else held.unionByName(found)
+    lost = difference(held, _offsets(come), LEDGER_KEYS, *RANGE).orderBy(*LEDGER_KEYS, RANGE[0]).first()
+    if lost:
+        raise ValueError(
+            f"interval {lost['dt']} {lost['slot']} has landed offsets {lost[RANGE[0]]} to {lost[RANGE[1]] - 1} of "
+            f"partition {lost['partition']}, which the source does not give; a run that may lose rows has to say so"
+        )
+
+
+def _refuse_lost_rows(come: DataFrame, store: str, inside: Column) -> None:
+    """Without positions a row is known by what it holds: none may come less often than it is landed."""
+    landed = read_landed(come.sparkSession, store).filter(inside)
+    row = F.xxhash64(*RAW_SCHEMA.fieldNames()).alias("row")
+    both = landed.select(*SLOT, row, F.lit(1).alias("held"), F.lit(0).alias("come")).unionByName(
+        come.select(*SLOT, row, F.lit(0).alias("held"), F.lit(1).alias("come"))
+    )
+    counted = both.groupBy(*SLOT, "row").agg(F.sum("held").alias("held"), F.sum("come").alias("come"))
+    slots = counted.groupBy(*SLOT).agg(
+        F.sum("held").alias("held"), F.sum(F.greatest(F.col("held") - F.col("come"), F.lit(0))).alias("lost")
+    )
+    first = slots.filter("lost > 0").orderBy(*SLOT).first()
     if first:
         raise ValueError(
-            f"interval {first['dt']} {first['slot']} has {first['held']} landed rows, and the source "
-            f"gives {first['come'] or 0}; a run that may lose rows has to say so"
+            f"interval {first['dt']} {first['slot']} has {first['held']} landed rows, and the source lacks "
+            f"{first['lost']} of them; a run that may lose rows has to say so"
         )
 
 
+def _put_aside(rows: DataFrame, store: str, start: datetime, end: datetime) -> DataFrame:
+    path = f"{store}/incoming/{start:%Y-%m-%dT%H-%M}--{end:%Y-%m-%dT%H-%M}"
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _cleared(aside: DataFrame, store: str, start: datetime, end: datetime) -> None:
+    _put_aside(aside.limit(0), store, start, end)
+
+
+def _placed(events: DataFrame) -> bool:
+    return set(POSITION) <= set(events.columns)
+
+
 def ingest(
     events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
-    wait: str = LATENESS, may_lose: bool = False,
+    wait: str = LATENESS, may_lose: bool = False, pane: str | None = None,
 ) -> dict[str, int]:
-    """Lands the events of [start, end).
+    """Lands the events of [start, end), with panes and, where they have `partition` and `offset`, the
+    ledger of offsets.
 
     Returns counts of what was read: `landed`; `earlier` and `later`, outside the range; `no_time`;
     and, where `events` tell when they were `received`, `missed`: those of earlier intervals that came
     when the run before had stopped reading, `wait` after its end. These count once their intervals
-    are run again with a longer wait.
+    are run again with a longer wait, or once `land_late` brings them. `pane` sets the length of the
+    panes at the first run of a store.
     """
     spark = events.sparkSession
     _check(spark, start, end, every)
-    _claim(spark, store, every)
+    placed = _placed(events)
+    claim = _claim(spark, store, every, pane or pane_of(WINDOW_WIDTH, WINDOW_SLIDE), placed)
     time = F.col("event_time")
-
-    def landed(df: DataFrame) -> DataFrame:
-        rows = df.filter(_within("event_time", start, end))
-        return rows.select(*RAW_SCHEMA.fieldNames(), *_slot_of(time, every))
-
-    if not may_lose:
-        _refuse_loss(landed(events), store, _slots(start, end, every))
     known = "received" in events.columns
     missed = (time < _moment(start)) & (F.col("received") >= _moment(start + span(wait))) if known else F.lit(False)
     seen = Observation("landing")
@@ -178,10 +291,111 @@ def ingest(
         F.count_if(time.isNull()).alias("no_time"),
         F.count_if(missed).alias("missed"),
     )
-    _write(landed(counted), _run_slots(spark, start, end, every), f"{store}/raw")
+    places = [F.col("partition").cast("int"), F.col("offset").cast("long")] if placed else []
+    rows = counted.filter(_within("event_time", start, end)).select(
+        *RAW_SCHEMA.fieldNames(), *places, *_slot_of(time, every)
+    )
+    inside = _slots(start, end, every)
+    held = not may_lose and exists(spark, f"{store}/raw") and not read_landed(spark, store).filter(inside).isEmpty()
+    if held:
+        rows = _put_aside(rows, store, start, end)
+        (_refuse_lost_offsets if placed else _refuse_lost_rows)(rows, store, inside)
+    slots = _run_slots(spark, start, end, every)
+    if held and placed:
+        # First: a run that ends in between may promise rows too many, but forget none.
+        _write_ledger(rows, slots, store)
+    _write(rows, slots, f"{store}/raw")
+    landed = _table(spark, store, "raw", PLACED_SCHEMA, "event_time").filter(inside)
+    _write_panes(landed, slots, store, claim)
+    if placed and not held:
+        _write_ledger(landed, slots, store)
+    _empty_late(spark, store, inside)
+    if held:
+        _cleared(rows, store, start, end)
     return dict(seen.get)
 
 
+def _write_panes(landed: DataFrame, slots: DataFrame, to: str, claim: Claim, keys: tuple[str, ...] = ()) -> None:
+    keys = (*SLOT, *keys)
+    _write(pane_partials(landed, f"{claim.pane} microseconds", "event_time", keys), slots, f"{to}/panes", keys)
+
+
+def _write_ledger(landed: DataFrame, slots: DataFrame, to: str, keys: tuple[str, ...] = ()) -> None:
+    keys = (*SLOT, *keys)
+    _write(ranges_of(landed, (*keys, "partition"), "offset", *RANGE), slots, f"{to}/ledger", keys)
+
+
+def _empty_late(spark: SparkSession, store: str, inside: Column) -> None:
+    """Late batches of intervals that were run again: what they brought came with the run."""
+    late = _late(spark, store, "raw", PLACED_SCHEMA, "event_time")
+    if late is None:
+        return
+    folders = late.filter(inside).select(*SLOT, *BATCH).distinct()
+    aside = f"{store}/late/emptied"
+    folders.write.mode("overwrite").parquet(aside)
+    gone = spark.read.schema(folders.schema).parquet(aside)
+    if not gone.isEmpty():
+        for name, schema in (("ledger", LEDGER_SCHEMA), ("panes", PANE_SCHEMA), ("raw", PLACED_SCHEMA)):
+            nothing = spark.createDataFrame([], with_fields(schema, **SLOT_TYPES, **BATCH))
+            _write(nothing, gone, f"{store}/late/{name}", (*SLOT, *BATCH))
+
+
+def land_late(
+    events: DataFrame, store: str, start: datetime, end: datetime, batch: str, every: str = EVERY,
+    width: str = WINDOW_WIDTH, slide: str = WINDOW_SLIDE,
+) -> dict[str, int]:
+    """Adds those events of [start, end) that are not landed yet, and stores anew the windows they belong
+    to, from stored panes and their own: no landed row is read.
+
+    Rows are known by partition and offset; those the ledger has are skipped, so `events` may hold any
+    part of the topic. `batch` names the run: a second run under a name replaces the first. Windows of
+    intervals that were never run are left to their own run, which brings these rows again. Returns
+    counts: `landed` and `known`.
+    """
+    spark = events.sparkSession
+    _check(spark, start, end, every)
+    claim = _claimed(spark, store)
+    if claim is None or not claim.placed or not _placed(events):
+        raise ValueError("late rows need a store and events with partition and offset")
+    claim = _claim(spark, store, every, pane_of(width, slide), True)
+    inside = _slots(start, end, every)
+    seen = Observation("late")
+    come = events.observe(seen, F.count_if(_within("event_time", start, end)).alias("come"))
+    rows = come.filter(_within("event_time", start, end)).select(
+        *RAW_SCHEMA.fieldNames(), F.col("partition").cast("int"), F.col("offset").cast("long"),
+        *_slot_of(F.col("event_time"), every),
+    )
+    held = _table(spark, store, "ledger", LEDGER_SCHEMA, "partition")
+    late = _late(spark, store, "ledger", LEDGER_SCHEMA, "partition")
+    if late is not None:
+        held = held.unionByName(late.filter(F.col("batch") != batch).drop("batch"))
+    new = outside(rows, held.filter(inside), LEDGER_KEYS, "offset", *RANGE).dropDuplicates([*LEDGER_KEYS, "offset"])
+    new = _put_aside(new.withColumn("batch", F.lit(batch)), store, start, end)
+    # At most as many as the range has intervals.
+    mine = F.col("batch") == batch
+    touched = new.select(*SLOT).distinct()
+    before = _late(spark, store, "raw", PLACED_SCHEMA, "event_time")
+    if before is not None:
+        touched = touched.union(before.filter(inside & mine).select(*SLOT).distinct()).distinct()
+    slots = sorted((r["dt"], r["slot"]) for r in touched.collect())
+    counts = {"landed": new.count(), "known": 0}
+    counts["known"] = seen.get["come"] - counts["landed"]
+    if slots:
+        named = value_table(spark, SLOT_NAMES, slots)
+        marks, keys = named.withColumn("batch", F.lit(batch)), (*SLOT, *BATCH)
+        _write(new, marks, f"{store}/late/raw", keys)
+        landed = _late(spark, store, "raw", PLACED_SCHEMA, "event_time").filter(inside & mine).join(named, SLOT, "left_semi")
+        _write_panes(landed, marks, f"{store}/late", claim, tuple(BATCH))
+        _write_ledger(landed, marks, f"{store}/late", tuple(BATCH))
+        _store_windows(spark, store, [_begin(*slot) for slot in slots], every, width, slide, claim)
+    _cleared(new, store, start, end)
+    return counts
+
+
+def _begin(dt, slot: str) -> datetime:
+    return datetime.combine(dt, datetime.strptime(slot, "%H-%M").time())
+
+
 def aggregate(
     spark: SparkSession,
     store: str,
@@ -191,29 +405,51 @@ def aggregate(
     width: str = WINDOW_WIDTH,
     slide: str = WINDOW_SLIDE,
 ) -> None:
-    """Stores the windows that end in (start, end], from landed rows, and again those of the next
+    """Stores the windows that end in (start, end], from stored panes, and again those of the next
     intervals that windows of these rows reach into, where these are landed."""
     _check(spark, start, end, every)
-    _claim(spark, store, every)
-    until = end + -(-span(width) // span(every)) * span(every)
-    raw = spark.read.schema(SLOT_SCHEMA).parquet(f"{store}/raw")
-    # As many as intervals fit into a window.
-    after = raw.filter(_slots(end, until, every)).distinct().collect()
-    mine = _run_slots(spark, start, end, every)
-    own = _slots(start, end, every)
-    for dt, slot in after:
-        own |= (F.col("dt") == F.lit(dt)) & (F.col("slot") == slot)
-        mine = mine.union(spark.range(1).select(F.lit(dt).alias("dt"), F.lit(slot).alias("slot")))
+    claim = _claimed(spark, store)
+    if claim is None:
+        raise ValueError("nothing is landed in this store")
+    _claim(spark, store, every, pane_of(width, slide), claim.placed)
+    _store_windows(spark, store, (start, end), every, width, slide, claim)
+
+
+def _store_windows(
+    spark: SparkSession, store: str, run: tuple[datetime, datetime] | list[datetime], every: str, width: str,
+    slide: str, claim: Claim,
+) -> None:
+    """`run`: a range of intervals, all stored, or the starts of some, of which those that were run are."""
+    if _micros(pane_of(width, slide)) % claim.pane:
+        raise ValueError(f"windows of {width} every {slide} do not consist of the store's panes")
+    step = span(every)
+    reach = -(-span(width) // step) * step
+    start, end = run if isinstance(run, tuple) else (min(run), max(run) + step)
+    until = end + reach
+    landed = _folders(spark, store, "panes")
+    if isinstance(run, tuple):
+        # As many as intervals fit into a window.
+        after = landed.filter(_slots(end, until, every)).distinct().collect()
+        mine = _run_slots(spark, start, end, every)
+    else:
+        around = {at + k * step for at in run for k in range(reach // step + 1)}
+        runs = landed.filter(_slots(start, until, every)).distinct().collect()
+        after, mine = [r for r in runs if _begin(*r) in around], None
+    if after:
+        more = value_table(spark, SLOT_NAMES, [tuple(r) for r in after])
+        mine = more if mine is None else mine.union(more)
+    if mine is None:
+        return
     first = start - span(width)
-    near = _slots(first, until, every) & _within("event_time", first, until)
-    rows = read_landed(spark, store).filter(near)
+    panes = _whole(spark, store, "panes", PANE_SCHEMA, "pane")
+    near = panes.filter(_slots(first, until, every) & _within("pane", first, until))
     closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(until))
     last_moment = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
-    stats = window_stats(rows, width, slide).filter(closed)
+    stats = windows_of_panes(near, width, slide).filter(closed)
     stats = stats.withColumn("last", last_moment).select(
         *STATS_SCHEMA.fieldNames(), *_slot_of(F.col("last"), every)
     )
-    _write(stats.filter(own), mine, f"{store}/stats")
+    _write(stats.join(mine, SLOT, "left_semi"), mine, f"{store}/stats")
 
 
 def events_received(
@@ -221,10 +457,11 @@ def events_received(
 ) -> DataFrame:
     """Events of topic rows that the topic received from `wait` before the range to `wait` after it,
     since the clocks of senders and brokers differ and events come late; with the time they were
-    `received`."""
+    `received` and their place in the topic."""
     at = F.col("timestamp")
     reach = (at >= _moment(start - span(wait))) & (at < _moment(end + span(wait)))
-    parsed = parse_events(messages.filter(reach), keep=("timestamp",))
+    places = POSITION if _placed(messages) else []
+    parsed = parse_events(messages.filter(reach), keep=("timestamp", *places))
     return with_event_time(parsed).withColumnRenamed("timestamp", "received")
 
 
@@ -251,10 +488,11 @@ def backfill(
     events: DataFrame, store: str, start: datetime, end: datetime, every: str = EVERY,
     wait: str = LATENESS, may_lose: bool = False, **windows: str,
 ) -> dict[str, int]:
-    """All intervals of [start, end) at once: two jobs, not two per interval. Replaces them all, by
-    fewer rows or none only if it `may_lose` them. Returns the counts of `ingest`."""
-    counts = ingest(events, store, start, end, every, wait, may_lose)
-    aggregate(events.sparkSession, store, start, end, every, **windows)
+    """All intervals of [start, end) at once: as many jobs as one interval takes. Replaces them all, and
+    loses landed rows only if it `may_lose` them. Returns the counts of `ingest`."""
+    width, slide = windows.get("width", WINDOW_WIDTH), windows.get("slide", WINDOW_SLIDE)
+    counts = ingest(events, store, start, end, every, wait, may_lose, pane_of(width, slide))
+    aggregate(events.sparkSession, store, start, end, every, width, slide)
     return counts
 
 

@@ -51,6 +51,19 @@ PER_DATE = f"""
 LINES = f"""
         SELECT '[' || ({PARTITION}) || '@' || event_id || '] ' || {NAME} || '=' || value AS line
         FROM events"""
+# Days from the first event to the last window's end, and the one in the middle.
+HALF = """
+        SELECT low + greatest(1, (high - low) // 2)::INTEGER AS half
+        FROM (SELECT min(ts)::DATE AS low, (max(ts) + INTERVAL '1 minute' - INTERVAL '1 microsecond')::DATE + 1 AS high
+              FROM events)"""
+OFFSETS = f"""
+        SELECT dt, partition, min(place) AS first_offset, max(place) + 1 AS next_offset
+        FROM (SELECT dt, partition, place,
+                     place - row_number() OVER (PARTITION BY dt, partition ORDER BY place) AS run
+              FROM (SELECT ts::DATE AS dt, (event_id % 3)::INTEGER AS partition, event_id // 3 AS place, value
+                    FROM events)
+              WHERE value < 100 OR dt < ({HALF}))
+        GROUP BY dt, partition, run"""
 
 ORACLES: dict[str, str] = {
     "sliding_agg_1m": MINUTE,
@@ -140,6 +153,8 @@ ORACLES: dict[str, str] = {
     "results_latest": HOUR,
     "interval_ingest_agg": MINUTE,
     "interval_late": MINUTE,
+    "interval_offsets": OFFSETS,
+    "interval_panes": MINUTE,
     "backfill": f"""
         SELECT dt, sum(event)::BIGINT AS events, sum(win)::BIGINT AS windows
         FROM (SELECT CAST(ts AS DATE) AS dt, 1 AS event, 0 AS win FROM events

@@ -39,6 +39,7 @@ from tidegauge.plans.feeds import (
     landed_events,
     messages,
     middle,
+    placed_events,
     responses,
     series,
     ticks,
@@ -46,8 +47,10 @@ from tidegauge.plans.feeds import (
 from tidegauge.plans.interval import (
     backfill as run_backfill,
     covering_range,
+    land_late,
     read_interval_stats,
     read_landed,
+    read_offsets,
     run_interval,
 )
 from tidegauge.schema import CORRUPT, READING_SCHEMA, STATS_SCHEMA
@@ -448,6 +451,38 @@ def interval_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(read_interval_stats(spark, store).drop("dt", "slot"))
 
 
+def _halves(rows: DataFrame) -> tuple[datetime, datetime, datetime]:
+    """The days around all events, and one in the middle."""
+    start, end = covering_range(rows, DAY)
+    return start, start + timedelta(days=max(1, (end - start).days // 2)), end
+
+
+def interval_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after days were landed with readings below 100, and their first half again with all:
+    gaps close where the run was repeated."""
+    rows = placed_events(events(spark, sf_dir))
+    store = scratch_dir(spark, "offsets")
+    start, half, end = _halves(rows)
+    run_backfill(rows.filter(F.col("value") < 100), store, start, end, DAY)
+    run_backfill(rows, store, start, half, DAY)
+    return read_offsets(spark, store).drop("slot")
+
+
+def interval_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days landed without readings of 100 and more; these come late, in two batches, of which one comes
+    twice and brings the whole topic: windows are merged from stored panes, landed rows are not read."""
+    rows = placed_events(events(spark, sf_dir))
+    store = scratch_dir(spark, "panes")
+    start, half, end = _halves(rows)
+    late = F.col("value") >= 100
+    run_backfill(rows.filter(~late), store, start, end, DAY)
+    if half < end:
+        land_late(rows.filter(late), store, half, end, "second", DAY)
+    for come in (rows.filter(late), rows):
+        land_late(come, store, start, half, "first", DAY)
+    return without_zone(read_interval_stats(spark, store).drop("dt", "slot"))
+
+
 QUERIES: dict[str, Query] = {
     "sliding_agg_1m": sliding_agg_1m,
     "sliding_agg_1h": sliding_agg_1h,
@@ -481,4 +516,6 @@ QUERIES: dict[str, Query] = {
     "interval_ingest_agg": interval_ingest_agg,
     "backfill": backfill,
     "interval_late": interval_late,
+    "interval_offsets": interval_offsets,
+    "interval_panes": interval_panes,
 }

@@ -37,6 +37,23 @@ STATS_SCHEMA = T.StructType(
 
 RAW_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("event_time", T.TimestampType())])
 
+# Where a message stood in its topic.
+POSITION_SCHEMA = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())])
+
+# Partial results of `functions.stats`, as stored.
+PANE_SCHEMA = T.StructType(
+    [
+        T.StructField("pane", T.TimestampType()),
+        T.StructField("indicator", T.StringType()),
+        *[T.StructField(n, T.LongType()) for n in ("small", "high", "low")],
+        T.StructField("odd", T.DecimalType(38, 10)),
+        T.StructField("beyond", T.DoubleType()),
+        T.StructField("known", T.LongType()),
+        T.StructField("highest", T.DoubleType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
 
 def with_fields(schema: T.StructType, **types: T.DataType) -> T.StructType:
     """`schema` plus trailing fields, for reading a table with its partition columns typed."""

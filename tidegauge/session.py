@@ -58,6 +58,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"tidegauge-{label}-")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on any file system Spark knows. Reading a path that is
+    not there would tell as well, by an error that Spark logs with all its frames."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 @contextmanager
 def stream_options(
     spark: SparkSession, shuffle_partitions: int | None = None, rocksdb: bool = True
