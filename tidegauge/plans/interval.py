@@ -1,31 +1,33 @@
 """Scheduled runs: land the events of an interval, then aggregate the windows it closes.
 
-A store is one folder of tables, all partitioned by (dt, slot): the UTC date and the start time of the
-interval a row belongs to. A raw row belongs to the interval of its event time, a window to the
-interval its last moment falls into. So each window belongs to exactly one interval, and all its rows
-are landed when that interval is: it needs rows back to one width before the interval, and none after
-it. The store keeps the length of its intervals and refuses another: folders of two lengths would hold
-rows twice.
+A store is one folder of tables. `raw`, `panes` and `stats` are partitioned by (dt, slot): the UTC date
+and the start time of the interval a row belongs to. A raw row belongs to the interval of its event
+time, a window to the interval its last moment falls into. So each window belongs to exactly one
+interval, and all its rows are landed when that interval is: it needs rows back to one width before the
+interval, and none after it. The store keeps the length of its intervals and refuses another: folders of
+two lengths would hold rows twice.
 
 - `raw`: landed rows, with their topic partition and offset where the source tells them.
 - `panes`: mergeable partial results of the raw rows, per interval, pane and indicator. Windows are
   merged from them; raw rows are not read again. Averages are never averaged.
-- `ledger`: the ranges of offsets landed, per interval and topic partition.
 - `stats`: the windows.
-- `late/raw`, `late/panes`, `late/ledger`: the same for rows that came after their interval was run,
-  also by the batch that brought them.
+- `ledger`: a log of the ranges of offsets that runs landed, per interval and topic partition. The newest
+  run of an interval counts.
+- `late`: rows that came after their interval was run, by the batch that brought them. They are few, and
+  their panes are made when windows are merged. They count until their interval is run again.
 
-Late rows count in two ways. `land_late` adds the new ones of a batch, with panes of their own, and
-stores anew the windows they belong to. Or their intervals are run again, which replaces them, late
-batches included. Windows that reach from such an interval into the next ones are stored there, so a
-run stores anew the next intervals that windows of its rows end in, where these have been run before.
+Late rows count in two ways. `land_late` adds those of a batch that are new, and stores anew the windows
+they belong to. Or their intervals are run again, which replaces them, late batches included. Windows
+that reach from such an interval into the next ones are stored there, so a run stores anew the next
+intervals that windows of its rows end in, where these have been run before.
 
 A run replaces its intervals, each folder as a whole when the job ends. One that a run has no rows for
 gets a single row of NULLs, which readers skip: it says that the interval was run, and takes the place
 of what was there. A run that would lose a landed row is refused unless told that it may: the source may
 have let go of it. With positions, landed ranges of offsets are held against those that come; without,
 rows themselves. Where rows are landed already, those that come are put aside first, in `incoming`, so
-the source is read once in any case, and nothing is replaced before the comparison.
+the source is read once in any case, and nothing is replaced before the comparison. A run that fails has
+to be repeated; until then the ledger may promise rows that are not there, but it forgets none.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.operators.decode import parse_events, with_event_time
-from tidegauge.operators.ranges import difference, outside, ranges_of
+from tidegauge.operators.ranges import difference, merged as ranges_merged, outside, ranges_of
 from tidegauge.operators.windows import pane_of, pane_partials, span, windows_of_panes
 from tidegauge.schema import PANE_SCHEMA, POSITION_SCHEMA, RAW_SCHEMA, STATS_SCHEMA, with_fields
 from tidegauge.session import exists, require_utc
@@ -55,12 +57,13 @@ SLOT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in SLOT_TYPES.items()])
 POSITION = POSITION_SCHEMA.fieldNames()
 PLACED_SCHEMA = T.StructType(RAW_SCHEMA.fields + POSITION_SCHEMA.fields)
 RANGE = ("first_offset", "next_offset")
-LEDGER_SCHEMA = T.StructType(
-    [T.StructField("partition", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in RANGE]]
+RUN = {"run": T.LongType()}
+LEDGER_SCHEMA = with_fields(
+    T.StructType([T.StructField("partition", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in RANGE]]),
+    **SLOT_TYPES, **RUN,
 )
 LEDGER_KEYS = (*SLOT, "partition")
-#: What a batch of late rows is told apart by.
-BATCH = {"batch": T.StringType()}
+LATE_SCHEMA = with_fields(PLACED_SCHEMA, **SLOT_TYPES, **RUN, batch=T.StringType())
 
 
 def _slot_of(at: Column, every: str) -> list[Column]:
@@ -168,30 +171,44 @@ def _table(spark: SparkSession, store: str, name: str, schema: T.StructType, kno
     return spark.read.schema(schema).parquet(f"{store}/{name}").filter(F.col(known).isNotNull())
 
 
-def _late(spark: SparkSession, store: str, name: str, schema: T.StructType, known: str) -> DataFrame | None:
-    """The late rows of a table, with their `batch`; None if there never were any."""
-    path = f"{store}/late/{name}"
+def _log(spark: SparkSession, store: str) -> DataFrame:
+    """All that runs have written to the ledger, marks included."""
+    path = f"{store}/ledger"
     if not exists(spark, path):
-        return None
-    schema = with_fields(schema, **SLOT_TYPES, **BATCH)
-    return spark.read.schema(schema).parquet(path).filter(F.col(known).isNotNull())
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def _newest(log: DataFrame) -> DataFrame:
+    """(dt, slot, run) of the newest run of each interval."""
+    return log.groupBy(*SLOT).agg(F.max("run").alias("run"))
 
 
-def _whole(spark: SparkSession, store: str, name: str, schema: T.StructType, known: str) -> DataFrame:
-    own, late = _table(spark, store, name, schema, known), _late(spark, store, name, schema, known)
-    return own if late is None else own.unionByName(late.drop("batch"))
+def _late(spark: SparkSession, store: str) -> DataFrame | None:
+    """Late rows that count, with their `batch`; None if there never were any. `run` is the newest run
+    there was when they came: a later one of their interval has brought them itself."""
+    path = f"{store}/late"
+    if not exists(spark, path):
+        return None
+    rows = spark.read.schema(LATE_SCHEMA).parquet(path).filter(F.col("event_time").isNotNull())
+    newest = _newest(_log(spark, store)).withColumnRenamed("run", "newest")
+    return rows.join(newest, SLOT, "left").filter("newest IS NULL OR newest <= run").drop("newest")
 
 
 def read_landed(spark: SparkSession, store: str, positions: bool = False) -> DataFrame:
     """Landed rows, late ones included, with their (dt, slot) and, if asked for, partition and offset."""
-    rows = _whole(spark, store, "raw", PLACED_SCHEMA, "event_time")
+    rows, late = _table(spark, store, "raw", PLACED_SCHEMA, "event_time"), _late(spark, store)
+    if late is not None:
+        rows = rows.unionByName(late.drop("run", "batch"))
     return rows if positions else rows.drop(*POSITION)
 
 
 def read_offsets(spark: SparkSession, store: str) -> DataFrame:
     """The ledger: ranges of landed offsets per interval and topic partition; `next_offset` is the first
-    one not in the range. Late batches have ranges of their own."""
-    return _whole(spark, store, "ledger", LEDGER_SCHEMA, "partition")
+    one not in the range. Those of late rows stand by themselves."""
+    log, late = _log(spark, store), _late(spark, store)
+    now = log.join(_newest(log), [*SLOT, "run"], "left_semi").filter("partition IS NOT NULL").drop("run")
+    return now if late is None else now.unionByName(_offsets(late))
 
 
 def read_interval_stats(spark: SparkSession, store: str) -> DataFrame:
@@ -211,16 +228,13 @@ def _folders(spark: SparkSession, store: str, name: str) -> DataFrame:
 def _refuse_lost_offsets(come: DataFrame, store: str, inside: Column) -> None:
     """Holds landed ranges of offsets against those that come. An interval landed by a run that ended
     before it had written its ledger is read from its rows."""
-    spark, held = come.sparkSession, None
-    without = _folders(spark, store, "raw").filter(inside).distinct()
-    if exists(spark, f"{store}/ledger"):
-        held = read_offsets(spark, store).filter(inside)
-        without = without.exceptAll(_folders(spark, store, "ledger").filter(inside).distinct())
-    slots = [tuple(r) for r in without.collect()]
+    spark = come.sparkSession
+    held = read_offsets(spark, store).filter(inside)
+    told = _log(spark, store).filter(inside).select(*SLOT).distinct()
+    slots = [tuple(r) for r in _folders(spark, store, "raw").filter(inside).distinct().exceptAll(told).collect()]
     if slots:
         landed = read_landed(spark, store, positions=True).filter(inside)
-        found = _offsets(landed.join(value_table(spark, SLOT_NAMES, slots), SLOT, "left_semi"))
-        held = found if held is None else held.unionByName(found)
+        held = held.unionByName(_offsets(landed.join(value_table(spark, SLOT_NAMES, slots), SLOT, "left_semi")))
     lost = difference(held, _offsets(come), LEDGER_KEYS, *RANGE).orderBy(*LEDGER_KEYS, RANGE[0]).first()
     if lost:
         raise ValueError(
@@ -301,43 +315,29 @@ def ingest(
         rows = _put_aside(rows, store, start, end)
         (_refuse_lost_offsets if placed else _refuse_lost_rows)(rows, store, inside)
     slots = _run_slots(spark, start, end, every)
-    if held and placed:
+    if placed and held:
         # First: a run that ends in between may promise rows too many, but forget none.
-        _write_ledger(rows, slots, store)
+        _write_offsets(rows, slots, store)
     _write(rows, slots, f"{store}/raw")
     landed = _table(spark, store, "raw", PLACED_SCHEMA, "event_time").filter(inside)
-    _write_panes(landed, slots, store, claim)
+    panes = pane_partials(landed, f"{claim.pane} microseconds", "event_time", SLOT)
+    _write(panes, slots, f"{store}/panes")
     if placed and not held:
-        _write_ledger(landed, slots, store)
-    _empty_late(spark, store, inside)
+        _write_offsets(landed, slots, store)
     if held:
         _cleared(rows, store, start, end)
     return dict(seen.get)
 
 
-def _write_panes(landed: DataFrame, slots: DataFrame, to: str, claim: Claim, keys: tuple[str, ...] = ()) -> None:
-    keys = (*SLOT, *keys)
-    _write(pane_partials(landed, f"{claim.pane} microseconds", "event_time", keys), slots, f"{to}/panes", keys)
+def _newest_run(spark: SparkSession, store: str) -> int:
+    return _log(spark, store).agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
 
 
-def _write_ledger(landed: DataFrame, slots: DataFrame, to: str, keys: tuple[str, ...] = ()) -> None:
-    keys = (*SLOT, *keys)
-    _write(ranges_of(landed, (*keys, "partition"), "offset", *RANGE), slots, f"{to}/ledger", keys)
-
-
-def _empty_late(spark: SparkSession, store: str, inside: Column) -> None:
-    """Late batches of intervals that were run again: what they brought came with the run."""
-    late = _late(spark, store, "raw", PLACED_SCHEMA, "event_time")
-    if late is None:
-        return
-    folders = late.filter(inside).select(*SLOT, *BATCH).distinct()
-    aside = f"{store}/late/emptied"
-    folders.write.mode("overwrite").parquet(aside)
-    gone = spark.read.schema(folders.schema).parquet(aside)
-    if not gone.isEmpty():
-        for name, schema in (("ledger", LEDGER_SCHEMA), ("panes", PANE_SCHEMA), ("raw", PLACED_SCHEMA)):
-            nothing = spark.createDataFrame([], with_fields(schema, **SLOT_TYPES, **BATCH))
-            _write(nothing, gone, f"{store}/late/{name}", (*SLOT, *BATCH))
+def _write_offsets(rows: DataFrame, slots: DataFrame, store: str) -> None:
+    """Adds a run to the ledger: the ranges of its rows, and a mark for each of its intervals."""
+    run = F.lit(_newest_run(rows.sparkSession, store) + 1)
+    told = _offsets(rows).unionByName(slots, allowMissingColumns=True).withColumn("run", run)
+    told.hint("rebalance").write.mode("append").parquet(f"{store}/ledger")
 
 
 def land_late(
@@ -365,31 +365,25 @@ def land_late(
         *RAW_SCHEMA.fieldNames(), F.col("partition").cast("int"), F.col("offset").cast("long"),
         *_slot_of(F.col("event_time"), every),
     )
-    held = _table(spark, store, "ledger", LEDGER_SCHEMA, "partition")
-    late = _late(spark, store, "ledger", LEDGER_SCHEMA, "partition")
+    log, late = _log(spark, store), _late(spark, store)
+    held = log.join(_newest(log), [*SLOT, "run"], "left_semi").filter("partition IS NOT NULL").drop("run")
+    before: list = []
     if late is not None:
-        held = held.unionByName(late.filter(F.col("batch") != batch).drop("batch"))
+        mine = F.col("batch") == batch
+        held = ranges_merged(held.unionByName(_offsets(late.filter(~mine))).filter(inside), LEDGER_KEYS, *RANGE)
+        before = late.filter(mine & inside).select(*SLOT).distinct().collect()
     new = outside(rows, held.filter(inside), LEDGER_KEYS, "offset", *RANGE).dropDuplicates([*LEDGER_KEYS, "offset"])
-    new = _put_aside(new.withColumn("batch", F.lit(batch)), store, start, end)
+    marks = {"run": F.lit(_newest_run(spark, store)).cast("long"), "batch": F.lit(batch)}
+    mark = spark.range(1).select(*[value.alias(name) for name, value in marks.items()])
+    _write(new.withColumns(marks), mark, f"{store}/late", ("batch",))
+    landed = spark.read.schema(LATE_SCHEMA).parquet(f"{store}/late").filter(F.col("batch") == batch)
+    counted = landed.filter("event_time IS NOT NULL").groupBy(*SLOT).agg(F.count("*").alias("n")).collect()
     # At most as many as the range has intervals.
-    mine = F.col("batch") == batch
-    touched = new.select(*SLOT).distinct()
-    before = _late(spark, store, "raw", PLACED_SCHEMA, "event_time")
-    if before is not None:
-        touched = touched.union(before.filter(inside & mine).select(*SLOT).distinct()).distinct()
-    slots = sorted((r["dt"], r["slot"]) for r in touched.collect())
-    counts = {"landed": new.count(), "known": 0}
-    counts["known"] = seen.get["come"] - counts["landed"]
+    slots = {tuple(r) for r in before} | {(r["dt"], r["slot"]) for r in counted}
     if slots:
-        named = value_table(spark, SLOT_NAMES, slots)
-        marks, keys = named.withColumn("batch", F.lit(batch)), (*SLOT, *BATCH)
-        _write(new, marks, f"{store}/late/raw", keys)
-        landed = _late(spark, store, "raw", PLACED_SCHEMA, "event_time").filter(inside & mine).join(named, SLOT, "left_semi")
-        _write_panes(landed, marks, f"{store}/late", claim, tuple(BATCH))
-        _write_ledger(landed, marks, f"{store}/late", tuple(BATCH))
-        _store_windows(spark, store, [_begin(*slot) for slot in slots], every, width, slide, claim)
-    _cleared(new, store, start, end)
-    return counts
+        _store_windows(spark, store, [_begin(*slot) for slot in sorted(slots)], every, width, slide, claim)
+    count = sum(r["n"] for r in counted)
+    return {"landed": count, "known": seen.get["come"] - count}
 
 
 def _begin(dt, slot: str) -> datetime:
@@ -441,7 +435,9 @@ def _store_windows(
     if mine is None:
         return
     first = start - span(width)
-    panes = _whole(spark, store, "panes", PANE_SCHEMA, "pane")
+    panes, late = _table(spark, store, "panes", PANE_SCHEMA, "pane"), _late(spark, store)
+    if late is not None:
+        panes = panes.unionByName(pane_partials(late, f"{claim.pane} microseconds", "event_time", SLOT))
     near = panes.filter(_slots(first, until, every) & _within("pane", first, until))
     closed = (F.col("end") > _moment(start)) & (F.col("end") <= _moment(until))
     last_moment = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
