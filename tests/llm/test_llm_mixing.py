@@ -1,7 +1,8 @@
 import hashlib
 import math
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from cases import documents, no_documents, on_disk
@@ -122,3 +123,28 @@ def test_documents_come_in_training_order_as_often_as_taken(spark, tmp_path):
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
     op8_mix(spark, sf_dir).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("cores", [(4, 2), (2, 8)])
+def test_other_cores_between_the_reads(spark, tmp_path, cores):
+    """Files are cut into tasks by the cores there are; sizes and texts are read at different times."""
+    dice = random.Random(2)
+    rows = [(i, "word " * dice.randint(1, 30) + str(i), "en", dice.choice("abc")) for i in range(4000)]
+    df = on_disk(documents(spark, rows, extra=False).repartition(12), tmp_path / "docs")
+    want = {r.doc_id: r.copies for r in mixing.mix(df).collect()}
+    key = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        spark.conf.set(key, cores[0])
+        mixed = mixing.mix_documents(df)
+        spark.conf.set(key, cores[1])
+        got = Counter(r.doc_id for r in mixed.collect())
+    finally:
+        spark.conf.unset(key)
+    assert got == Counter({doc_id: n for doc_id, n in want.items() if n})
+
+
+def test_rows_from_elsewhere(spark):
+    """A frame that is no table of files is written before its rows are told apart."""
+    df = documents(spark, extra=False).unionAll(documents(spark, extra=False).filter("doc_id = 7")).repartition(3)
+    want = sum(r.copies for r in mixing.mix(df).collect())
+    assert mixing.mix_documents(df).count() == want

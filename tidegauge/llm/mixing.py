@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.llm.numbering import PLACE, with_place
 from tidegauge.llm.tables import WORD, id_text, settle
 
 Schedule = Sequence[tuple[float, float]]
@@ -207,16 +208,17 @@ def mix_documents(
     """The rows to train on, as whole as they came: each as often as the mix takes it, range-sorted by
     training position.
 
-    Rows are told apart by their place in `docs`, not by their ids, so `docs` has to be a table,
-    which gives the same rows in the same partitions each time it is read.
+    Rows are told apart by their place, not by their ids: `docs` is a table, or what select and filter
+    take from one (rows from elsewhere are written first). The table is read twice, for sizes and for
+    texts; a row's place is its file and its number there, whatever cores read it.
     """
-    placed = docs.withColumn("_tg_place", F.monotonically_increasing_id())
-    narrow = placed.select("_tg_place", *_narrow(id_column, text, source))
-    mixed = mix_sizes(settle(narrow, "sizes"), schedules, budget, repeats, keep=("_tg_place",))
-    positions = mixed.filter("copies > 0").select("_tg_place", F.col("positions").alias("_tg_positions"))
+    placed = with_place(docs)
+    narrow = placed.select(*PLACE, *_narrow(id_column, text, source))
+    mixed = mix_sizes(settle(narrow, "sizes"), schedules, budget, repeats, keep=PLACE)
+    positions = mixed.filter("copies > 0").select(*PLACE, F.col("positions").alias("_tg_positions"))
     return (
-        placed.join(positions, "_tg_place")
+        placed.join(positions, list(PLACE))
         .withColumn("_tg_position", F.explode("_tg_positions"))
-        .orderBy("_tg_position", "_tg_place")
+        .orderBy("_tg_position", *PLACE)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
