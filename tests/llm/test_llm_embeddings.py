@@ -113,3 +113,35 @@ def test_the_threshold_itself():
     near = ed.compare(frame, 0, 5, 5, 0.98)
     cosine = float(np.einsum("j,j->", *ed.units(np.array(frame["vector"].to_list()))))
     assert len(near) == (cosine >= 0.98)
+
+
+def plain_rows(rows):
+    """As `plain`, but by row: several rows of one id are several vectors."""
+    numbered = plain([(k, v, l) for k, (_, v, l) in enumerate(rows)])
+    links = {k: n for k, (n, _, _) in numbered.items()}
+    members = {}
+    for k, (_, root, _) in numbered.items():
+        members.setdefault(root, []).append(rows[k][0])
+    return sorted((rows[k][0], links[k], min(members[r]), rows[k][0] == min(members[r])) for k, (_, r, _) in numbered.items())
+
+
+X, Y, Z, W = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.1, 1.0], [0.05, 1.0, 0.0]
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, X, 0), (1, Y, 1), (2, Y, 0)],
+        [(1, X, 0), (1, Y, 0), (2, [1.0, 0.01, 0.0], 0), (2, W, 0)],
+        [(5, Y, 0), (3, Y, 1), (3, W, 0), (5, Z, 1), (1, Z, 0), (1, Z, 1), (9, Y, 0)],
+    ],
+)
+def test_one_id_on_several_vectors(spark, rows):
+    got = ed.near_duplicates(table(spark, rows)).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == plain_rows(rows)
+
+
+def test_repeated_ids_at_random(spark):
+    rows = [(i % 37, v, l) for i, v, l in clusters(6, 20, 12, 0.1)]
+    got = ed.near_duplicates(table(spark, rows)).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == plain_rows(rows)

@@ -239,24 +239,24 @@ def near_duplicates(
     Only rows of equal labels and lengths are compared. Rows without a label, an id or a direction
     (NULL, empty, zero, or holding NULL, NaN or infinity) link with nothing and are their own
     component. Equal vectors of a label link with each other. Rows that repeat an id are several
-    vectors of one id.
+    vectors of one id, each with links and a component of its own.
     """
     every = embeddings.select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).alias("vector")
     )
     able = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector"))
     sorted_out = every.withColumn("able", able)
-    classes = settle(
-        sorted_out.filter("able").groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")),
-        "classes",
-    )
-    nodes = classes.withColumnRenamed("first", "node")
-    rooted = components(pairs(nodes, threshold, passes, width, rows))
-    others = links_inside(nodes, rooted, threshold, rows).withColumnRenamed("node", "first")
-    roots = rooted.withColumnRenamed("node", "first")
+    classes = sorted_out.filter("able").groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+    # Two classes may share their least id. Each has a number of its own, and those of lesser ids come
+    # first, so the least node of a component is a class that has its least id.
+    nodes = settle(_ranked(classes, "first", "label", F.xxhash64("vector")).withColumnRenamed("rank", "node"), "classes")
+    rooted = settle(components(pairs(nodes, threshold, passes, width, rows)), "roots")
+    others = links_inside(nodes, rooted, threshold, rows)
+    least = nodes.select(F.col("node").alias("root"), F.col("first").alias("least"))
+    roots = rooted.join(least, "root").select("node", "least")
     named = (
-        classes.join(others, "first", "left").join(roots, "first", "left")
-        .select("label", "vector", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("root", "first").alias("root"))
+        nodes.join(others, "node", "left").join(roots, "node", "left")
+        .select("label", "vector", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("least", "first").alias("root"))
     )
     linked = sorted_out.filter("able").join(named, ["label", "vector"]).select("vec_id", "links", "root")
     alone = sorted_out.filter("NOT able").select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("root"))
