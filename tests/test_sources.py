@@ -10,6 +10,7 @@ from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
 from tidegauge.sources.responses import (
     explode_response,
+    missing_entries,
     response_page,
     response_pages,
     select_series,
@@ -163,3 +164,21 @@ def test_providers(spark):
     assert [tuple(r) for r in got] == [("cpi", 1.0, "one"), ("cpi", 1.0, "three"), ("cpi", 2.0, "two")]
     with pytest.raises(ValueError):
         union_sources({})
+
+
+def test_missing_entries(spark):
+    """Pages left out, failed, short, overlapping, repeated; a series without any answer; a known total."""
+    rows = [
+        ("a", 1, 10, 25, answer(10)), ("a", 21, 25, 25, answer(5)), ("a", 21, 25, 25, answer(5)), ("a", 8, 12, 25, answer(5)),
+        ("b", 1, 10, 10, answer(4)), ("c", 1, 10, 10, '{"RESULT":{"CODE":"INFO-200"}}'), ("d", 11, 20, 30, answer(12)),
+        ("e", 1, 3, 3, answer(3)), (None, 1, 2, 4, answer(2)), ("f", 1, 5, 5, None),
+    ]
+    df = spark.createDataFrame(rows, "series string, first int, last int, n int, body string")
+    got = missing_entries(df, "body", ROW, ("series",), total="n").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        ("a", 13, 20), ("b", 5, 10), ("c", 1, 10), ("d", 1, 10), ("d", 21, 30), (None, 3, 4), ("f", 1, 5),
+    ], key=str)
+    # Without a total a series reaches as far as its last page was asked for.
+    untold = missing_entries(df, "body", ROW, ("series",)).collect()
+    assert {tuple(r) for r in untold if r["series"] in ("d", None)} == {("d", 1, 10)}
+    assert missing_entries(df.limit(0), "body", ROW, ("series",)).collect() == []

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.operators.decode import parse_events, watch_quality, with_event_time
 from tidegauge.operators.encode import encode_event, to_event
@@ -14,7 +15,18 @@ from tidegauge.plans.feeds import EVENTS, events, ticks
 from tidegauge.schema import STATS_SCHEMA
 from tidegauge.session import ROCKSDB, scratch_dir, stream_options
 from tidegauge.sources.replay import replay_stream
-from tidegauge.streaming.run import consume, finish, message_stats, progress, run_stream
+from tidegauge.streaming.run import (
+    Reports,
+    consume,
+    finish,
+    message_stats,
+    progress,
+    quarantine,
+    read_bad,
+    read_good,
+    read_reports,
+    run_stream,
+)
 from tidegauge.streaming.sinks import (
     latest_results,
     process_then_commit,
@@ -23,12 +35,16 @@ from tidegauge.streaming.sinks import (
     replace_batch,
     run_mark,
     trigger,
+    write_raw,
     write_stream,
 )
+from tidegauge.streaming.state import read_open_windows
 
 TICKS = "indicator string, value double, event_time timestamp"
 DAY = "2024-01-01 00:"
 
+LINES = T.StructType([T.StructField("line", T.StringType())])
+
 
 def put(spark, folder, order, rows):
     """One file; its age decides its place in the replay."""
@@ -255,7 +271,7 @@ def test_consume_skips_or_stops(spark):
     folder = scratch_dir(spark, "t")
     topic = messages(spark, folder)
     query = finish(consume(topic, replace_batch(f"{folder}/out"), f"{folder}/ck", drain=True))
-    got = spark.read.schema("line string").parquet(f"{folder}/out").collect()
+    got = read_batches(spark, f"{folder}/out", LINES).collect()
     assert sorted(r["line"] for r in got) == ["[0@0] 물가=114.0", "[0@1] 물가=116.0"]
     assert progress(query)[0]["observed"]["messages"].asDict() == {"good": 2, "bad": 1}
     strict = consume(topic, replace_batch(f"{folder}/o2"), f"{folder}/ck2", strict=True, drain=True)
@@ -279,8 +295,7 @@ def test_batch_is_handled_again_if_its_position_was_not_stored(spark):
         finish(consume(topic, fails_after_writing, f"{folder}/ck", drain=True))
     finish(consume(topic, fails_after_writing, f"{folder}/ck", drain=True))
     assert calls == [0, 0]
-    lines = spark.read.schema("line string").parquet(f"{folder}/out")
-    assert lines.count() == 2
+    assert read_batches(spark, f"{folder}/out", LINES).count() == 2
 
 
 def test_table_and_stream_of_messages_agree(spark):
@@ -361,3 +376,103 @@ def test_quality_of_a_stream(spark):
         events, replace_batch(f"{folder}/out"), f"{folder}/ck", drain=True))
     counts = progress(query)[0]["observed"]["quality"]
     assert counts.asDict() == {"rows": 3, "no_event_time": 1, "no_value": 1}
+
+
+def test_readers_see_committed_batches_only(spark, monkeypatch):
+    """Between writing and the record the old batch stands; a crash there leaves it, and a repeat replaces it."""
+    from tidegauge.streaming import sinks
+
+    folder = scratch_dir(spark, "t")
+    assert read_batches(spark, folder, LINES).count() == 0
+    write, lines = replace_batch(folder), lambda *texts: spark.createDataFrame([(t,) for t in texts], LINES)
+
+    def content():
+        return sorted((r["batch_id"], r["line"]) for r in read_batches(spark, folder, LINES).collect())
+
+    write(lines("a", "b"), 0, 1)
+    write(lines("c"), 1, 1)
+    before = [(0, "a"), (0, "b"), (1, "c")]
+    seen = []
+    commit = sinks.commit_batch
+
+    def crash(*_):
+        seen.append(content())
+        raise RuntimeError("ended before the record")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "commit_batch", crash)
+        with pytest.raises(RuntimeError):
+            write(lines("d", "e"), 1, 1)
+    assert seen == [before] and content() == before
+    # Ended behind the record, before the position was stored: the batch comes again.
+    monkeypatch.setattr(sinks, "commit_batch", lambda *a: seen.append(content()) or commit(*a))
+    for _ in range(2):
+        write(lines("d", "e"), 1, 1)
+    after = [(0, "a"), (0, "b"), (1, "d"), (1, "e")]
+    assert seen == [before, before, after] and content() == after
+    write(lines(), 0, 1)
+    assert content() == after[2:]
+
+
+def test_quarantine_keeps_both_kinds_once(spark):
+    """A crash behind the record of a batch: it comes again, and neither kind is there twice."""
+    from tidegauge.streaming import run, sinks
+
+    folder = scratch_dir(spark, "t")
+    topic = messages(spark, folder)
+    with pytest.MonkeyPatch.context() as broken:
+        write = sinks.replace_batch(f"{folder}/out", ("bad",))
+
+        def fails(path, partition_by):
+            def again(*batch):
+                write(*batch)
+                raise RuntimeError("lost before the commit")
+
+            return again
+
+        broken.setattr(run, "replace_batch", fails)
+        with pytest.raises(Exception, match="lost before the commit"):
+            finish(quarantine(topic, f"{folder}/out", f"{folder}/ck", drain=True))
+    query = finish(quarantine(topic, f"{folder}/out", f"{folder}/ck", drain=True))
+    assert sorted(r["value"] for r in read_good(spark, f"{folder}/out").collect()) == [114.0, 116.0]
+    (bad,) = read_bad(spark, f"{folder}/out").collect()
+    assert bad["raw"] and bad["batch_id"] == 0
+    assert progress(query)[0]["observed"]["messages"].asDict() == {"good": 2, "bad": 1}
+    plan = read_bad(spark, f"{folder}/out")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bad" in plan  # the good ones' files are not opened
+
+
+def test_every_micro_batch_is_reported(spark):
+    """150 micro-batches: the query itself remembers 100."""
+    folder = scratch_dir(spark, "t")
+    rows = spark.range(150).selectExpr("'a' AS indicator", "CAST(id AS double) AS value", "timestamp_seconds(1704067200 + id) AS event_time")
+    rows.repartition(150, "value").write.option("maxRecordsPerFile", 1).parquet(f"{folder}/in")
+    reports = Reports(spark, f"{folder}/reports", together=64)
+    spark.streams.addListener(reports)
+    try:
+        stream = replay_stream(spark, f"{folder}/in", "indicator string, value double, event_time timestamp", max_files=1)
+        query = finish(write_raw(stream, f"{folder}/out", f"{folder}/ck", drain=True))
+        reports.wait(query)
+    finally:
+        spark.streams.removeListener(reports)
+    kept = read_reports(spark, f"{folder}/reports").filter(F.col("query") == str(query.id)).collect()
+    assert len(query.recentProgress) <= 100
+    fed = [r for r in kept if r["rows_in"]]
+    assert sorted(r["batch_id"] for r in fed) == list(range(150)) and {r["rows_in"] for r in fed} == {1}
+    assert len(os.listdir(f"{folder}/reports")) < 20
+
+
+def test_open_windows_are_those_not_stored(spark):
+    """Readings of all kinds, also as of an earlier batch; stored and open windows are all windows."""
+    folder = scratch_dir(spark, "t")
+    kinds = [1.5, None, 0.123456789, 300_000.25, 2e18, float("inf"), -7.0]
+    for order in range(4):
+        put(spark, f"{folder}/in", order, [(k, v, f"{DAY}{order:02d}:{10 * i:02d}") for i, v in enumerate(kinds[:6]) for k in "ab"])
+    drain(spark, folder)
+    table = spark.read.schema(TICKS).parquet(f"{folder}/in")
+    every = {tuple(map(str, r)) for r in window_stats(table).collect()}
+    done = {tuple(map(str, r)) for r in read_stats(spark, f"{folder}/out").collect()}
+    held = {tuple(map(str, r)) for r in read_open_windows(spark, f"{folder}/ck").collect()}
+    assert done and held and not done & held and done | held == every
+    first = read_open_windows(spark, f"{folder}/ck", 0)
+    assert {r["start"].minute for r in first.collect()} <= {59, 0}

@@ -69,6 +69,11 @@ def _merged() -> list[Column]:
     return [F.max(c) if c == "highest" else F.sum(c) for c in PARTIALS]
 
 
+def finished() -> list[Column]:
+    """Results from columns that hold the partial results of all rows, named as `partial_columns` does."""
+    return _results(*map(F.col, PARTIALS))
+
+
 def stat_columns(value: str = "value") -> list[Column]:
     """Mean and maximum skip NULL values, the count does not; NaN is the largest value."""
     return _results(*partial_columns(value))

@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.stats import merged_columns, partial_columns, stat_columns
+from tidegauge.functions.stats import finished, merged_columns, partial_columns
 from tidegauge.settings import LATENESS, WINDOW_SLIDE, WINDOW_WIDTH
 
 UNITS = ("weeks", "days", "hours", "minutes", "seconds", "milliseconds", "microseconds")
@@ -61,9 +61,11 @@ def window_stats(
 
 
 def _one_step(df: DataFrame, width: str, slide: str, time: str) -> DataFrame:
-    """Each row is copied into every window it belongs to."""
+    """Each row is copied into every window it belongs to. The state of a stream holds the partial
+    results, in their order (`streaming.state` reads them)."""
     window = F.window(time, width, slide).alias("window")
-    return finish_windows(df.groupBy(window, "indicator").agg(*stat_columns()))
+    partials = df.groupBy(window, "indicator").agg(*partial_columns())
+    return finish_windows(partials.select("window", "indicator", *finished()))
 
 
 def pane_partials(df: DataFrame, pane: str, time: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -120,6 +120,37 @@ def responses(ev: DataFrame) -> DataFrame:
     return full.select("stat_code", "body").unionByName(empty)
 
 
+def paged_responses(ev: DataFrame) -> DataFrame:
+    """Response bodies of 20 entries each: `stat_code`, `block`, `total`, and `first` and `last`, the entries
+    that were asked for.
+
+    A series is one type among 500 consecutive ids. By the number of block and page some pages are left
+    out, some answered by an error, some begin five entries early, and some come twice.
+    """
+    row = F.struct(
+        "event_id", F.date_format("ts", "yyyyMMdd").alias("time"), F.col("user_id").cast("string").alias("item_code"),
+        F.col("value").alias("data_value"),
+    )
+    block = F.expr(f"event_id DIV {IDS_PER_BODY}").alias("block")
+    whole = ev.groupBy(F.col("event_type").alias("stat_code"), block).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    whole = whole.withColumn("total", F.size("rows").cast("long"))
+    paged = whole.withColumn("page", F.explode(F.expr("sequence(0L, (total - 1) DIV 20)")))
+    kind = F.col("block") + F.col("page")
+    early = F.when((kind % 6 == 0) & (F.col("page") > 0), 5).otherwise(0)
+    paged = paged.filter(kind % 4 != 1).withColumn("first", F.col("page") * 20 + 1 - early).withColumn(
+        "last", F.least(F.col("page") * 20 + 20, F.col("total"))
+    )
+    entries = F.slice("rows", F.col("first").cast("int"), (F.col("last") - F.col("first") + 1).cast("int"))
+    body = F.to_json(F.struct(F.struct(entries.alias("row")).alias("StatisticSearch")))
+    # Fixed value: an answer without rows.
+    failed = F.lit('{"RESULT":{"CODE":"INFO-200","MESSAGE":"no data"}}')
+    times = F.when(kind % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return paged.select(
+        "stat_code", "block", "total", "first", "last", F.when(kind % 7 == 2, failed).otherwise(body).alias("body"),
+        F.explode(times).alias("copy"),
+    ).drop("copy")
+
+
 def series(ev: DataFrame) -> DataFrame:
     """Landed rows of statistical tables in two cycles, daily (D) and monthly (M)."""
     cycles = F.array(

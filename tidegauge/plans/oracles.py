@@ -64,6 +64,29 @@ OFFSETS = f"""
                     FROM events)
               WHERE value < 100 OR dt < ({HALF}))
         GROUP BY dt, partition, run"""
+# Pages of 20 entries, as the feed makes and damages them; entries held by none, as ranges.
+PAGES = """
+        WITH entries AS (
+            SELECT event_type AS stat_code, event_id // 500 AS block,
+                   row_number() OVER (PARTITION BY event_type, event_id // 500 ORDER BY event_id) AS entry
+            FROM events
+        ), pages AS (
+            SELECT stat_code, block, count(*) AS total, unnest(range(0, (count(*) - 1) // 20 + 1)) AS page
+            FROM entries GROUP BY stat_code, block
+        ), landed AS (
+            SELECT stat_code, block, page * 20 + 1 - CASE WHEN (block + page) % 6 = 0 AND page > 0 THEN 5 ELSE 0 END AS first,
+                   least(page * 20 + 20, total) AS last
+            FROM pages WHERE (block + page) % 4 <> 1 AND (block + page) % 7 <> 2
+        ), asked AS (
+            SELECT DISTINCT stat_code, block FROM pages WHERE (block + page) % 4 <> 1
+        ), gaps AS (
+            SELECT stat_code, block, entry, entry - row_number() OVER (PARTITION BY stat_code, block ORDER BY entry) AS run
+            FROM entries JOIN asked USING (stat_code, block)
+            WHERE NOT EXISTS (FROM landed l WHERE l.stat_code = entries.stat_code AND l.block = entries.block
+                              AND entry BETWEEN first AND last)
+        )
+        SELECT stat_code, block, min(entry)::BIGINT AS first, max(entry)::BIGINT AS last
+        FROM gaps GROUP BY stat_code, block, run"""
 
 ORACLES: dict[str, str] = {
     "sliding_agg_1m": MINUTE,
@@ -103,6 +126,7 @@ ORACLES: dict[str, str] = {
     "response_pages": f"""{RESPONSE}, ((row_number() OVER
                    (PARTITION BY event_type, event_id // 500 ORDER BY event_id) - 1) // 100 + 1)::INTEGER AS page
         FROM events""",
+    "missing_pages": PAGES,
     "series_select": """
         SELECT event_id, event_type AS stat_code, CAST(user_id AS VARCHAR) AS item_code,
                value AS data_value, 'D' AS cycle, strftime(ts, '%Y%m%d') AS time
@@ -142,6 +166,14 @@ ORACLES: dict[str, str] = {
                max(event_id) FILTER (value <= 100) AS last_offset
         FROM events GROUP BY ALL""",
     "stream_append": MINUTE_CLOSED,
+    "stream_open_windows": f"""
+        SELECT *, 0 AS open FROM ({MINUTE_CLOSED}) UNION ALL
+        SELECT *, 1 FROM ({windows("30 seconds", where=f"NOT ({CLOSED})")})""",
+    "stream_quarantine": f"""
+        SELECT event_id AS "offset", CASE WHEN value >= 8 AND value < 100 THEN event_type END AS indicator,
+               CASE WHEN value >= 8 AND value < 100 THEN value END AS value,
+               CASE WHEN value >= 100 THEN left(body, length(body) - 10) WHEN value < 8 THEN '{{}}' END AS raw
+        FROM (SELECT *, {FULL_TEXT} AS body FROM events)""",
     "stream_message_agg": windows("30 seconds", where=CLOSED_MILLIS),
     "stream_late_drop": MINUTE_CLOSED,
     "stream_restart": MINUTE_CLOSED,

@@ -39,6 +39,7 @@ from tidegauge.plans.feeds import (
     landed_events,
     messages,
     middle,
+    paged_responses,
     placed_events,
     responses,
     series,
@@ -59,11 +60,21 @@ from tidegauge.sources.catalogue import catalogue
 from tidegauge.sources.providers import union_sources
 from tidegauge.sources.responses import (
     explode_response,
+    missing_entries,
     response_page as page_of,
     response_pages as pages_of,
     select_series,
 )
-from tidegauge.streaming.run import consume, consumed_lines, finish, message_stats, run_stream
+from tidegauge.streaming.run import (
+    consume,
+    consumed_lines,
+    finish,
+    message_stats,
+    quarantine,
+    read_bad,
+    read_good,
+    run_stream,
+)
 from tidegauge.streaming.sinks import (
     latest_results,
     process_then_commit,
@@ -75,6 +86,7 @@ from tidegauge.streaming.sinks import (
     write_stats,
     write_stream,
 )
+from tidegauge.streaming.state import read_open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 DAY = "1 day"
@@ -209,6 +221,12 @@ def response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_of(responses(events(spark, sf_dir)), "body", SERIES_ROW, keep=("stat_code",))
 
 
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries that no landed page holds, of series with pages left out, failed, overlapping and repeated."""
+    pages = paged_responses(events(spark, sf_dir))
+    return missing_entries(pages, "body", SERIES_ROW, ("stat_code", "block"), total="total")
+
+
 def series_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items of one table by day, and one item of another by month."""
     rows = series(events(spark, sf_dir))
@@ -286,6 +304,36 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(read_stats(spark, f"{folder}/out"))
 
 
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows of a drained stream: those it has stored, and those still open, from its state."""
+    folder = scratch_dir(spark, "open")
+    _drain(spark, events_stream(spark, sf_dir), folder)
+    stored = read_stats(spark, f"{folder}/out").withColumn("open", F.lit(0))
+    held = read_open_windows(spark, f"{folder}/checkpoint").withColumn("open", F.lit(1))
+    return without_zone(stored.unionByName(held))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad messages of a stream in two runs, both kept from one parse."""
+    folder = scratch_dir(spark, "quarantine")
+    text, reading = F.col("value"), F.col("reading")
+    damage = (
+        F.when(reading >= 100, F.expr("left(value, length(value) - 10)"))
+        .when(reading < 8, F.lit("{}"))
+        .otherwise(text)
+    )
+
+    def run(stream: DataFrame) -> None:
+        finish(quarantine(messages(stream, damage), f"{folder}/out", f"{folder}/checkpoint", drain=True))
+
+    _in_two_runs(spark, sf_dir, folder, run)
+    good = read_good(spark, f"{folder}/out").select("offset", "indicator", "value", F.lit(None).cast("string").alias("raw"))
+    bad = read_bad(spark, f"{folder}/out").select(
+        "offset", F.lit(None).cast("string").alias("indicator"), F.lit(None).cast("double").alias("value"), "raw"
+    )
+    return good.unionByName(bad)
+
+
 def stream_message_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from message bytes to stored window results, as a stream."""
     folder = scratch_dir(spark, "messages")
@@ -496,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "response_explode": response_explode,
     "response_page": response_page,
     "response_pages": response_pages,
+    "missing_pages": missing_pages,
     "series_select": series_select,
     "provider_union": provider_union,
     "catalogue_join": catalogue_join,
@@ -504,6 +553,8 @@ QUERIES: dict[str, Query] = {
     "lag_report": lag_report_query,
     "delivery_report": delivery_report_query,
     "stream_append": stream_append,
+    "stream_open_windows": stream_open_windows,
+    "stream_quarantine": stream_quarantine,
     "stream_message_agg": stream_message_agg,
     "stream_late_drop": stream_late_drop,
     "stream_restart": stream_restart,

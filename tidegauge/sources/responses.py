@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidegauge.operators.ranges import difference
 from tidegauge.schema import response_schema
 from tidegauge.settings import RESPONSE_PAGE
 
@@ -62,6 +63,27 @@ def response_pages(
     return df.select(*keep, F.inline(numbered)).select(*keep, "page", "row.*")
 
 
+def missing_entries(
+    df: DataFrame, body: str, row_schema: StructType | str, keys: tuple[str, ...], first: str = "first",
+    last: str = "last", total: str | None = None,
+) -> DataFrame:
+    """Entries of each series that no landed page holds, as ranges `first` to `last`, both included.
+
+    A page was asked for entries `first` to `last` and holds as many of them as its body has rows, from
+    the first on: an error body holds none. Pages may overlap or come twice. A series is asked for as
+    far as its last page reaches, or has `total` entries where that is known.
+    """
+    held = F.least(F.greatest(F.size(response_rows(F.col(body), row_schema)), F.lit(0)), F.col(last) - F.col(first) + 1)
+    pages = df.select(
+        *keys, F.col(first).cast("long").alias("first"), F.coalesce(held, F.lit(0)).alias("held"),
+        F.greatest(F.col(last), F.col(total) if total else F.lit(0)).cast("long").alias("last"),
+    )
+    landed = pages.select(*keys, "first", (F.col("first") + F.col("held")).alias("until"))
+    asked = pages.groupBy(*keys).agg(F.lit(1).cast("long").alias("first"), (F.max("last") + 1).alias("until"))
+    gaps = difference(asked, landed, keys)
+    return gaps.select(*keys, "first", (F.col("until") - 1).alias("last"))
+
+
 def select_series(
     df: DataFrame, stat: str, cycle: str, start: str, end: str, item: str = ""
 ) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidegauge.operators.decode import (
     parse_events,
@@ -16,9 +20,9 @@ from tidegauge.operators.decode import (
 )
 from tidegauge.operators.positions import format_line
 from tidegauge.operators.windows import window_stats
-from tidegauge.schema import CORRUPT, LINE_SCHEMA, READING_SCHEMA
+from tidegauge.schema import CORRUPT, EVENT_SCHEMA, LINE_SCHEMA, READING_SCHEMA
 from tidegauge.settings import LATENESS, SINK, WINDOW_SLIDE, WINDOW_WIDTH
-from tidegauge.streaming.sinks import BatchFn, process_then_commit, write_stream
+from tidegauge.streaming.sinks import BatchFn, process_then_commit, read_batches, replace_batch, write_stream
 
 
 def message_stats(
@@ -76,20 +80,103 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def quarantine(
+    messages: DataFrame, path: str, checkpoint: str, schema: T.StructType = EVENT_SCHEMA,
+    required: tuple[str, ...] = ("name", "value"), keep: tuple[str, ...] = ("partition", "offset"), **more,
+) -> StreamingQuery:
+    """Good events and bad messages of a stream, both kept, from one parse: a micro-batch is written once,
+    good and bad rows to folders of their own, and one record makes both count. `read_good` and
+    `read_bad` read them."""
+    tagged = watch_bad(tag_bad(messages, schema, keep=keep, required=required))
+    told = tagged.withColumn("bad", F.col(CORRUPT).isNotNull())
+    return process_then_commit(told, replace_batch(path, ("bad",)), checkpoint, **more)
+
+
+def _kept(spark: SparkSession, path: str, schema: T.StructType, keep: str) -> DataFrame:
+    places = T.StructType.fromDDL(keep).fields
+    kept = T.StructType([*places, *schema.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("bad", T.BooleanType())])
+    return read_batches(spark, path, kept)
+
+
+def read_good(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, keep: str = "partition int, offset bigint"
+) -> DataFrame:
+    return _kept(spark, path, schema, keep).filter("NOT bad").drop(CORRUPT, "bad")
+
+
+def read_bad(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, keep: str = "partition int, offset bigint"
+) -> DataFrame:
+    """Bad messages as they came, in `raw`."""
+    rows = _kept(spark, path, schema, keep).filter("bad").withColumnRenamed(CORRUPT, "raw")
+    return rows.select(*T.StructType.fromDDL(keep).fieldNames(), "raw", "run", "batch_id")
+
+
+REPORT = "query string, run string, batch_id bigint, at string, rows_in bigint, watermark string, state_rows bigint, late_groups bigint, millis bigint, observed string"
+
+
+class Reports(StreamingQueryListener):
+    """Appends a row per micro-batch of every query of the session to a table, so that no report is lost,
+    however many there are: a query itself keeps its last 100.
+
+    `together` reports make a file; what is left is written when a query ends. Add it with
+    `spark.streams.addListener`, and `wait` for the reports of a query that has ended.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, together: int = 20):
+        self.spark, self.path, self.together = spark, path, together
+        self.waiting: list[tuple] = []
+        self.ended: dict[str, threading.Event] = {}
+
+    def _write(self) -> None:
+        rows, self.waiting = self.waiting, []
+        if rows:
+            self.spark.createDataFrame(rows, REPORT).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event())
+
+    def onQueryProgress(self, event) -> None:
+        told = json.loads(event.progress.json)
+        report = _report(told)
+        self.waiting.append((
+            told["id"], told["runId"], report["batch_id"], told["timestamp"], report["rows_in"], report["watermark"],
+            report["state_rows"], report["late_groups"], report["millis"], json.dumps(report["observed"]),
+        ))
+        if len(self.waiting) >= self.together:
+            self._write()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._write()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until all reports of a query that has ended are written."""
+        if not self.ended.setdefault(str(query.runId), threading.Event()).wait(seconds):
+            raise TimeoutError("the reports of the query have not come")
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REPORT).parquet(path)
+
+
+def _report(p) -> dict:
+    state = p["stateOperators"]
+    return {
+        "batch_id": p["batchId"],
+        "rows_in": p["numInputRows"],
+        "watermark": p.get("eventTime", {}).get("watermark"),
+        "state_rows": sum(s["numRowsTotal"] for s in state),
+        "late_groups": sum(s["numRowsDroppedByWatermark"] for s in state),
+        "millis": p["durationMs"].get("triggerExecution"),
+        "observed": dict(p.get("observedMetrics") or {}),
+    }
+
+
 def progress(query: StreamingQuery) -> list[dict]:
-    """The latest micro-batches: rows in, state held and dropped, watermark, time, own counts."""
-    report = []
-    for p in query.recentProgress:
-        state = p["stateOperators"]
-        report.append(
-            {
-                "batch_id": p["batchId"],
-                "rows_in": p["numInputRows"],
-                "watermark": p["eventTime"].get("watermark"),
-                "state_rows": sum(s["numRowsTotal"] for s in state),
-                "late_groups": sum(s["numRowsDroppedByWatermark"] for s in state),
-                "millis": p["durationMs"].get("triggerExecution"),
-                "observed": dict(p["observedMetrics"] or {}),
-            }
-        )
-    return report
+    """The latest micro-batches, at most the 100 a query keeps (`Reports` keeps all): rows in, state held
+    and dropped, watermark, time, own counts."""
+    return [_report(p) for p in query.recentProgress]

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegauge.schema import RAW_SCHEMA, STATS_SCHEMA, with_fields
-from tidegauge.session import require_utc, stream_options
+from tidegauge.session import exists, require_utc, stream_options
 from tidegauge.settings import BROKERS, CONSOLE_ROWS, CONSOLE_TRIGGER, PARQUET_TRIGGER, SINK, TOPIC
 
 #: Called with a micro-batch, its id, and the mark of the run that its id belongs to.
@@ -174,13 +174,9 @@ def run_mark(spark: SparkSession, checkpoint: str) -> int:
     those an earlier one left in the same place.
     """
     path = f"{checkpoint.rstrip('/')}/run"
-    try:
-        return spark.read.schema("run bigint").parquet(path).first()["run"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("run")).write.parquet(path)
-    return run_mark(spark, checkpoint)
+    if not exists(spark, path):
+        spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("run")).coalesce(1).write.parquet(path)
+    return spark.read.schema("run bigint").parquet(path).first()["run"]
 
 
 def process_then_commit(
@@ -202,19 +198,39 @@ def process_then_commit(
     return start(writer, df.sparkSession, checkpoint, every, drain, shuffle_partitions)
 
 
-def replace_batch(path: str) -> BatchFn:
-    """A `fn` for `process_then_commit`: a folder per run and batch, replaced if the batch comes again."""
+def replace_batch(path: str, partition_by: tuple[str, ...] = ()) -> BatchFn:
+    """A `fn` for `process_then_commit` in two steps: the batch is written aside, to a folder of its own,
+    and then a record says that it counts. A batch that comes again takes the place of the first with
+    its own record. Readers see whole batches only, the earlier one until the later has its record.
+    """
 
     def write(batch: DataFrame, batch_id: int, run: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+        attempt = uuid.uuid4().hex
+        target = f"{path}/data/run={run}/batch_id={batch_id}/attempt={attempt}"
+        batch.write.partitionBy(*partition_by).parquet(target)
+        commit_batch(batch.sparkSession, path, batch_id, run, attempt)
 
     return write
 
 
+def commit_batch(spark: SparkSession, path: str, batch_id: int, run: int, attempt: str) -> None:
+    """One row, in one file that appears as a whole."""
+    spark.range(1).coalesce(1).select(
+        F.lit(run).cast("long").alias("run"), F.lit(batch_id).cast("long").alias("batch_id"),
+        F.lit(attempt).alias("attempt"), F.unix_micros(F.current_timestamp()).alias("at"),
+    ).write.mode("append").parquet(f"{path}/commits")
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What `replace_batch` wrote, with the `run` and `batch_id` of each row."""
-    marked = with_fields(schema, run=T.LongType(), batch_id=T.LongType())
-    return spark.read.schema(marked).parquet(path)
+    """What `replace_batch` wrote and has a record, with the `run` and `batch_id` of each row. Folders that
+    do not count are not read: the records, one per batch, prune them."""
+    marked = with_fields(schema, run=T.LongType(), batch_id=T.LongType(), attempt=T.StringType())
+    if not exists(spark, f"{path}/commits"):
+        return spark.createDataFrame([], marked).drop("attempt")
+    commits = spark.read.schema("run bigint, batch_id bigint, attempt string, at bigint").parquet(f"{path}/commits")
+    newest = commits.groupBy("run", "batch_id").agg(F.max_by("attempt", "at").alias("attempt"))
+    data = spark.read.schema(marked).parquet(f"{path}/data")
+    return data.join(newest, ["run", "batch_id", "attempt"], "left_semi").select(*schema.fieldNames(), "run", "batch_id")
 
 
 def latest_results(df: DataFrame) -> DataFrame:
