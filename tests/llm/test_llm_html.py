@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -134,3 +135,37 @@ def test_all_of_an_article_and_nothing_named_as_other_parts():
 def test_features():
     rows = ht.describe([(4, 1, ht.PLAIN), (10, 0, ht.ARTICLE)])
     assert np.array_equal(rows, [[4, 0.25, 0, 0, 10, 0, ht.PLAIN], [10, 0, 4, 0.25, 0, 0, ht.ARTICLE]])
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<article class="post comments-open">', '<article class="post tag-menu">', '<article id="share-prices">',
+        '<div class="content no-sidebar">', '<article class="status-publish has-sidebar related-none">',
+    ],
+)
+def test_names_that_say_what_an_article_has_or_is_about(opening):
+    tag = opening.split()[0][1:]
+    page = f"<body><nav><a>Menu</a></nav>{opening}<p>{LOREM}</p><p>{LOREM}More.</p></{tag}><footer>Foot</footer></body>"
+    assert text(page) == f"{LOREM.strip()}\n{LOREM}More."
+
+
+def test_names_of_other_parts_still_count():
+    inner = f'<article class="related-post"><p>{LOREM}Teaser.</p></article><div class="share-buttons"><p>{LOREM}</p></div>'
+    page = f"<article><p>{LOREM}</p>{inner}</article><article class='comment'><p>{LOREM}Said.</p></article>"
+    assert text(page) == LOREM.strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 700_000, "<p>x</p>" + "<a href=" * 250_000, "<div>x</section>" * 120_000, "<" * 2_000_000, "<!-" * 700_000,
+     "<section><button>" + "<div>" * 100_000 + "</section>" * 100_000, "<a " * 700_000 + ">"],
+)
+def test_hostile_pages_take_linear_time(page):
+    begin = time.perf_counter()
+    ht.blocks(page)
+    assert time.perf_counter() - begin < 6
+
+
+def test_text_behind_the_last_end_of_a_tag():
+    assert text(f"<article><p>{LOREM}</p><p>{LOREM}a < b <!-- gone") == f"{LOREM.strip()}\n{LOREM}a < b"

@@ -9,6 +9,7 @@ of such blocks says which are main text.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -45,8 +46,12 @@ TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+)>""",
     re.DOTALL,
 )
+# What TAG finds where no ">" follows: a tag is not among it, and looking for the end of each would read
+# the rest of the page again and again.
+UNENDED = re.compile(r"<(?:!--|[!?]).*", re.DOTALL)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECES = re.compile(r"[^a-z0-9]+")
+WITHOUT = re.compile(r"\b(?:no|without|hide|hidden)[-_][a-z0-9]+")
 
 # Where a block stands, the more likely main text the higher: in a part that is no article, beside an
 # article, on a page without one, in one.
@@ -63,7 +68,10 @@ class Block(NamedTuple):
     place: int
 
 
-def _names_aside(name: str, attributes: str) -> bool:
+def _names_aside(name: str, attributes: str, whole: bool) -> bool:
+    """Whether an element is named as a part that is no article. Of an article that stands in no other
+    (`whole`) only whole names count: parts of them say what it has or is about ("comments-open",
+    "share-prices"), as does what follows a "no" in any name ("no-sidebar")."""
     if "=" not in attributes:
         return False
     for match in NAMED.finditer(attributes):
@@ -71,21 +79,24 @@ def _names_aside(name: str, attributes: str) -> bool:
         if kind == "role":
             if value.strip() in ASIDE_ROLES:
                 return True
-        elif name not in WHOLE and not ASIDE_WORDS.isdisjoint(PIECES.split(value)):
-            return True
+        elif name not in WHOLE:
+            words = value.split() if whole else PIECES.split(WITHOUT.sub(" ", value))
+            if not ASIDE_WORDS.isdisjoint(words):
+                return True
     return False
 
 
 def _tags(html: str) -> Iterator[tuple[str, re.Match | None]]:
     """Each tag with the text before it, then what is left with None. The content of RAW is passed over."""
-    at = 0
-    while match := TAG.search(html, at):
+    at, last = 0, html.rfind(">")
+    while at <= last and (match := TAG.search(html, at)):
         yield html[at : match.start()], match
         at = match.end()
         if match[2] and not match[1] and match[2].lower() in RAW and not match[3].endswith("/"):
             end = re.compile(rf"</{re.escape(match[2])}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
             at = end.end() if end else len(html)
-    yield html[at:], None
+    rest = UNENDED.search(html, at)
+    yield html[at : rest.start() if rest else len(html)], None
 
 
 def _closed(html: str) -> set[int]:
@@ -114,6 +125,7 @@ def blocks(html: str) -> list[Block]:
     found: list[list] = []
     stack: list[tuple[str, str]] = []  # (element, what it is: "", "article", "main", "aside", "unread" or "unclosed")
     inside = {"": 0, "article": 0, "main": 0, "aside": 0, "unread": 0, "unclosed": 0}
+    names: Counter[str] = Counter()  # elements in the stack
     text: list[str] = []
     linked_text: list[str] = []
     link = False
@@ -134,11 +146,20 @@ def blocks(html: str) -> list[Block]:
     def close(depth: int) -> None:
         nonlocal part
         while len(stack) > depth:
-            inside[stack.pop()[1]] -= 1
+            name, kind = stack.pop()
+            names[name] -= 1
+            inside[kind] -= 1
         if part is not None and part >= depth:
             part = None
 
+    def enter(name: str, kind: str) -> None:
+        stack.append((name, kind))
+        names[name] += 1
+        inside[kind] += 1
+
     def opened(name: str) -> int | None:
+        if not names[name]:
+            return None
         return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
 
     for piece, match in _tags(html):
@@ -157,8 +178,7 @@ def blocks(html: str) -> list[Block]:
             elif not attributes.endswith("/"):
                 closed = _closed(html) if closed is None else closed
                 part = len(stack) if part is None else part
-                stack.append((name, "unread" if match.start() in closed else "unclosed"))
-                inside[stack[-1][1]] += 1
+                enter(name, "unread" if match.start() in closed else "unclosed")
             continue
         if part is not None and name in BLOCKS and stack[part][1] == "unclosed":
             close(part)
@@ -168,8 +188,7 @@ def blocks(html: str) -> list[Block]:
             if name not in BLOCKS or name in VOID:
                 continue
             if not closing:
-                stack.append((name, ""))
-                inside[""] += 1
+                enter(name, "")
                 continue
             depth = opened(name)
             if depth is None or depth > part:
@@ -199,12 +218,13 @@ def blocks(html: str) -> list[Block]:
                 close(len(stack) - 1)
             if name in VOID:
                 continue
-            if name in ASIDE or (name == "header" and not inside["article"]) or _names_aside(name, attributes):
+            if name in ASIDE or (name == "header" and not inside["article"]) or _names_aside(
+                name, attributes, name == "article" and not inside["article"]
+            ):
                 kind = "aside"
             else:
                 kind = name if name in ("article", "main") else ""
-            stack.append((name, kind))
-            inside[kind] += 1
+            enter(name, kind)
     end_block()
     running = dict.fromkeys(("", "article", "main", "aside"), 0)
     for _, n, linked, place in found:
