@@ -107,7 +107,24 @@ def test_nothing_to_learn_and_no_rows(spark):
     assert lm.score_texts(no_documents(spark), F.lit(True)).collect() == []
 
 
-def test_hashes_pack_and_come_back():
-    hashes = np.sort(np.random.default_rng(0).integers(0, 1 << 63, 1000).astype(np.uint64))
-    assert (lm.unpack(lm.pack(hashes)) == hashes).all()
-    assert len(lm.unpack(lm.pack(hashes[:0]))) == 0
+def test_rows_between_the_steps_grow_with_the_blocks(spark):
+    """Four times the texts, and so four times the blocks, ask at most five times the rows."""
+    rng = np.random.default_rng(3)
+
+    def asked(n):
+        rows = [(i, " ".join(rng.choice(["a", "b", "c", "d", "e"], 40)) + f" w{i}", True) for i in range(n)]
+        blocks = lm.cut_blocks(spark.createDataFrame(rows, "doc_id long, text string, learning boolean").coalesce(1), 1000)
+        return blocks.count(), lm.requests(blocks, 2).count()
+
+    (few, small), (many, large) = asked(200), asked(800)
+    assert 3.5 * few < many < 4.5 * few
+    assert large < 5 * small
+
+
+def test_a_gram_has_one_row_a_block(spark):
+    """One text in all rows: neither a block nor a gram becomes hot."""
+    rows = spark.range(2000).selectExpr("id AS doc_id", "'one two three two' AS text", "true AS learning")
+    blocks = lm.cut_blocks(rows, 1000)
+    per_gram = lm.requests(blocks, 2).groupBy("gram").agg(F.countDistinct("block").alias("b"), F.count("*").alias("n")).collect()
+    assert all(r.b == r.n for r in per_gram)
+    assert max(r.n for r in blocks.select(F.size("ids").alias("n")).collect()) <= 60

@@ -11,19 +11,21 @@ T(h) stands for the number of different words that follow h (Witten and Bell); b
 power of c(h), so nothing but counts has to be gathered. p(w) is the add-0.1 estimate, and the
 failure arc's share is T(h) / (c(h) + T(h)): probabilities of all words add up to one in each state.
 
-The automaton of a large corpus fits no machine. Texts are dealt into blocks of bounded size. A block
-asks for its own distinct n-grams; requests go by hash to counting tasks, which sum what all blocks
-have seen and answer each. A block then builds the part of the automaton that its texts can reach.
+The automaton of a large corpus fits no machine. A task cuts the texts it reads into blocks of bounded
+size and writes each as numbers, once. A block asks for its own distinct n-grams, a row each; Spark sums what all
+blocks have seen and sends every row its answer. A block then builds the part of the automaton that its texts can
+reach. Texts are not shuffled, and rows between the steps grow with the blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.tables import settle, words
@@ -33,29 +35,38 @@ ADD = 0.1
 # Found on held-out texts: best among scales 0.5 to 16 and powers 0.5 to 1.
 HEAPS_SCALE = 3.0
 HEAPS_POWER = 0.85
-#: Bytes of text in a block, and counting tasks per block: both bound what a task holds.
+#: Bytes of text in a block: it bounds what a task holds.
 BLOCK_BYTES = 6_000_000
+#: Rows of n-grams handed to Spark at a time.
+ROWS = 1 << 16
 SEED = 17
-END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 
 
-class _Hashes(dict):
-    """word: 64-bit hash. Words are told apart by it: two of a billion words share one with odds of
-    about 1 in 40."""
+class _Places(dict):
+    """word: its place in the order of first occurrence."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word, SEED)
-        return value
+        self[word] = place = len(self)
+        return place
+
+
+class Coded(NamedTuple):
+    """Texts as numbers: a 64-bit hash of each different word, the place among them of each token, and the
+    tokens of each text. Words are told apart by hash: two of a billion share one with odds of about 1 in 40."""
+
+    words: np.ndarray
+    tokens: np.ndarray
+    lengths: np.ndarray
 
 
 class Grams(NamedTuple):
-    """The n-grams of a block, for each order: sorted distinct hashes, the place of the n-gram that
-    ends at each token (-1: the text is too short there), and where each first occurs."""
+    """The n-grams of a block, for each order: distinct hashes, the place of the n-gram that ends at
+    each token (-1: the text is too short there), and for orders above 1 where each first occurs."""
 
     ends: np.ndarray
     distinct: list[np.ndarray]
     at: list[np.ndarray]
-    first: list[np.ndarray]
+    first: list[np.ndarray | None]
 
 
 def _mix(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -67,25 +78,28 @@ def _mix(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def grams(texts: list[str | None], order: int) -> Grams:
-    """Each text is its words and one end."""
-    hashes = _Hashes()
-    coded, lengths = [], []
+def code(texts: list[str | None]) -> Coded:
+    """Each text is its words and one end, which is the empty word."""
+    places, tokens, lengths = _Places(), [], []
     for text in texts:
         parts = words(text)
-        coded.append(np.array([hashes[w] for w in parts], dtype=np.uint64))
-        coded.append(np.array([END]))
-        lengths.append(len(parts) + 1)
-    tokens = np.concatenate(coded)
-    ends = np.cumsum(lengths)
-    since = np.arange(len(tokens)) - np.repeat(ends - lengths, lengths)
-    distinct, at, first, longer = [], [], [], tokens
-    for n in range(1, order + 1):
-        if n > 1:
-            longer = np.concatenate([[np.uint64(0)], _mix(longer[:-1], tokens[1:])])
+        parts.append(b"")
+        tokens.append(np.array([places[w] for w in parts], dtype="<i4"))
+        lengths.append(len(parts))
+    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in places], dtype="<u8")
+    return Coded(hashes, np.concatenate(tokens), np.array(lengths, dtype="<i4"))
+
+
+def grams(coded: Coded, order: int) -> Grams:
+    ends = np.cumsum(coded.lengths, dtype=np.int64)
+    since = np.arange(len(coded.tokens)) - np.repeat(ends - coded.lengths, coded.lengths)
+    hashes = coded.words[coded.tokens]
+    distinct, at, first, longer = [coded.words], [coded.tokens], [None], hashes
+    for n in range(2, order + 1):
+        longer = np.concatenate([[np.uint64(0)], _mix(longer[:-1], hashes[1:])])
         inside = np.flatnonzero(since >= n - 1)
         found, where, places = np.unique(longer[inside], return_index=True, return_inverse=True)
-        place = np.full(len(tokens), -1, dtype=np.int64)
+        place = np.full(len(hashes), -1, dtype="<i4")
         place[inside] = places
         distinct.append(found)
         at.append(place)
@@ -93,46 +107,81 @@ def grams(texts: list[str | None], order: int) -> Grams:
     return Grams(ends, distinct, at, first)
 
 
-def pack(hashes: np.ndarray) -> bytes:
-    """Sorted hashes with their first bytes together, which are nearly equal and compress away."""
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-
-
-def _requests(block: pd.DataFrame, order: int, parts: int) -> pd.DataFrame:
-    """A row per order and part: the block's distinct n-grams in it, and how often learning texts of
-    the block have each."""
-    known = grams(list(block["text"]), order)
-    learn = np.repeat(block["learning"].to_numpy(bool), np.diff(known.ends, prepend=0))
-    bits = parts.bit_length() - 1
-    rows = []
-    for n, (distinct, at) in enumerate(zip(known.distinct, known.at), 1):
-        counted = learn & (at >= 0)
-        counts = np.bincount(at[counted], minlength=len(distinct)).astype("<i8")
-        part = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
-        edges = np.flatnonzero(np.diff(part, prepend=-1))
-        for start, end in zip(edges, [*edges[1:], len(distinct)]):
-            rows.append((n, int(part[start]), block["block"].iloc[0], pack(distinct[start:end]), counts[start:end].tobytes()))
-    return pd.DataFrame(rows, columns=["n", "part", "block", "grams", "counts"])
-
-
-def _answers(requests: pd.DataFrame) -> pd.DataFrame:
-    """The summed counts, in the order each block asked; the first row also has the part's totals."""
-    asked = [unpack(g) for g in requests["grams"]]
-    distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
-    seen = np.concatenate([np.frombuffer(c, "<i8") for c in requests["counts"]])
-    totals = np.zeros(len(distinct), dtype="<i8")
-    np.add.at(totals, place, seen)
-    edges = np.cumsum([0, *map(len, asked)])
-    told = [totals[place[a:b]].tobytes() for a, b in zip(edges, edges[1:])]
-    first = np.arange(len(told)) == 0
-    return pd.DataFrame({
-        "n": requests["n"], "part": requests["part"], "block": requests["block"], "counts": told,
-        "tokens": np.where(first, totals.sum(), 0), "types": np.where(first, (totals > 0).sum(), 0),
-    })
+def _block(texts: list, ids: list[pa.Array], learning: list) -> pa.RecordBatch:
+    coded = code(texts)
+    ids = pa.concat_arrays(ids)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            *(pa.array([x.tobytes()], pa.binary()) for x in (np.array(learning, np.uint8), *coded)),
+        ],
+        names=["ids", "learning", "words", "tokens", "lengths"],
+    )
+
+
+def cut_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """`docs` (doc_id, text, learning) as blocks, one row each, written once: block, ids, learning, and the
+    parts of `Coded`. A task starts a new block when the texts of one reach `block_bytes` characters, so a block is
+    longer than that by one text at most."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, ids, learning, size = [], [], [], 0
+        for batch in batches:
+            start = 0
+            for i, text in enumerate(batch.column("text")):
+                texts.append(text.as_py())
+                learning.append(batch.column("learning")[i].as_py())
+                size += len(texts[-1] or "")
+                if size >= block_bytes:
+                    ids.append(batch.column("doc_id").slice(start, i + 1 - start))
+                    yield _block(texts, ids, learning)
+                    texts, ids, learning, size, start = [], [], [], 0, i + 1
+            if start < batch.num_rows:
+                ids.append(batch.column("doc_id").slice(start))
+        if texts:
+            yield _block(texts, ids, learning)
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"ids array<{id_type}>, learning binary, words binary, tokens binary, lengths binary"
+    # The number is written with its row, so all that reads the blocks finds the same.
+    return settle(docs.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def _coded(block: dict) -> Coded:
+    return Coded(
+        np.frombuffer(block["words"], "<u8"), np.frombuffer(block["tokens"], "<i4"), np.frombuffer(block["lengths"], "<i4")
+    )
+
+
+def requests(blocks: DataFrame, order: int) -> DataFrame:
+    """A row per block and distinct n-gram up to `order`: block, its place among those of the block, its hash, and
+    how often learning texts of the block have it."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = batch.slice(i, 1).to_pylist()[0]
+                known = grams(_coded(block), order)
+                learn = np.repeat(np.frombuffer(block["learning"], bool), np.diff(known.ends, prepend=0))
+                counts = np.concatenate([
+                    np.bincount(at[learn & (at >= 0)], minlength=len(distinct))
+                    for distinct, at in zip(known.distinct, known.at)
+                ])
+                hashes = np.concatenate(known.distinct).view("<i8")
+                for start in range(0, len(hashes), ROWS):
+                    part = slice(start, start + ROWS)
+                    n = len(hashes[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(n, block["block"])), pa.array(np.arange(start, start + n, dtype="<i4")),
+                            pa.array(hashes[part]), pa.array(counts[part].astype("<i4")),
+                        ],
+                        names=["block", "place", "gram", "seen"],
+                    )
+
+    return blocks.select("block", "learning", "words", "tokens", "lengths").mapInArrow(
+        ask, "block bigint, place int, gram bigint, seen int"
+    )
 
 
 class Automaton:
@@ -186,26 +235,26 @@ class Automaton:
         return total
 
 
-def _score(block: pd.DataFrame, answers: pd.DataFrame, order: int, tokens: int, types: int) -> pd.DataFrame:
-    known = grams(list(block["text"]), order)
-    counts = []
-    for n in range(1, order + 1):
-        told = answers[answers["n"] == n].sort_values("part")
-        counts.append(np.concatenate([np.frombuffer(c, "<i8") for c in told["counts"]]) if len(told) else np.zeros(0, np.int64))
+def _score(block: dict, ids: pa.Array, places: np.ndarray, totals: np.ndarray, order: int, tokens: int, types: int) -> pa.Table:
+    known = grams(_coded(block), order)
+    edges = np.cumsum([0, *map(len, known.distinct)])
+    told = np.zeros(edges[-1], dtype=np.int64)
+    told[places] = totals
+    counts = [told[a:b] for a, b in zip(edges, edges[1:])]
     model = Automaton(known, counts, tokens, types)
     rows, start = [], 0
-    for doc_id, learning, end in zip(block["doc_id"], block["learning"], known.ends.tolist()):
-        places = [at[start:end] for at in known.at]
-        uni = places[0]
-        rows.append((
-            doc_id, not learning, end - start, int((counts[0][uni] > 0).sum()), tokens,
-            float(model.base[uni].sum()), model.read(places),
-        ))
+    for end in known.ends.tolist():
+        at = [x[start:end] for x in known.at]
+        uni = at[0]
+        rows.append((end - start, int((counts[0][uni] > 0).sum()), float(model.base[uni].sum()), model.read(at)))
         start = end
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    frame = pd.DataFrame(rows, columns=names)
-    frame["doc_id"] = pd.Series([r[0] for r in rows], dtype=block["doc_id"].dtype)
-    return frame
+    n_tokens, n_known, base, score = zip(*rows)
+    learning = np.frombuffer(block["learning"], bool)
+    return pa.table({
+        "doc_id": ids, "held_out": pa.array(~learning), "n_tokens": pa.array(n_tokens, pa.int64()),
+        "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * len(rows), pa.int64()),
+        "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
+    })
 
 
 def score_texts(
@@ -216,36 +265,25 @@ def score_texts(
 
     Learns from the rows where `learning` holds (NULL: it doesn't) and scores all. A NULL or empty text is one end
     token. With nothing to learn from every token has the same probability. Texts of any length are
-    read whole; a block holds at least one text, and rows that are equal share a block.
+    read whole; a block holds at least one text. An n-gram has one row per block at most, however often it occurs.
     """
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learning, F.lit(False)).alias("learning")
     )
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
-    parts = 1 << (blocks - 1).bit_length()
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
-    dealt = rows.withColumn("block", block)
-
-    def ask(frame: pd.DataFrame) -> pd.DataFrame:
-        return _requests(frame, order, parts)
-
-    answers = settle(
-        dealt.groupBy("block")
-        .applyInPandas(ask, "n int, part int, block int, grams binary, counts binary")
-        .groupBy("n", "part")
-        .applyInPandas(_answers, "n int, part int, block int, counts binary, tokens bigint, types bigint"),
-        "counts",
-    )
-    tokens, types = answers.filter("n = 1").agg(
-        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))
-    ).first()
-
-    def score(frame: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        return _score(frame, told, order, tokens, types)
+    blocks = cut_blocks(rows, block_bytes)
+    vocabulary = requests(blocks, 1).groupBy("gram").agg(F.sum("seen").alias("n"))
+    tokens, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    everywhere = F.sum("seen").over(Window.partitionBy("gram"))
+    answers = requests(blocks, order).select("block", "place", everywhere.alias("total"))
+
+    def score(block: pa.Table, told: pa.Table) -> pa.Table:
+        ids = block.column("ids").combine_chunks().flatten()
+        known = block.drop_columns(["ids"]).to_pylist()[0]
+        places, totals = (told.column(c).to_numpy() for c in ("place", "total"))
+        return _score(known, ids, places, totals, order, tokens, types)
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score,
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
