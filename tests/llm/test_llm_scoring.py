@@ -121,10 +121,38 @@ def test_rows_between_the_steps_grow_with_the_blocks(spark):
     assert large < 5 * small
 
 
-def test_a_gram_has_one_row_a_block(spark):
-    """One text in all rows: neither a block nor a gram becomes hot."""
+def test_copies_make_no_hot_block_or_range(spark):
+    """One text in all rows: blocks keep their size, and each asks for its n-grams once."""
     rows = spark.range(2000).selectExpr("id AS doc_id", "'one two three two' AS text", "true AS learning")
     blocks = lm.cut_blocks(rows, 1000)
-    per_gram = lm.requests(blocks, 2).groupBy("gram").agg(F.countDistinct("block").alias("b"), F.count("*").alias("n")).collect()
-    assert all(r.b == r.n for r in per_gram)
     assert max(r.n for r in blocks.select(F.size("ids").alias("n")).collect()) <= 60
+    asked = lm.requests(blocks, 2, 16).groupBy("block").agg(F.sum(F.octet_length("grams") / 8).alias("n")).collect()
+    assert {r.n for r in asked} == {4 + 4}
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_stretches_of_a_range_give_the_same(spark, sf_dir, order):
+    """Ranges cut into stretches of about 50 n-grams, against ranges held whole."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learning = fold("doc_id", 10) != 0
+    whole, cut = (
+        {r.doc_id: tuple(r) for r in lm.score_texts(docs, learning, order=order, block_bytes=100_000, ranges=4, held=h).collect()}
+        for h in (1 << 30, 50)
+    )
+    assert whole == cut
+
+
+def test_a_counting_task_holds_a_stretch(spark, sf_dir):
+    """Stretches stay near the bound however many n-grams a range has."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "true AS learning")
+    blocks = lm.cut_blocks(docs, 100_000)
+    total = lm.requests(blocks, 2, 4).agg(F.sum(F.octet_length("grams") / 8)).first()[0]
+    cut = lm.in_stretches(lm.requests(blocks, 2, 4), 4, 4, 64)
+    largest = cut.groupBy("part", "stretch").agg(F.sum(F.octet_length("grams") / 8).alias("n")).agg(F.max("n")).first()[0]
+    assert largest < 3 * total / 256
+
+
+def test_hashes_pack_and_come_back():
+    hashes = np.sort(np.random.default_rng(0).integers(0, 1 << 63, 1000).astype(np.uint64))
+    assert (lm.unpack(lm.pack(hashes)) == hashes).all()
+    assert len(lm.unpack(lm.pack(hashes[:0]))) == 0

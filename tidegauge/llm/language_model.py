@@ -12,20 +12,22 @@ power of c(h), so nothing but counts has to be gathered. p(w) is the add-0.1 est
 failure arc's share is T(h) / (c(h) + T(h)): probabilities of all words add up to one in each state.
 
 The automaton of a large corpus fits no machine. A task cuts the texts it reads into blocks of bounded
-size and writes each as numbers, once. A block asks for its own distinct n-grams, a row each; Spark sums what all
-blocks have seen and sends every row its answer. A block then builds the part of the automaton that its texts can
-reach. Texts are not shuffled, and rows between the steps grow with the blocks.
+size and writes each as numbers, once. A block asks for its own distinct n-grams, sorted by hash and cut into a
+fixed number of ranges, a row each; counting tasks sum what all blocks have seen in a range, a stretch of it at a
+time, and answer each row. A block then builds the part of the automaton that its texts can reach. Texts are not
+shuffled, and rows between the steps grow with the blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import batched, groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.tables import settle, words
@@ -37,8 +39,10 @@ HEAPS_SCALE = 3.0
 HEAPS_POWER = 0.85
 #: Bytes of text in a block: it bounds what a task holds.
 BLOCK_BYTES = 6_000_000
-#: Rows of n-grams handed to Spark at a time.
-ROWS = 1 << 16
+#: Ranges of hashes. A block sends a row for each, whatever the size of the corpus.
+RANGES = 1024
+#: N-grams that a counting task holds at a time, on average over stretches of its ranges.
+HELD = 2_000_000
 SEED = 17
 
 
@@ -128,9 +132,9 @@ def cut_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         texts, ids, learning, size = [], [], [], 0
         for batch in batches:
             start = 0
-            for i, text in enumerate(batch.column("text")):
+            for i, (text, learns) in enumerate(zip(batch.column("text"), batch.column("learning").to_pylist())):
                 texts.append(text.as_py())
-                learning.append(batch.column("learning")[i].as_py())
+                learning.append(learns)
                 size += len(texts[-1] or "")
                 if size >= block_bytes:
                     ids.append(batch.column("doc_id").slice(start, i + 1 - start))
@@ -147,40 +151,139 @@ def cut_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return settle(docs.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
-def _coded(block: dict) -> Coded:
-    return Coded(
-        np.frombuffer(block["words"], "<u8"), np.frombuffer(block["tokens"], "<i4"), np.frombuffer(block["lengths"], "<i4")
-    )
+def _coded(words: bytes, tokens: bytes, lengths: bytes) -> Coded:
+    return Coded(np.frombuffer(words, "<u8"), np.frombuffer(tokens, "<i4"), np.frombuffer(lengths, "<i4"))
 
 
-def requests(blocks: DataFrame, order: int) -> DataFrame:
-    """A row per block and distinct n-gram up to `order`: block, its place among those of the block, its hash, and
-    how often learning texts of the block have it."""
+def pack(hashes: np.ndarray) -> bytes:
+    """Sorted hashes with their first bytes together, which are nearly equal and compress away."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block = batch.slice(i, 1).to_pylist()[0]
-                known = grams(_coded(block), order)
-                learn = np.repeat(np.frombuffer(block["learning"], bool), np.diff(known.ends, prepend=0))
-                counts = np.concatenate([
-                    np.bincount(at[learn & (at >= 0)], minlength=len(distinct))
-                    for distinct, at in zip(known.distinct, known.at)
-                ])
-                hashes = np.concatenate(known.distinct).view("<i8")
-                for start in range(0, len(hashes), ROWS):
-                    part = slice(start, start + ROWS)
-                    n = len(hashes[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, block["block"])), pa.array(np.arange(start, start + n, dtype="<i4")),
-                            pa.array(hashes[part]), pa.array(counts[part].astype("<i4")),
-                        ],
-                        names=["block", "place", "gram", "seen"],
-                    )
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _cuts(hashes: np.ndarray, skip: int, bits: int) -> Iterator[tuple[int, int, int]]:
+    """Sorted hashes by the `bits` bits that follow the first `skip`: the value, from where, to where. The first
+    `skip` bits are the same in all."""
+    value = ((hashes << np.uint64(skip)) >> np.uint64(64 - bits)) if bits else np.zeros(len(hashes), np.uint64)
+    edges = np.flatnonzero(np.diff(value.astype(np.int64), prepend=-1))
+    yield from zip(value[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(hashes)])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in batch.columns)
+
+
+PIECE = "part int, block bigint, grams binary, seen binary"
+PIECE_ROWS = 256
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for held in batched(rows, PIECE_ROWS):
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*held), schema.types)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def requests(blocks: DataFrame, order: int, ranges: int = RANGES) -> DataFrame:
+    """A row per block and range: the block's distinct n-grams up to `order` in it, by hash, and how often
+    learning texts of the block have each. `ranges` is a power of two."""
+    bits = ranges.bit_length() - 1
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("grams", pa.binary()), ("seen", pa.binary())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for number, *block in _rows(batches):
+            learning, *coded = block
+            known = grams(_coded(*coded), order)
+            learn = np.repeat(np.frombuffer(learning, bool), np.diff(known.ends, prepend=0))
+            counts = np.concatenate([
+                np.bincount(at[learn & (at >= 0)], minlength=len(distinct)) for distinct, at in zip(known.distinct, known.at)
+            ]).astype("<i4")
+            hashes = np.concatenate(known.distinct)
+            by = by_hash(hashes)
+            hashes, counts = hashes[by], counts[by]
+            for part, start, end in _cuts(hashes, 0, bits):
+                yield part, number, pack(hashes[start:end]), counts[start:end].tobytes()
 
     return blocks.select("block", "learning", "words", "tokens", "lengths").mapInArrow(
-        ask, "block bigint, place int, gram bigint, seen int"
+        lambda batches: _batches(ask(batches), schema), PIECE
+    )
+
+
+def by_hash(hashes: np.ndarray) -> np.ndarray:
+    """The order in which a block asks for its n-grams and is answered."""
+    return np.argsort(hashes, kind="stable")
+
+
+def in_stretches(pieces: DataFrame, tasks: int, ranges: int, stretches: int) -> DataFrame:
+    """Requests gathered by range, and in a task sorted by stretch, the further cut of a range that a counting
+    task holds at once. Cutting and sorting send nothing: sorts may spill, and a stretch has as many rows
+    as there are blocks with an n-gram in it, so rows are never more than n-grams."""
+    skip, bits = ranges.bit_length() - 1, stretches.bit_length() - 1
+    schema = pa.schema([
+        ("part", pa.int32()), ("stretch", pa.int32()), ("block", pa.int64()), ("grams", pa.binary()), ("seen", pa.binary()),
+    ])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for part, block, packed, seen in _rows(batches):
+            hashes, counts = unpack(packed), np.frombuffer(seen, "<i4")
+            for stretch, start, end in _cuts(hashes, skip, bits):
+                yield part, stretch, block, pack(hashes[start:end]), counts[start:end].tobytes()
+
+    gathered = pieces.repartition(tasks, "part")
+    if stretches > 1:
+        cut = gathered.mapInArrow(lambda b: _batches(split(b), schema), "part int, stretch int, block bigint, grams binary, seen binary")
+    else:
+        cut = gathered.select("part", F.lit(0).alias("stretch"), "block", "grams", "seen")
+    return cut.sortWithinPartitions("part", "stretch", "block")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Per stretch: its place, the blocks that ask, where each one's n-grams end, the totals of all different
+    n-grams, and which of them each block asks for, one after another."""
+    for (part, stretch), rows in groupby(_rows(batches), key=lambda row: row[:2]):
+        blocks, asked, seen = zip(*((block, unpack(packed), np.frombuffer(counts, "<i4")) for _, _, block, packed, counts in rows))
+        distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
+        totals = np.zeros(len(distinct), dtype="<i8")
+        np.add.at(totals, place, np.concatenate(seen))
+        yield part, stretch, blocks, np.cumsum([len(a) for a in asked]).tolist(), totals, place
+
+
+def corpus_size(stretches: DataFrame) -> tuple[int, int]:
+    """Tokens and different words of the learning texts, from requests of order 1."""
+    schema = pa.schema([("tokens", pa.int64()), ("types", pa.int64())])
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for *_, totals, _ in _counted(batches):
+            yield int(totals.sum()), int((totals > 0).sum())
+
+    per_stretch = stretches.mapInArrow(lambda b: _batches(sizes(b), schema), "tokens bigint, types bigint")
+    return tuple(per_stretch.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first())
+
+
+def answers(stretches: DataFrame, several: bool) -> DataFrame:
+    """A row per request: the counts in all learning texts, in the order asked. `several`: a range has more
+    than one stretch, whose answers are joined first."""
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("totals", pa.binary())])
+    cut = pa.schema([("part", pa.int32()), ("stretch", pa.int32()), ("block", pa.int64()), ("totals", pa.binary())])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for part, stretch, blocks, ends, totals, place in _counted(batches):
+            for block, start, end in zip(blocks, [0, *ends], ends):
+                yield part, stretch, block, totals[place[start:end]].tobytes()
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (part, block), rows in groupby(_rows(batches), key=lambda row: (row[0], row[2])):
+            yield part, block, b"".join(totals for *_, totals in rows)
+
+    told = stretches.mapInArrow(lambda b: _batches(answer(b), cut), "part int, stretch int, block bigint, totals binary")
+    if not several:
+        return told.drop("stretch")
+    return told.sortWithinPartitions("part", "block", "stretch").mapInArrow(
+        lambda b: _batches(joined(b), schema), "part int, block bigint, totals binary"
     )
 
 
@@ -235,11 +338,11 @@ class Automaton:
         return total
 
 
-def _score(block: dict, ids: pa.Array, places: np.ndarray, totals: np.ndarray, order: int, tokens: int, types: int) -> pa.Table:
-    known = grams(_coded(block), order)
+def _score(block: dict, ids: pa.Array, totals: np.ndarray, order: int, tokens: int, types: int) -> pa.Table:
+    known = grams(_coded(block["words"], block["tokens"], block["lengths"]), order)
+    told = np.empty_like(totals)
+    told[by_hash(np.concatenate(known.distinct))] = totals
     edges = np.cumsum([0, *map(len, known.distinct)])
-    told = np.zeros(edges[-1], dtype=np.int64)
-    told[places] = totals
     counts = [told[a:b] for a, b in zip(edges, edges[1:])]
     model = Automaton(known, counts, tokens, types)
     rows, start = [], 0
@@ -259,31 +362,35 @@ def _score(block: dict, ids: pa.Array, places: np.ndarray, totals: np.ndarray, o
 
 def score_texts(
     docs: DataFrame, learning: Column, id_column: str = "doc_id", text: str = "text",
-    order: int = ORDER, block_bytes: int = BLOCK_BYTES,
+    order: int = ORDER, block_bytes: int = BLOCK_BYTES, ranges: int = RANGES, held: int = HELD,
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Learns from the rows where `learning` holds (NULL: it doesn't) and scores all. A NULL or empty text is one end
     token. With nothing to learn from every token has the same probability. Texts of any length are
-    read whole; a block holds at least one text. An n-gram has one row per block at most, however often it occurs.
+    read whole; a block holds at least one text. However often an n-gram occurs, a block asks for it once.
+    `ranges`, a power of two, and `held` set the rows a block sends and the n-grams a counting task holds.
     """
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learning, F.lit(False)).alias("learning")
     )
     blocks = cut_blocks(rows, block_bytes)
-    vocabulary = requests(blocks, 1).groupBy("gram").agg(F.sum("seen").alias("n"))
-    tokens, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    everywhere = F.sum("seen").over(Window.partitionBy("gram"))
-    answers = requests(blocks, order).select("block", "place", everywhere.alias("total"))
+    count, length = blocks.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)) / 4).first()
+    stretches = 1 << max(0, int(order * length / (ranges * held))).bit_length()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(ranges, max(count, cores)))
+    tokens, types = corpus_size(in_stretches(requests(blocks, 1, ranges), tasks, ranges, stretches))
+    told = answers(in_stretches(requests(blocks, order, ranges), tasks, ranges, stretches), stretches > 1)
 
     def score(block: pa.Table, told: pa.Table) -> pa.Table:
         ids = block.column("ids").combine_chunks().flatten()
         known = block.drop_columns(["ids"]).to_pylist()[0]
-        places, totals = (told.column(c).to_numpy() for c in ("place", "total"))
-        return _score(known, ids, places, totals, order, tokens, types)
+        parts = sorted(zip(told.column("part").to_pylist(), told.column("totals").to_pylist()))
+        totals = np.frombuffer(b"".join(totals for _, totals in parts), "<i8")
+        return _score(known, ids, totals, order, tokens, types)
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         score,
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
