@@ -27,6 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ ADD = 0.1
 HEAPS_SCALE = 3.0
 HEAPS_POWER = 0.85
 #: Bytes of text in a block: it bounds what a task holds.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 12_000_000
 #: Ranges of hashes. A block sends a row for each, whatever the size of the corpus.
 RANGES = 1024
 #: N-grams that a counting task holds at a time, on average over stretches of its ranges.
@@ -111,21 +112,43 @@ def grams(coded: Coded, order: int) -> Grams:
     return Grams(ends, distinct, at, first)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, their first bytes together, then their second ones and so on. Those that are nearly equal
+    compress away."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    """By the steps from one to the next."""
+    return pack(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<u8"), dtype="<u8")
+
+
 def _block(texts: list, ids: list[pa.Array], learning: list) -> pa.RecordBatch:
     coded = code(texts)
     ids = pa.concat_arrays(ids)
+    learning = np.array(learning, np.uint8)
     return pa.RecordBatch.from_arrays(
         [
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-            *(pa.array([x.tobytes()], pa.binary()) for x in (np.array(learning, np.uint8), *coded)),
+            pa.array([len(coded.tokens)], pa.int64()), pa.array([int(coded.lengths[learning > 0].sum())], pa.int64()),
+            *(pa.array([pack(x)], pa.binary()) for x in (learning, *coded)),
         ],
-        names=["ids", "learning", "words", "tokens", "lengths"],
+        names=["ids", "size", "learned", "learning", "words", "tokens", "lengths"],
     )
 
 
 def cut_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """`docs` (doc_id, text, learning) as blocks, one row each, written once: block, ids, learning, and the
-    parts of `Coded`. A task starts a new block when the texts of one reach `block_bytes` characters, so a block is
+    parts of `Coded`, with the tokens of all texts (`size`) and of learning ones (`learned`). A task starts a new block when the texts of one reach `block_bytes` characters, so a block is
     longer than that by one text at most."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,22 +169,13 @@ def cut_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             yield _block(texts, ids, learning)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"ids array<{id_type}>, learning binary, words binary, tokens binary, lengths binary"
+    schema = f"ids array<{id_type}>, size bigint, learned bigint, learning binary, words binary, tokens binary, lengths binary"
     # The number is written with its row, so all that reads the blocks finds the same.
     return settle(docs.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
 def _coded(words: bytes, tokens: bytes, lengths: bytes) -> Coded:
-    return Coded(np.frombuffer(words, "<u8"), np.frombuffer(tokens, "<i4"), np.frombuffer(lengths, "<i4"))
-
-
-def pack(hashes: np.ndarray) -> bytes:
-    """Sorted hashes with their first bytes together, which are nearly equal and compress away."""
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return Coded(unpack(words, "<u8"), unpack(tokens, "<i4"), unpack(lengths, "<i4"))
 
 
 def _cuts(hashes: np.ndarray, skip: int, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -180,6 +194,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 PIECE = "part int, block bigint, grams binary, seen binary"
 PIECE_ROWS = 256
+WORD_ROWS = 1 << 16
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -198,7 +213,7 @@ def requests(blocks: DataFrame, order: int, ranges: int = RANGES) -> DataFrame:
         for number, *block in _rows(batches):
             learning, *coded = block
             known = grams(_coded(*coded), order)
-            learn = np.repeat(np.frombuffer(learning, bool), np.diff(known.ends, prepend=0))
+            learn = np.repeat(unpack(learning, "?"), np.diff(known.ends, prepend=0))
             counts = np.concatenate([
                 np.bincount(at[learn & (at >= 0)], minlength=len(distinct)) for distinct, at in zip(known.distinct, known.at)
             ]).astype("<i4")
@@ -206,7 +221,7 @@ def requests(blocks: DataFrame, order: int, ranges: int = RANGES) -> DataFrame:
             by = by_hash(hashes)
             hashes, counts = hashes[by], counts[by]
             for part, start, end in _cuts(hashes, 0, bits):
-                yield part, number, pack(hashes[start:end]), counts[start:end].tobytes()
+                yield part, number, pack_sorted(hashes[start:end]), pack(counts[start:end])
 
     return blocks.select("block", "learning", "words", "tokens", "lengths").mapInArrow(
         lambda batches: _batches(ask(batches), schema), PIECE
@@ -229,9 +244,9 @@ def in_stretches(pieces: DataFrame, tasks: int, ranges: int, stretches: int) ->
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part, block, packed, seen in _rows(batches):
-            hashes, counts = unpack(packed), np.frombuffer(seen, "<i4")
+            hashes, counts = unpack_sorted(packed), unpack(seen, "<i4")
             for stretch, start, end in _cuts(hashes, skip, bits):
-                yield part, stretch, block, pack(hashes[start:end]), counts[start:end].tobytes()
+                yield part, stretch, block, pack_sorted(hashes[start:end]), pack(counts[start:end])
 
     gathered = pieces.repartition(tasks, "part")
     if stretches > 1:
@@ -245,23 +260,26 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Per stretch: its place, the blocks that ask, where each one's n-grams end, the totals of all different
     n-grams, and which of them each block asks for, one after another."""
     for (part, stretch), rows in groupby(_rows(batches), key=lambda row: row[:2]):
-        blocks, asked, seen = zip(*((block, unpack(packed), np.frombuffer(counts, "<i4")) for _, _, block, packed, counts in rows))
+        blocks, asked, seen = zip(*((block, unpack_sorted(packed), unpack(counts, "<i4")) for _, _, block, packed, counts in rows))
         distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
         totals = np.zeros(len(distinct), dtype="<i8")
         np.add.at(totals, place, np.concatenate(seen))
         yield part, stretch, blocks, np.cumsum([len(a) for a in asked]).tolist(), totals, place
 
 
-def corpus_size(stretches: DataFrame) -> tuple[int, int]:
-    """Tokens and different words of the learning texts, from requests of order 1."""
-    schema = pa.schema([("tokens", pa.int64()), ("types", pa.int64())])
+def different_words(blocks: DataFrame) -> int:
+    """Of learning texts."""
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for *_, totals, _ in _counted(batches):
-            yield int(totals.sum()), int((totals > 0).sum())
+    def heard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for learning, *block in _rows(batches):
+            coded = _coded(*block)
+            learn = np.repeat(unpack(learning, "?"), coded.lengths)
+            found = coded.words[np.bincount(coded.tokens[learn], minlength=len(coded.words)) > 0].view("<i8")
+            for start in range(0, len(found), WORD_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(found[start : start + WORD_ROWS])], names=["word"])
 
-    per_stretch = stretches.mapInArrow(lambda b: _batches(sizes(b), schema), "tokens bigint, types bigint")
-    return tuple(per_stretch.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first())
+    coded = blocks.select("learning", "words", "tokens", "lengths")
+    return coded.mapInArrow(heard, "word bigint").distinct().count()
 
 
 def answers(stretches: DataFrame, several: bool) -> DataFrame:
@@ -273,11 +291,11 @@ def answers(stretches: DataFrame, several: bool) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part, stretch, blocks, ends, totals, place in _counted(batches):
             for block, start, end in zip(blocks, [0, *ends], ends):
-                yield part, stretch, block, totals[place[start:end]].tobytes()
+                yield part, stretch, block, pack(totals[place[start:end]])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for (part, block), rows in groupby(_rows(batches), key=lambda row: (row[0], row[2])):
-            yield part, block, b"".join(totals for *_, totals in rows)
+            yield part, block, pack(np.concatenate([unpack(totals, "<i8") for *_, totals in rows]))
 
     told = stretches.mapInArrow(lambda b: _batches(answer(b), cut), "part int, stretch int, block bigint, totals binary")
     if not several:
@@ -352,7 +370,7 @@ def _score(block: dict, ids: pa.Array, totals: np.ndarray, order: int, tokens: i
         rows.append((end - start, int((counts[0][uni] > 0).sum()), float(model.base[uni].sum()), model.read(at)))
         start = end
     n_tokens, n_known, base, score = zip(*rows)
-    learning = np.frombuffer(block["learning"], bool)
+    learning = unpack(block["learning"], "?")
     return pa.table({
         "doc_id": ids, "held_out": pa.array(~learning), "n_tokens": pa.array(n_tokens, pa.int64()),
         "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * len(rows), pa.int64()),
@@ -375,18 +393,20 @@ def score_texts(
         F.col(id_column).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learning, F.lit(False)).alias("learning")
     )
     blocks = cut_blocks(rows, block_bytes)
-    count, length = blocks.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("tokens")), F.lit(0)) / 4).first()
-    stretches = 1 << max(0, int(order * length / (ranges * held))).bit_length()
+    count, length, tokens = blocks.agg(
+        F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("size", "learned"))
+    ).first()
+    types = different_words(blocks)
+    stretches = 1 << (order * length // (ranges * held)).bit_length()
     cores = docs.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(ranges, max(count, cores)))
-    tokens, types = corpus_size(in_stretches(requests(blocks, 1, ranges), tasks, ranges, stretches))
     told = answers(in_stretches(requests(blocks, order, ranges), tasks, ranges, stretches), stretches > 1)
 
     def score(block: pa.Table, told: pa.Table) -> pa.Table:
         ids = block.column("ids").combine_chunks().flatten()
         known = block.drop_columns(["ids"]).to_pylist()[0]
         parts = sorted(zip(told.column("part").to_pylist(), told.column("totals").to_pylist()))
-        totals = np.frombuffer(b"".join(totals for _, totals in parts), "<i8")
+        totals = np.concatenate([unpack(totals, "<i8") for _, totals in parts])
         return _score(known, ids, totals, order, tokens, types)
 
     id_type = docs.schema[id_column].dataType.simpleString()
