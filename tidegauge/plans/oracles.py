@@ -178,6 +178,8 @@ ORACLES: dict[str, str] = {
     "stream_late_drop": MINUTE_CLOSED,
     "stream_restart": MINUTE_CLOSED,
     "stream_update_latest": MINUTE,
+    "results_compacted": MINUTE,
+    "stream_compacted": MINUTE_CLOSED,
     "stream_foreach_batch": LINES,
     "stream_raw_landing": PER_DATE,
     "parquet_partitioned": HOUR,

@@ -65,6 +65,7 @@ from tidegauge.sources.responses import (
     response_pages as pages_of,
     select_series,
 )
+from tidegauge.streaming.generations import compact, latest_changes
 from tidegauge.streaming.run import (
     consume,
     consumed_lines,
@@ -392,6 +393,44 @@ def stream_update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(latest_results(read_batches(spark, f"{folder}/out", STATS_SCHEMA)))
 
 
+def results_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `stream_update_latest`, from a store whose changes are merged between the runs and after them."""
+    folder = scratch_dir(spark, "merged")
+    path = f"{folder}/out"
+
+    def run(stream: DataFrame) -> None:
+        results = window_stats(ticks(stream))
+        finish(
+            process_then_commit(
+                results, replace_batch(path), f"{folder}/checkpoint", "update", drain=True,
+                shuffle_partitions=state_partitions(spark),
+            )
+        )
+        compact(spark, path, STATS_SCHEMA, merge=latest_changes)
+
+    _in_two_runs(spark, sf_dir, folder, run)
+    return without_zone(latest_results(read_batches(spark, path, STATS_SCHEMA)))
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows stored once each, by indicator, whose files are gathered in place between the runs and after them."""
+    folder = scratch_dir(spark, "gathered")
+    path, by = f"{folder}/out", ("indicator",)
+
+    def run(stream: DataFrame) -> None:
+        results = window_stats(ticks(stream))
+        finish(
+            process_then_commit(
+                results, replace_batch(path, by), f"{folder}/checkpoint", drain=True,
+                shuffle_partitions=state_partitions(spark),
+            )
+        )
+        compact(spark, path, STATS_SCHEMA, partition_by=by)
+
+    _in_two_runs(spark, sf_dir, folder, run)
+    return without_zone(read_batches(spark, path, STATS_SCHEMA).drop("run", "batch_id"))
+
+
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consumed lines, handled batch by batch before the position is stored."""
     folder = scratch_dir(spark, "lines")
@@ -559,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "stream_late_drop": stream_late_drop,
     "stream_restart": stream_restart,
     "stream_update_latest": stream_update_latest,
+    "results_compacted": results_compacted,
+    "stream_compacted": stream_compacted,
     "stream_foreach_batch": stream_foreach_batch,
     "stream_raw_landing": stream_raw_landing,
     "parquet_partitioned": parquet_partitioned,

@@ -58,11 +58,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"tidegauge-{label}-")
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, on any file system Spark knows. Reading a path that is
     not there would tell as well, by an error that Spark logs with all its frames."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what is in a folder; none if it is not there."""
+    files, at = _file_system(spark, path)
+    return [child.getPath().toString() for child in files.listStatus(at)] if files.exists(at) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all in it; one that is gone already is fine."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
 
 
 @contextmanager

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,6 +18,9 @@ from tidegauge.settings import BROKERS, CONSOLE_ROWS, CONSOLE_TRIGGER, PARQUET_T
 #: Called with a micro-batch, its id, and the mark of the run that its id belongs to.
 BatchFn = Callable[[DataFrame, int, int], None]
 RESULT_KEY = ("start", "end", "indicator")
+#: Records of batches and of generations that count.
+COMMIT = "run bigint, batch_id bigint, attempt string, at bigint"
+GENERATION = "generation bigint, attempt string, run bigint, upto bigint, at bigint"
 
 
 def trigger(writer: DataStreamWriter, every: str | None, drain: bool) -> DataStreamWriter:
@@ -218,19 +222,61 @@ def commit_batch(spark: SparkSession, path: str, batch_id: int, run: int, attemp
     spark.range(1).coalesce(1).select(
         F.lit(run).cast("long").alias("run"), F.lit(batch_id).cast("long").alias("batch_id"),
         F.lit(attempt).alias("attempt"), F.unix_micros(F.current_timestamp()).alias("at"),
-    ).write.mode("append").parquet(f"{path}/commits")
+    ).write.mode("append").partitionBy("run", "batch_id").parquet(f"{path}/commits")
+
+
+class Generation(NamedTuple):
+    """Batches merged by `generations.compact`: per run all up to one."""
+
+    generation: int
+    at: int
+    attempt: str
+    upto: dict[int, int]
+
+
+def generation_path(path: str, number: int, attempt: str) -> str:
+    return f"{path}/generations/generation={number}/attempt={attempt}"
+
+
+def newest_generations(spark: SparkSession, path: str) -> list[Generation]:
+    """Those with a record, the newest first: the first one counts. A record has a row per run."""
+    if not exists(spark, f"{path}/records"):
+        return []
+    told = spark.read.schema(GENERATION).parquet(f"{path}/records")
+    rows = told.groupBy("generation", "at", "attempt").agg(F.map_from_entries(F.collect_list(F.struct("run", "upto"))).alias("upto"))
+    return [Generation(*r) for r in rows.orderBy(F.desc("generation"), F.desc("at"), F.desc("attempt")).limit(2).collect()]
+
+
+def held_by(upto: dict[int, int]) -> Column:
+    """Whether a batch is among those up to the given one of its run."""
+    held = F.lit(False)
+    for run, last in upto.items():
+        held = held | ((F.col("run") == run) & (F.col("batch_id") <= last))
+    return held
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What `replace_batch` wrote and has a record, with the `run` and `batch_id` of each row. Folders that
-    do not count are not read: the records, one per batch, prune them."""
-    marked = with_fields(schema, run=T.LongType(), batch_id=T.LongType(), attempt=T.StringType())
+    do not count are not read: the records, one per batch, prune them. Of batches that were merged the newest
+    generation is read."""
+    places = {"run": T.LongType(), "batch_id": T.LongType()}
+    placed, marked = with_fields(schema, **places), with_fields(schema, **places, attempt=T.StringType())
     if not exists(spark, f"{path}/commits"):
-        return spark.createDataFrame([], marked).drop("attempt")
-    commits = spark.read.schema("run bigint, batch_id bigint, attempt string, at bigint").parquet(f"{path}/commits")
+        return spark.createDataFrame([], placed)
+    merged = newest_generations(spark, path)[:1]
+    commits = spark.read.schema(COMMIT).parquet(f"{path}/commits")
+    for generation in merged:
+        commits = commits.filter(~held_by(generation.upto))
     newest = commits.groupBy("run", "batch_id").agg(F.max_by("attempt", "at").alias("attempt"))
     data = spark.read.schema(marked).parquet(f"{path}/data")
-    return data.join(newest, ["run", "batch_id", "attempt"], "left_semi").select(*schema.fieldNames(), "run", "batch_id")
+    for generation in merged:
+        # Files that `generations.prune` may delete meanwhile are not even opened.
+        data = data.filter(~held_by(generation.upto))
+    rows = data.join(newest, ["run", "batch_id", "attempt"], "left_semi").select(*placed.fieldNames())
+    for generation in merged:
+        held = spark.read.schema(placed).parquet(generation_path(path, generation.generation, generation.attempt))
+        rows = rows.unionByName(held.select(*placed.fieldNames()))
+    return rows
 
 
 def latest_results(df: DataFrame) -> DataFrame:
