@@ -80,6 +80,23 @@ def test_copies_neither_thin_the_sample_nor_fill_it(spark, monkeypatch):
     assert lid.learn(docs, sample=50) == ([50, 50], 100)
 
 
+def test_texts_without_letters_take_no_place_in_the_sample(spark, monkeypatch):
+    """Very many different letterless texts of a language beside 400 good ones: all good ones are used."""
+    monkeypatch.setattr(lid, "fit", lambda x, langs: len(langs))
+    number = F.col("id")
+    digits = F.concat(F.lit("12 "), number.cast("string"), F.lit(" ?!"))
+    letters = F.concat(F.lit("è "), F.translate(number.cast("string"), "0123456789", "abcdefghij"))
+    docs = spark.range(20_000).select(F.lit("it").alias("lang"), F.when(number < 400, letters).otherwise(digits).alias("text"))
+    assert lid.learn(docs) == 400
+
+
+def test_both_engines_agree_on_letters(spark):
+    """One script each of the languages that have a family, marks and digits of other scripts, and none."""
+    texts = ["a", "ß", "д", "ლ", "ש", "ع", "क", "த", "ไ", "中", "あ", "한", "ʰ", "ª", "٣", "²", "Ⅷ", "ा", "_", "1", "", " ", "😀", "\u0301", "𐐷"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(lid.LETTER).alias("has")).collect()
+    assert all(r.has == lid.has_letter(r.t) for r in rows)
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     text = "ab cd " * 5000 + "zzz " * 9000
     whole = lid.features(text)

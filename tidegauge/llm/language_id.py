@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from tidegauge.llm.tables import settle
 
 UNKNOWN = "und"
-BUCKET_BITS = 12
+BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 BYTES_AT_ONCE = 1 << 20
 #: Texts to learn from, per language: at most so many, whatever the size of the table. The driver
-#: holds their features, 16 kB each.
+#: holds their features, 32 kB each.
 SAMPLE = 400
 ROUNDS = 300
 PENALTY = 1e-4
@@ -54,6 +54,10 @@ PLAIN = bytes(
 )
 
 
+# Fixed value: what `str.isalpha` calls a letter.
+LETTER = r"\p{L}"
+
+
 def family_of(lang: str) -> str:
     return FAMILY_OF.get(lang.lower().replace("_", "-").split("-")[0], lang)
 
@@ -159,7 +163,8 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: i
     wanted, then just as many. A task passes on a text once; no more than the sample reaches the
     driver, as features.
     """
-    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    # Texts without a letter must not take places in the sample; NULL has none.
+    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash")
     )
     # The order of the draw: low bits first, as the share is taken of them.
